@@ -114,9 +114,9 @@ SELECT count(*)::BIGINT AS questions, round(avg(p), 6) AS mean_precision_at_k,
     "keyword_bm25_partitioned": f"WITH {BM25}, {best('bm', 5, 'h')} SELECT * FROM h",
     "embed_hashing": f"""WITH {hashed_vectors('documents', 'doc_id', 'text', 'cv')},
 full_ AS (
-  SELECT doc_id, b, coalesce(x, 0)::BIGINT AS x
-  FROM documents CROSS JOIN range(64) r(b) LEFT JOIN cv ON cv.id = doc_id AND cv.b = r.b)
-SELECT doc_id, 64::BIGINT AS dimension, md5(string_agg(x::VARCHAR, ',' ORDER BY b)) AS vector_md5,
+  SELECT doc_id, i, coalesce(x, 0)::BIGINT AS x
+  FROM documents CROSS JOIN range(64) r(i) LEFT JOIN cv ON cv.id = doc_id AND cv.b = i)
+SELECT doc_id, 64::BIGINT AS dimension, md5(string_agg(x::VARCHAR, ',' ORDER BY i)) AS vector_md5,
        1::BIGINT AS embedded FROM full_ GROUP BY 1""",
     "hybrid_rrf": f"""WITH {BM25}, {best('bm', 10, 'kw')},
 {hashed_vectors('documents', 'doc_id', 'text', 'cv')},

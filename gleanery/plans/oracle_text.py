@@ -106,6 +106,57 @@ new_docs AS (
 {windows('old_docs', 'old')},
 {windows('new_docs', 'new')}"""
 
+# Recursive splitting. Segments are cut at the coarsest separator they hold; cuts
+# of 800 and more are cut again. Neighbouring shorter cuts form runs, and a fold
+# over each run gives chunks of at most 800 that share at most 150.
+_SEPARATORS = "[chr(10) || '## ', chr(10) || '### ', chr(10) || chr(10), chr(10), '. ', ' ', '']"
+
+
+def recursive(source: str, key: str, name: str) -> str:
+    return f"""{name}_seg AS (
+  SELECT {key} AS k, -1::BIGINT AS parent, -1::BIGINT AS parent_level, 1::BIGINT AS st,
+         length(content)::BIGINT AS n, 0::BIGINT AS level, true AS is_long
+  FROM {source}
+  UNION ALL
+  SELECT k, st, level, begins::BIGINT, pn::BIGINT, (c + 1)::BIGINT, pn >= 800 FROM (
+    SELECT k, st, level, c, pn, st + coalesce(sum(pn) OVER (
+             PARTITION BY k, st ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS begins
+    FROM (
+      SELECT k, st, level, c, unnest(range(len(parts))) AS i,
+             unnest(list_transform(parts, lambda x, j: length(x) + CASE WHEN j = 1 THEN 0 ELSE length(sep) END)) AS pn
+      FROM (
+        SELECT k, st, level, c, {_SEPARATORS}[c + 1] AS sep, string_split(seg, {_SEPARATORS}[c + 1]) AS parts
+        FROM (
+          SELECT *, list_filter(range(7), lambda i: i >= level AND contains(seg, {_SEPARATORS}[i + 1]))[1] AS c
+          FROM (SELECT k, st, level, substr(content, st, n) AS seg
+                FROM {name}_seg JOIN {source} ON {key} = k WHERE is_long)))))
+  WHERE pn > 0),
+{name}_runs AS (
+  SELECT k, parent, parent_level, run, list(st ORDER BY st) AS starts, list(st + n ORDER BY st) AS ends FROM (
+    SELECT *, sum(is_long::INT) OVER (PARTITION BY k, parent, parent_level ORDER BY st) AS run
+    FROM {name}_seg WHERE parent >= 0)
+  WHERE NOT is_long GROUP BY ALL),
+{name}_folded AS (
+  SELECT k, list_reduce(
+    list_transform(list_zip(starts, ends), lambda p: {{'s': p[1], 'e': p[2], 'l': p[1], 'o': []::STRUCT(a BIGINT, b BIGINT)[]}}),
+    lambda acc, p: CASE WHEN p.e - acc.l > 800 AND p.s > acc.l THEN {{'s': p.s, 'e': p.e,
+        'l': list_min(list_filter(starts, lambda x: x > acc.l AND p.s - x <= 150 AND p.e - x <= 800)),
+        'o': list_append(acc.o, {{'a': acc.l, 'b': p.s}})}}
+      ELSE {{'s': p.s, 'e': p.e, 'l': acc.l, 'o': acc.o}} END) AS f
+  FROM {name}_runs),
+{name}_spans AS (
+  SELECT k, unnest(list_append(f.o, {{'a': f.l, 'b': f.e}})) AS span FROM {name}_folded),
+{name}_pieces AS (
+  SELECT k, row_number() OVER (PARTITION BY k ORDER BY span.a) - 1 AS chunk_index, chunk_text FROM (
+    SELECT k, span, {strip('substr(content, span.a, span.b - span.a)')} AS chunk_text
+    FROM {name}_spans JOIN {source} ON {key} = k)
+  WHERE chunk_text <> ''),
+{name} AS (
+  SELECT substr(sha256(url || '::' || chunk_index), 1, 16) AS chunk_id, url,
+         chunk_index::BIGINT AS chunk_index, chunk_text
+  FROM {name}_pieces JOIN {source} ON {key} = k WHERE length(chunk_text) >= 50)"""
+
+
 WORDS = r"list_filter(string_split_regex(lower({0}), '[^\p{{L}}\p{{N}}]+'), lambda w: w <> '')"
 
 
@@ -137,6 +188,10 @@ SELECT page_id, length(t)::BIGINT AS n_chars, md5(t) AS text_md5 FROM plain""",
 SELECT page_id, {title('content')} AS title, length(content)::BIGINT AS n_chars,
        md5(content) AS content_md5
 FROM md WHERE regexp_matches(content, '[^{WS}]')""",
+    "page_chunks": f"""WITH RECURSIVE {MARKDOWN_PAGES},
+pages_md AS (SELECT * FROM md WHERE regexp_matches(content, '[^{WS}]')),
+{recursive('pages_md', 'page_id', 'c')} SELECT {SHOWN} FROM c""",
+    "chunk_recursive": f"WITH RECURSIVE {DOCS}, {recursive('docs', 'url', 'c')} SELECT {SHOWN} FROM c",
     "chunk_fixed_window": f"WITH {DOCS}, {windows('docs', 'chunks')} SELECT {SHOWN} FROM chunks",
     "chunk_token_window": f"""WITH {DOCS},
 t AS (SELECT url, list_filter(string_split_regex(content, '[{WS}]+'), lambda w: w <> '') AS tokens FROM docs),
