@@ -27,18 +27,21 @@ def recall_at_k(retrieved: Column | str, expected: Column | str) -> Column:
     return F.when(F.size(e) == 0, F.lit(1.0)).otherwise(_hits(r, e) / F.size(e))
 
 
-def token_share(part: Column, whole: Column) -> Column:
-    """Share of the distinct tokens of ``part`` that ``whole`` holds too."""
-    distinct = F.array_distinct(_list(part))
-    return F.when(F.size(distinct) == 0, F.lit(0.0)).otherwise(
-        F.size(F.array_intersect(distinct, _list(whole))).cast("double") / F.size(distinct)
-    )
-
-
-def token_f1(answer: Column, expected: Column) -> Column:
-    """Harmonic mean of both token shares."""
-    p, r = token_share(answer, expected), token_share(expected, answer)
-    return F.when(p + r == 0, F.lit(0.0)).otherwise(2 * p * r / (p + r))
+def _common(a: Column, b: Column) -> Column:
+    return F.size(F.array_intersect(a, b)).cast("double")
+
+
+def token_share(part: Column | str, whole: Column | str) -> Column:
+    """Share of ``part`` that ``whole`` holds too; both are arrays of distinct tokens."""
+    part, whole = _list(part), _list(whole)
+    return F.coalesce(_common(part, whole) / F.nullif(F.size(part), F.lit(0)), F.lit(0.0))
+
+
+def token_f1(answer: Column | str, expected: Column | str) -> Column:
+    """Harmonic mean of both token shares: twice the overlap over both sizes."""
+    answer, expected = _list(answer), _list(expected)
+    both = F.size(answer) + F.size(expected)
+    return F.coalesce(2 * _common(answer, expected) / F.nullif(both, F.lit(0)), F.lit(0.0))
 
 
 def cosine(a: Column | str, b: Column | str) -> Column:

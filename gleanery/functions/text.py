@@ -15,6 +15,11 @@ WHITESPACE = (
     r"\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
     r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 )
+WHITESPACE_CHARS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 WORD_GAP = r"[^\p{L}\p{N}]+"
 SENTENCE_END = r"[.!?]+"
 
@@ -25,12 +30,12 @@ def _col(c: Column | str) -> Column:
 
 def strip(text: Column | str) -> Column:
     """Remove Unicode whitespace from both ends."""
-    return F.regexp_replace(_col(text), rf"\A[{WHITESPACE}]+|[{WHITESPACE}]+\z", "")
+    return F.btrim(_col(text), F.lit(WHITESPACE_CHARS))
 
 
 def is_blank(text: Column | str) -> Column:
     """True for null, empty and whitespace-only text."""
-    return ~F.coalesce(_col(text), F.lit("")).rlike(rf"[^{WHITESPACE}]")
+    return F.coalesce(F.length(strip(text)), F.lit(0)) == 0
 
 
 def tidy_lines(text: Column | str) -> Column:

@@ -151,11 +151,14 @@ def lexical_judgements(
     ``lexical_groundedness`` is the share of answer tokens that the context
     holds, ``lexical_correctness`` the token F1 against the expected answer.
     """
-    a = X.tokens(F.coalesce(answer, F.lit("")))
-    out = {"lexical_groundedness": scores.token_share(a, X.tokens(F.coalesce(context, F.lit(""))))}
+    sides = {"_answer": answer, "_context": context, **({"_expected": expected} if expected else {})}
+    read = answers.withColumns(
+        {n: F.array_distinct(X.tokens(F.coalesce(c, F.lit("")))) for n, c in sides.items()}
+    )
+    out = {"lexical_groundedness": scores.token_share("_answer", "_context")}
     if expected:
-        out["lexical_correctness"] = scores.token_f1(a, X.tokens(F.coalesce(expected, F.lit(""))))
-    return answers.withColumns(out)
+        out["lexical_correctness"] = scores.token_f1("_answer", "_expected")
+    return read.withColumns(out).drop(*sides)
 
 
 def relevance_share(hits: DataFrame, floor: float) -> DataFrame:

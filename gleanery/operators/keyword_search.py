@@ -65,29 +65,34 @@ class Bm25Scorer:
         return np.where(out > 0, out, np.nan)
 
 
-def weighted_queries(queries: DataFrame, documents: DataFrame) -> DataFrame:
+def weighted_queries(queries: DataFrame, documents: DataFrame, small: bool) -> DataFrame:
     """``id, value`` with the terms of each query, their weight and the mean length.
 
     One pass over the documents: each gives its distinct terms, and one row with
-    the empty term that carries its length. Counts are combined before the shuffle.
+    the empty term that carries its length. Counts are combined before the
+    shuffle, so a term that most documents hold is one row per task. ``small``
+    says that the terms of the queries may be sent to all tasks.
     """
     asked = queries.select("id", F.explode(F.array_distinct(X.tokens("value"))).alias("term"))
     found = documents.select(X.tokens("value").alias("words")).select(
         F.size("words").alias("length"),
         F.explode(F.array_append(F.array_distinct("words"), F.lit(""))).alias("term"),
     )
-    wanted = asked.select("term").union(queries.sparkSession.createDataFrame([("",)], "term string"))
-    counted = found.join(wanted.distinct(), "term", "left_semi").groupBy("term").agg(
+    padded = asked.union(queries.select("id", F.lit("").alias("term")))
+    wanted = padded.select("term").distinct()
+    if small:
+        found = found.join(F.broadcast(wanted), "term", "left_semi")
+    counted = found.groupBy("term").agg(
         F.count(F.lit(1)).alias("df"), F.sum("length").alias("length")
     )
     # The row of the empty term goes to every query as one more of its terms, and
     # is read back inside the group: statistics need no second pass over the texts.
-    padded = asked.union(queries.select("id", F.lit("").alias("term")))
     grouped = padded.join(counted, "term").groupBy("id").agg(
         F.collect_list(F.struct("term", "df")).alias("terms"),
         F.max(F.when(F.col("term") == "", F.col("df"))).alias("n"),
         F.max(F.when(F.col("term") == "", F.col("length") / F.col("df"))).alias("mean_length"),
     )
+
     def weigh(t):
         return F.struct(
             t["term"].alias("term"),
@@ -123,7 +128,7 @@ def bm25_search(
     d = documents.select(F.col(document_id).alias("id"), F.col(document_text).alias("value"))
     small = engine.is_small(q, max_query_rows)
     return engine.topk(
-        weighted_queries(q, d), d, Bm25Scorer(k1, b), k, small=small, block_rows=block_rows
+        weighted_queries(q, d, small), d, Bm25Scorer(k1, b), k, small=small, block_rows=block_rows
     )
 
 
@@ -160,8 +165,12 @@ def rerank(
     """
     rest = candidates.drop("score", "rank")
     if scorer is None:
-        share = scores.token_share(X.tokens(query_text), X.tokens(item_text))
-        scored = rest.withColumn("score", F.round(share, engine.DECIMALS))
+        read = rest.withColumns({
+            "_query": F.array_distinct(X.tokens(query_text)),
+            "_item": F.array_distinct(X.tokens(item_text)),
+        })
+        share = scores.token_share("_query", "_item")
+        scored = read.withColumn("score", F.round(share, engine.DECIMALS)).drop("_query", "_item")
     else:
         schema = T.StructType([*rest.schema.fields, T.StructField("score", T.DoubleType())])
 

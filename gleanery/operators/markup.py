@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
 import re
@@ -27,6 +28,7 @@ MARKS = {"b": "**", "strong": "**", "em": "*", "i": "*", "del": "~~", "s": "~~",
 CLOSED_BY_SIBLING = {"li": ("li",), "td": ("td", "th"), "th": ("td", "th"), "tr": ("tr", "td", "th"),
                      "dt": ("dt", "dd"), "dd": ("dt", "dd")}
 SCOPES = frozenset("ul ol dl table".split())
+MAX_DEPTH = 512  # as in browsers: what lies deeper is read without its tags
 
 
 class _Page(HTMLParser):
@@ -36,6 +38,8 @@ class _Page(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.escape = str.maketrans({c: "\\" + c for c in escape})
         self.stack = [("", {}, [], 0)]
+        self.open: Counter[str] = Counter()
+        self.lists: list[str] = []
         self.roots: dict[str, tuple[int, str]] = {}
         self.seen = 0
 
@@ -48,21 +52,24 @@ class _Page(HTMLParser):
         frame = (tag, dict(attrs), [], self.seen)
         if tag in VOID:
             self._emit(self._render(frame))
-        else:
+        elif len(self.stack) < MAX_DEPTH or tag in BOILERPLATE:
             self.stack.append(frame)
+            self.open[tag] += 1
+            if tag in ("ul", "ol"):
+                self.lists.append(tag)
 
     def handle_endtag(self, tag):
-        if any(f[0] == tag for f in self.stack):
+        if self.open[tag]:
             while self._pop() != tag:
                 pass
 
     def handle_data(self, data):
-        if any(f[0] == "pre" for f in self.stack):
+        if self.open["pre"]:
             self._emit(data)
             return
         data = re.sub(r"[ \t\r\n\f]*[\r\n][ \t\r\n\f]*", "\n", data)
         data = re.sub(r"[ \t\f]+", " ", data)
-        if not any(f[0] in ("code", "kbd", "samp", "script", "style") for f in self.stack):
+        if not any(self.open[t] for t in ("code", "kbd", "samp")):
             data = data.translate(self.escape)
         self._emit(data)
 
@@ -73,6 +80,7 @@ class _Page(HTMLParser):
             if tag in BOILERPLATE and tag not in ("script", "style"):
                 self.stack[-2][2].extend(parts)  # never closed: keep what it swallowed
                 self.stack.pop()
+                self.open[tag] -= 1
             else:
                 self._pop()
         for root in ROOTS:
@@ -84,6 +92,8 @@ class _Page(HTMLParser):
         self.stack[-1][2].append(piece)
 
     def _close_while_open(self, tag: str, barrier) -> None:
+        if not self.open[tag]:
+            return
         for depth in range(len(self.stack) - 1, 0, -1):
             if self.stack[depth][0] == tag:
                 while len(self.stack) > depth:
@@ -95,8 +105,11 @@ class _Page(HTMLParser):
     def _pop(self) -> str:
         frame = self.stack.pop()
         tag, _, parts, start = frame
+        self.open[tag] -= 1
+        if tag in ("ul", "ol"):
+            self.lists.pop()
         # A root inside a dropped element is dropped with it.
-        if tag in ROOTS and not any(f[0] in BOILERPLATE for f in self.stack):
+        if tag in ROOTS and not any(self.open[t] for t in BOILERPLATE):
             if tag not in self.roots or start < self.roots[tag][0]:
                 self.roots[tag] = (start, "".join(parts))
         self._emit(self._render(frame))
@@ -110,7 +123,7 @@ class _Page(HTMLParser):
             return ""
         if re.fullmatch("h[1-6]", tag):
             return f"\n\n{'#' * int(tag[1])} {' '.join(bare.split())}\n\n" if bare else ""
-        if tag in MARKS and any(f[0] == "pre" for f in self.stack):
+        if tag in MARKS and self.open["pre"]:
             return body
         if tag in MARKS or tag == "a":
             if not bare:
@@ -130,11 +143,10 @@ class _Page(HTMLParser):
         if tag == "pre":
             return f"\n\n```\n{body.strip(chr(10))}\n```\n\n" if bare else ""
         if tag == "li":
-            lists = [f[0] for f in self.stack if f[0] in ("ul", "ol")]
-            mark = "1." if lists and lists[-1] == "ol" else "*"
-            return f"\n{'  ' * max(len(lists) - 1, 0)}{mark} {bare}" if bare else ""
+            mark = "1." if self.lists and self.lists[-1] == "ol" else "*"
+            return f"\n{'  ' * max(len(self.lists) - 1, 0)}{mark} {bare}" if bare else ""
         if tag in ("ul", "ol"):
-            return f"\n{body.rstrip()}\n" if any(f[0] == "li" for f in self.stack) else f"\n\n{body}\n\n"
+            return f"\n{body.rstrip()}\n" if self.open["li"] else f"\n\n{body}\n\n"
         if tag == "blockquote":
             return "\n\n" + "\n".join("> " + line for line in bare.split("\n")) + "\n\n" if bare else ""
         if tag in ("td", "th"):

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gleanery.session import written
+
 
 def snapshot_diff(
     old: DataFrame, new: DataFrame, key: str = "chunk_id", content: Sequence[str] = ("chunk_text",),
@@ -37,7 +39,9 @@ def snapshot_diff(
 
 def change_rows(changes: DataFrame, new: DataFrame, key: str = "chunk_id") -> DataFrame:
     """The changes with the new row; deletes carry nulls."""
-    return changes.join(new, key, "left")
+    upserts = new.join(changes.where(F.col("change_type") != "delete"), key)
+    deletes = changes.where(F.col("change_type") == "delete")
+    return upserts.unionByName(deletes, allowMissingColumns=True)
 
 
 def apply_changes(base: DataFrame, changes: DataFrame, key: str = "chunk_id") -> DataFrame:
@@ -47,6 +51,20 @@ def apply_changes(base: DataFrame, changes: DataFrame, key: str = "chunk_id") ->
     return kept.unionByName(upserts)
 
 
+def refresh(
+    base: DataFrame, new: DataFrame, key: str = "chunk_id", content: Sequence[str] = ("chunk_text",)
+) -> tuple[DataFrame, DataFrame]:
+    """``(changes, table)``: what a new snapshot changes, and the table after it.
+
+    Keys of changes are written first and the changed rows after them. Both
+    tables are small while little changes, and then neither snapshot is shuffled
+    with its texts.
+    """
+    keys = written(snapshot_diff(base, new, key, content), "diff")
+    changes = written(change_rows(keys, new, key), "changes")
+    return changes, apply_changes(base, changes, key)
+
+
 def reconcile(source: DataFrame, index: DataFrame, source_key: str, index_key: str) -> DataFrame:
     """One row: rows on both sides, and keys that only one side holds."""
     flags = source.select(F.col(source_key).alias("k"), F.lit(1).alias("s"), F.lit(0).alias("i")).union(

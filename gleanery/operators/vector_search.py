@@ -12,6 +12,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gleanery.operators import topk as engine
+from gleanery.session import written
+
+
+# The table of cell sizes is sent to all tasks, so the number of cells is bounded.
+MAX_CELLS = 2**18
 
 
 def unit_rows(column: pa.Array) -> np.ndarray:
@@ -192,6 +197,8 @@ def hashed_search(
     A vector gets one bucket per table, the sign pattern of its dot products.
     Vectors that share a bucket are compared; a crowded bucket is cut into blocks.
     """
+    if tables << bits > MAX_CELLS:
+        raise ValueError(f"tables * 2**bits must not exceed {MAX_CELLS}")
     planes = sign_planes(dimension, bits, tables)
     weights = 1 << np.arange(bits)
 
@@ -256,9 +263,10 @@ def search_recall(approximate: DataFrame, exact: DataFrame) -> DataFrame:
 def with_columns_of(hits: DataFrame, corpus: DataFrame, key: str, columns: list[str]) -> DataFrame:
     """Fetch text and metadata for the hits only, after the search.
 
-    The corpus is not sent anywhere: at most k rows per query are joined to it.
+    The hits are written first. While they are few, Spark sees that from the
+    table and sends them to the corpus; the texts themselves are not shuffled.
     """
-    return hits.join(corpus.select(F.col(key).alias("item_id"), *columns), "item_id")
+    return written(hits, "hits").join(corpus.select(F.col(key).alias("item_id"), *columns), "item_id")
 
 
 def with_score_floor(hits: DataFrame, floor: float) -> DataFrame:

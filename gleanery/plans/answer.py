@@ -7,14 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 
 from gleanery.operators import context, inference, vector_search
-from gleanery.session import shared_dir
+from gleanery.session import written
 
 
 def embed_to_table(df: DataFrame, text: str, embed_fn: Callable, dimension: int, **options) -> DataFrame:
     """Embed once and read back: later passes must not call the model again."""
-    path = shared_dir(df.sparkSession, "vectors")
-    inference.embed_texts(df, text, embed_fn, dimension, **options).write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return written(inference.embed_texts(df, text, embed_fn, dimension, **options), "vectors")
 
 
 def retrieve(

@@ -185,9 +185,7 @@ def prompt_table(spark, sf):
 def batch_answers(spark, sf):
     """Questions, retrieval, prompt and a stand-in model, over chunks of all documents."""
     embedder = inference.HashingEmbedder(DIMENSION)
-    chunks = inference.embed_texts(
-        spread(fixed_document_chunks(spark, sf)), "chunk_text", embedder, DIMENSION
-    )
+    chunks = answer.embed_to_table(fixed_document_chunks(spark, sf), "chunk_text", embedder, DIMENSION)
     questions = _benchmark(spark, sf).withColumnRenamed("text", "question")
     answers = answer.answer_questions(
         questions, chunks, embedder, DIMENSION, inference.extractive_answers(NO_ANSWER), SYSTEM

@@ -9,7 +9,7 @@ from gleanery.functions import keys, payloads
 from gleanery.functions import text as X
 from gleanery.operators import chunking, evaluate, markup, monitor, sync
 from gleanery.plans import ingest
-from gleanery.session import spread
+from gleanery.session import spread, written
 from gleanery.sources import tables
 
 REFUSAL = "of the"  # stands in for the refusal sentence in texts that hold none
@@ -26,7 +26,7 @@ def long(c) -> F.Column:
 
 def document_pages(spark: SparkSession, sf: str) -> DataFrame:
     """Documents as ``url, title, content``."""
-    docs = load(spark, sf, "documents").where(~X.is_blank("text"))
+    docs = spread(load(spark, sf, "documents")).where(~X.is_blank("text"))
     url = F.concat(F.lit("doc/"), F.col("doc_id").cast("string"))
     return docs.select(
         url.alias("url"), X.title_of("text", url).alias("title"), F.col("text").alias("content")
@@ -102,7 +102,7 @@ def page_chunks(spark, sf):
 
 
 def chunk_recursive(spark, sf):
-    return _shown(chunking.finish_chunks(chunking.recursive_chunks(spread(document_pages(spark, sf)))))
+    return _shown(chunking.finish_chunks(chunking.recursive_chunks(document_pages(spark, sf))))
 
 
 def fixed_document_chunks(spark, sf):
@@ -122,7 +122,7 @@ def chunk_token_window(spark, sf):
 
 def chunk_sections(spark, sf):
     """Each line of a document becomes a section, below a preface that holds a fence."""
-    docs = load(spark, sf, "documents").select(
+    docs = spread(load(spark, sf, "documents")).select(
         "doc_id",
         F.concat(
             F.lit("# "), "source", F.lit("\n```\n## "), "lang", F.lit("\n```\n> "),
@@ -151,7 +151,7 @@ def chunk_length_summary(spark, sf):
 
 
 def text_statistics(spark, sf):
-    s = monitor.text_statistics(load(spark, sf, "documents"), "text", ["lang", "source"])
+    s = monitor.text_statistics(spread(load(spark, sf, "documents")), "text", ["lang", "source"])
     whole = ("n", "words", "sentences")
     return s.select(
         "lang", "source", *[long(c).alias(c) for c in whole],
@@ -164,7 +164,7 @@ def snapshots(spark, sf) -> tuple[DataFrame, DataFrame]:
 
     Afterwards toxic documents are gone, digits are masked, and pages came in.
     """
-    docs = load(spark, sf, "documents").select(
+    docs = spread(load(spark, sf, "documents")).select(
         F.concat(F.lit("doc/"), F.col("doc_id").cast("string")).alias("url"), "doc_id", F.col("text").alias("content")
     )
     toxic = load(spark, sf, "labels").where("toxic = 1").select("doc_id")
@@ -188,9 +188,16 @@ def snapshot_diff(spark, sf):
 
 
 def snapshot_apply(spark, sf):
-    old, new = snapshots(spark, sf)
-    changes = sync.change_rows(sync.snapshot_diff(old, new), new)
-    return _shown(sync.apply_changes(old, changes))
+    old, new = (written(s, "snapshot") for s in snapshots(spark, sf))
+    _, table = sync.refresh(old, new)
+    return _shown(table)
+
+
+def change_feed(spark, sf):
+    """The changed keys with the new text; deletes carry none."""
+    old, new = (written(s, "snapshot") for s in snapshots(spark, sf))
+    changes, _ = sync.refresh(old, new)
+    return changes.select("chunk_id", "change_type", F.md5("chunk_text").alias("text_md5"))
 
 
 def index_reconcile(spark, sf):
@@ -271,7 +278,7 @@ QUERIES = {
         bronze_documents, row_counts, preview_rows, page_names, page_markdown, page_plain_text,
         page_chunks, chunk_recursive, chunk_fixed_window, chunk_token_window, chunk_sections,
         chunk_duplicate_keys, chunk_duplicate_texts, chunk_length_summary, text_statistics,
-        snapshot_diff, snapshot_apply, index_reconcile, last_message, chat_question, chat_answer,
+        snapshot_diff, snapshot_apply, change_feed, index_reconcile, last_message, chat_question, chat_answer,
         refusal_flags, injection_flags, golden_append, traffic_sample, sampled_keys,
     )
 }

@@ -237,6 +237,12 @@ SELECT coalesce(o.chunk_id, n.chunk_id) AS chunk_id,
             WHEN o.chunk_text <> n.chunk_text THEN 'update' ELSE 'same' END AS change_type
 FROM old o FULL OUTER JOIN new n ON o.chunk_id = n.chunk_id""",
     "snapshot_apply": f"WITH {SNAPSHOTS} SELECT {SHOWN} FROM new",
+    "change_feed": f"""WITH {SNAPSHOTS}
+SELECT coalesce(o.chunk_id, n.chunk_id) AS chunk_id,
+       CASE WHEN o.chunk_id IS NULL THEN 'insert' WHEN n.chunk_id IS NULL THEN 'delete' ELSE 'update' END AS change_type,
+       md5(n.chunk_text) AS text_md5
+FROM old o FULL OUTER JOIN new n ON o.chunk_id = n.chunk_id
+WHERE o.chunk_text IS DISTINCT FROM n.chunk_text""",
     "index_reconcile": """WITH s AS (SELECT doc_id AS k FROM documents), i AS (SELECT vec_id AS k FROM embeddings)
 SELECT (SELECT count(*) FROM s)::BIGINT AS source_rows, (SELECT count(*) FROM i)::BIGINT AS index_rows,
        ((SELECT count(*) FROM s) - (SELECT count(*) FROM i))::BIGINT AS row_gap,

@@ -33,3 +33,15 @@ def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
     if df.rdd.getNumPartitions() >= slots:
         return df
     return df.repartition(slots)
+
+
+def written(df: DataFrame, purpose: str) -> DataFrame:
+    """Write ``df`` below the shared folder and read it back.
+
+    Later uses read the table instead of repeating the work, also after an
+    executor was lost. Spark then knows the table's size, so that its own
+    threshold decides whether a join broadcasts it.
+    """
+    path = shared_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
