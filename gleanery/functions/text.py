@@ -42,7 +42,8 @@ def tidy_lines(text: Column | str) -> Column:
     """Trim line ends, keep one blank line per run, trim the whole text."""
     unified = F.regexp_replace(_col(text), rf"\r\n|[{LINE_BREAKS}]", "\n")
     trimmed = F.regexp_replace(unified, rf"[{WHITESPACE}]*\n[{WHITESPACE}]*\n", "\n\n")
-    return strip(F.regexp_replace(trimmed, rf"[{WHITESPACE}]+\n", "\n"))
+    inner = WHITESPACE.replace(r"\n", "")
+    return strip(F.regexp_replace(trimmed, rf"[{inner}]+\n", "\n"))
 
 
 def title_of(text: Column | str, fallback: Column | str) -> Column:

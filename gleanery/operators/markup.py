@@ -27,6 +27,7 @@ MARKS = {"b": "**", "strong": "**", "em": "*", "i": "*", "del": "~~", "s": "~~",
          "code": "`", "kbd": "`", "samp": "`"}
 CLOSED_BY_SIBLING = {"li": ("li",), "td": ("td", "th"), "th": ("td", "th"), "tr": ("tr", "td", "th"),
                      "dt": ("dt", "dd"), "dd": ("dt", "dd")}
+BULLETS = "*+-"
 SCOPES = frozenset("ul ol dl table".split())
 MAX_DEPTH = 512  # as in browsers: what lies deeper is read without its tags
 
@@ -39,7 +40,8 @@ class _Page(HTMLParser):
         self.escape = str.maketrans({c: "\\" + c for c in escape})
         self.stack = [("", {}, [], 0)]
         self.open: Counter[str] = Counter()
-        self.lists: list[str] = []
+        self.lists: list[list] = []  # tag and next number of each open list
+        self.tables: list[list[int]] = []  # rows written, cells of the row at hand
         self.roots: dict[str, tuple[int, str]] = {}
         self.seen = 0
 
@@ -56,7 +58,10 @@ class _Page(HTMLParser):
             self.stack.append(frame)
             self.open[tag] += 1
             if tag in ("ul", "ol"):
-                self.lists.append(tag)
+                start = frame[1].get("start") or ""
+                self.lists.append([tag, int(start) if start.isascii() and start.isdigit() else 1])
+            elif tag == "table":
+                self.tables.append([0, 0])
 
     def handle_endtag(self, tag):
         if self.open[tag]:
@@ -106,13 +111,15 @@ class _Page(HTMLParser):
         frame = self.stack.pop()
         tag, _, parts, start = frame
         self.open[tag] -= 1
-        if tag in ("ul", "ol"):
-            self.lists.pop()
         # A root inside a dropped element is dropped with it.
         if tag in ROOTS and not any(self.open[t] for t in BOILERPLATE):
             if tag not in self.roots or start < self.roots[tag][0]:
                 self.roots[tag] = (start, "".join(parts))
         self._emit(self._render(frame))
+        if tag in ("ul", "ol"):
+            self.lists.pop()
+        elif tag == "table":
+            self.tables.pop()
         return tag
 
     def _render(self, frame) -> str:
@@ -131,7 +138,11 @@ class _Page(HTMLParser):
             lead, tail = body[: len(body) - len(body.lstrip())], body[len(body.rstrip()):]
             if tag == "a":
                 target = attrs.get("href")
-                bare = f"[{bare}]({target})" if target else bare
+                if target == bare and not attrs.get("title"):
+                    bare = f"<{target}>"
+                elif target:
+                    title = f' "{attrs["title"]}"' if attrs.get("title") else ""
+                    bare = f"[{bare}]({target}{title})"
                 return lead + bare + tail
             return lead + MARKS[tag] + bare + MARKS[tag] + tail
         if tag == "img":
@@ -143,16 +154,27 @@ class _Page(HTMLParser):
         if tag == "pre":
             return f"\n\n```\n{body.strip(chr(10))}\n```\n\n" if bare else ""
         if tag == "li":
-            mark = "1." if self.lists and self.lists[-1] == "ol" else "*"
-            return f"\n{'  ' * max(len(self.lists) - 1, 0)}{mark} {bare}" if bare else ""
+            if not bare:
+                return ""
+            mark = "*"
+            if self.lists and self.lists[-1][0] == "ol":
+                mark = f"{self.lists[-1][1]}."
+                self.lists[-1][1] += 1
+            elif self.lists:
+                mark = BULLETS[(self.open["ul"] - 1) % len(BULLETS)]
+            return "\n" + "\t" * max(len(self.lists) - 1, 0) + f"{mark} {bare}"
         if tag in ("ul", "ol"):
-            return f"\n{body.rstrip()}\n" if self.open["li"] else f"\n\n{body}\n\n"
+            return f"{body.rstrip()}\n" if self.open["li"] else f"\n\n{body}\n\n"
         if tag == "blockquote":
             return "\n\n" + "\n".join("> " + line for line in bare.split("\n")) + "\n\n" if bare else ""
         if tag in ("td", "th"):
+            if self.tables:
+                self.tables[-1][1] += 1
             return f" {' '.join(bare.split())} |"
-        if tag == "tr":
-            return f"\n|{body.rstrip()}" if bare else ""
+        if tag == "tr" and self.tables:
+            rows, cells = self.tables[-1]
+            self.tables[-1] = [rows + 1, 0]
+            return f"\n|{body.rstrip()}" + ("" if rows else "\n|" + " --- |" * cells)
         return f"\n\n{body}\n\n" if tag in BLOCKS else body
 
 

@@ -21,7 +21,8 @@ def title(text: str) -> str:
 def tidy(x: str) -> str:
     x = rf"regexp_replace({x}, '\r\n|[{NL}]', chr(10), 'g')"
     x = rf"regexp_replace({x}, '[{WS}]*\n[{WS}]*\n', chr(10) || chr(10), 'g')"
-    x = rf"regexp_replace({x}, '[{WS}]+\n', chr(10), 'g')"
+    inner = WS.replace(r"\n", "")
+    x = rf"regexp_replace({x}, '[{inner}]+\n', chr(10), 'g')"
     return strip(x)
 
 
