@@ -38,8 +38,6 @@ def read_page_files(spark: SparkSession, folder: str) -> DataFrame:
         .load(folder)
     )
     name = F.regexp_extract("path", r"([^/]*)\z", 1)
-    # Paths come as URIs, so a name with a space or an accent is percent-encoded.
-    name = F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
     return files.select(
         name.alias("file_name"),
         name.rlike(r"\.(html|htm)\z").alias("is_html"),
