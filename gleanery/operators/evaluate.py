@@ -176,7 +176,7 @@ def append_flagged(golden: DataFrame, flagged: DataFrame, request: str = "reques
     """
     rest = [c for c in golden.columns if c != request]
     one_each = flagged.groupBy(request).agg(F.min(F.struct(*rest)).alias("_row"))
-    fresh = one_each.join(golden.select(request), request, "left_anti")
+    fresh = one_each.join(golden.select(request).distinct(), request, "left_anti")
     return golden.unionByName(fresh.select(request, "_row.*").select(*golden.columns))
 
 

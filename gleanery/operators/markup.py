@@ -189,13 +189,14 @@ def html_to_markdown(
     pages: DataFrame, html: str = "html", output: str = "content", escape: str = "*_",
     only_if: str | None = None,
 ) -> DataFrame:
-    """Add the cleaned text of each page; all other columns pass through.
+    """The cleaned text of each page in place of its markup; other columns pass through.
 
     ``escape`` lists the characters that get a backslash outside code.
     ``only_if`` names a boolean column; where it is false the input is kept as
     it is. Markup is read in Python on Arrow batches; lines are tidied in the JVM.
     """
-    fields = [f for f in pages.schema if f.name != output]
+    # The markup goes to Python only; sending it back would double the traffic.
+    fields = [f for f in pages.schema if f.name not in (html, output)]
     schema = T.StructType([*fields, T.StructField(output, T.StringType(), True)])
     names = [f.name for f in fields]
 
@@ -212,8 +213,7 @@ def html_to_markdown(
                 [*columns, pa.array(texts, pa.string())], [*names, output]
             )
 
-    # Every output column is listed, or tidying would be applied to a copy.
-    read_pages = pages.select(*names).mapInArrow(read, schema)
+    read_pages = pages.select(*names, html).mapInArrow(read, schema)
     tidy = X.tidy_lines(output)
     if only_if:
         tidy = F.when(F.col(only_if), tidy).otherwise(F.col(output))

@@ -72,20 +72,21 @@ def daily_rollup(
     by: Sequence[str] = (), max_group_rows: int = 1_000_000,
 ) -> DataFrame:
     """Requests, latency, answer length and refusal rate per day (and group)."""
+    key = F.struct(F.to_date(ts).alias("day"), *by)  # a struct also joins null groups
     rows = log.select(
-        F.to_date(ts).alias("day"), *by, F.col(latency).alias("latency_s"),
+        key.alias("_k"), F.col(latency).alias("latency_s"),
         answer_length.alias("answer_length"), refused.cast("double").alias("refused"),
     )
-    means = rows.groupBy("day", *by).agg(
+    means = rows.groupBy("_k").agg(
         F.count(F.lit(1)).alias("requests"),
         F.avg("latency_s").alias("mean_latency_s"),
         F.avg("answer_length").alias("mean_answer_length"),
         F.avg("refused").alias("refusal_rate"),
     )
     quantiles = exact_quantiles(
-        rows, "latency_s", {"p50_latency_s": 0.5, "p90_latency_s": 0.9}, ("day", *by), max_group_rows
+        rows, "latency_s", {"p50_latency_s": 0.5, "p90_latency_s": 0.9}, ["_k"], max_group_rows
     )
-    return means.join(quantiles, ["day", *by], "left")
+    return means.join(quantiles, "_k", "left").select("_k.*", "*").drop("_k")
 
 
 def drift(rollup: DataFrame, metrics: Sequence[str], by: Sequence[str] = (), day: str = "day") -> DataFrame:

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from gleanery.session import written
+
 
 def exact_quantiles(
     df: DataFrame,
@@ -38,51 +40,53 @@ def ranked_quantiles(
 
     Equal values are counted first. A sketch per group gives cut points that
     split it into small ranges; the cuts only spread the work, so their error
-    does not matter. Range totals tell which ranges hold the wanted ranks, and
-    only values of those ranges are put in order.
+    does not matter. They are written, because two evaluations of a sketch may
+    differ. Range totals tell which ranges hold the wanted ranks, and only
+    values of those ranges are put in order.
     """
-    # A constant stands in where there is no grouping, so that joins have a key.
-    keys = list(by) or ["_all"]
-    if not by:
-        rows = rows.withColumn("_all", F.lit(0))
-    counted = rows.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"))
+    # As a struct the key joins null groups too, and exists without grouping.
+    key = F.struct(*by) if by else F.struct(F.lit(0).alias("all"))
+    rows = rows.select(key.alias("_k"), "_v")
+    counted = rows.groupBy("_k", "_v").agg(F.count(F.lit(1)).alias("_c"))
     steps = F.array(*[F.lit(i / cuts) for i in range(1, cuts)])
-    sketch = rows.groupBy(*keys).agg(
-        F.array_distinct(F.percentile_approx("_v", steps, F.lit(10 * cuts))).alias("_cuts"),
-        F.count(F.lit(1)).alias("_n"),
+    sketch = written(
+        rows.groupBy("_k").agg(
+            F.array_distinct(F.percentile_approx("_v", steps, F.lit(10 * cuts))).alias("_cuts"),
+            F.count(F.lit(1)).alias("_n"),
+        ),
+        "cuts",
     )
     spot = F.aggregate(
         "_cuts", F.lit(0), lambda acc, c: acc + F.when(c < F.col("_v"), 1).otherwise(0)
     )
-    placed = counted.join(sketch, keys).select(*keys, "_n", "_v", "_c", spot.alias("_r"))
-    totals = placed.groupBy(*keys, "_r").agg(F.sum("_c").alias("_t"), F.max("_n").alias("_n"))
-    before = Window.partitionBy(*keys).orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
+    placed = counted.join(sketch, "_k").select("_k", "_n", "_v", "_c", spot.alias("_r"))
+    totals = placed.groupBy("_k", "_r").agg(F.sum("_c").alias("_t"), F.max("_n").alias("_n"))
+    before = Window.partitionBy("_k").orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
     ranges = totals.withColumn("_before", F.coalesce(F.sum("_t").over(before), F.lit(0)))
 
-    def wanted_ranks():
-        out = []
-        for p in probabilities.values():
-            at = F.lit(p) * (F.col("_n") - 1)
-            out += [F.floor(at), F.ceil(at)]
-        return F.array_distinct(F.array(*out))
+    def place_of(p: float):
+        return F.lit(p) * (F.col("_n") - 1)
 
     # At most two ranks per probability and group are left from here on.
-    hit = ranges.select(*keys, "_r", "_before", F.explode(wanted_ranks()).alias("_rank"), "_t").where(
+    ranks = F.array_distinct(
+        F.array(*[f(place_of(p)) for p in probabilities.values() for f in (F.floor, F.ceil)])
+    )
+    hit = ranges.select("_k", "_r", "_before", "_t", F.explode(ranks).alias("_rank")).where(
         (F.col("_rank") >= F.col("_before")) & (F.col("_rank") < F.col("_before") + F.col("_t"))
     )
-    inside = placed.join(hit.select(*keys, "_r", "_before").distinct(), [*keys, "_r"])
-    upto = Window.partitionBy(*keys, "_r").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    inside = placed.join(hit.select("_k", "_r", "_before").distinct(), ["_k", "_r"])
+    upto = Window.partitionBy("_k", "_r").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
     ordered = inside.withColumn("_end", F.col("_before") + F.sum("_c").over(upto))
-    found = ordered.join(hit.select(*keys, "_r", "_rank"), [*keys, "_r"]).where(
+    found = ordered.join(hit.select("_k", "_r", "_rank"), ["_k", "_r"]).where(
         (F.col("_rank") < F.col("_end")) & (F.col("_rank") >= F.col("_end") - F.col("_c"))
     )
-    by_rank = found.groupBy(*keys).agg(
+    by_rank = found.groupBy("_k").agg(
         F.map_from_entries(F.collect_list(F.struct("_rank", "_v"))).alias("_at"),
         F.max("_n").alias("_n"),
     )
     out = []
     for name, p in probabilities.items():
-        at = F.lit(p) * (F.col("_n") - 1)
+        at = place_of(p)
         low, high = F.element_at("_at", F.floor(at)), F.element_at("_at", F.ceil(at))
         out.append((low + (high - low) * (at - F.floor(at))).alias(name))
-    return by_rank.select(*by, *out)
+    return by_rank.select(*[F.col(f"_k.{b}").alias(b) for b in by], *out)

@@ -164,10 +164,12 @@ def hit_snippets(spark, sf):
 
 
 def _contexts(spark, sf) -> DataFrame:
-    """Every third document id has no known source, to cover that case."""
-    hits = _with_texts(spark, sf, _bm25(spark, sf, 3))
-    url = F.when(F.col("item_id") % 3 != 0, F.col("url"))
-    return context.context_blocks(hits.withColumn("url", url), text="text")
+    """Documents of two sources have no known address, to cover that case."""
+    docs = load(spark, sf, "documents").select(
+        "doc_id", "text", F.when(~F.col("source").isin("src1", "src2"), F.concat(F.lit("doc/"), F.col("doc_id").cast("string"))).alias("url")
+    )
+    hits = vector_search.with_columns_of(_bm25(spark, sf, 3), docs, "doc_id", ["text", "url"])
+    return context.context_blocks(hits, text="text")
 
 
 def context_block(spark, sf):

@@ -80,7 +80,7 @@ def hashed_cosines(name: str) -> str:
 CONTEXTS = f"""{best('bm', 3, 'h')},
 ctx AS (
   SELECT query_id, string_agg('[' || rank || '] Source: '
-           || CASE WHEN item_id % 3 = 0 THEN 'unknown source' ELSE 'doc/' || item_id END
+           || CASE WHEN source IN ('src1', 'src2') THEN 'unknown source' ELSE 'doc/' || item_id END
            || chr(10) || text, chr(10) || chr(10) ORDER BY rank) AS context
   FROM h JOIN documents ON doc_id = item_id GROUP BY 1)"""
 

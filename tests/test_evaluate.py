@@ -49,13 +49,13 @@ def test_quantiles_both_ways(spark, by, limit):
     rng = np.random.default_rng(1)
     rows = [("hot", float(v)) for v in rng.exponential(size=700)] + [("hot", 2.5)] * 700
     rows += [(f"g{i % 9}", float(np.round(v, 1))) for i, v in enumerate(rng.normal(size=1400))]
-    rows += [("single", 7.0), ("pair", 1.0), ("pair", 2.0)]
+    rows += [("single", 7.0), (None, 3.0), (None, 8.0), ("pair", 1.0), ("pair", 2.0)]
     df = spark.createDataFrame([*rows, ("hot", None)], "g string, v double").repartition(5)
     wanted = {"a": 0.0, "b": 0.1, "c": 0.5, "d": 0.9, "e": 0.999, "f": 1.0}
     got = quantiles.exact_quantiles(df, "v", wanted, by, max_group_rows=limit, cuts=16)
     frame = pd.DataFrame(rows, columns=["g", "v"])
-    groups = frame.groupby("g")["v"] if by else [(None, frame["v"])]
-    want = {g: [s.quantile(p) for p in wanted.values()] for g, s in groups}
+    groups = frame.groupby("g", dropna=False)["v"] if by else [(None, frame["v"])]
+    want = {None if g != g else g: [s.quantile(p) for p in wanted.values()] for g, s in groups}
     out = {(r["g"] if by else None): [r[n] for n in wanted] for r in got.collect()}
     assert out.keys() == want.keys()
     for g in want:
