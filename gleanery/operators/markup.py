@@ -37,7 +37,7 @@ class _Page(HTMLParser):
 
     def __init__(self, escape: str):
         super().__init__(convert_charrefs=True)
-        self.escape = str.maketrans({c: "\\" + c for c in escape})
+        self.escape = sorted(escape, key=lambda c: c != "\\")  # a backslash first
         self.stack = [("", {}, [], 0)]
         self.open: Counter[str] = Counter()
         self.lists: list[list] = []  # tag and next number of each open list
@@ -72,10 +72,14 @@ class _Page(HTMLParser):
         if self.open["pre"]:
             self._emit(data)
             return
-        data = re.sub(r"[ \t\r\n\f]*[\r\n][ \t\r\n\f]*", "\n", data)
-        data = re.sub(r"[ \t\f]+", " ", data)
-        if not any(self.open[t] for t in ("code", "kbd", "samp")):
-            data = data.translate(self.escape)
+        # Most text holds none of what follows, and a look is cheaper than a rewrite.
+        if "\n" in data or "\r" in data:
+            data = re.sub(r"[ \t\r\n\f]*[\r\n][ \t\r\n\f]*", "\n", data)
+        if "  " in data or "\t" in data or "\f" in data:
+            data = re.sub(r"[ \t\f]+", " ", data)
+        for c in self.escape:
+            if c in data and not any(self.open[t] for t in ("code", "kbd", "samp")):
+                data = data.replace(c, "\\" + c)
         self._emit(data)
 
     def text(self) -> str:
