@@ -115,7 +115,7 @@ def bm25_search(
     document_text: str = "chunk_text",
     k1: float = K1,
     b: float = B,
-    max_query_rows: int = engine.SMALL_QUERY_ROWS,
+    max_small_rows: int = engine.SMALL_ROWS,
     block_rows: int = 8192,
 ) -> DataFrame:
     """The k best documents of every query by BM25: ``query_id, item_id, score, rank``.
@@ -126,9 +126,9 @@ def bm25_search(
     """
     q = queries.select(F.col(query_id).alias("id"), F.col(query_text).alias("value"))
     d = documents.select(F.col(document_id).alias("id"), F.col(document_text).alias("value"))
-    small = engine.is_small(q, max_query_rows)
+    small = engine.small_side(q, d, max_small_rows)
     return engine.topk(
-        weighted_queries(q, d, small), d, Bm25Scorer(k1, b), k, small=small, block_rows=block_rows
+        weighted_queries(q, d, small == "queries"), d, Bm25Scorer(k1, b), k, small=small, block_rows=block_rows
     )
 
 
@@ -147,7 +147,7 @@ def fuse_ranks(
     fused = all_hits.groupBy("query_id", "item_id").agg(
         F.round(F.sum("part"), engine.DECIMALS).alias("score")
     )
-    return engine._ranked(fused, k)
+    return engine.ranked(fused, k)
 
 
 def rerank(

@@ -107,3 +107,9 @@ def drift(rollup: DataFrame, metrics: Sequence[str], by: Sequence[str] = (), day
 def traffic_sample(log: DataFrame, key: str, share: float) -> DataFrame:
     """A repeatable share of the requests; the same key is always in or out."""
     return log.where(keys.in_sample(key, share))
+
+
+def quarantine(df: DataFrame, text: str, patterns: Sequence[str] = X.INJECTION_PATTERNS) -> DataFrame:
+    """Flag texts that try to give orders to a model. Rows are marked, not dropped:
+    index those with ``quarantined = false`` and review the others."""
+    return df.withColumn("quarantined", X.is_injection(text, patterns))

@@ -1,15 +1,17 @@
 """Top-k matches of many queries against a corpus, without emitting all pairs.
 
-Two ways give the same rows:
+Three ways give the same rows:
 
 * few queries (their number and bytes are checked): every task scores its own
   part of the corpus against all of them and keeps k per query;
+* a small corpus (checked alike): every task ranks its own queries against all
+  of it, and nothing is shuffled;
 * otherwise both sides are routed to cells. A cell of any size is cut into
   blocks on both sides, block meets block in one bounded task, and only k
   matches per query leave it.
 
-The final rank is a window over at most k rows per query and task; Spark prunes
-it to k per query before the shuffle.
+Where tasks share a query, its final rank is a window over at most k rows per
+task; Spark prunes it to k per query before the shuffle.
 """
 
 from __future__ import annotations
@@ -24,8 +26,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 DECIMALS = 6
-SMALL_QUERY_ROWS = 4096
-SMALL_QUERY_BYTES = 64 * 2**20
+SMALL_ROWS = 4096
+SMALL_BYTES = 64 * 2**20
 SLICE_CELLS = 4_000_000
 
 
@@ -83,19 +85,27 @@ def _best(
     return join(found[0], np.int64), join(found[1], np.int64), join(found[2], float)
 
 
-def _hits_schema(q_id: T.StructField, c_id: T.StructField) -> T.StructType:
+def hits_schema(q_id: T.StructField, c_id: T.StructField) -> T.StructType:
     return T.StructType(
         [T.StructField("query_id", q_id.dataType), T.StructField("item_id", c_id.dataType),
          T.StructField("score", T.DoubleType())]
     )
 
 
-def _ranked(hits: DataFrame, k: int) -> DataFrame:
+def ranked(hits: DataFrame, k: int) -> DataFrame:
     best_first = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "item_id")
     return hits.withColumn("rank", F.row_number().over(best_first)).where(F.col("rank") <= k)
 
 
-def _scan(
+def _best_rows(table: pa.Table, k: int) -> pa.Table:
+    """The k best rows of each ``_row``, in rank order and with their rank."""
+    table = table.sort_by([("_row", "ascending"), ("score", "descending"), ("item_id", "ascending")])
+    rows = table.column("_row").to_numpy()
+    rank = np.arange(len(rows)) - np.searchsorted(rows, rows, side="left") + 1
+    return table.append_column("rank", pa.array(rank, pa.int32())).filter(pa.array(rank <= k))
+
+
+def _scan_corpus(
     queries: pa.Table, corpus: DataFrame, scorer: Scorer, k: int, floor: float | None,
     exclude_same: bool, schema: T.StructType,
 ) -> DataFrame:
@@ -120,17 +130,43 @@ def _scan(
                  "score": pa.array(score), "_row": pa.array(row)}
             )
             # Keep k per query over all batches of the task, not per batch.
-            best = found if best is None else pa.concat_tables([best, found])
-            best = best.sort_by([("_row", "ascending"), ("score", "descending"), ("item_id", "ascending")])
-            rows = best.column("_row").to_numpy()
-            first = np.searchsorted(rows, rows, side="left")
-            best = best.filter(pa.array(np.arange(len(rows)) - first < k))
+            both = found if best is None else pa.concat_tables([best, found])
+            best = _best_rows(both, k).drop_columns(["rank"])
         if best is not None:
             yield from best.drop_columns(["_row"]).combine_chunks().to_batches()
 
     return corpus.mapInArrow(search, schema)
 
 
+def _scan_queries(
+    queries: DataFrame, corpus: pa.Table, scorer: Scorer, k: int, floor: float | None,
+    exclude_same: bool, schema: T.StructType,
+) -> DataFrame:
+    """Rank the queries where they lie against a small corpus."""
+    shared = queries.sparkSession.sparkContext.broadcast(corpus)
+    with_rank = T.StructType([*schema.fields, T.StructField("rank", T.IntegerType())])
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        c_column = _column(shared.value, 0)
+        c_ids = c_column.to_numpy(zero_copy_only=False)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            q_column = _column(batch, 0)
+            q = scorer.queries(_column(batch, 1))
+            row, col, score = _best(
+                scorer, q_column.to_numpy(zero_copy_only=False), q, c_ids,
+                scorer.corpus(_column(shared.value, 1), q), k, floor, exclude_same,
+            )
+            found = pa.table(
+                {"query_id": q_column.take(pa.array(row)), "item_id": c_column.take(pa.array(col)),
+                 "score": pa.array(score), "_row": pa.array(row)}
+            )
+            yield from _best_rows(found, k).drop_columns(["_row"]).combine_chunks().to_batches()
+
+    return queries.mapInArrow(search, with_rank)
+
+
 def blocked(
     queries: DataFrame, corpus: DataFrame, scorer: Scorer, k: int, floor: float | None,
     exclude_same: bool, schema: T.StructType, block_rows: int,
@@ -178,7 +214,7 @@ def blocked(
     )
 
 
-def is_small(df: DataFrame, max_rows: int, max_bytes: int = SMALL_QUERY_BYTES) -> bool:
+def is_small(df: DataFrame, max_rows: int, max_bytes: int = SMALL_BYTES) -> bool:
     """True if ``df`` (``id, value``) may be sent to every task.
 
     Rows and bytes are summed by the executors, so a large input never reaches
@@ -192,6 +228,13 @@ def is_small(df: DataFrame, max_rows: int, max_bytes: int = SMALL_QUERY_BYTES) -
     return total["n"] <= max_rows and total["bytes"] <= max_bytes
 
 
+def small_side(queries: DataFrame, corpus: DataFrame, max_rows: int) -> str | None:
+    """``queries`` or ``corpus``, whichever may be sent to every task first."""
+    if max_rows and is_small(queries, max_rows):
+        return "queries"
+    return "corpus" if max_rows and is_small(corpus, max_rows) else None
+
+
 def topk(
     queries: DataFrame,
     corpus: DataFrame,
@@ -200,18 +243,21 @@ def topk(
     floor: float | None = None,
     exclude_same: bool = False,
     route=None,
-    small: bool = False,
+    small: str | None = None,
     block_rows: int = 8192,
 ) -> DataFrame:
     """``query_id, item_id, score, rank`` for inputs of ``id, value``.
 
-    ``small`` says that the queries passed :func:`is_small`. For the large case
-    ``route(queries, corpus)`` gives both sides a ``cell`` column; without it all rows share one cell. It must place every pair that can
-    belong to the result in a common cell at least once.
+    ``small`` is what :func:`small_side` found. For the large case
+    ``route(queries, corpus)`` gives both sides a ``cell`` column; without it all
+    rows share one cell. It must place every pair that can belong to the result
+    in a common cell at least once.
     """
-    schema = _hits_schema(queries.schema[0], corpus.schema[0])
-    if small:
-        hits = _scan(queries.toArrow(), corpus, scorer, k, floor, exclude_same, schema)
+    schema = hits_schema(queries.schema[0], corpus.schema[0])
+    if small == "corpus":
+        return _scan_queries(queries, corpus.toArrow(), scorer, k, floor, exclude_same, schema)
+    if small == "queries":
+        hits = _scan_corpus(queries.toArrow(), corpus, scorer, k, floor, exclude_same, schema)
     else:
         if route is None:
             def route(q, c):
@@ -220,4 +266,4 @@ def topk(
 
         routed = route(queries, corpus)
         hits = blocked(*routed, scorer, k, floor, exclude_same, schema, block_rows)
-    return _ranked(hits, k)
+    return ranked(hits, k)

@@ -150,7 +150,7 @@ def exact_search(
     min_score: float | None = None,
     exclude_same: bool = False,
     cells: int = 256,
-    max_query_rows: int = engine.SMALL_QUERY_ROWS,
+    max_small_rows: int = engine.SMALL_ROWS,
     block_rows: int = 8192,
 ) -> DataFrame:
     """The k nearest corpus vectors of every query: ``query_id, item_id, score, rank``.
@@ -162,7 +162,7 @@ def exact_search(
     q, c = _pair(queries, query_id, query_vector), _pair(corpus, corpus_id, corpus_vector)
     return engine.topk(
         q, c, CosineScorer(), k, min_score, exclude_same,
-        _exact_route(k, min_score, exclude_same, cells), engine.is_small(q, max_query_rows), block_rows,
+        _exact_route(k, min_score, exclude_same, cells), engine.small_side(q, c, max_small_rows), block_rows,
     )
 
 
@@ -175,7 +175,7 @@ def sign_planes(dimension: int, bits: int, tables: int) -> np.ndarray:
 
 def _distinct_hits(hits: DataFrame, k: int) -> DataFrame:
     once = hits.groupBy("query_id", "item_id").agg(F.max("score").alias("score"))
-    return engine._ranked(once, k)
+    return engine.ranked(once, k)
 
 
 def hashed_search(
@@ -218,7 +218,7 @@ def hashed_search(
     q, c = _pair(queries, query_id, query_vector), _pair(corpus, corpus_id, corpus_vector)
     hits = engine.blocked(
         place(q), place(c), CosineScorer(), k, None, exclude_same,
-        engine._hits_schema(q.schema[0], c.schema[0]), block_rows,
+        engine.hits_schema(q.schema[0], c.schema[0]), block_rows,
     )
     return _distinct_hits(hits, k)
 
@@ -246,9 +246,9 @@ def celled_search(
 
     hits = engine.blocked(
         _visit(q, wanted), _home_cells(c, pivots).drop("away"), CosineScorer(), k, None,
-        exclude_same, engine._hits_schema(q.schema[0], c.schema[0]), block_rows,
+        exclude_same, engine.hits_schema(q.schema[0], c.schema[0]), block_rows,
     )
-    return engine._ranked(hits, k)
+    return engine.ranked(hits, k)
 
 
 def search_recall(approximate: DataFrame, exact: DataFrame) -> DataFrame:

@@ -38,7 +38,7 @@ def vector_topk(spark, sf):
 def vector_topk_partitioned(spark, sf):
     """The way for many queries: routed cells, block against block."""
     v = vectors(spark, sf)
-    hits = vector_search.exact_search(v, v, 5, cells=16, max_query_rows=0, block_rows=256, **SAME)
+    hits = vector_search.exact_search(v, v, 5, cells=16, max_small_rows=0, block_rows=256, **SAME)
     return _shown(hits)
 
 
@@ -125,7 +125,7 @@ def keyword_bm25(spark, sf):
 
 def keyword_bm25_partitioned(spark, sf):
     """The way for many queries: block against block."""
-    return _shown(_bm25(spark, sf, 5, max_query_rows=0, block_rows=64))
+    return _shown(_bm25(spark, sf, 5, max_small_rows=0, block_rows=64))
 
 
 def embed_hashing(spark, sf):

@@ -242,9 +242,10 @@ def refusal_flags(spark, sf):
 
 
 def injection_flags(spark, sf):
-    docs = load(spark, sf, "documents")
-    flag = X.is_injection("text", (*X.INJECTION_PATTERNS, *EXTRA_PATTERNS))
-    return docs.select("doc_id", long(flag).alias("quarantined"))
+    flagged = monitor.quarantine(
+        load(spark, sf, "documents"), "text", (*X.INJECTION_PATTERNS, *EXTRA_PATTERNS)
+    )
+    return flagged.select("doc_id", long("quarantined").alias("quarantined"))
 
 
 def golden_append(spark, sf):

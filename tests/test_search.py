@@ -51,7 +51,7 @@ ASK = dict(query_id="id", query_vector="v", corpus_id="id", corpus_vector="v")
 
 
 @pytest.mark.parametrize("options", [
-    {}, {"max_query_rows": 0, "cells": 12, "block_rows": 64}, {"max_query_rows": 0, "cells": 1, "block_rows": 1000},
+    {}, {"max_small_rows": 0, "cells": 12, "block_rows": 64}, {"max_small_rows": 0, "cells": 1, "block_rows": 1000},
 ])
 @pytest.mark.parametrize("exclude_same,floor", [(False, None), (True, None), (True, 0.9)])
 def test_exact_search(spark, options, exclude_same, floor):
@@ -61,11 +61,22 @@ def test_exact_search(spark, options, exclude_same, floor):
     assert found(hits) == brute(rows, 7, exclude_same, floor)
 
 
+def test_a_small_corpus_goes_to_the_queries(spark):
+    rows = clustered()
+    df = frame(spark, rows)
+    few = df.where("id < 50")
+    hits = vector_search.exact_search(df.repartition(3), few, 7, exclude_same=True, max_small_rows=60, **ASK)
+    plan = hits._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan
+    want = {q: [i for i in v if i < 50][:7] for q, v in brute(rows, len(rows), True).items()}
+    assert found(hits) == want
+
+
 def test_exact_search_with_text_keys(spark):
     rows = clustered(90, copies=30)
     df = frame(spark, rows, text_ids=True)
     want = {f"id{q:04d}": [f"id{i:04d}" for i in v] for q, v in brute(rows, 3, True).items()}
-    for options in ({}, {"max_query_rows": 0, "cells": 3, "block_rows": 20}):
+    for options in ({}, {"max_small_rows": 0, "cells": 3, "block_rows": 20}):
         hits = vector_search.exact_search(df, df, 3, exclude_same=True, **ASK, **options)
         assert found(hits) == want
 
@@ -135,7 +146,7 @@ def brute_bm25(queries, texts, k):
     return out
 
 
-@pytest.mark.parametrize("options", [{}, {"max_query_rows": 0, "block_rows": 40}])
+@pytest.mark.parametrize("options", [{}, {"max_small_rows": 0, "block_rows": 40}, {"max_small_rows": 4}])
 def test_bm25(spark, options):
     rng = np.random.default_rng(5)
     vocabulary = [f"w{i}" for i in range(60)]
