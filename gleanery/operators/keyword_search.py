@@ -62,7 +62,7 @@ class Bm25Scorer:
                 if term in postings:
                     at, weight = postings[term]
                     out[i, at] += idf * weight
-        return np.where(out > 0, out, np.nan)
+        return np.where(out > 0, out, -np.inf)
 
 
 def weighted_queries(queries: DataFrame, documents: DataFrame, small: bool) -> DataFrame:

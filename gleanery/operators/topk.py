@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 DECIMALS = 6
 SMALL_ROWS = 4096
 SMALL_BYTES = 64 * 2**20
-SLICE_CELLS = 4_000_000
+SLICE_CELLS = 2_000_000
 
 
 class Scorer(Protocol):
@@ -39,7 +39,7 @@ class Scorer(Protocol):
     def corpus(self, column: pa.Array, queries: Any) -> Any: ...
 
     def score(self, queries: Any, rows: slice, corpus: Any) -> np.ndarray:
-        """Matrix of scores; NaN where there is no match."""
+        """A new float64 matrix of scores; minus infinity where there is no match."""
 
 
 def _column(table: pa.Table | pa.RecordBatch, i: int) -> pa.Array:
@@ -51,38 +51,42 @@ def _best(
     scorer: Scorer, q_ids: np.ndarray, q: Any, c_ids: np.ndarray, c: Any, k: int,
     floor: float | None, exclude_same: bool,
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Positions of the k best corpus rows per query; ties go to the smaller id."""
-    n = len(c_ids)
+    """Query row, corpus row and score of the k best matches per query.
+
+    The rounded score and the place of the id are put into one whole number, so
+    that a partial sort of plain numbers gives exactly the k best with ties going
+    to the smaller id, and both parts can be read back from it.
+    """
+    n, unit = len(c_ids), 10**DECIMALS
     order = np.argsort(c_ids, kind="stable")
-    place = np.empty(n, np.int64)
+    place = np.empty(n)
     place[order] = np.arange(n)
-    # Score and id order in one integer, so that a plain partition is exact.
-    span, lowest = np.int64(n), np.iinfo(np.int64).min
-    found = ([], [], [])
-    step = max(1, SLICE_CELLS // max(n, 1))
-    for at in range(0, len(q_ids), step):
-        rows = slice(at, min(at + step, len(q_ids)))
-        scores = scorer.score(q, rows, c)
-        missing = np.isnan(scores)
-        steps = np.rint(np.where(missing, 0.0, scores) * 10**DECIMALS).astype(np.int64)
-        if floor is not None:
-            missing |= steps < np.rint(floor * 10**DECIMALS)
+    if exclude_same:
+        at = np.minimum(np.searchsorted(c_ids, q_ids, sorter=order), n - 1)
+        same = np.where(c_ids[order[at]] == q_ids, order[at], -1)
+    found = ([np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0)])
+    step, take = max(1, SLICE_CELLS // n), min(k, n)
+    for start in range(0, len(q_ids), step):
+        rows = slice(start, min(start + step, len(q_ids)))
+        keys = scorer.score(q, rows, c)
         if exclude_same:
-            missing |= q_ids[rows, None] == c_ids[None, :]
-        rank = np.where(missing, lowest, steps * span - place[None, :])
-        take = min(k, n)
+            here = np.nonzero(same[rows] >= 0)[0]
+            keys[here, same[rows][here]] = -np.inf
+        keys *= unit
+        np.rint(keys, out=keys)
+        if floor is not None:
+            keys[keys < np.rint(floor * unit)] = -np.inf
+        keys *= n
+        keys -= place
         if take < n:
-            best = np.argpartition(rank, n - take, axis=1)[:, n - take:]
-        else:
-            best = np.broadcast_to(np.arange(n), rank.shape)
-        kept = np.take_along_axis(rank, best, axis=1) > lowest
-        row, col = np.nonzero(kept)
-        chosen = best[row, col]
-        found[0].append(row + at)
-        found[1].append(chosen)
-        found[2].append(steps[row, chosen] / 10**DECIMALS)
-    join = lambda parts, kind: np.concatenate(parts) if parts else np.empty(0, kind)
-    return join(found[0], np.int64), join(found[1], np.int64), join(found[2], float)
+            keys = np.partition(keys, n - take, axis=1)[:, n - take:]
+        row, col = np.nonzero(keys > -np.inf)
+        key = keys[row, col].astype(np.int64)
+        at_place = -key % n
+        found[0].append(row + start)
+        found[1].append(order[at_place])
+        found[2].append((key + at_place) // n / unit)
+    return tuple(np.concatenate(parts) for parts in found)
 
 
 def hits_schema(q_id: T.StructField, c_id: T.StructField) -> T.StructType:

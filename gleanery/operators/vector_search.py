@@ -16,7 +16,15 @@ from gleanery.session import written
 
 
 # The table of cell sizes is sent to all tasks, so the number of cells is bounded.
-MAX_CELLS = 2**18
+MAX_CELLS = 2**16
+
+
+# Bytes of one block of vectors. Larger blocks mean fewer copies of both sides.
+BLOCK_BYTES = 32 * 2**20
+
+
+def _rows_per_block(block_rows: int | None, dimension: int) -> int:
+    return block_rows or max(1024, BLOCK_BYTES // (8 * dimension))
 
 
 def unit_rows(column: pa.Array) -> np.ndarray:
@@ -70,9 +78,14 @@ def _chord(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def _pivots(corpus: DataFrame, cells: int) -> np.ndarray:
-    """A fixed number of corpus vectors, picked by the hash of their id."""
-    picked = corpus.orderBy(F.md5(F.col("id").cast("string")), "id").limit(cells).select("value")
-    return unit_rows(picked.toArrow().column(0).combine_chunks())
+    """Up to ``cells`` different corpus vectors, picked by the hash of their id."""
+    if not 0 < cells <= MAX_CELLS:
+        raise ValueError(f"cells must lie between 1 and {MAX_CELLS}")
+    # Some more are asked for, as copies would take up cells for nothing.
+    picked = corpus.orderBy(F.md5(F.col("id").cast("string")), "id").limit(4 * cells).select("value")
+    rows = unit_rows(picked.toArrow().column(0).combine_chunks())
+    _, first = np.unique(rows, axis=0, return_index=True)
+    return rows[np.sort(first)[:cells]]
 
 
 def _home_cells(corpus: DataFrame, pivots: np.ndarray) -> DataFrame:
@@ -149,20 +162,31 @@ def exact_search(
     corpus_vector: str = "vector",
     min_score: float | None = None,
     exclude_same: bool = False,
-    cells: int = 256,
+    cells: int | None = None,
     max_small_rows: int = engine.SMALL_ROWS,
-    block_rows: int = 8192,
+    block_rows: int | None = None,
 ) -> DataFrame:
     """The k nearest corpus vectors of every query: ``query_id, item_id, score, rank``.
 
     Scores are rounded to six places and ties go to the smaller id. Filter the
     corpus before the call; the filter reaches its scan. Vectors without length
-    have no cosine and match nothing.
+    have no cosine and match nothing. More ``cells`` rule out more of a clustered
+    corpus; by default there are four to a block, up to 256.
     """
     q, c = _pair(queries, query_id, query_vector), _pair(corpus, corpus_id, corpus_vector)
+    small = engine.small_side(q, c, max_small_rows)
+    if small is None:
+        corpus_is = c.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("value")).alias("dimension")).first()
+        if block_rows is None:
+            # At most what memory allows, and small enough to keep all slots busy.
+            slots = c.sparkSession.sparkContext.defaultParallelism
+            busy = int(corpus_is["n"] / (2 * slots**0.5))
+            block_rows = max(1024, min(_rows_per_block(None, corpus_is["dimension"] or 1), busy))
+        # Each visited cell costs a copy of the query, so a cell should be worth it.
+        cells = cells or min(256, max(1, 4 * corpus_is["n"] // block_rows))
     return engine.topk(
         q, c, CosineScorer(), k, min_score, exclude_same,
-        _exact_route(k, min_score, exclude_same, cells), engine.small_side(q, c, max_small_rows), block_rows,
+        _exact_route(k, min_score, exclude_same, cells), small, block_rows or 1,
     )
 
 
@@ -190,7 +214,7 @@ def hashed_search(
     corpus_id: str = "chunk_id",
     corpus_vector: str = "vector",
     exclude_same: bool = False,
-    block_rows: int = 8192,
+    block_rows: int | None = None,
 ) -> DataFrame:
     """Approximate search by random hyperplanes, with exact scores for what is found.
 
@@ -218,7 +242,7 @@ def hashed_search(
     q, c = _pair(queries, query_id, query_vector), _pair(corpus, corpus_id, corpus_vector)
     hits = engine.blocked(
         place(q), place(c), CosineScorer(), k, None, exclude_same,
-        engine.hits_schema(q.schema[0], c.schema[0]), block_rows,
+        engine.hits_schema(q.schema[0], c.schema[0]), _rows_per_block(block_rows, dimension),
     )
     return _distinct_hits(hits, k)
 
@@ -234,7 +258,7 @@ def celled_search(
     corpus_id: str = "chunk_id",
     corpus_vector: str = "vector",
     exclude_same: bool = False,
-    block_rows: int = 8192,
+    block_rows: int | None = None,
 ) -> DataFrame:
     """Approximate search in the ``probes`` cells nearest to each query."""
     q, c = _pair(queries, query_id, query_vector), _pair(corpus, corpus_id, corpus_vector)
@@ -246,7 +270,8 @@ def celled_search(
 
     hits = engine.blocked(
         _visit(q, wanted), _home_cells(c, pivots).drop("away"), CosineScorer(), k, None,
-        exclude_same, engine.hits_schema(q.schema[0], c.schema[0]), block_rows,
+        exclude_same, engine.hits_schema(q.schema[0], c.schema[0]),
+        _rows_per_block(block_rows, pivots.shape[1]),
     )
     return engine.ranked(hits, k)
 

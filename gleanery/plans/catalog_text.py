@@ -9,7 +9,7 @@ from gleanery.functions import keys, payloads
 from gleanery.functions import text as X
 from gleanery.operators import chunking, evaluate, markup, monitor, sync
 from gleanery.plans import ingest
-from gleanery.session import spread, written
+from gleanery.session import shared_dir, spread, written
 from gleanery.sources import tables
 
 REFUSAL = "of the"  # stands in for the refusal sentence in texts that hold none
@@ -56,6 +56,13 @@ def preview_rows(spark, sf):
     )
 
 
+def partitioned_table(spark, sf):
+    """Written by language, read back for one of them: only its folder is scanned."""
+    path = shared_dir(spark, "documents")
+    tables.write_table(load(spark, sf, "documents"), path, ["lang"])
+    return spark.read.parquet(path).where(F.col("lang") == "en").select("doc_id", "source", "n_chars")
+
+
 def page_names(spark, sf):
     pages = load(spark, sf, "pages").select("page_id", "url")
     name = F.concat(X.page_slug("url"), F.lit(".html"))
@@ -276,7 +283,7 @@ def sampled_keys(spark, sf):
 QUERIES = {
     f.__name__: f
     for f in (
-        bronze_documents, row_counts, preview_rows, page_names, page_markdown, page_plain_text,
+        bronze_documents, row_counts, preview_rows, partitioned_table, page_names, page_markdown, page_plain_text,
         page_chunks, chunk_recursive, chunk_fixed_window, chunk_token_window, chunk_sections,
         chunk_duplicate_keys, chunk_duplicate_texts, chunk_length_summary, text_statistics,
         snapshot_diff, snapshot_apply, change_feed, index_reconcile, last_message, chat_question, chat_answer,

@@ -94,9 +94,12 @@ _MD = rf"regexp_replace({_MD}, '_', '\\_', 'g')"
 _MD = rf"regexp_replace({_MD}, '(?s)<b>\s*(.*?)\s*((?:<br>\s*)*(?:<p>|</p>|\z))', '**\1**\2', 'g')"
 _MD = rf"regexp_replace({_MD}, '<br>', chr(10), 'g')"
 _MD = rf"regexp_replace({_MD}, '</?p>', chr(10) || chr(10), 'g')"
+# HTML reads these four names also where the semicolon is missing.
+for _name, _char in (("lt", "<"), ("gt", ">"), ("quot", '"'), ("amp", "&")):
+    _MD = f"regexp_replace({_MD}, '&{_name};?', '{_char}', 'g')"
 MARKDOWN_PAGES = f"""kept AS (SELECT page_id, url, {_kept('html')} AS k FROM pages),
 roots AS (SELECT page_id, url, {_root('k')} AS r FROM kept),
-md AS (SELECT page_id, url, {tidy(_entities(_MD))} AS content FROM roots)"""
+md AS (SELECT page_id, url, {tidy(_MD)} AS content FROM roots)"""
 
 SNAPSHOTS = f"""old_docs AS (SELECT 'doc/' || doc_id AS url, text AS content FROM documents),
 {PLAIN_PAGES},
@@ -174,6 +177,7 @@ SELECT url, title, length(content)::BIGINT AS n_chars, md5(content) AS content_m
     ),
     "preview_rows": """SELECT doc_id, lang, source, n_chars FROM documents
 ORDER BY n_chars, doc_id LIMIT 10""",
+    "partitioned_table": "SELECT doc_id, source, n_chars FROM documents WHERE lang = 'en'",
     "page_names": rf"""WITH c AS (SELECT page_id, url, {_canonical('url')} AS canonical FROM pages),
 f AS (SELECT *, replace(canonical, '/', '__') || '.html' AS file_name FROM c)
 SELECT page_id, canonical,

@@ -43,13 +43,18 @@ def golden_set(spark: SparkSession, rows: Sequence[tuple]) -> DataFrame:
 def write_table(
     df: DataFrame, path: str, partition_by: Sequence[str] = (), count_rows: bool = False
 ) -> int | None:
-    """Overwrite a Parquet table; on request count its rows in the same job."""
+    """Overwrite a Parquet table; on request count its rows in the same job.
+
+    Rows are brought together by the partition columns before the write, so that
+    not every task writes a file for every value. Spark sizes these groups at run
+    time: a value that holds most rows is split, small ones share a task.
+    """
     observation = Observation("rows")
     if count_rows:
         df = df.observe(observation, F.count(F.lit(1)).alias("n"))
     writer = df.write.mode("overwrite")
     if partition_by:
-        writer = writer.partitionBy(*partition_by)
+        writer = df.hint("rebalance", *partition_by).write.mode("overwrite").partitionBy(*partition_by)
     writer.parquet(path)
     return observation.get["n"] if count_rows else None
 
