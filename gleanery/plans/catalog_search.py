@@ -148,7 +148,7 @@ def hybrid_rrf(spark, sf):
 
 
 def _with_texts(spark, sf, hits: DataFrame) -> DataFrame:
-    docs = load(spark, sf, "documents").select("doc_id", "text", F.concat(F.lit("doc/"), F.col("doc_id").cast("string")).alias("url"))
+    docs = spread(load(spark, sf, "documents")).select("doc_id", "text", F.concat(F.lit("doc/"), F.col("doc_id").cast("string")).alias("url"))
     return vector_search.with_columns_of(hits, docs, "doc_id", ["text", "url"])
 
 
