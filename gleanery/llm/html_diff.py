@@ -8,8 +8,8 @@ and deleted. Three things are not left to chance:
 * Menus, adverts and footers often rotate their words. A line inside an element that
   names itself as such (``nav``, ``footer``, ``class="ad"``) is aligned by its place in
   the template, and if the neighbour lacks it, it goes all the same.
-* A neighbour that shares at least half of a page's own lines is a copy of it and says
-  nothing about the template; the next one is asked.
+* A neighbour that shares at least half of a page's own lines may be a copy of it, which
+  says nothing about the template; the next ones are asked too, and two must agree.
 * What stands in an ``article`` or ``main`` element is the author's: a passage that two
   articles share is restored. Pages without such an element keep what is not shared.
 
@@ -21,6 +21,7 @@ like any other, and the same pages give the same pairs however they are partitio
 from __future__ import annotations
 
 from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 import hashlib
@@ -36,7 +37,6 @@ from gleanery.session import written
 
 BLOCK = 512  # pages in one alignment task
 REACH = 4  # neighbours on each side that may be asked
-PARTNERS = 1  # neighbours on each side that count
 
 # Elements that hold no text of the page, that begin a new line, that are no
 # content wherever they stand, and that close themselves.
@@ -217,22 +217,24 @@ def common_lines(a: Sequence[int], b: Sequence[int]) -> list[int]:
     return out + chain[::-1] + tail[::-1]
 
 
-def shared_with(own: dict, others: Sequence[dict]) -> set[int]:
-    """Lines of a page that its partners share; ``others`` are tried nearest first, on one side."""
+def shared_with(own: dict, sides: Sequence[Sequence[dict]]) -> set[int]:
+    """Lines of a page that its neighbours share; each side has the nearest first.
+
+    The nearest on a side counts. One that shares at least half of the lines may be a
+    copy, or both may be little but template: what it shares counts only where a second
+    neighbour shares it too, and the next one on the side is asked as well.
+    """
     out: set[int] = set()
-    asked = 0
+    times: Counter[int] = Counter()
     content = [i for i, c in enumerate(own["chrome"]) if not c]
-    for other in others:
-        hit = set(common_lines(own["keys"], other["keys"]))
-        copied = sum(i in hit for i in content)
-        if content and 2 * copied >= len(content) and len(content) > 1:
-            out |= {i for i in hit if own["chrome"][i]}
-            continue
-        out |= hit
-        asked += 1
-        if asked == PARTNERS:
-            break
-    return out
+    for others in sides:
+        for other in others:
+            hit = common_lines(own["keys"], other["keys"])
+            times.update(hit)
+            if 2 * len(set(hit).intersection(content)) < len(content):
+                out.update(hit)
+                break
+    return out | {i for i, n in times.items() if n > 1 or own["chrome"][i]}
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -271,7 +273,7 @@ def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 continue
             before = [r for r in rows[max(0, i - REACH) : i][::-1] if r["host"] == row["host"]]
             after = [r for r in rows[i + 1 : i + 1 + REACH] if r["host"] == row["host"]]
-            out.append((row["page_key"], sorted(shared_with(row, before) | shared_with(row, after))))
+            out.append((row["page_key"], sorted(shared_with(row, (before, after)))))
         return pa.RecordBatch.from_arrays([pa.array([k for k, _ in out], pa.string()), pa.array([s for _, s in out], pa.list_(pa.int32()))], names=["page_key", "shared"])
 
     held: list[dict] = []
