@@ -41,9 +41,11 @@ def is_blank(text: Column | str) -> Column:
 def tidy_lines(text: Column | str) -> Column:
     """Trim line ends, keep one blank line per run, trim the whole text."""
     unified = F.regexp_replace(_col(text), rf"\r\n|[{LINE_BREAKS}]", "\n")
-    trimmed = F.regexp_replace(unified, rf"[{WHITESPACE}]*\n[{WHITESPACE}]*\n", "\n\n")
+    # A match begins where its run of blanks does, so a long run is looked at once.
+    start = rf"(?<![{WHITESPACE}])"
+    trimmed = F.regexp_replace(unified, rf"{start}[{WHITESPACE}]*\n[{WHITESPACE}]*\n", "\n\n")
     inner = WHITESPACE.replace(r"\n", "")
-    return strip(F.regexp_replace(trimmed, rf"[{inner}]+\n", "\n"))
+    return strip(F.regexp_replace(trimmed, rf"(?<![{inner}])[{inner}]++\n", "\n"))
 
 
 def title_of(text: Column | str, fallback: Column | str) -> Column:

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+import re
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,9 +22,6 @@ SEPARATORS = ("\n## ", "\n### ", "\n\n", "\n", ". ", " ", "")
 
 def _cuts(text: str, start: int, end: int, separator: str) -> Iterator[tuple[int, int]]:
     """Spans of ``text[start:end]``; each one but the first opens with the separator."""
-    if not separator:
-        yield from ((i, i + 1) for i in range(start, end))
-        return
     left, at = start, text.find(separator, start, end)
     while at >= 0:
         if at > left:
@@ -61,6 +59,14 @@ def recursive_spans(
         if not separator or text.find(separator, start, end) >= 0:
             chosen, finer = separator, separators[i + 1:]
             break
+    if not chosen:  # single characters: the windows follow from the sizes
+        left = start
+        while end - left > size:
+            yield left, left + size
+            left += size - overlap
+        if end > left:
+            yield left, end
+        return
     waiting: list[tuple[int, int]] = []
     for span in _cuts(text, start, end, chosen):
         if span[1] - span[0] < size:
@@ -136,6 +142,13 @@ def section_chunks(
     A text is first cut at its fence lines. The pieces are then in turn outside
     and inside of code, and headings are marked in the outside ones only.
     """
+    sections = _sections(text, max_level)
+    rows = documents.select(*keep, F.posexplode(sections).alias("chunk_index", "chunk_text"))
+    heading = F.nullif(F.regexp_extract("chunk_text", rf"\A#{{1,{max_level}}} ([^\n]*)", 1), F.lit(""))
+    return rows.withColumns({"heading": heading, "chunk_text": X.strip("chunk_text")})
+
+
+def _sections(text: str, max_level: int) -> Column:
     mark = "\ufdd0section\ufdd1"  # two code points that no text may use
     fenced = F.split(F.col(text), r"(?m)^(?=```)")
     marked = F.transform(
@@ -144,10 +157,7 @@ def section_chunks(
             F.regexp_replace(piece, rf"(?m)^(?=#{{1,{max_level}}} )", mark)
         ),
     )
-    sections = F.filter(F.split(F.array_join(marked, ""), mark), lambda s: ~X.is_blank(s))
-    rows = documents.select(*keep, F.posexplode(sections).alias("chunk_index", "chunk_text"))
-    heading = F.nullif(F.regexp_extract("chunk_text", rf"\A#{{1,{max_level}}} ([^\n]*)", 1), F.lit(""))
-    return rows.withColumns({"heading": heading, "chunk_text": X.strip("chunk_text")})
+    return F.filter(F.split(F.array_join(marked, ""), mark), lambda s: ~X.is_blank(s))
 
 
 def section_then_recursive_chunks(
@@ -156,14 +166,36 @@ def section_then_recursive_chunks(
 ) -> DataFrame:
     """Sections first; a section above ``size`` is split further.
 
-    Sections and their pieces are renumbered by one running index per document:
-    both numbers are packed in the pair ``(section, piece)``.
+    ``chunk_index`` runs through all pieces of a document, ``section`` counts its
+    sections from 0, ``heading`` is the section's, null without one. Sections and
+    pieces are made row by row, without a shuffle.
     """
-    sections = section_chunks(documents, text, keep).withColumnRenamed("chunk_index", "section")
-    pieces = recursive_chunks(
-        sections, "chunk_text", [*keep, "section", "heading"], size, overlap
-    )
-    return pieces.withColumnRenamed("chunk_index", "piece")
+    sections = _sections(text, max_level=3)
+    narrow = documents.select(*keep, sections.alias("_sections"))
+    kinds = [*narrow.drop("_sections").schema.fields, T.StructField("section", T.IntegerType()),
+             T.StructField("heading", T.StringType()), T.StructField("chunk_index", T.IntegerType()), T.StructField("chunk_text", T.StringType())]
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            source, section, heading, index, piece = [], [], [], [], []
+            for row, bodies in enumerate(batch.column(batch.num_columns - 1).to_pylist()):
+                position = 0
+                for number, body in enumerate(bodies or []):
+                    title = re.match("#{1,3} ([^\n]*)", body)
+                    for a, b in recursive_spans(body, size, overlap, SEPARATORS):
+                        chunk = body[a:b].strip()
+                        if chunk:
+                            source.append(row)
+                            section.append(number)
+                            heading.append(title[1] or None if title else None)
+                            index.append(position)
+                            piece.append(chunk)
+                            position += 1
+            head = batch.take(pa.array(source, pa.int64())).drop_columns(["_sections"])
+            columns = [pa.array(section, pa.int32()), pa.array(heading, pa.string()), pa.array(index, pa.int32()), pa.array(piece, pa.string())]
+            yield pa.RecordBatch.from_arrays([*head.columns, *columns], [f.name for f in kinds])
+
+    return narrow.mapInArrow(split, T.StructType(kinds))
 
 
 def fixed_chunks(

@@ -49,9 +49,11 @@ def map_in_batches(
 ) -> DataFrame:
     """Add ``output`` and ``error``: ``fn`` gets one list per input, row order kept.
 
-    A batch that still fails after the last attempt gets its error text and a
-    null output, and the job goes on. ``latency`` names a column for the seconds
-    that the row's call took; with ``batch_size=1`` that is its own latency.
+    A call that still fails after the last attempt is halved, and so on down to
+    single rows: only rows that fail by themselves get an error text and a null
+    output, and the job goes on. ``latency`` names a column for the seconds that
+    the row's call took; with ``batch_size=1`` that is its own latency. A row
+    that failed has none.
     """
     fields = [T.StructField(output, kind), T.StructField("error", T.StringType())]
     if latency:
@@ -59,27 +61,40 @@ def map_in_batches(
     schema = T.StructType([*df.schema.fields, *fields])
     arrow_kind = to_arrow_type(kind)
 
+    def outcome(part: pa.RecordBatch, tries: int) -> Iterator[tuple[pa.Array, str | None, float]]:
+        """Column, error and seconds of each call that it took to get through ``part``."""
+        args = [part.column(part.schema.get_field_index(c)).to_pylist() for c in inputs]
+        began = time.perf_counter()
+        try:
+            values = list(call_with_retry(
+                fn, *args, attempts=tries, wait_min=wait_min, wait_max=wait_max))
+            if len(values) != part.num_rows:
+                raise ValueError(f"{part.num_rows} inputs gave {len(values)} outputs")
+            if check:
+                for v in values:
+                    check(v)
+            yield pa.array(values, arrow_kind), None, time.perf_counter() - began
+        except Exception as e:  # noqa: BLE001 - reported in the error column
+            if part.num_rows == 1:
+                yield pa.nulls(1, arrow_kind), f"{type(e).__name__}: {e}", time.perf_counter() - began
+                return
+            half = part.num_rows // 2
+            for piece in (part.slice(0, half), part.slice(half)):
+                # whether the fault was passing has been tried; single rows get all attempts again
+                yield from outcome(piece, attempts if piece.num_rows == 1 else 1)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, batch_size):
                 part = whole.slice(at, batch_size)
-                args = [part.column(part.schema.get_field_index(c)).to_pylist() for c in inputs]
-                error, began = None, time.perf_counter()
-                try:
-                    values = list(call_with_retry(
-                        fn, *args, attempts=attempts, wait_min=wait_min, wait_max=wait_max))
-                    if len(values) != part.num_rows:
-                        raise ValueError(f"{part.num_rows} inputs gave {len(values)} outputs")
-                    if check:
-                        for v in values:
-                            check(v)
-                    column = pa.array(values, arrow_kind)
-                except Exception as e:  # noqa: BLE001 - reported in the error column
-                    error, column = f"{type(e).__name__}: {e}", pa.nulls(part.num_rows, arrow_kind)
-                took = time.perf_counter() - began
-                extra = [column, pa.array([error] * part.num_rows, pa.string())]
+                columns, errors, seconds = [], [], []
+                for column, error, took in outcome(part, attempts):
+                    columns.append(column)
+                    errors += [error] * len(column)
+                    seconds += [None if error else took] * len(column)
+                extra = [pa.concat_arrays(columns), pa.array(errors, pa.string())]
                 if latency:
-                    extra.append(pa.array([took] * part.num_rows, pa.float64()))
+                    extra.append(pa.array(seconds, pa.float64()))
                 yield pa.RecordBatch.from_arrays([*part.columns, *extra], schema.names)
 
     return df.mapInArrow(run, schema)
@@ -143,7 +158,12 @@ def extractive_answers(refusal: str) -> Callable[[list[str], list[str]], list[st
 def answer_prompts(
     prompted: DataFrame, generate_fn: Callable[[list[str], list[str]], list[str]], **options
 ) -> DataFrame:
-    """Add ``answer``, ``latency_s`` and ``error`` to a table of prompts."""
+    """Add ``answer``, ``latency_s`` and ``error`` to a table of prompts.
+
+    A prompt is a call of its own unless ``batch_size`` says otherwise, so that
+    latency is per question.
+    """
+    options.setdefault("batch_size", 1)
     return map_in_batches(
         prompted, generate_fn, ["system", "human"], "answer", T.StringType(),
         latency="latency_s", **options,

@@ -29,7 +29,7 @@ CLOSED_BY_SIBLING = {"li": ("li",), "td": ("td", "th"), "th": ("td", "th"), "tr"
                      "dt": ("dt", "dd"), "dd": ("dt", "dd")}
 BULLETS = "*+-"
 SCOPES = frozenset("ul ol dl table".split())
-MAX_DEPTH = 512  # as in browsers: what lies deeper is read without its tags
+MAX_DEPTH = 512  # below this only roots and boilerplate keep their tags
 
 
 class _Page(HTMLParser):
@@ -54,7 +54,7 @@ class _Page(HTMLParser):
         frame = (tag, dict(attrs), [], self.seen)
         if tag in VOID:
             self._emit(self._render(frame))
-        elif len(self.stack) < MAX_DEPTH or tag in BOILERPLATE:
+        elif len(self.stack) < MAX_DEPTH or tag in BOILERPLATE or tag in ROOTS and not self.open[tag]:
             self.stack.append(frame)
             self.open[tag] += 1
             if tag in ("ul", "ol"):
@@ -82,6 +82,11 @@ class _Page(HTMLParser):
                 data = data.replace(c, "\\" + c)
         self._emit(data)
 
+    def parse_marked_section(self, i, report=1):
+        """``<![...`` is passed over up to the next ``>``, whatever it holds."""
+        end = self.rawdata.find(">", i)
+        return end + 1 if end >= 0 else -1
+
     def text(self) -> str:
         self.close()
         while len(self.stack) > 1:

@@ -11,18 +11,23 @@ from gleanery.session import written
 
 
 def snapshot_diff(
-    old: DataFrame, new: DataFrame, key: str = "chunk_id", content: Sequence[str] = ("chunk_text",),
+    old: DataFrame, new: DataFrame, key: str = "chunk_id", content: Sequence[str] | None = None,
     keep_same: bool = False,
 ) -> DataFrame:
     """``key, change_type`` with insert, update and delete (and, on request, same).
 
+    A row is changed if any column of ``content`` is, by default any column but
+    the key; nulls count as values of their own.
+
     Both snapshots are appended as key and content hash and meet in one
     aggregation: one shuffle of narrow rows, combined beforehand, and a key that
     occurs many times does not multiply.
     """
-    digest = F.xxhash64(*content)
-    sides = old.select(F.col(key), digest.alias("_old"), F.lit(None).cast("long").alias("_new")).unionByName(
-        new.select(F.col(key), F.lit(None).cast("long").alias("_old"), digest.alias("_new"))
+    if content is None:
+        content = [c for c in old.columns if c != key and c in new.columns]
+    digest = F.sha2(F.to_json(F.struct(*content), {"ignoreNullFields": "false"}), 256)
+    sides = old.select(F.col(key), digest.alias("_old"), F.lit(None).cast("string").alias("_new")).unionByName(
+        new.select(F.col(key), F.lit(None).cast("string").alias("_old"), digest.alias("_new"))
     )
     both = sides.groupBy(key).agg(
         F.max("_old").alias("_old"), F.max("_new").alias("_new"),
@@ -52,7 +57,7 @@ def apply_changes(base: DataFrame, changes: DataFrame, key: str = "chunk_id") ->
 
 
 def refresh(
-    base: DataFrame, new: DataFrame, key: str = "chunk_id", content: Sequence[str] = ("chunk_text",)
+    base: DataFrame, new: DataFrame, key: str = "chunk_id", content: Sequence[str] | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """``(changes, table)``: what a new snapshot changes, and the table after it.
 

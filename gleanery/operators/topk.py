@@ -69,6 +69,7 @@ def _best(
     for start in range(0, len(q_ids), step):
         rows = slice(start, min(start + step, len(q_ids)))
         keys = scorer.score(q, rows, c)
+        np.fmax(keys, -np.inf, out=keys)  # a score that is no number ranks below all others
         if exclude_same:
             here = np.nonzero(same[rows] >= 0)[0]
             keys[here, same[rows][here]] = -np.inf

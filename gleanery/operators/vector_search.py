@@ -7,7 +7,7 @@ from hashlib import md5
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -55,9 +55,28 @@ class CosineScorer:
         return queries[rows] @ corpus.T
 
 
+def _is_finite(vector: Column) -> Column:
+    return F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
+
+
 def _pair(df: DataFrame, key: str, vector: str) -> DataFrame:
     return df.select(F.col(key).alias("id"), F.col(vector).alias("value")).where(
-        F.col("value").isNotNull() & F.exists("value", lambda x: x != 0)
+        F.col("value").isNotNull() & _is_finite(F.col("value")) & F.exists("value", lambda x: x != 0)
+    )
+
+
+def search_coverage(df: DataFrame, vector: str) -> DataFrame:
+    """One row: how many rows a search can find, and why the others cannot be found."""
+    v = F.col(vector)
+    is_null, finite = v.isNull(), F.coalesce(_is_finite(v), F.lit(False))
+    any_length = F.coalesce(F.exists(v, lambda x: x != 0), F.lit(False))
+    count = lambda c: F.count(F.when(c, 1))
+    return df.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        count(is_null).alias("null_vectors"),
+        count(~is_null & ~finite).alias("non_finite_vectors"),
+        count(finite & ~any_length).alias("zero_vectors"),
+        count(finite & any_length).alias("searchable"),
     )
 
 

@@ -49,9 +49,10 @@ def silver_from_bronze(
         raise ValueError(f"unknown strategy {strategy!r}; one of {sorted(splitters)}")
     given = {"size": size, "overlap": overlap}
     given = {k: v for k, v in given.items() if v is not None}
+    split = splitters[strategy]
     if strategy == "markdown_header" and given:
-        raise ValueError("sections have no size; use section_then_recursive_chunks")
-    pieces = splitters[strategy](bronze, **given)
+        split = chunking.section_then_recursive_chunks  # sections above the size are split further
+    pieces = split(bronze, **given)
     return chunking.finish_chunks(pieces, min_size).select(
         "chunk_id", "url", "title", "chunk_index", "chunk_text"
     )

@@ -143,8 +143,8 @@ SELECT query_id, length(context)::BIGINT AS n_chars, md5(context) AS context_md5
     "prompt_table": f"""WITH {BM25}, {CONTEXTS}
 SELECT item_id AS query_id, 'Answer from the context only.' AS system,
        md5('Context from the test documents:' || chr(10) || coalesce(context, '') || chr(10) || chr(10)
-           || 'Question: ' || text || chr(10) || chr(10) || 'Answer clearly and concisely. '
-           || 'Cite sources like [1], [2] matching the numbered context blocks above.') AS human_md5
+           || 'Question: ' || text || chr(10) || chr(10)
+           || 'Reply in a few sentences and give the number of each block you rely on, as in [2].') AS human_md5
 FROM benchmark LEFT JOIN ctx ON query_id = item_id""",
     "batch_answers": f"""WITH {DOCS}, {windows('docs', 'chunks')},
 {hashed_vectors('chunks', 'chunk_id', 'chunk_text', 'cv')},

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -12,11 +13,15 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder below the cluster's shared checkpoint folder.
 
     ``spark.checkpoint.dir`` names a store that every executor reaches. Only
-    where it is unset (single-machine tests) is a temporary folder made, and
-    then it is set on the session so that later calls agree on it.
+    where it is unset on a single machine (tests) is a temporary folder made, and
+    then it is set on the session so that later calls agree on it. A cluster
+    without the setting is an error: its machines share no temporary folder.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all machines of {master} reach")
         root = tempfile.mkdtemp(prefix="gleanery-")
         spark.conf.set("spark.checkpoint.dir", root)
         spark.sparkContext.setCheckpointDir(root)

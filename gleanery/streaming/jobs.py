@@ -31,9 +31,10 @@ def read_file_stream(
 # --- corpus sync ---------------------------------------------------------------
 #
 # A store is two append-only tables. ``chunks`` holds the chunks a batch made,
-# ``pages`` one row per page the batch saw. A page's newest batch replaces all its
-# older chunks, also when it has fewer of them or none. Nothing old is rewritten,
-# so a batch costs what it brings; a replayed batch overwrites only itself.
+# ``pages`` one row per page the batch saw, with its version. The batch with a page's
+# highest version, the later one among equals, replaces all its other chunks, also when
+# it has fewer of them or none; a page marked as removed has none. Nothing old is
+# rewritten, so a batch costs what it brings; a replayed batch overwrites only itself.
 
 
 def sync_corpus(
@@ -44,11 +45,14 @@ def sync_corpus(
     every: str | None = None,
     url: str = "url",
     newest_by: str | None = None,
+    removed: str | None = None,
 ) -> StreamingQuery:
     """Chunk a stream of pages into ``store``.
 
     ``to_chunks`` maps pages to chunks with a ``url`` column. ``newest_by`` names
-    the column that decides between two copies of a page in one batch.
+    the version that decides between copies of a page, within a batch and across
+    batches; without it the later batch does. ``removed`` names a boolean column
+    that is true where a page has left the source.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -56,9 +60,11 @@ def sync_corpus(
         if newest_by:
             newest = F.max_by(F.struct(*batch.columns), newest_by).alias("p")
             fresh = batch.groupBy(url).agg(newest).select("p.*")
-        to_chunks(fresh).write.mode("overwrite").parquet(f"{store}/chunks/batch={batch_id}")
+        alive = fresh.where(~F.coalesce(F.col(removed), F.lit(False))) if removed else fresh
+        to_chunks(alive).write.mode("overwrite").parquet(f"{store}/chunks/batch={batch_id}")
         # Written last: readers take a page's chunks from here on.
-        batch.select(url).distinct().write.mode("overwrite").parquet(f"{store}/pages/batch={batch_id}")
+        version = (F.col(newest_by) if newest_by else F.lit(0).cast("bigint")).alias("version")
+        fresh.select(url, version).distinct().write.mode("overwrite").parquet(f"{store}/pages/batch={batch_id}")
 
     writer = pages.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return with_trigger(writer, every).start()
@@ -66,16 +72,18 @@ def sync_corpus(
 
 def current_chunks(spark: SparkSession, store: str, url: str = "url") -> DataFrame:
     """The newest chunks of each page."""
-    newest = spark.read.parquet(f"{store}/pages").groupBy(url).agg(F.max("batch").alias("batch"))
+    newest = spark.read.parquet(f"{store}/pages").groupBy(url).agg(
+        F.max_by("batch", F.struct("version", "batch")).alias("batch")
+    )
     return spark.read.parquet(f"{store}/chunks").join(newest, [url, "batch"]).drop("batch")
 
 
 def compact(spark: SparkSession, store: str, new_store: str, url: str = "url") -> None:
     """Write the current state as the base of a new store; batches follow it."""
     current_chunks(spark, store, url).write.mode("overwrite").parquet(f"{new_store}/chunks/batch=-1")
-    spark.read.parquet(f"{store}/pages").select(url).distinct().write.mode("overwrite").parquet(
-        f"{new_store}/pages/batch=-1"
-    )
+    spark.read.parquet(f"{store}/pages").groupBy(url).agg(F.max("version").alias("version")).write.mode(
+        "overwrite"
+    ).parquet(f"{new_store}/pages/batch=-1")
 
 
 # --- request log -----------------------------------------------------------------
@@ -113,7 +121,11 @@ def monitor_windows(
 
 
 def late_rows(query: StreamingQuery) -> int:
-    """Rows that the watermark dropped so far."""
+    """Rows that the watermark dropped in the batches whose progress Spark still keeps.
+
+    That is the last ``spark.sql.streaming.numRecentProgressUpdates`` batches; ask a
+    long-running stream before these have passed and add up.
+    """
     return sum(
         op["numRowsDroppedByWatermark"]
         for progress in query.recentProgress

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gleanery.operators import chunking
+from gleanery.plans import ingest
 
 
 def literal_split(text, size, overlap, separators):
@@ -144,4 +145,17 @@ def test_oversize_sections_are_split_further(spark):
     rows = chunking.section_then_recursive_chunks(df, size=200, overlap=20).collect()
     assert max(len(r.chunk_text) for r in rows) <= 200
     assert {r.heading for r in rows} == {"A", "B"} and sum(r.heading == "B" for r in rows) == 1
-    assert len({(r.url, r.section, r.piece) for r in rows}) == len(rows)
+    assert [r.chunk_index for r in rows] == list(range(len(rows)))
+    assert [r.section for r in rows] == [0] * (len(rows) - 1) + [1]
+    plain = chunking.section_chunks(df)
+    long = chunking.section_then_recursive_chunks(df, size=100_000, overlap=20)
+    assert [r.chunk_text for r in long.collect()] == [r.chunk_text for r in plain.collect()]
+    sized = ingest.silver_from_bronze(df, "markdown_header", size=200, overlap=20)
+    assert {r.chunk_index for r in sized.collect()} <= set(range(len(rows)))
+
+
+def test_a_run_without_separators_is_cut_by_arithmetic():
+    spans = list(chunking.recursive_spans("x" * 3_000_000, 800, 150, chunking.SEPARATORS))
+    assert spans[:2] == [(0, 800), (650, 1450)] and spans[-1][1] == 3_000_000
+    assert all(b - a == 800 for a, b in spans[:-1]) and spans[-1][1] - spans[-1][0] > 150
+    assert list(chunking.recursive_spans("abc", 1, 0, ("",))) == [(0, 1), (1, 2), (2, 3)]

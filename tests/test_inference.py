@@ -21,7 +21,7 @@ def test_batches_keep_order_and_size(spark):
     assert all(r.o.split("/")[0] == r.t and r.error is None for r in rows)
 
 
-@pytest.mark.parametrize("failures,ok", [(3, True), (4, False)])
+@pytest.mark.parametrize("failures,ok", [(3, True), (4, True), (99, False)])
 def test_retry(spark, failures, ok):
     calls = []
 
@@ -37,6 +37,18 @@ def test_retry(spark, failures, ok):
     assert all((r.error is None) if ok else ("busy" in r.error) for r in rows)
 
 
+def test_a_bad_text_fails_alone(spark):
+    def picky(texts):
+        if "7" in texts:
+            raise ValueError("no sevens")
+        return [[float(t), 1.0] for t in texts]
+
+    df = spark.range(20).coalesce(1).select("id", F.col("id").cast("string").alias("t"))
+    rows = inference.embed_texts(df, "t", picky, 2, latency="s", **FAST).collect()
+    assert [r.id for r in rows] == list(range(20))
+    assert [(r.vector is None, r.error is None, r.s is None) for r in rows] == [(i == 7, i != 7, i == 7) for i in range(20)]
+
+
 def test_waits_grow_and_are_bounded():
     waits = []
 
