@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from gleanery.operators import context, inference, vector_search
 from gleanery.session import written
@@ -17,25 +18,37 @@ def embed_to_table(df: DataFrame, text: str, embed_fn: Callable, dimension: int,
 
 def retrieve(
     questions: DataFrame, chunks: DataFrame, embed_fn: Callable, dimension: int, k: int = 5,
-    min_score: float | None = None, **options,
+    min_score: float | None = None, search: str = "exact", **options,
 ) -> DataFrame:
     """Ranked hits of each question with ``url, title, chunk_text``.
 
     ``questions`` holds ``query_id, question``; ``chunks`` holds ``vector`` (made
-    by the same ``embed_fn``) next to its key and text.
+    by the same ``embed_fn``) next to its key and text. ``search`` is ``exact``,
+    or for a large corpus ``celled`` or ``hashed``, which look at a part of it;
+    ``options`` are those of that search.
     """
     asked = embed_to_table(questions.select("query_id", "question"), "question", embed_fn, dimension)
-    hits = vector_search.exact_search(asked, chunks, k, min_score=min_score, **options)
+    if search == "exact":
+        hits = vector_search.exact_search(asked, chunks, k, min_score=min_score, **options)
+    elif search == "celled":
+        hits = vector_search.celled_search(asked, chunks, k, **options)
+    elif search == "hashed":
+        hits = vector_search.hashed_search(asked, chunks, k, dimension, **options)
+    else:
+        raise ValueError(f"unknown search {search!r}; one of exact, celled, hashed")
+    if search != "exact" and min_score is not None:
+        hits = hits.where(F.col("score") >= min_score)
     return vector_search.with_columns_of(hits, chunks, "chunk_id", ["url", "title", "chunk_text"])
 
 
 def answer_questions(
     questions: DataFrame, chunks: DataFrame, embed_fn: Callable, dimension: int,
     generate_fn: Callable, system: str, subject: str = "the documentation", k: int = 5,
-    min_score: float | None = None, **call_options,
+    min_score: float | None = None, search: str = "exact", search_options: dict | None = None,
+    **call_options,
 ) -> DataFrame:
     """``query_id, question, context, cited_urls, system, human, answer, error, latency_s``."""
-    hits = retrieve(questions, chunks, embed_fn, dimension, k, min_score)
+    hits = retrieve(questions, chunks, embed_fn, dimension, k, min_score, search, **(search_options or {}))
     prompted = context.prompts(
         questions.select("query_id", "question"), context.context_blocks(hits), system, subject=subject
     )

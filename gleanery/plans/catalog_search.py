@@ -50,6 +50,46 @@ def vector_topk_filtered(spark, sf):
     return _shown(vector_search.with_columns_of(hits, v, "vec_id", ["url"]), "url")
 
 
+def odd_vectors(spark: SparkSession, sf: str) -> DataFrame:
+    """The vectors, some of them null, with a component that is no number, or without length."""
+    v, kind = vectors(spark, sf), F.pmod("vec_id", F.lit(50))
+    odd = (
+        F.when(kind == 8, F.transform("embedding", lambda x, i: F.when(i == 3, F.lit(float("nan")).cast("float")).otherwise(x)))
+        .when(kind == 9, F.transform("embedding", lambda x: F.lit(0).cast("float")))
+        .when(kind == 10, F.transform("embedding", lambda x, i: F.when(i != 5, x)))
+        .when(kind != 7, F.col("embedding"))
+    )
+    return v.withColumn("embedding", odd)
+
+
+def vector_topk_odd(spark, sf):
+    """Vectors that cannot be searched hide no others."""
+    v = odd_vectors(spark, sf)
+    return _shown(vector_search.exact_search(v, v, 5, **SAME))
+
+
+def search_coverage(spark, sf):
+    return vector_search.search_coverage(odd_vectors(spark, sf), "embedding")
+
+
+def embed_failures(spark, sf):
+    """A model that refuses some texts: these fail alone, all others get their vector."""
+    embedder = inference.HashingEmbedder(DIMENSION)
+
+    def picky(texts):
+        if any(len(t) % 7 == 0 for t in texts):
+            raise ValueError("refused")
+        return embedder(texts)
+
+    texts = spread(load(spark, sf, "documents").select("doc_id", "text"))
+    done = inference.embed_texts(
+        texts, "text", picky, DIMENSION, attempts=1, batch_size=20
+    )
+    return done.select(
+        "doc_id", F.col("vector").isNotNull().alias("embedded"), F.col("error").isNotNull().alias("failed"),
+    )
+
+
 def vector_hashed_topk(spark, sf):
     v = vectors(spark, sf)
     return _shown(vector_search.hashed_search(v, v, 5, DIMENSION, bits=6, tables=4, **SAME))
@@ -201,7 +241,8 @@ def batch_answers(spark, sf):
 QUERIES = {
     f.__name__: f
     for f in (
-        vector_topk, vector_topk_partitioned, vector_topk_filtered, vector_hashed_topk,
+        vector_topk, vector_topk_partitioned, vector_topk_filtered, vector_topk_odd, search_coverage,
+        embed_failures, vector_hashed_topk,
         vector_celled_topk, search_recall, retrieval_eval, retrieval_eval_pairs, retrieval_eval_mean,
         keyword_bm25, keyword_bm25_partitioned, embed_hashing, hybrid_rrf, rerank_lexical,
         hit_snippets, context_block, prompt_table, batch_answers,

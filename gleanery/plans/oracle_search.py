@@ -85,6 +85,14 @@ ctx AS (
   FROM h JOIN documents ON doc_id = item_id GROUP BY 1)"""
 
 ORACLES = {
+    "vector_topk_odd": f"""WITH {VECTORS.replace("FROM embeddings)", "FROM embeddings WHERE vec_id % 50 NOT IN (7, 8, 9, 10))")},
+{PAIRS}, {best('s', 5, 'h')}
+SELECT * FROM h""",
+    "search_coverage": """SELECT count(*) AS n_rows, count(*) FILTER (vec_id % 50 = 7) AS null_vectors,
+       count(*) FILTER (vec_id % 50 IN (8, 10)) AS non_finite_vectors, count(*) FILTER (vec_id % 50 = 9) AS zero_vectors,
+       count(*) FILTER (vec_id % 50 NOT IN (7, 8, 9, 10)) AS searchable
+FROM embeddings""",
+    "embed_failures": """SELECT doc_id, length(text) % 7 <> 0 AS embedded, length(text) % 7 = 0 AS failed FROM documents""",
     "vector_topk": f"WITH {VECTORS}, {PAIRS}, {best('s', 5, 'h')} SELECT * FROM h",
     "vector_topk_partitioned": f"WITH {VECTORS}, {PAIRS}, {best('s', 5, 'h')} SELECT * FROM h",
     "vector_topk_filtered": f"""WITH {VECTORS}, {PAIRS},
