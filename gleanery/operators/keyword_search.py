@@ -15,9 +15,11 @@ from pyspark.sql import types as T
 from gleanery.functions import scores
 from gleanery.functions import text as X
 from gleanery.operators import topk as engine
+from gleanery.session import written
 
 # The usual BM25 constants and the usual fusion offset.
 K1, B = 1.2, 0.75
+TERM_BYTES = 64  # what a weighted term takes, about
 FUSION_OFFSET = 60
 
 _WORD = re.compile(r"[^\W_]+")
@@ -116,20 +118,31 @@ def bm25_search(
     k1: float = K1,
     b: float = B,
     max_small_rows: int = engine.SMALL_ROWS,
-    block_rows: int = 8192,
+    slice_rows: int = engine.SMALL_ROWS,
 ) -> DataFrame:
     """The k best documents of every query by BM25: ``query_id, item_id, score, rank``.
 
     Each distinct query term counts once. Documents without any query term are no
     match. However common a term is, no (query, document) pair is shuffled but
-    the k best of each task.
+    the k best of each task, and no text at all: where the queries are too many to
+    be sent at once, the documents are passed over with one slice of them after
+    another.
     """
     q = queries.select(F.col(query_id).alias("id"), F.col(query_text).alias("value"))
     d = documents.select(F.col(document_id).alias("id"), F.col(document_text).alias("value"))
     small = engine.small_side(q, d, max_small_rows)
-    return engine.topk(
-        weighted_queries(q, d, small == "queries"), d, Bm25Scorer(k1, b), k, small=small, block_rows=block_rows
-    )
+    weighted, scorer = weighted_queries(q, d, small == "queries"), Bm25Scorer(k1, b)
+    if small:
+        return engine.topk(weighted, d, scorer, k, small=small)
+    weighted = written(weighted, "bm25-queries")
+    size = weighted.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.size("value")), F.lit(0)).alias("terms")).first()
+    slices = max(1, -(-size["n"] // (max_small_rows or slice_rows)), -(-size["terms"] * TERM_BYTES // engine.SMALL_BYTES))
+    hits = None
+    for i in range(slices):
+        part = weighted.where(F.pmod(F.xxhash64("id"), F.lit(slices)) == i)
+        found = engine.topk(part, d, scorer, k, small="queries")
+        hits = found if hits is None else hits.unionByName(found)
+    return hits
 
 
 def fuse_ranks(

@@ -165,7 +165,7 @@ def keyword_bm25(spark, sf):
 
 def keyword_bm25_partitioned(spark, sf):
     """The way for many queries: block against block."""
-    return _shown(_bm25(spark, sf, 5, max_small_rows=0, block_rows=256))
+    return _shown(_bm25(spark, sf, 5, max_small_rows=0, slice_rows=15))
 
 
 def embed_hashing(spark, sf):

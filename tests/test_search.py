@@ -146,7 +146,7 @@ def brute_bm25(queries, texts, k):
     return out
 
 
-@pytest.mark.parametrize("options", [{}, {"max_small_rows": 0, "block_rows": 40}, {"max_small_rows": 4}])
+@pytest.mark.parametrize("options", [{}, {"max_small_rows": 0, "slice_rows": 2}, {"max_small_rows": 4}])
 def test_bm25(spark, options):
     rng = np.random.default_rng(5)
     vocabulary = [f"w{i}" for i in range(60)]
