@@ -2,8 +2,8 @@
 
 Each byte has a learned embedding. Filters of ``WIDTH`` bytes move over the text in steps
 of ``STRIDE`` bytes; their rectified outputs are max-pooled within chunks that overlap by
-half. A text is the mean and the maximum of its chunks, and a logistic layer turns these
-into one probability. Chunks cover the whole text, whatever its length.
+half. A text is the mean, maximum and minimum of its chunks, and a logistic layer turns
+these into one probability; the minimum shows stretches in which little varies. Chunks cover the whole text, whatever its length.
 """
 
 from __future__ import annotations
@@ -34,7 +34,7 @@ class Network:
     embedding: np.ndarray  # 256 x EMBEDDING
     filters: np.ndarray  # WIDTH * EMBEDDING x FILTERS
     bias: np.ndarray
-    weights: np.ndarray  # mean and maximum of each filter
+    weights: np.ndarray  # of each filter's mean, maximum and minimum over chunks
     offset: np.ndarray
 
     def parts(self) -> list[np.ndarray]:
@@ -46,7 +46,7 @@ def fresh(seed: int) -> Network:
     return Network(
         rng.normal(0, 0.5, (256, EMBEDDING)).astype(np.float32),
         rng.normal(0, 1 / np.sqrt(WIDTH * EMBEDDING), (WIDTH * EMBEDDING, FILTERS)).astype(np.float32),
-        np.zeros(FILTERS, np.float32), rng.normal(0, 0.1, 2 * FILTERS).astype(np.float32), np.zeros(1, np.float32),
+        np.zeros(FILTERS, np.float32), rng.normal(0, 0.1, 3 * FILTERS).astype(np.float32), np.zeros(1, np.float32),
     )
 
 
@@ -82,7 +82,7 @@ def probability(net: Network, data: bytes | None) -> float:
     for at in range(0, len(codes) - WIDTH + STRIDE, STEP):
         found.append(halves(convolved(net, codes[at : at + STEP + WIDTH - STRIDE])))
     pools = chunk_pools(np.concatenate(found))
-    z = float(np.concatenate([pools.mean(axis=0), pools.max(axis=0)]) @ net.weights + net.offset[0])
+    z = float(np.concatenate([pools.mean(axis=0), pools.max(axis=0), pools.min(axis=0)]) @ net.weights + net.offset[0])
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
@@ -93,13 +93,15 @@ def gradients(net: Network, data: bytes, label: int) -> tuple[list[np.ndarray],
     starts = np.arange(0, len(y), HALF)
     h = np.maximum.reduceat(y, starts, axis=0)
     pools = chunk_pools(h)
-    top = pools.argmax(axis=0)
-    features = np.concatenate([pools.mean(axis=0), pools[top, np.arange(FILTERS)]])
+    each = np.arange(FILTERS)
+    top, low = pools.argmax(axis=0), pools.argmin(axis=0)
+    features = np.concatenate([pools.mean(axis=0), pools[top, each], pools[low, each]])
     p = 1 / (1 + np.exp(-np.clip(features @ net.weights + net.offset[0], -30, 30)))
     off = float(p - label)
     g_features = off * net.weights
     g_pools = np.repeat(g_features[None, :FILTERS] / len(pools), len(pools), axis=0)
-    g_pools[top, np.arange(FILTERS)] += g_features[FILTERS:]
+    g_pools[top, each] += g_features[FILTERS : 2 * FILTERS]
+    g_pools[low, each] += g_features[2 * FILTERS :]
     if len(h) > 1:  # to the larger half
         first = h[:-1] >= h[1:]
         g_h = np.zeros_like(h)
