@@ -80,8 +80,8 @@ def write_shards(df: DataFrame, key_col: str, shards: Sequence[str], path: str,
     Rows are dealt out by slot, so that a shard is written by many tasks and a hot shard
     by no single one; Spark splits what is too large.
     """
-    inner = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("shard_row"), slot_of(F.col(key_col), slots).alias("slot"))
-    joined = inner.join(F.broadcast(lookup_table(df.sparkSession, shards, slots)), "slot")
+    inner = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), slot_of(F.col(key_col), slots).alias("slot"))
+    dealt = inner.join(F.broadcast(lookup_table(df.sparkSession, shards, slots)), "slot").hint("rebalance", "slot")
     name = "shard" if "shard" not in {c.lower() for c in df.columns} else "shard_name"
-    out = joined.select("slot", "shard_row.*", F.col("shard").alias(name)).hint("rebalance", "slot").drop("slot") if "slot" not in df.columns else joined.select("shard_row.*", F.col("shard").alias(name)).hint("rebalance", name)
+    out = dealt.select("row.*", F.col("shard").alias(name))
     out.write.partitionBy(name).parquet(path)
