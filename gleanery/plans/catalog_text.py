@@ -127,16 +127,27 @@ def chunk_token_window(spark, sf):
     )
 
 
-def chunk_sections(spark, sf):
+def _sectioned(spark: SparkSession, sf: str) -> DataFrame:
     """Each line of a document becomes a section, below a preface that holds a fence."""
-    docs = spread(load(spark, sf, "documents")).select(
+    return spread(load(spark, sf, "documents")).select(
         "doc_id",
         F.concat(
             F.lit("# "), "source", F.lit("\n```\n## "), "lang", F.lit("\n```\n> "),
             F.replace("text", F.lit("\n"), F.lit("\n## ")),
         ).alias("content"),
     )
-    return chunking.section_chunks(docs, keep=["doc_id"]).select(
+
+
+def chunk_sections_sized(spark, sf):
+    """Sections above the size are split further; one running index for each document."""
+    pieces = chunking.section_then_recursive_chunks(_sectioned(spark, sf), keep=["doc_id"])
+    return pieces.select(
+        "doc_id", long("section").alias("section"), long("chunk_index").alias("chunk_index"), F.md5("chunk_text").alias("text_md5")
+    )
+
+
+def chunk_sections(spark, sf):
+    return chunking.section_chunks(_sectioned(spark, sf), keep=["doc_id"]).select(
         "doc_id", long("chunk_index").alias("chunk_index"),
         F.md5(F.coalesce("heading", F.lit(""))).alias("heading_md5"), F.md5("chunk_text").alias("text_md5"),
     )
@@ -284,7 +295,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         bronze_documents, row_counts, preview_rows, partitioned_table, page_names, page_markdown, page_plain_text,
-        page_chunks, chunk_recursive, chunk_fixed_window, chunk_token_window, chunk_sections,
+        page_chunks, chunk_recursive, chunk_fixed_window, chunk_token_window, chunk_sections, chunk_sections_sized,
         chunk_duplicate_keys, chunk_duplicate_texts, chunk_length_summary, text_statistics,
         snapshot_diff, snapshot_apply, change_feed, index_reconcile, last_message, chat_question, chat_answer,
         refusal_flags, injection_flags, golden_append, traffic_sample, sampled_keys,

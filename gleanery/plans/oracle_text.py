@@ -203,6 +203,22 @@ t AS (SELECT url, list_filter(string_split_regex(content, '[{WS}]+'), lambda w:
 s AS (SELECT url, tokens, unnest(generate_series(0, greatest(len(tokens) - 21, 0), 80)) AS st FROM t)
 SELECT url, (st // 80)::BIGINT AS chunk_index,
        md5(array_to_string(tokens[st + 1 : st + 100], ' ')) AS text_md5 FROM s""",
+    "chunk_sections_sized": f"""WITH RECURSIVE lines AS (
+  SELECT doc_id, lang, source, string_split(text, chr(10)) AS l FROM documents),
+parts AS (
+  SELECT doc_id, unnest(list_concat(
+    ['# ' || source || chr(10) || '```' || chr(10) || '## ' || lang || chr(10) || '```' || chr(10) || '> ' || l[1]],
+    list_transform(l[2:], lambda x: '## ' || x))) AS part,
+    unnest(generate_series(0, len(l) - 1)) AS section, len(l) AS n
+  FROM lines),
+secs AS (
+  SELECT doc_id, section, doc_id || '/' || section AS sid, 'doc' AS url,
+         part || CASE WHEN section < n - 1 THEN chr(10) ELSE '' END AS content
+  FROM parts),
+{recursive('secs', 'sid', 'p')}
+SELECT doc_id, section::BIGINT AS section,
+       (row_number() OVER (PARTITION BY doc_id ORDER BY section, chunk_index) - 1)::BIGINT AS chunk_index, md5(chunk_text) AS text_md5
+FROM p_pieces JOIN secs ON sid = k""",
     "chunk_sections": f"""WITH lines AS (
   SELECT doc_id, lang, source, string_split(text, chr(10)) AS l FROM documents),
 parts AS (
