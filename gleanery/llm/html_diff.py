@@ -226,7 +226,7 @@ def shared_with(own: dict, sides: Sequence[Sequence[dict]]) -> set[int]:
     """
     out: set[int] = set()
     times: Counter[int] = Counter()
-    content = [i for i, c in enumerate(own["chrome"]) if not c]
+    content = [i for i, k in enumerate(own["keys"]) if not k & 1]
     for others in sides:
         for other in others:
             hit = common_lines(own["keys"], other["keys"])
@@ -234,7 +234,7 @@ def shared_with(own: dict, sides: Sequence[Sequence[dict]]) -> set[int]:
             if 2 * len(set(hit).intersection(content)) < len(content):
                 out.update(hit)
                 break
-    return out | {i for i, n in times.items() if n > 1 or own["chrome"][i]}
+    return out | {i for i, n in times.items() if n > 1 or own["keys"][i] & 1}
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -248,19 +248,21 @@ def _keyed(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataFr
     """Id, url, html, and a key that only rows equal in all three share."""
     part = lambda c: F.when(c.isNull(), F.lit("-")).otherwise(F.md5(c.cast("string").cast("binary")))
     cols = [F.col(id_col), F.col(url_col), F.col(html_col)]
-    return pages.select(cols[0].alias("id"), cols[1].cast("string").alias("url"), cols[2].cast("string").alias("html"), F.concat_ws(",", *map(part, cols)).alias("page_key"))
+    key = F.unhex(F.md5(F.concat_ws(",", *map(part, cols)).cast("binary")))
+    return pages.select(cols[0].alias("id"), cols[1].cast("string").alias("url"), cols[2].cast("string").alias("html"), key.alias("page_key"))
 
 
 def _outline(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         pages = [read_page(x or "") for x in b.column("html").to_pylist()]
         yield pa.RecordBatch.from_arrays(
-            [b.column("host"), b.column("path"), b.column("page_key"), pa.array([[line_hash(k) for k in p.keys] for p in pages], pa.list_(pa.int64())), pa.array([p.chrome for p in pages], pa.list_(pa.bool_()))],
-            names=["host", "path", "page_key", "keys", "chrome"],
+            [b.column("host"), b.column("path"), b.column("page_key"), pa.array([[line_hash(k) & ~1 | c for k, c in zip(p.keys, p.chrome, strict=True)] for p in pages], pa.list_(pa.int64()))],
+            names=["host", "path", "page_key", "keys"],
         )
 
 
-OUTLINE = "host string, path string, page_key string, keys array<bigint>, chrome array<boolean>"
+#: A key's lowest bit is set for lines of elements that are no content.
+OUTLINE = "host string, path string, page_key binary, keys array<bigint>"
 
 
 def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -274,7 +276,7 @@ def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             before = [r for r in rows[max(0, i - REACH) : i][::-1] if r["host"] == row["host"]]
             after = [r for r in rows[i + 1 : i + 1 + REACH] if r["host"] == row["host"]]
             out.append((row["page_key"], sorted(shared_with(row, (before, after)))))
-        return pa.RecordBatch.from_arrays([pa.array([k for k, _ in out], pa.string()), pa.array([s for _, s in out], pa.list_(pa.int32()))], names=["page_key", "shared"])
+        return pa.RecordBatch.from_arrays([pa.array([k for k, _ in out], pa.binary()), pa.array([s for _, s in out], pa.list_(pa.int32()))], names=["page_key", "shared"])
 
     held: list[dict] = []
     for b in batches:
@@ -293,18 +295,20 @@ def shared_lines(pages: DataFrame) -> DataFrame:
     outlines = pages.withColumn("host", host).withColumn("path", path).select("html", "host", "path", "page_key").mapInArrow(_outline, OUTLINE)
     outlines = written(outlines, "html-outlines").dropDuplicates(["page_key"])
     order = ["host", "path", "page_key"]
-    ranges = written(outlines.repartitionByRange(*order).withColumn("part", F.spark_partition_id()), "html-order")
+    # the high bits of such an id are the partition, the low bits the place in it
+    numbered = outlines.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("id", F.monotonically_increasing_id())
+    part, inside = F.shiftright("id", 33), F.col("id").bitwiseAND(F.lit((1 << 33) - 1))
+    ranges = written(numbered.select(part.alias("part"), inside.alias("inside"), "host", "page_key", "keys"), "html-order")
     counts = ranges.groupBy("part").agg(F.count("*").alias("n"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))  # one row for each range
-    place = F.col("offset") + F.row_number().over(Window.partitionBy("part").orderBy(*order)) - 1
-    placed = ranges.join(F.broadcast(offsets), "part").withColumn("place", place).drop("part", "offset")
+    placed = ranges.join(F.broadcast(offsets), "part").withColumn("place", F.col("offset") + F.col("inside")).drop("part", "offset", "inside")
     block = F.floor(F.col("place") / BLOCK)
-    inside = F.col("place") % BLOCK
-    near = F.array_compact(F.array(F.lit(0), F.when(inside < REACH, -1), F.when(inside >= BLOCK - REACH, 1)))
+    within = F.col("place") % BLOCK
+    near = F.array_compact(F.array(F.lit(0), F.when(within < REACH, -1), F.when(within >= BLOCK - REACH, 1)))
     spread = placed.withColumn("to", F.explode(near)).withColumn("block", block + F.col("to")).withColumn("margin", F.col("to") != 0)
     dealt = spread.repartition("block").sortWithinPartitions("block", "place")
-    return dealt.select("block", "margin", "host", "page_key", "keys", "chrome").mapInArrow(_aligned, "page_key string, shared array<int>")
+    return dealt.select("block", "margin", "host", "page_key", "keys").mapInArrow(_aligned, "page_key binary, shared array<int>")
 
 
 def main_text(source: str | None, shared: Sequence[int] | None) -> str:
