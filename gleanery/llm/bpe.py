@@ -11,13 +11,15 @@ is done every ``LOOKAHEAD`` bytes, up to the boundary that all open starts have
 them, so output lags by a bounded number of bytes. States and moves are made when first
 met and kept up to a bound.
 
+Texts are encoded in blocks. The different pieces of a block step through the automaton
+side by side: one look-up in a dense table of moves for all of them at each byte.
+
 Ranks must rise along merges, and each token must be what its own bytes are merged to;
 both are checked when compiling.
 """
 
 from __future__ import annotations
 
-from array import array
 import base64
 import codecs
 from collections.abc import Iterator
@@ -32,11 +34,13 @@ import regex
 
 RANKS = "byte_bpe_50k.tiktoken"
 LOOKAHEAD = 4096
-MOST_STATES = 200_000
-MOST_PAIRS = 400_000
-MOST_MEMO = 300_000
-#: Units longer than this are not remembered.
-MEMO_CHARS = 64
+MOST_STATES = 150_000
+MOVE_BITS = 20  # the table of moves has 2 to this many places; it is emptied when half full
+MOST_PAIRS = 100_000
+#: Pieces of more characters are read one by one.
+SIDE_BY_SIDE = 96
+#: Characters of text in a block; a longer text is a block of its own.
+BLOCK_CHARS = 2 << 20
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -99,12 +103,12 @@ class Compiled:
         return new
 
 
-def ready(tables: dict, pattern: str) -> Units:
+def ready(tables: dict, pattern: str) -> Encoder:
     """What this process has learnt so far, kept beside the broadcast tables for its later tasks."""
-    if ("units", pattern) not in tables:
+    if ("encoder", pattern) not in tables:
         plain = {k: v for k, v in tables.items() if isinstance(k, str)}
-        tables["units", pattern] = Units(Transducer(Compiled.of(plain)), pattern)
-    return tables["units", pattern]
+        tables["encoder", pattern] = Encoder(Transducer(Compiled.of(plain)), pattern)
+    return tables["encoder", pattern]
 
 
 class Transducer:
@@ -112,7 +116,7 @@ class Transducer:
 
     def __init__(self, compiled: Compiled):
         self.c = compiled
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pairs: dict[int, bool] = {}  # left << 17 | right
         self.spines: tuple[dict, dict] = ({}, {})
         self._clear()
 
@@ -120,7 +124,47 @@ class Transducer:
         self.number = {(0,): 0}  # an open start is its node << 17 | last token + 1
         self.states = [(0,)]
         self.last = [-1]
-        self.moves: dict[int, int] = {}  # state << 8 | byte to state
+        # open addressing: state << 8 | byte to state, looked up for many pieces at once
+        self.keys = np.full(1 << MOVE_BITS, -1, np.int64)
+        self.to = np.zeros(1 << MOVE_BITS, np.int32)
+        self.moves = 0
+        self.single: dict[int, int] = {}  # the same for pieces that are read one by one
+
+    def tidy(self) -> None:
+        """Forget everything if that has become much; between texts only."""
+        if self.full():
+            self._clear()
+
+    def full(self) -> bool:
+        return len(self.states) > MOST_STATES or 2 * self.moves > len(self.keys)
+
+    def _place(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - MOVE_BITS)).astype(np.int64)
+
+    def _find(self, keys: np.ndarray) -> np.ndarray:
+        """The state that each move leads to, or -1 for moves not met yet."""
+        out, rows, at = np.full(len(keys), -1, np.int32), np.arange(len(keys)), self._place(keys)
+        while len(rows):
+            there = self.keys[at]
+            hit = there == keys
+            out[rows[hit]] = self.to[at[hit]]
+            on = ~hit & (there >= 0)
+            rows, keys, at = rows[on], keys[on], (at[on] + 1) & (len(self.keys) - 1)
+        return out
+
+    def _put(self, key: int, to: int) -> None:
+        if 10 * self.moves > 8 * len(self.keys):  # a single block with that many moves
+            keys, states = self.keys[self.keys >= 0], self.to[self.keys >= 0]
+            self.keys, self.to, self.moves = np.full(len(self.keys), -1, np.int64), np.zeros(len(self.to), np.int32), 0
+            for k, v in list(zip(keys.tolist(), states.tolist(), strict=True))[-len(self.keys) // 2 :]:
+                self._put(k, v)
+        at = (key * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF) >> 64 - MOVE_BITS
+        while self.keys[at] >= 0:
+            if self.keys[at] == key:
+                return
+            at = at + 1 & len(self.keys) - 1
+        self.keys[at], self.to[at] = key, to
+        self.moves += 1
 
     def _spine(self, token: int, right: int) -> list[tuple[int, float]]:
         """Parts on one edge of a token, outermost first, each with the rank that ends it."""
@@ -138,10 +182,11 @@ class Transducer:
 
     def fits(self, left: int, right: int) -> bool:
         """Whether the two stay apart: no merge over the seam comes before those beside it."""
-        known = self.pairs.get((left, right))
+        known = self.pairs.get(left << 17 | right)
         if known is None:
             if len(self.pairs) > MOST_PAIRS:
                 self.pairs.clear()
+                self.spines = ({}, {})
             known = True
             ranks, data = self.c.ranks, self.c.bytes_of
             for a, a_end in self._spine(left, 1):
@@ -154,7 +199,7 @@ class Transducer:
                             break
                 if not known:
                     break
-            self.pairs[left, right] = known
+            self.pairs[left << 17 | right] = known
         return known
 
     def _move(self, state: int, byte: int) -> int:
@@ -169,12 +214,12 @@ class Transducer:
                 open_.append(node << 17 | last)
             t = token[node]
             if t >= 0 and closed < 0:
-                fits = not last or pairs.get((last - 1, t))
+                fits = not last or pairs.get(last - 1 << 17 | t)
                 if self.fits(last - 1, t) if fits is None else fits:
                     closed = t
         open_.append(closed + 1)  # every prefix has its last token, as all single bytes are tokens
         to = self._state(tuple(open_), closed)
-        self.moves[state << 8 | byte] = to
+        self._put(state << 8 | byte, to)
         return to
 
     def _state(self, starts: tuple[int, ...], last: int) -> int:
@@ -196,19 +241,14 @@ class Transducer:
         return out
 
     def encode(self, piece: bytes) -> list[int]:
-        if len(piece) <= LOOKAHEAD:
-            ends = self._read(piece, 0)[0]
-            at, out, size = len(ends), [], self.c.size
-            while at:
-                t = ends[at - 1]
-                out.append(t)
-                at -= size[t]
-            out.reverse()
-            return out
+        """The tokens of one piece of any length."""
+        self.tidy()
         out, ends, state = [], [], 0
         for at in range(0, len(piece), LOOKAHEAD):
             more, state = self._read(piece[at : at + LOOKAHEAD], state)
             ends += more
+            if at + LOOKAHEAD >= len(piece):
+                break
             # the boundary that all open starts come from
             starts = {len(ends) - self.c.depth[s >> 17] for s in self.states[state]}
             while len(starts) > 1:
@@ -217,57 +257,72 @@ class Transducer:
             settled = starts.pop()
             out += self._back(ends, settled)
             ends = ends[settled:]
+            if self.full():
+                here, last = self.states[state], self.last[state]
+                self._clear()
+                state = self._state(here, last)
         return out + self._back(ends, len(ends))
 
     def _read(self, data: bytes, state: int) -> tuple[list[int], int]:
         """The last token of each prefix, and the state reached."""
-        if len(self.states) > MOST_STATES:
-            here, last = self.states[state], self.last[state]
-            self._clear()
-            state = self._state(here, last)
-        get, last, ends = self.moves.get, self.last, []
-        add = ends.append
+        ends = []
         for byte in data:
-            to = get(state << 8 | byte)
-            state = self._move(state, byte) if to is None else to
-            add(last[state])
+            key = state << 8 | byte
+            to = self.single.get(key)
+            if to is None:
+                to = int(self._find(np.array([key]))[0])
+                to = self.single[key] = self._move(state, byte) if to < 0 else to
+            state = to
+            ends.append(self.last[state])
         return ends, state
 
-
-#: With the usual pattern, a word and perhaps one mark after it are one match each.
-_WORD = regex.compile(r"( ?\p{L}+)([.,]?)")
-
-
-class Units(dict):
-    """Token ids of a unit of text, as int32 bytes, remembered in two generations.
-
-    When the young generation is full it becomes the old one; what is asked for again
-    comes back from there, so frequent units stay.
-    """
-
-    def __init__(self, transducer: Transducer, pattern: str):
-        super().__init__()
-        self.old: dict[str, bytes] = {}
-        self.transducer, self.pattern = transducer, regex.compile(pattern)
-        self.usual = pattern == public_tokenizers.PATTERN
-
-    def __missing__(self, unit: str) -> bytes:
-        ids = self.old.get(unit)
-        if ids is None:
-            encode, word = self.transducer.encode, self.usual and _WORD.fullmatch(unit)
-            if word:
-                found = encode(word[1].encode())
-                if word[2]:
-                    found += encode(word[2].encode())
-            else:
-                found = [i for m in self.pattern.finditer(unit) for i in encode(m[0].encode())]
-            ids = array("i", found).tobytes()
-        if len(unit) <= MEMO_CHARS:
-            if len(self) >= MOST_MEMO:
-                self.old = dict(self)
-                self.clear()
-            self[unit] = ids
-        return ids
+    def encode_all(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Offsets and tokens of many short pieces, stepping side by side."""
+        self.tidy()
+        lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        codes = np.frombuffer(b"".join(pieces), np.uint8)
+        codes = codes.astype(np.int64)
+        order = np.argsort(-lengths, kind="stable")
+        starts = (np.cumsum(lengths) - lengths)[order]
+        left = np.searchsorted(-lengths[order], -np.arange(lengths.max(initial=0)), side="left")  # pieces longer than i
+        reached, state = np.empty(len(codes), np.int32), np.zeros(len(pieces), np.int32)
+        for i, k in enumerate(left):
+            at = starts[:k] + i
+            keys = state[:k].astype(np.int64) << 8 | codes[at]
+            to = self._find(keys)
+            new = np.flatnonzero(to < 0)
+            if len(new):
+                kinds, back = np.unique(keys[new], return_inverse=True)
+                to[new] = np.array([self._move(x >> 8, x & 255) for x in kinds.tolist()], np.int32)[back]
+            state[:k] = to
+            reached[at] = to
+        ends = np.array(self.last, np.int32)[reached]
+        # follow the tokens back
+        sizes, at, rows = np.asarray(self.c.size), lengths[order], np.arange(len(pieces))
+        rows = rows[at > 0]
+        found: list[tuple[np.ndarray, np.ndarray]] = []
+        counts = np.zeros(len(pieces), np.int64)
+        while len(rows):
+            t = ends[starts[rows] + at[rows] - 1]
+            found.append((rows, t))
+            counts[rows] += 1
+            at[rows] -= sizes[t]
+            rows = rows[at[rows] > 0]
+        of_piece = np.empty(len(pieces), np.int64)
+        of_piece[order] = counts
+        offsets = np.concatenate([[0], np.cumsum(of_piece)])
+        tokens = np.empty(offsets[-1], np.int32)
+        for j, (rows, t) in enumerate(found):
+            tokens[offsets[order[rows] + 1] - 1 - j] = t
+        return offsets, tokens
+
+
+def ragged(offsets: np.ndarray, values: np.ndarray, take: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Offsets and values of the rows ``take`` of a ragged array."""
+    counts = (offsets[1:] - offsets[:-1])[take]
+    ends = np.concatenate([[0], np.cumsum(counts)])
+    at = np.arange(ends[-1]) + np.repeat(offsets[:-1][take] - ends[:-1], counts)
+    return ends, values[at]
 
 
 #: A gap that ends in a space and begins with another blank; such texts are not cut at spaces.
@@ -279,19 +334,65 @@ def has_wide_gap(text: str) -> bool:
     return any(g in text for g in _ASCII_GAPS) if text.isascii() else bool(_WIDE_GAP.search(text))
 
 
-def encode_text(units: Units, text: str) -> np.ndarray:
-    """Ids of a whole text, each match of the pattern by itself.
+class Encoder:
+    """Encodes blocks of texts, each match of the pattern by itself.
 
     A match ends before any run of white space, so where runs that hold a space are
-    single spaces, the text is cut before each space and units repeat.
+    single spaces, a text is cut before each space, and equal units are encoded once.
     """
-    if not text:
-        return np.zeros(0, np.int32)
-    if has_wide_gap(text):
-        return np.frombuffer(b"".join(map(units.__getitem__, _cut_wide(text))), np.int32)
-    first, *rest = text.split(" ")
-    got = [units[first]] if first else []
-    return np.frombuffer(b"".join(chain(got, map(units.__getitem__, [" " + x for x in rest]))), np.int32)
+
+    def __init__(self, transducer: Transducer, pattern: str):
+        self.transducer, self.pattern = transducer, regex.compile(pattern)
+
+    def found(self, text: str) -> list[str]:
+        return [m[0] for m in self.pattern.finditer(text)] if self.pattern.groups else self.pattern.findall(text)
+
+    def block(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Offsets and ids of the texts."""
+        units: list[str] = []
+        ends = [0]
+        for text in texts:
+            if text and has_wide_gap(text):
+                units += _cut_wide(text)
+            elif text:
+                first, *rest = text.split(" ")
+                units += [first, *[" " + x for x in rest]] if first else [" " + x for x in rest]
+            ends.append(len(units))
+        number = {u: i for i, u in enumerate(dict.fromkeys(units))}
+        # what would run into its neighbour when joined to it, and long units, by themselves
+        plain, apart = [], []
+        for u in number:
+            (plain if u[0] == " " and len(u) <= SIDE_BY_SIDE and not u[-1].isspace() else apart).append(u)
+        pieces = self.found("".join(plain))
+        if sum(map(len, pieces)) != sum(map(len, plain)):  # a pattern that passes text over
+            plain, apart, pieces = [], list(number), []
+        parts = [self.found(u) for u in apart]
+        kinds = {p: i for i, p in enumerate(dict.fromkeys(chain(pieces, (p for x in parts for p in x if len(p) <= SIDE_BY_SIDE))))}
+        offsets, tokens = self.transducer.encode_all(list(map(str.encode, kinds)))
+        kind = np.fromiter(map(kinds.__getitem__, pieces), np.int64, len(pieces))
+        ends_p, tokens_p = ragged(offsets, tokens, kind)
+        # units are runs of whole pieces: pieces that end where a unit ends
+        piece_ends = np.cumsum(np.fromiter(map(len, pieces), np.int64, len(pieces)))
+        unit_ends = np.cumsum(np.fromiter(map(len, plain), np.int64, len(plain)))
+        stops = ends_p[np.searchsorted(piece_ends, unit_ends) + 1] if len(plain) else np.zeros(0, np.int64)
+        others = []
+        for x in parts:
+            ids = [tokens[offsets[kinds[p]] : offsets[kinds[p] + 1]] if p in kinds else np.array(self.transducer.encode(p.encode()), np.int32) for p in x]
+            others.append(np.concatenate(ids) if ids else tokens[:0])
+        stops = np.concatenate([[0], stops, (ends_p[-1] if len(pieces) else 0) + np.cumsum([len(x) for x in others])]).astype(np.int64)
+        values = np.concatenate([tokens_p, *others]).astype(np.int32)
+        place = np.empty(len(number), np.int64)
+        for i, u in enumerate(plain):
+            place[number[u]] = i
+        for i, u in enumerate(apart, len(plain)):
+            place[number[u]] = i
+        take = place[np.fromiter(map(number.__getitem__, units), np.int64, len(units))]
+        unit_offsets, ids = ragged(stops, values, take)
+        return unit_offsets[np.array(ends)], ids
+
+
+def encode_text(encoder: Encoder, text: str) -> np.ndarray:
+    return encoder.block([text])[1]
 
 
 def _cut_wide(text: str) -> Iterator[str]:
@@ -314,18 +415,19 @@ def encode(documents: DataFrame, path: str | None = None, pattern: str = public_
     shared = documents.sparkSession.sparkContext.broadcast(vars(Compiled(read_ranks(path or public_tokenizers.path(RANKS)))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        units = ready(shared.value, pattern)
+        encoder = ready(shared.value, pattern)
         for batch in batches:
-            rows, held, begin = [], 0, 0
-            texts = batch.column("text").to_pylist()
-            for i, text in enumerate(texts):
-                rows.append(encode_text(units, text or ""))
-                held += len(rows[-1])
-                if held > 1 << 21 or i == len(texts) - 1:  # bounded batches out, whatever came in
-                    ends = np.cumsum([0, *map(len, rows)]).astype(np.int32)
-                    ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(rows)))
-                    yield pa.RecordBatch.from_arrays([batch.column("id").slice(begin, len(rows)), ids], names=["id", "ids"])
-                    rows, held, begin = [], 0, i + 1
+            texts, ids_of, rows = batch.column("text"), batch.column("id"), batch.num_rows
+            begin = 0
+            while begin < rows:  # bounded batches out, whatever came in
+                block, held = [], 0
+                while begin + len(block) < rows and held < BLOCK_CHARS:
+                    block.append(texts[begin + len(block)].as_py() or "")
+                    held += len(block[-1])
+                offsets, ids = encoder.block(block)
+                lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids))
+                yield pa.RecordBatch.from_arrays([ids_of.slice(begin, len(block)), lists], names=["id", "ids"])
+                begin += len(block)
 
     kind = documents.schema[id_col].dataType.simpleString()
     plain = documents.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
