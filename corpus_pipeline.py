@@ -36,7 +36,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token counts and digests of ids and of what they decode to, a row for each row."""
-    return queries.bpe_digests(bpe.encode(docs))
+    return queries.bpe_digests(bpe.round_trip(docs))
 
 
 STAGES = [

@@ -34,13 +34,13 @@ import regex
 
 RANKS = "byte_bpe_50k.tiktoken"
 LOOKAHEAD = 4096
-MOST_STATES = 150_000
+MOST_STATES = 120_000
 MOVE_BITS = 20  # the table of moves has 2 to this many places; it is emptied when half full
 MOST_PAIRS = 100_000
 #: Pieces of more characters are read one by one.
 SIDE_BY_SIDE = 96
 #: Characters of text in a block; a longer text is a block of its own.
-BLOCK_CHARS = 2 << 20
+BLOCK_CHARS = 1 << 20
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -417,23 +417,51 @@ def encode(documents: DataFrame, path: str | None = None, pattern: str = public_
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = ready(shared.value, pattern)
         for batch in batches:
-            texts, ids_of, rows = batch.column("text"), batch.column("id"), batch.num_rows
-            begin = 0
-            while begin < rows:  # bounded batches out, whatever came in
-                block, held = [], 0
-                while begin + len(block) < rows and held < BLOCK_CHARS:
-                    block.append(texts[begin + len(block)].as_py() or "")
-                    held += len(block[-1])
-                offsets, ids = encoder.block(block)
-                lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids))
-                yield pa.RecordBatch.from_arrays([ids_of.slice(begin, len(block)), lists], names=["id", "ids"])
-                begin += len(block)
+            for ids_of, offsets, ids in _blocks(encoder, batch):
+                yield pa.RecordBatch.from_arrays([ids_of, _lists(offsets, ids)], names=["id", "ids"])
 
     kind = documents.schema[id_col].dataType.simpleString()
     plain = documents.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     return plain.mapInArrow(run, f"id {kind}, ids array<int>").withColumnRenamed("id", id_col)
 
 
+def round_trip(documents: DataFrame, path: str | None = None, pattern: str = public_tokenizers.PATTERN, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The id column, ``ids`` and ``decoded``: ``encode`` and ``decode`` in one pass.
+
+    One Python process a task does both, so the ids cross to Python once and only one
+    vocabulary is in memory.
+    """
+    shared = documents.sparkSession.sparkContext.broadcast(vars(Compiled(read_ranks(path or public_tokenizers.path(RANKS)))))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, vocabulary = ready(shared.value, pattern), shared.value["bytes_of"]
+        for batch in batches:
+            for ids_of, offsets, ids in _blocks(encoder, batch):
+                texts = [decoded(vocabulary, ids[a:b].tolist()) for a, b in zip(offsets, offsets[1:], strict=False)]
+                yield pa.RecordBatch.from_arrays([ids_of, _lists(offsets, ids), pa.array(texts, pa.string())], names=["id", "ids", "decoded"])
+
+    kind = documents.schema[id_col].dataType.simpleString()
+    plain = documents.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    return plain.mapInArrow(run, f"id {kind}, ids array<int>, decoded string").withColumnRenamed("id", id_col)
+
+
+def _blocks(encoder: Encoder, batch: pa.RecordBatch) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
+    """Row ids, offsets and token ids of blocks of bounded size, whatever came in."""
+    texts, ids_of, begin = batch.column("text"), batch.column("id"), 0
+    while begin < batch.num_rows:
+        block, held = [], 0
+        while begin + len(block) < batch.num_rows and held < BLOCK_CHARS:
+            block.append(texts[begin + len(block)].as_py() or "")
+            held += len(block[-1])
+        offsets, ids = encoder.block(block)
+        yield ids_of.slice(begin, len(block)), offsets, ids
+        begin += len(block)
+
+
+def _lists(offsets: np.ndarray, ids: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids))
+
+
 def decoded(bytes_of: list[bytes], ids: list[int], step: int = 4096) -> str:
     """Text of token ids, streamed: tokens end anywhere within a character.
 
