@@ -28,7 +28,6 @@ import hashlib
 import html
 import re
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
