@@ -8,7 +8,10 @@ and deleted. Three things are not left to chance:
 * Menus, adverts and footers often rotate their words. A line inside an element that
   names itself as such (``nav``, ``footer``, ``class="ad"``) is aligned by its place in
   the template, and if the neighbour lacks it, it goes all the same.
-* A neighbour that shares at least half of a page's own lines may be a copy of it, which
+* Pages of a host with the same own lines (mirrors, print views, ``?ref=`` variants) are one
+  class. Classes are paired, not pages, so copies never ask each other, however many there
+  are and wherever their paths sort; a class stands where its first page does.
+* A neighbour that shares at least half of a page's own lines may still be a copy of it, which
   says nothing about the template; the next ones are asked too, and two must agree.
 * What stands in an ``article`` or ``main`` element is the author's: a passage that two
   articles share is restored. Pages without such an element keep what is not shared.
@@ -34,8 +37,8 @@ from pyspark.sql import functions as F
 
 from gleanery.session import written
 
-BLOCK = 512  # pages in one alignment task
-REACH = 4  # neighbours on each side that may be asked
+BLOCK = 512  # classes of pages in one alignment task
+REACH = 4  # neighbouring classes on each side that may be asked
 
 # Elements that hold no text of the page, that begin a new line, that are no
 # content wherever they stand, and that close themselves.
@@ -70,6 +73,11 @@ class Page:
     chrome: list[bool] = field(default_factory=list)
     rooted: list[bool] = field(default_factory=list)  # inside article, or main where there is no article
 
+    def own(self) -> list[int]:
+        """Lines that may be text: those of the article or, without one, all that are content."""
+        own = [i for i, r in enumerate(self.rooted) if r and not self.chrome[i]]
+        return own or [i for i, c in enumerate(self.chrome) if not c]
+
 
 def _is_chrome(name: str, attributes: str) -> bool:
     if name in CHROME:
@@ -216,24 +224,24 @@ def common_lines(a: Sequence[int], b: Sequence[int]) -> list[int]:
     return out + chain[::-1] + tail[::-1]
 
 
-def shared_with(own: dict, sides: Sequence[Sequence[dict]]) -> set[int]:
+def shared_with(page: dict, sides: Sequence[Sequence[dict]]) -> set[int]:
     """Lines of a page that its neighbours share; each side has the nearest first.
 
-    The nearest on a side counts. One that shares at least half of the lines may be a
-    copy, or both may be little but template: what it shares counts only where a second
+    The nearest on a side counts. One that shares at least half of the page's own lines may
+    be a copy, or both may be little but template: what it shares counts only where a second
     neighbour shares it too, and the next one on the side is asked as well.
     """
     out: set[int] = set()
     times: Counter[int] = Counter()
-    content = [i for i, k in enumerate(own["keys"]) if not k & 1]
+    own = set(page["own"])
     for others in sides:
         for other in others:
-            hit = common_lines(own["keys"], other["keys"])
+            hit = common_lines(page["keys"], other["keys"])
             times.update(hit)
-            if 2 * len(set(hit).intersection(content)) < len(content):
+            if 2 * len(own.intersection(hit)) < len(own):
                 out.update(hit)
                 break
-    return out | {i for i, n in times.items() if n > 1 or own["keys"][i] & 1}
+    return out | {i for i, n in times.items() if n > 1}
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -254,18 +262,21 @@ def _keyed(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataFr
 def _outline(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         pages = [read_page(x or "") for x in b.column("html").to_pylist()]
+        keys = [[line_hash(k) for k in p.keys] for p in pages]
+        own = [p.own() for p in pages]
+        names = [",".join((h, *(str(k[i]) for i in o))) for h, k, o in zip(b.column("host").to_pylist(), keys, own, strict=True)]
+        classes = [hashlib.blake2b(n.encode("utf-8", "replace"), digest_size=16).digest() for n in names]
         yield pa.RecordBatch.from_arrays(
-            [b.column("host"), b.column("path"), b.column("page_key"), pa.array([[line_hash(k) & ~1 | c for k, c in zip(p.keys, p.chrome, strict=True)] for p in pages], pa.list_(pa.int64()))],
-            names=["host", "path", "page_key", "keys"],
+            [b.column("host"), b.column("path"), b.column("page_key"), pa.array(classes, pa.binary()), pa.array(keys, pa.list_(pa.int64())), pa.array(own, pa.list_(pa.int32()))],
+            names=["host", "path", "page_key", "class", "keys", "own"],
         )
 
 
-#: A key's lowest bit is set for lines of elements that are no content.
-OUTLINE = "host string, path string, page_key binary, keys array<bigint>"
+OUTLINE = "host string, path string, page_key binary, class binary, keys array<bigint>, own array<int>"
 
 
 def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Blocks arrive whole and in order; each page is compared with those around it."""
+    """Blocks arrive whole and in order; each class is compared with those around it."""
 
     def done(rows: list[dict]) -> pa.RecordBatch:
         out = []
@@ -274,8 +285,10 @@ def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 continue
             before = [r for r in rows[max(0, i - REACH) : i][::-1] if r["host"] == row["host"]]
             after = [r for r in rows[i + 1 : i + 1 + REACH] if r["host"] == row["host"]]
-            out.append((row["page_key"], sorted(shared_with(row, (before, after)))))
-        return pa.RecordBatch.from_arrays([pa.array([k for k, _ in out], pa.binary()), pa.array([s for _, s in out], pa.list_(pa.int32()))], names=["page_key", "shared"])
+            gone = shared_with(row, (before, after))
+            rest = sorted(set(range(len(row["keys"]))).difference(row["own"]))
+            out.append((row["class"], [n for n, line in enumerate(row["own"] + rest) if line in gone]))
+        return pa.RecordBatch.from_arrays([pa.array([k for k, _ in out], pa.binary()), pa.array([s for _, s in out], pa.list_(pa.int32()))], names=["class", "shared"])
 
     held: list[dict] = []
     for b in batches:
@@ -289,34 +302,39 @@ def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def shared_lines(pages: DataFrame) -> DataFrame:
-    """``page_key`` and the numbers of the lines shared with neighbours, for each different row."""
+    """``page_key`` and the numbers of the lines shared with neighbours, for each different row.
+
+    Own lines are numbered from 0, the same in all pages of a class. Numbers after those
+    count what else the first page of the class has, which is no text anyway.
+    """
     host, path = host_and_path(F.col("url"))
     outlines = pages.withColumn("host", host).withColumn("path", path).select("html", "host", "path", "page_key").mapInArrow(_outline, OUTLINE)
-    outlines = written(outlines, "html-outlines").dropDuplicates(["page_key"])
+    outlines = written(outlines, "html-outlines")
+    # copies of a class meet before the shuffle, and the one that comes first stands for all
+    first = outlines.groupBy("class").agg(F.min(F.struct("host", "path", "page_key", "keys", "own")).alias("page")).select("class", "page.*")
     order = ["host", "path", "page_key"]
     # the high bits of such an id are the partition, the low bits the place in it
-    numbered = outlines.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("id", F.monotonically_increasing_id())
+    numbered = first.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("id", F.monotonically_increasing_id())
     part, inside = F.shiftright("id", 33), F.col("id").bitwiseAND(F.lit((1 << 33) - 1))
-    ranges = written(numbered.select(part.alias("part"), inside.alias("inside"), "host", "page_key", "keys"), "html-order")
+    ranges = written(numbered.select(part.alias("part"), inside.alias("inside"), "host", "class", "keys", "own"), "html-order")
     counts = ranges.groupBy("part").agg(F.count("*").alias("n"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))  # one row for each range
     placed = ranges.join(F.broadcast(offsets), "part").withColumn("place", F.col("offset") + F.col("inside")).drop("part", "offset", "inside")
-    block = F.floor(F.col("place") / BLOCK)
-    within = F.col("place") % BLOCK
-    near = F.array_compact(F.array(F.lit(0), F.when(within < REACH, -1), F.when(within >= BLOCK - REACH, 1)))
-    spread = placed.withColumn("to", F.explode(near)).withColumn("block", block + F.col("to")).withColumn("margin", F.col("to") != 0)
+    home = F.floor(F.col("place") / BLOCK)
+    asks = F.sequence(F.floor((F.col("place") - REACH) / BLOCK), F.floor((F.col("place") + REACH) / BLOCK))
+    spread = placed.select("*", home.alias("home"), F.explode(asks).alias("block")).withColumn("margin", F.col("block") != F.col("home"))
     dealt = spread.repartition("block").sortWithinPartitions("block", "place")
-    return dealt.select("block", "margin", "host", "page_key", "keys").mapInArrow(_aligned, "page_key binary, shared array<int>")
+    found = dealt.select("block", "margin", "host", "class", "keys", "own").mapInArrow(_aligned, "class binary, shared array<int>")
+    return outlines.select("page_key", "class").join(found.filter(F.size("shared") > 0), "class").select("page_key", "shared").dropDuplicates(["page_key"])
 
 
 def main_text(source: str | None, shared: Sequence[int] | None) -> str:
     """What is left of a page: its article or, without one, the lines that are not the site's."""
     page, gone = read_page(source or ""), set(() if shared is None else shared)
-    own = [i for i, r in enumerate(page.rooted) if r and not page.chrome[i]]
-    if not own:
-        own = [i for i in range(len(page.lines)) if i not in gone and not page.chrome[i]]
-    return "\n".join(page.lines[i] for i in own)
+    if any(page.rooted):
+        gone = set()
+    return "\n".join(page.lines[i] for n, i in enumerate(page.own()) if n not in gone)
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

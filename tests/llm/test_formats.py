@@ -49,6 +49,21 @@ def test_pages_without_a_root_lose_what_neighbours_share(spark):
     assert got[100] == got[15] and got[200] == "Our site\nAlone"
 
 
+@pytest.mark.parametrize("copies", [3, 1000])
+def test_copies_of_a_page_do_not_delete_its_text(spark, copies):
+    def page(i, menu):
+        return f"<body><nav>{menu}</nav><div>Our site</div><div>Home - News</div><p>Story {i} begins.</p><p>Story {i} goes on.</p><p>Story {i} ends.</p><div>Read more</div></body>"
+
+    rows = [(i, f"https://host/news/{i:03d}", page(i, "Menu")) for i in range(20)]
+    rows += [(1000 + n, f"https://host/news/010?ref={n}", page(10, f"Menu {n}" * (n % 2))) for n in range(copies)]
+    rows += [(9000 + n, f"https://mirror/a?ref={n}", page("M", "Menu")) for n in range(copies)]  # nothing but copies on this host
+    got = text_of(pages(spark, rows).repartition(3))
+    text = "Story {0} begins.\nStory {0} goes on.\nStory {0} ends."
+    assert all(got[i] == text.format(i) for i in range(20))
+    assert {got[1000 + n] for n in range(copies)} == {text.format(10)}
+    assert all(text.format("M") in got[9000 + n] for n in range(copies))
+
+
 def test_pairs_do_not_depend_on_blocks_or_partitions(spark, sf_dir, monkeypatch):
     df = spark.read.parquet(f"{sf_dir}/pages.parquet")
     want = {bytes(r.page_key): r.shared for r in html_diff.shared_lines(html_diff._keyed(df, "page_id", "url", "html")).collect()}
