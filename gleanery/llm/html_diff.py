@@ -13,8 +13,10 @@ and deleted. Three things are not left to chance:
   are and wherever their paths sort; a class stands where its first page does.
 * A neighbour that shares at least half of a page's own lines may still be a copy of it, which
   says nothing about the template; the next ones are asked too, and two must agree.
-* What stands in an ``article`` or ``main`` element is the author's: a passage that two
-  articles share is restored. Pages without such an element keep what is not shared.
+* In an ``article`` or ``main`` element a shared line may be a quote or a repeated passage of
+  the author's. It is deleted as well, unless most of the nearest other texts of the host
+  lack it or fewer than two have it; near copies among them have one vote together. Pages
+  without such an element keep what is not shared.
 
 Pairs are found over the lines' hashes alone. A running number over ranges of URLs cuts
 the order into even blocks with a margin, so a host with a third of all pages is spread
@@ -39,6 +41,7 @@ from gleanery.session import written
 
 BLOCK = 512  # classes of pages in one alignment task
 REACH = 4  # neighbouring classes on each side that may be asked
+JURY = 16  # neighbouring classes on each side that vote on a shared line of an article
 
 # Elements that hold no text of the page, that begin a new line, that are no
 # content wherever they stand, and that close themselves.
@@ -244,6 +247,34 @@ def shared_with(page: dict, sides: Sequence[Sequence[dict]]) -> set[int]:
     return out | {i for i, n in times.items() if n > 1}
 
 
+def near_copies(a: set[int], b: set[int]) -> bool:
+    """Whether more than four fifths of the smaller text's different lines are in the other."""
+    small = min(len(a), len(b))
+    return small > 0 and 5 * len(a & b) > 4 * small
+
+
+def site_lines(page: dict, sides: Sequence[Sequence[dict]]) -> set[int]:
+    """Lines of an article that its nearest neighbours share and at least half of a jury has.
+
+    Near copies of each other, of the page itself too, have one vote together, and two
+    votes are needed: what only a copy or a quote has in common stays.
+    """
+    own = set(page["own"])
+    doubtful = {i for others in sides for o in others[:REACH] for i in common_lines(page["keys"], o["keys"])} & own
+    if not doubtful:
+        return set()
+    groups: list[tuple[set[int], set[int]]] = []  # the first text of a group, and all its lines
+    for other in (o for others in sides for o in others):
+        lines = {other["keys"][i] for i in other["own"]}
+        group = next((g for g in groups if near_copies(g[0], lines)), None)
+        if group:
+            group[1].update(lines)
+        elif lines:
+            groups.append((lines, set(lines)))
+    votes = {i: sum(page["keys"][i] in g for _, g in groups) for i in doubtful}
+    return {i for i, n in votes.items() if n > 1 and 2 * n >= len(groups)}
+
+
 def host_and_path(url: Column) -> tuple[Column, Column]:
     """Host without user and port, in lower case; and the path with its query. Empty for null."""
     rest = F.regexp_replace(F.coalesce(url.cast("string"), F.lit("")), r"\A[A-Za-z][A-Za-z0-9+.-]*://|\A//", "")
@@ -264,15 +295,15 @@ def _outline(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pages = [read_page(x or "") for x in b.column("html").to_pylist()]
         keys = [[line_hash(k) for k in p.keys] for p in pages]
         own = [p.own() for p in pages]
-        names = [",".join((h, *(str(k[i]) for i in o))) for h, k, o in zip(b.column("host").to_pylist(), keys, own, strict=True)]
+        names = [",".join((h, str(any(p.rooted)), *(str(k[i]) for i in o))) for h, p, k, o in zip(b.column("host").to_pylist(), pages, keys, own, strict=True)]
         classes = [hashlib.blake2b(n.encode("utf-8", "replace"), digest_size=16).digest() for n in names]
         yield pa.RecordBatch.from_arrays(
-            [b.column("host"), b.column("path"), b.column("page_key"), pa.array(classes, pa.binary()), pa.array(keys, pa.list_(pa.int64())), pa.array(own, pa.list_(pa.int32()))],
-            names=["host", "path", "page_key", "class", "keys", "own"],
+            [b.column("host"), b.column("path"), b.column("page_key"), pa.array(classes, pa.binary()), pa.array(keys, pa.list_(pa.int64())), pa.array(own, pa.list_(pa.int32())), pa.array([any(p.rooted) for p in pages])],
+            names=["host", "path", "page_key", "class", "keys", "own", "rooted"],
         )
 
 
-OUTLINE = "host string, path string, page_key binary, class binary, keys array<bigint>, own array<int>"
+OUTLINE = "host string, path string, page_key binary, class binary, keys array<bigint>, own array<int>, rooted boolean"
 
 
 def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -283,9 +314,11 @@ def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for i, row in enumerate(rows):
             if row["margin"]:
                 continue
-            before = [r for r in rows[max(0, i - REACH) : i][::-1] if r["host"] == row["host"]]
-            after = [r for r in rows[i + 1 : i + 1 + REACH] if r["host"] == row["host"]]
-            gone = shared_with(row, (before, after))
+            before = [r for r in rows[max(0, i - JURY) : i][::-1] if r["host"] == row["host"]]
+            after = [r for r in rows[i + 1 : i + 1 + JURY] if r["host"] == row["host"]]
+            gone = shared_with(row, (before[:REACH], after[:REACH]))
+            if row["rooted"]:
+                gone = gone.difference(row["own"]) | site_lines(row, (before, after))
             rest = sorted(set(range(len(row["keys"]))).difference(row["own"]))
             out.append((row["class"], [n for n, line in enumerate(row["own"] + rest) if line in gone]))
         return pa.RecordBatch.from_arrays([pa.array([k for k, _ in out], pa.binary()), pa.array([s for _, s in out], pa.list_(pa.int32()))], names=["class", "shared"])
@@ -311,29 +344,27 @@ def shared_lines(pages: DataFrame) -> DataFrame:
     outlines = pages.withColumn("host", host).withColumn("path", path).select("html", "host", "path", "page_key").mapInArrow(_outline, OUTLINE)
     outlines = written(outlines, "html-outlines")
     # copies of a class meet before the shuffle, and the one that comes first stands for all
-    first = outlines.groupBy("class").agg(F.min(F.struct("host", "path", "page_key", "keys", "own")).alias("page")).select("class", "page.*")
+    first = outlines.groupBy("class").agg(F.min(F.struct("host", "path", "page_key", "keys", "own", "rooted")).alias("page")).select("class", "page.*")
     order = ["host", "path", "page_key"]
     # the high bits of such an id are the partition, the low bits the place in it
     numbered = first.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("id", F.monotonically_increasing_id())
     part, inside = F.shiftright("id", 33), F.col("id").bitwiseAND(F.lit((1 << 33) - 1))
-    ranges = written(numbered.select(part.alias("part"), inside.alias("inside"), "host", "class", "keys", "own"), "html-order")
+    ranges = written(numbered.select(part.alias("part"), inside.alias("inside"), "host", "class", "keys", "own", "rooted"), "html-order")
     counts = ranges.groupBy("part").agg(F.count("*").alias("n"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))  # one row for each range
     placed = ranges.join(F.broadcast(offsets), "part").withColumn("place", F.col("offset") + F.col("inside")).drop("part", "offset", "inside")
     home = F.floor(F.col("place") / BLOCK)
-    asks = F.sequence(F.floor((F.col("place") - REACH) / BLOCK), F.floor((F.col("place") + REACH) / BLOCK))
+    asks = F.sequence(F.floor((F.col("place") - JURY) / BLOCK), F.floor((F.col("place") + JURY) / BLOCK))
     spread = placed.select("*", home.alias("home"), F.explode(asks).alias("block")).withColumn("margin", F.col("block") != F.col("home"))
     dealt = spread.repartition("block").sortWithinPartitions("block", "place")
-    found = dealt.select("block", "margin", "host", "class", "keys", "own").mapInArrow(_aligned, "class binary, shared array<int>")
+    found = dealt.select("block", "margin", "host", "class", "keys", "own", "rooted").mapInArrow(_aligned, "class binary, shared array<int>")
     return outlines.select("page_key", "class").join(found.filter(F.size("shared") > 0), "class").select("page_key", "shared").dropDuplicates(["page_key"])
 
 
 def main_text(source: str | None, shared: Sequence[int] | None) -> str:
-    """What is left of a page: its article or, without one, the lines that are not the site's."""
+    """What is left of a page: of its article or, without one, of all content, the lines that are not the site's."""
     page, gone = read_page(source or ""), set(() if shared is None else shared)
-    if any(page.rooted):
-        gone = set()
     return "\n".join(page.lines[i] for n, i in enumerate(page.own()) if n not in gone)
 
 

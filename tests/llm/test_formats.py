@@ -64,6 +64,24 @@ def test_copies_of_a_page_do_not_delete_its_text(spark, copies):
     assert all(text.format("M") in got[9000 + n] for n in range(copies))
 
 
+def test_site_lines_inside_an_article_go_and_quotes_stay(spark):
+    def page(i, *more):
+        told = "".join(f"<p>Story {i}, part {n}.</p>" for n in range(4))
+        return f"<article><h1>Title {i}</h1>{told}{''.join(f'<p>{m}</p>' for m in more)}<div>Read more</div><div>About the author</div></article>"
+
+    quotes = {i: ["A passage that is quoted."] for i in (7, 8, 9)}
+    rows = [(i, f"http://host/news/{i:03d}", page(i, *quotes.get(i, []))) for i in range(40)]
+    # a run of near copies: most of what page 20 stands among, but one vote
+    rows += [(100 + n, f"http://host/news/020-{n:02d}", page(20, f"Printed {n}")) for n in range(30)]
+    rows += [(200 + i, f"http://two/{i}", page(i)) for i in range(2)]  # too few to tell
+    got = text_of(pages(spark, rows).repartition(3))
+    text = lambda i, *more: "\n".join([f"Title {i}", *(f"Story {i}, part {n}." for n in range(4)), *more])
+    for i in range(40):
+        assert got[i] == text(i, *quotes.get(i, [])), i
+    assert all(got[100 + n].startswith(text(20, f"Printed {n}")) for n in range(30))
+    assert got[200] == text(0, "Read more", "About the author")
+
+
 def test_pairs_do_not_depend_on_blocks_or_partitions(spark, sf_dir, monkeypatch):
     df = spark.read.parquet(f"{sf_dir}/pages.parquet")
     want = {bytes(r.page_key): r.shared for r in html_diff.shared_lines(html_diff._keyed(df, "page_id", "url", "html")).collect()}
