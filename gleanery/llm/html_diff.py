@@ -7,7 +7,9 @@ and deleted. Three things are not left to chance:
 
 * Menus, adverts and footers often rotate their words. A line inside an element that
   names itself as such (``nav``, ``footer``, ``class="ad"``) is aligned by its place in
-  the template, and if the neighbour lacks it, it goes all the same.
+  the template, and if the neighbour lacks it, it goes all the same. Names that tell a state
+  (``with-sidebar``, ``comments-open``) name no such element. Where the only ``article`` or
+  ``main`` lies in an element so named, the name is in doubt and neighbours decide instead.
 * Pages of a host with the same own lines (mirrors, print views, ``?ref=`` variants) are one
   class. Classes are paired, not pages, so copies never ask each other, however many there
   are and wherever their paths sort; a class stands where its first page does.
@@ -62,6 +64,13 @@ CHROME_NAMES = frozenset(
     "disclaimer disqus footer footnav gdpr header masthead menu modal nav navbar navigation newsletter notice notices pager pagination "
     "popup promo promoted promotion related replies reply share sharing sidebar sidenav skip social sponsor sponsored subscribe toolbar topbar widget".split()
 )
+#: Names of lists that hold articles of their own, so that an article in them says nothing.
+LIST_NAMES = frozenset(
+    "ad ads adv advert adverts advertisement advertising advertorial comment comments disqus modal popup promo promoted promotion related replies reply sponsor sponsored widget".split()
+)
+#: In a class or id of several parts: what follows the first kind, or stands before the second at the end, is a state.
+STATE_HEADS = frozenset("with has have no not without hide show".split())
+STATE_TAILS = frozenset("open opened closed fixed sticky enabled disabled active inactive collapsed expanded visible hidden on off".split())
 TITLE_NAMES = frozenset("header banner masthead social share widget".split())
 TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>")
 SIMPLE_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>")
@@ -82,29 +91,55 @@ class Page:
         return own or [i for i, c in enumerate(self.chrome) if not c]
 
 
-def _is_chrome(name: str, attributes: str) -> bool:
-    if name in CHROME:
-        return True
+def _named(value: str) -> set[str]:
+    """Parts of a class or id that name the element; those that tell a state of it are left out."""
+    out: set[str] = set()
+    for name in value.split():
+        parts = [p.lower() for p in NAME_PARTS.findall(name)]
+        head = next((n for n, p in enumerate(parts) if p in STATE_HEADS), len(parts))
+        if len(parts) < 2 or parts[-1] not in STATE_TAILS:
+            out.update(parts[:head])
+    return out
+
+
+def _is_chrome(name: str, attributes: str) -> tuple[bool, bool]:
+    """Whether an element says it is no content, and whether that is in doubt if it holds an article."""
+    chrome, doubt = name in CHROME, name == "form" or name not in CHROME
     for key, a, b, c in NAMED.findall(attributes) if attributes else ():
         key, value = key.lower(), a or b or c
         if key == "role":
             if value.strip().lower() in CHROME_ROLES:
-                return True
+                chrome, doubt = True, doubt and name == "form"
         elif key == "hidden" or key == "aria-hidden":
             if key == "hidden" or value.lower() == "true":
-                return True
+                chrome, doubt = True, False
         elif name not in ("html", "body", "main"):
-            parts = {p.lower() for p in NAME_PARTS.findall(value)} & CHROME_NAMES
+            parts = _named(value) & CHROME_NAMES
             # an article or a heading is seldom called a header or a banner for being one
             if parts - TITLE_NAMES if name in HEADINGS or name == "article" else parts:
-                return True
-    return False
+                chrome, doubt = True, doubt and not parts & LIST_NAMES
+    return chrome, chrome and doubt
+
+
+@dataclass
+class Chrome:
+    """An element that says it is no content."""
+
+    inside: Chrome | None  # the next one around it
+    doubt: bool
+    holds: bool = False  # an article or main
+
+    def undone(self, rooted: bool) -> bool:
+        return self.doubt and self.holds and not rooted
 
 
 def read_page(source: str) -> Page:
     """The lines of a page in order. Broken markup never fails; time is linear in the length."""
     page, pieces = Page(), []
-    stack: list[tuple[str, bool, str, str]] = []  # name, chrome, root, slot
+    stack: list[tuple[str, Chrome | None, str, str]] = []  # name, innermost chrome, root, slot
+    marks: list[Chrome | None] = []
+    elements: list[Chrome] = []
+    slots: list[str] = []
     pattern, at, size = TAG, 0, len(source)
     roots: list[str] = []
     opened: dict[str, int] = {}
@@ -116,10 +151,10 @@ def read_page(source: str) -> Page:
         text = " ".join("".join(pieces).split())
         pieces.clear()
         if text:
-            _, chrome, root, slot = stack[-1] if stack else ("", False, "", "")
+            _, chrome, root, slot = stack[-1] if stack else ("", None, "", "")
             page.lines.append(text)
-            page.chrome.append(chrome)
-            page.keys.append(slot if chrome else "t:" + text)
+            marks.append(chrome)
+            slots.append(slot)
             roots.append(root)
 
     while at < size:
@@ -176,13 +211,28 @@ def read_page(source: str) -> Page:
             closes = CLOSING if name in CLOSING else ("p",)
             while stack and stack[-1][0] in closes and (stack[-1][0] in ("p", *HEADINGS) or stack[-1][0] == name):
                 opened[stack.pop()[0]] -= 1
-            _, chrome, root, slot = stack[-1] if stack else ("", False, "", "")
-            own = _is_chrome(name, attributes) or name == "header" and not root
-            if name in ("article", "main") and not (chrome or own):
-                root = "article" if "article" in (name, root) else "main"
-            stack.append((name, chrome or own, root, f"{slot}/{name}" if chrome or own else ""))
+            _, chrome, root, slot = stack[-1] if stack else ("", None, "", "")
+            own, doubt = _is_chrome(name, attributes)
+            if name == "header" and not root and not (own and not doubt):
+                own, doubt = True, False
+            if name in ("article", "main") and not own:
+                if chrome is None:
+                    root = "article" if "article" in (name, root) else "main"
+                around = chrome
+                while around is not None and around.doubt and not around.holds:
+                    around.holds, around = True, around.inside
+            if own:
+                chrome = Chrome(chrome, doubt)
+                elements.append(chrome)
+            stack.append((name, chrome, root, f"{slot}/{name}" if chrome else ""))
             opened[name] = opened.get(name, 0) + 1
     end_line()
+    rooted = any(r and c is None for r, c in zip(roots, marks, strict=True))
+    hides: dict[int, bool] = {}
+    for e in elements:  # those around an element come before it
+        hides[id(e)] = not e.undone(rooted) or e.inside is not None and hides[id(e.inside)]
+    page.chrome = [c is not None and hides[id(c)] for c in marks]
+    page.keys = [slot if c else "t:" + line for slot, c, line in zip(slots, page.chrome, page.lines, strict=True)]
     best = next((r for r in ("article", "main") if any(x == r and not c for x, c in zip(roots, page.chrome, strict=True))), None)
     page.rooted = [best is not None and x == best for x in roots]
     return page

@@ -132,6 +132,27 @@ def test_broken_and_deep_markup():
         assert time.time() - began < 5, piece
 
 
+@pytest.mark.parametrize("wrapper", [
+    "<div class='layout with-sidebar'><article>", "<div class='no-sidebar'><article>", "<div class='header-fixed'><article>",
+    "<div id='contentWithoutComments'><main>", "<article class='post comments-open'>", "<div class='has-nav'><div class='nav-open'><article>",
+])
+def test_a_state_or_wrapper_does_not_hide_the_article(wrapper):
+    read = lambda s: html_diff.main_text(s, None)
+    assert read(f"<nav>Menu</nav>{wrapper}<p>A</p><p>B</p></article></main><div class='sidebar'>s</div>") == "A\nB"
+
+
+def test_neighbours_decide_where_a_wrapper_holds_the_only_article(spark):
+    def page(i, rest=""):
+        return f"<div class='page sidebar'><div>Our site</div><nav>Menu {i}</nav><article><p>Story {i}.</p><p>It ends {i}.</p></article><div>Read more</div><div class='sidebar'>s {i}</div></div>{rest}"
+
+    rows = [(i, f"http://host/{i:02d}", page(i)) for i in range(9)]
+    assert text_of(pages(spark, rows)) == {i: f"Story {i}.\nIt ends {i}." for i in range(9)}
+    read = lambda s: html_diff.main_text(s, None)
+    assert read(page(1, "<article>The real one</article>")) == "The real one"  # nothing in doubt
+    assert read("<p>Text</p><div class='comments'><article>me too</article></div><div class='related'><article>Tease</article></div>") == "Text"
+    assert read("<p>Text</p><nav><article>Tease</article></nav><div hidden class='header'><article>No</article></div>") == "Text"
+
+
 def test_long_page(spark):
     body = "".join(f"<p>paragraph {i}</p>" for i in range(20_000))
     got = text_of(pages(spark, [(1, "http://h/1", f"<div>site</div>{body}"), (2, "http://h/2", "<div>site</div><p>short</p><p>and sweet</p>")]))
