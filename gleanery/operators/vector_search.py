@@ -23,6 +23,17 @@ MAX_CELLS = 2**16
 BLOCK_BYTES = 32 * 2**20
 
 
+# Share of the true neighbours that an approximate search finds unless told otherwise, and
+# the queries and numbers by which that is measured before the search.
+RECALL = 0.9
+SAMPLE = 256
+SAMPLE_NUMBERS = 4_000_000
+
+
+# Bounds of what is derived: pivots and planes are sent to all tasks.
+DERIVED_CELLS, DERIVED_TABLES, DERIVED_BITS = 4096, 64, 12
+
+
 def _rows_per_block(block_rows: int | None, dimension: int) -> int:
     return block_rows or max(1024, BLOCK_BYTES // (8 * dimension))
 
@@ -221,13 +232,69 @@ def _distinct_hits(hits: DataFrame, k: int) -> DataFrame:
     return engine.ranked(once, k)
 
 
+def _true_pairs(q: DataFrame, c: DataFrame, k: int, exclude_same: bool) -> tuple[np.ndarray, np.ndarray, float]:
+    """Unit rows of sampled queries and of their k true neighbours, pair by pair, and the share to be found.
+
+    Queries are picked by the hash of their id and searched exactly. The share lies two
+    standard errors above the recall wanted, as the sample may be lucky.
+    """
+    first = c.select(F.size("value")).first()
+    size = max(32, min(SAMPLE, SAMPLE_NUMBERS // (k * max(1, first[0] if first else 1))))
+    asked = written(q.orderBy(F.md5(F.col("id").cast("string")), "id").limit(size), "recall-sample")
+    hits = exact_search(asked, c, k, "id", "value", "id", "value", exclude_same=exclude_same)
+    items = hits.join(c.select(F.col("id").alias("item_id"), F.col("value").alias("item")), "item_id")
+    found = items.join(asked.select(F.col("id").alias("query_id"), "value"), "query_id").select("query_id", "value", "item").toArrow().combine_chunks()
+    if not found.num_rows:
+        return np.empty((0, 0)), np.empty((0, 0)), 1.0
+    queries = len(found.column(0).unique())
+    share = min(1.0, RECALL + 2.0 * (RECALL * (1.0 - RECALL) / queries) ** 0.5)
+    return unit_rows(found.column(1).combine_chunks()), unit_rows(found.column(2).combine_chunks()), share
+
+
+def _probes_for(pivots: np.ndarray, asked: np.ndarray, items: np.ndarray, share: float) -> int:
+    """The fewest cells that hold the share of true neighbours; all of them where there is no sample."""
+    if not len(asked):
+        return len(pivots)
+    place = _chord(asked, pivots).argsort(axis=1).argsort(axis=1)
+    needed = np.sort(place[np.arange(len(items)), _chord(items, pivots).argmin(axis=1)] + 1)
+    return int(needed[int(np.ceil(share * len(needed))) - 1])
+
+
+def _hashing_for(
+    rows: int, dimension: int, asked: np.ndarray, items: np.ndarray, share: float, bits: int | None, tables: int | None,
+) -> tuple[int, int]:
+    """The bits and tables that compare least, tables / 2**bits, and meet the share of true neighbours.
+
+    One table without bits compares everything, so the share is always met unless one
+    of the two is given.
+    """
+    best, least = ((0, 1), 1.0) if bits is None else ((bits, tables or 1), float("inf"))
+    if len(asked):
+        most = max(1, min(DERIVED_BITS, int(rows).bit_length() - 3))
+        choices = [bits] if bits is not None else range(1, most + 1)
+        planes = sign_planes(dimension, max(choices), tables or DERIVED_TABLES)
+        signs = [np.einsum("nd,tbd->ntb", x, planes) >= 0 for x in (asked, items)]
+        same = signs[0] == signs[1]
+        for b in choices:
+            met = np.logical_or.accumulate(same[:, :, :b].all(axis=2), axis=1).mean(axis=0)
+            enough = np.flatnonzero(met >= share)
+            t = tables or (int(enough[0]) + 1 if len(enough) else None)
+            if len(enough) and t << b <= MAX_CELLS and t / (1 << b) < least:
+                best, least = (b, t), t / (1 << b)
+        if least == float("inf"):
+            raise ValueError(f"{bits} bits do not reach a recall of {RECALL} with {tables or DERIVED_TABLES} tables; leave bits out")
+    elif bits is not None:
+        best = (bits, tables or DERIVED_TABLES)
+    return best
+
+
 def hashed_search(
     queries: DataFrame,
     corpus: DataFrame,
     k: int,
     dimension: int,
-    bits: int = 4,
-    tables: int = 8,
+    bits: int | None = None,
+    tables: int | None = None,
     query_id: str = "query_id",
     query_vector: str = "vector",
     corpus_id: str = "chunk_id",
@@ -238,8 +305,14 @@ def hashed_search(
     """Approximate search by random hyperplanes, with exact scores for what is found.
 
     A vector gets one bucket per table, the sign pattern of its dot products.
-    Vectors that share a bucket are compared; a crowded bucket is cut into blocks.
+    Vectors that share a bucket are compared; a crowded bucket is cut into blocks. What
+    is not given of ``bits`` and ``tables`` follows from the row count and from the true
+    neighbours of a sample of the queries, such that ``RECALL`` of them are found. Where
+    hashing saves nothing, everything is compared.
     """
+    q, c = _pair(queries, query_id, query_vector), _pair(corpus, corpus_id, corpus_vector)
+    if bits is None or tables is None:
+        bits, tables = _hashing_for(c.count(), dimension, *_true_pairs(q, c, k, exclude_same), bits, tables)
     if tables << bits > MAX_CELLS:
         raise ValueError(f"tables * 2**bits must not exceed {MAX_CELLS}")
     planes = sign_planes(dimension, bits, tables)
@@ -258,7 +331,6 @@ def hashed_search(
 
         return side.mapInArrow(send, _routed_schema(side))
 
-    q, c = _pair(queries, query_id, query_vector), _pair(corpus, corpus_id, corpus_vector)
     hits = engine.blocked(
         place(q), place(c), CosineScorer(), k, None, exclude_same,
         engine.hits_schema(q.schema[0], c.schema[0]), _rows_per_block(block_rows, dimension),
@@ -270,8 +342,8 @@ def celled_search(
     queries: DataFrame,
     corpus: DataFrame,
     k: int,
-    cells: int = 64,
-    probes: int = 8,
+    cells: int | None = None,
+    probes: int | None = None,
     query_id: str = "query_id",
     query_vector: str = "vector",
     corpus_id: str = "chunk_id",
@@ -279,9 +351,15 @@ def celled_search(
     exclude_same: bool = False,
     block_rows: int | None = None,
 ) -> DataFrame:
-    """Approximate search in the ``probes`` cells nearest to each query."""
+    """Approximate search in the ``probes`` cells nearest to each query.
+
+    By default there are as many cells as the root of the row count, and as many probes as
+    find ``RECALL`` of the true neighbours of a sample of the queries.
+    """
     q, c = _pair(queries, query_id, query_vector), _pair(corpus, corpus_id, corpus_vector)
-    pivots = _pivots(c, cells)
+    pivots = _pivots(c, cells or max(1, min(DERIVED_CELLS, round(c.count() ** 0.5))))
+    if probes is None:
+        probes = _probes_for(pivots, *_true_pairs(q, c, k, exclude_same))
 
     def wanted(vectors: np.ndarray) -> np.ndarray:
         rank = _chord(vectors, pivots).argsort(axis=1).argsort(axis=1)

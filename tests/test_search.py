@@ -120,6 +120,18 @@ def test_celled_search(spark):
     assert vector_search.search_recall(few, exact).agg(F.avg("recall")).first()[0] > 0.8
 
 
+@pytest.mark.parametrize("search,options", [
+    (vector_search.celled_search, {}), (vector_search.celled_search, {"cells": 30}), (vector_search.hashed_search, {"dimension": 24}),
+    (vector_search.hashed_search, {"dimension": 24, "tables": 30}), (vector_search.hashed_search, {"dimension": 24, "bits": 2}),
+])
+def test_defaults_reach_the_recall_without_clusters(spark, search, options):
+    df = frame(spark, np.random.default_rng(4).normal(size=(1200, 24)))
+    exact = vector_search.exact_search(df, df, 5, exclude_same=True, **ASK)
+    hits = search(df, df, 5, exclude_same=True, **options, **ASK)
+    assert vector_search.search_recall(hits, exact).agg(F.avg("recall")).first()[0] >= 0.9
+    assert search(df.limit(0), df, 5, **options, **ASK).count() == 0
+
+
 def test_score_floor_numbers_again(spark):
     hits = spark.createDataFrame([(1, 5, 0.9, 1), (1, 6, 0.2, 2), (1, 7, 0.5, 3)], "query_id long, item_id long, score double, rank int")
     kept = vector_search.with_score_floor(hits, 0.5).orderBy("rank").collect()
