@@ -337,12 +337,14 @@ def has_wide_gap(text: str) -> bool:
 class Encoder:
     """Encodes blocks of texts, each match of the pattern by itself.
 
-    A match ends before any run of white space, so where runs that hold a space are
-    single spaces, a text is cut before each space, and equal units are encoded once.
+    A match of PATTERN ends before any run of white space, so where runs that hold a space
+    are single spaces, a text is cut before each space, and equal units are encoded once.
+    Any other pattern runs over whole texts.
     """
 
     def __init__(self, transducer: Transducer, pattern: str):
         self.transducer, self.pattern = transducer, regex.compile(pattern)
+        self.cuts = pattern == public_tokenizers.PATTERN
 
     def found(self, text: str) -> list[str]:
         return [m[0] for m in self.pattern.finditer(text)] if self.pattern.groups else self.pattern.findall(text)
@@ -352,7 +354,9 @@ class Encoder:
         units: list[str] = []
         ends = [0]
         for text in texts:
-            if text and has_wide_gap(text):
+            if text and not self.cuts:
+                units.append(text)
+            elif text and has_wide_gap(text):
                 units += _cut_wide(text)
             elif text:
                 first, *rest = text.split(" ")
@@ -362,7 +366,7 @@ class Encoder:
         # what would run into its neighbour when joined to it, and long units, by themselves
         plain, apart = [], []
         for u in number:
-            (plain if u[0] == " " and len(u) <= SIDE_BY_SIDE and not u[-1].isspace() else apart).append(u)
+            (plain if self.cuts and u[0] == " " and len(u) <= SIDE_BY_SIDE and not u[-1].isspace() else apart).append(u)
         pieces = self.found("".join(plain))
         if sum(map(len, pieces)) != sum(map(len, plain)):  # a pattern that passes text over
             plain, apart, pieces = [], list(number), []

@@ -244,6 +244,15 @@ def test_other_patterns(units):
     assert [units.transducer.c.bytes_of[i] for i in bpe.encode_text(odd, "ab 12 cd")] == [b"ab", b"cd"]
 
 
+@pytest.mark.parametrize("pattern", [r"\p{L}+|[^\s\p{L}]+[\r\n ]*|\s+", r"\p{L}+ ?|[^\p{L}]+"])
+def test_patterns_that_run_into_white_space(units, pattern):
+    odd, t = bpe.Encoder(units.transducer, pattern), units.transducer
+    texts = ["ab, cd.\n\nef", "x ! \r\n y", "one two  three . ", "a" * 200 + " b ,", "", " cd"]
+    want = [[i for m in odd.pattern.finditer(s) for i in t.encode(m[0].encode())] for s in texts]
+    offsets, ids = odd.block(texts)
+    assert [ids[a:b].tolist() for a, b in zip(offsets, offsets[1:])] == want
+
+
 def test_every_token_is_itself(units):
     c = units.transducer.c
     assert all(units.transducer.encode(data) == [rank] for data, rank in list(c.ranks.items())[::7])
