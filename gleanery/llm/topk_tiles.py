@@ -24,18 +24,22 @@ from gleanery.session import written
 SCALE = 1024
 TILE = 1024  # rows of either side in one product
 SLICE_BYTES = 16 << 20
+BOUND = 2.0**53  # components below it fit into a long when scaled
 FAN_IN = 16
 _LEAST = -(1 << 62)
 
 
 def integral(vector: Column) -> Column:
-    """floor(1024 * x) of each component, or null if one is null, non-finite or beyond a long."""
-    fits = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) < F.lit(2.0**52)))
-    return F.when(vector.isNotNull() & fits, F.transform(vector, lambda x: F.floor(x.cast("double") * SCALE).cast("bigint")))
+    """floor(1024 * x) of each component, or null if one is null or non-finite. One beyond BOUND is an error."""
+    x64 = lambda x: x.cast("double")
+    finite = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x64(x)) != float("inf")))
+    beyond = F.raise_error(F.lit("a vector has a component of 2^53 or more, which does not fit into a long")).cast("bigint")
+    scaled = F.transform(vector, lambda x: F.when(F.abs(x64(x)) < BOUND, F.floor(x64(x) * SCALE).cast("bigint")).otherwise(beyond))
+    return F.when(vector.isNotNull() & finite, scaled)
 
 
 def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    rows = vectors.select(F.col(id_col).cast("bigint").alias("id"), integral(F.col(vector_col)).alias("ints"))
+    rows = vectors.filter(F.col(id_col).isNotNull()).select(F.col(id_col).cast("bigint").alias("id"), integral(F.col(vector_col)).alias("ints"))
     return rows.filter(F.col("id").isNotNull() & F.col("ints").isNotNull())
 
 
@@ -66,7 +70,8 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "v
 
     All rows of ``vectors`` but those of the query's own id are candidates. Rows whose
     id is null or whose vector is null or has a null or non-finite component take no
-    part, as query or candidate. Vectors of another length than the query's score
+    part, as query or candidate. A finite component of 2^53 or more, and an inner product
+    of 2^62 or more, is an error; no such row is left out. Vectors of another length than the query's score
     nothing with it. A query id that is repeated counts once, with its smallest vector;
     repeated candidates each have their place. Fewer than k candidates: all of them.
     Empty tables give no rows. Other columns are not looked at.

@@ -153,6 +153,14 @@ def test_products_are_exact_beyond_doubles():
         topk_tiles.product(a * 1024, a * 1024)
 
 
+def test_topk_drops_no_large_component(spark):
+    df = spark.createDataFrame([(1, [0.0, 2.0**-10]), (2, [2.0**52, 1.0]), (3, [-(2.0**52.5), 2.0]), (4, [float("inf"), 3.0]), (None, [2.0**60, 4.0])], "vec_id long, embedding array<double>")
+    got = topk_tiles.search(df, df.filter("vec_id = 1")).collect()
+    assert [(r.vec_id, r.score) for r in got] == [(3, 2048), (2, 1024)]
+    with pytest.raises(Exception, match="does not fit into a long"):
+        topk_tiles.search(df.union(spark.createDataFrame([(5, [2.0**53, 1.0])], df.schema)), df.filter("vec_id = 1")).collect()
+
+
 def by_hand(text):
     words = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "").encode().split()
     if not words:
