@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanery.llm import bpe, html_diff, language_id, mixing, quality_cnn, quality_rules, sharding, simhash, topk_tiles, warc
+from gleanery.llm import (
+    bpe, html_diff, language_id, mixing, periodic_runs, quality_cnn, quality_rules, sharding, simhash, token_files, topk_tiles,
+    warc,
+)
 from gleanery.llm.common import held_out, table
 
 SHARDS = tuple(f"shard-{i:02d}" for i in range(32))
@@ -69,7 +74,35 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.placed(table(spark, sf_dir, "documents"), "doc_id", SHARDS)
 
 
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.round_trip(table(spark, sf_dir, "documents")).withColumnRenamed("digest", "ids_crc32")
+
+
+def planted(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """The words of a document with a planted repetition, in every tenth document or so."""
+    h = zlib.crc32(str(doc_id).encode()) if doc_id is not None else 1
+    if h % 10 or not words:
+        return words
+    g, n = h // 10, len(words)
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + (words[a : a + p] * -(-(n - a) // p))[: n - a]
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.periodic_runs(table(spark, sf_dir, "documents"), rewrite=planted)
+    order = F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period")))
+    best = F.array_max(order)
+    lines = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])), "\n")
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), (-F.col("best.start")).alias("start"), F.col("best.length").alias("length"),
+        (-F.col("best.period")).alias("period"), F.floor(1000 * F.col("best.length") / -F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.when(F.size("runs") > 0, F.concat(lines, F.lit("\n"))).otherwise(""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {f.__name__: f for f in (
     op1_language_id, op2_html_extraction, op3_simhash, op4_quality_rules, op5_quality_classifier,
     op6_mixing, op7_warc, op8_bpe, op9_topk, op10_sharding,
+    op12_token_files, op13_periodic_runs,
 )}
