@@ -56,4 +56,40 @@ SELECT query_id, rank, vec_id, score FROM (
 ) WHERE rank <= 10
 """
 
-ORACLES = {"op6_mixing": OP6, "op7_warc": OP7, "op9_topk": OP9}
+OP11 = r"""
+WITH RECURSIVE bits AS (
+  SELECT b::BIGINT AS b, b::BIGINT AS c, 0 AS step FROM range(256) t(b)
+  UNION ALL
+  SELECT b, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, step + 1 FROM bits WHERE step < 8
+), crc AS (SELECT list(c ORDER BY b) AS remainders FROM bits WHERE step = 8),
+runs AS (
+  SELECT doc_id, translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{C0}-\x{FF}]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents
+), met AS (SELECT doc_id, run, count(*) AS n FROM runs GROUP BY ALL),
+hashed AS (
+  SELECT doc_id, run, n, xor(4294967295, list_reduce(
+    list_prepend(4294967295::BIGINT, flatten([CASE WHEN unicode(ch) < 128 THEN [unicode(ch)::BIGINT] ELSE [192 + (unicode(ch) >> 6), 128 + (unicode(ch) & 63)]::BIGINT[] END
+                                              FOR ch IN string_split(coalesce(doc_id::VARCHAR, '') || ':' || run, '')])),
+    lambda c, b: xor(c >> 8, remainders[(xor(c, b) & 255) + 1]))) AS h
+  FROM met, crc
+), words AS (
+  SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word, sum(n)::BIGINT AS n
+  FROM hashed GROUP BY ALL HAVING sum(n) >= 5 AND length(word) >= 6
+), coded AS ( -- levenshtein counts bytes: U+00C0 to U+00FF become signs of one byte
+  SELECT word, n, translate(word, (SELECT string_agg(chr((192 + i)::INT), '' ORDER BY i) FROM range(64) t(i)), (SELECT string_agg(chr((33 + i)::INT), '' ORDER BY i) FROM range(64) t(i))) AS one_byte FROM words
+), near AS (
+  SELECT a.word, a.n, count(*) AS n_near, min(struct_pack(less := -b.n, form := b.word)) AS best
+  FROM coded a JOIN coded b ON abs(length(a.word) - length(b.word)) <= 1 AND a.word <> b.word
+    AND levenshtein(a.one_byte, b.one_byte) = 1
+  GROUP BY a.word, a.n
+), forms AS (
+  SELECT w.word, w.n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN -best.less >= 5 * w.n THEN best.form END AS form, CASE WHEN -best.less >= 5 * w.n THEN -best.less END::BIGINT AS form_n
+  FROM words w LEFT JOIN near USING (word)
+), chains AS (
+  SELECT word, word AS root, form AS next FROM forms
+  UNION ALL
+  SELECT c.word, f.word, f.form FROM chains c JOIN forms f ON f.word = c.next
+)
+SELECT f.word, f.form, c.root, f.n, f.n_near, f.form_n FROM forms f JOIN chains c ON c.word = f.word AND c.next IS NULL
+"""
+
+ORACLES = {"op6_mixing": OP6, "op7_warc": OP7, "op9_topk": OP9, "op11_spelling": OP11}

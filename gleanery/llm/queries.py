@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gleanery.llm import (
-    bpe, html_diff, language_id, mixing, periodic_runs, quality_cnn, quality_rules, sharding, simhash, token_files, topk_tiles,
-    warc,
+    bpe, html_diff, language_id, mixing, periodic_runs, quality_cnn, quality_rules, sharding, simhash, spelling, token_files,
+    topk_tiles, warc,
 )
 from gleanery.llm.common import held_out, table
 
@@ -74,6 +74,10 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.placed(table(spark, sf_dir, "documents"), "doc_id", SHARDS)
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"), rewrite=spelling.dropped_letters)
+
+
 def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.round_trip(table(spark, sf_dir, "documents")).withColumnRenamed("digest", "ids_crc32")
 
@@ -104,5 +108,5 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_language_id, op2_html_extraction, op3_simhash, op4_quality_rules, op5_quality_classifier,
     op6_mixing, op7_warc, op8_bpe, op9_topk, op10_sharding,
-    op12_token_files, op13_periodic_runs,
+    op11_spelling, op12_token_files, op13_periodic_runs,
 )}

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from gleanery.llm import periodic_runs, queries, token_files
+from gleanery.llm import periodic_runs, queries, spelling, token_files
 
 SF = "/root/testdata/sf0.01"
 ODD = "doc_id bigint, text string, id string, part int, last string, seq int, runs int"
@@ -208,3 +208,91 @@ def test_runs_of_odd_rows(spark):
     bad = spark.sql("select 1L as doc_id, repeat(cast(x'FF20' as string), 20) as text")
     [row] = periodic_runs.periodic_runs(bad).select("runs", F.hex("collapsed")).collect()
     assert [tuple(x) for x in row[0]] == [(0, 20, 1)] and row[1] == "FF"
+
+
+# -- spelling variants
+
+
+def one_edit(a, b):
+    if len(a) < len(b):
+        a, b = b, a
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b, strict=True)) == 1
+    return len(a) == len(b) + 1 and any(a[:i] + a[i + 1 :] == b for i in range(len(a)))
+
+
+def variants_by_hand(counts):
+    near = {w: [x for x in counts if x != w and one_edit(w, x)] for w in counts}
+    form = {}
+    for w, others in near.items():
+        best = min(others, key=lambda x: (-counts[x], x), default=None)
+        form[w] = best if best is not None and counts[best] >= 5 * counts[w] else None
+    out = []
+    for w in counts:
+        root = w
+        while form[root] is not None:
+            root = form[root]
+        out.append((w, form[w], root, counts[w], len(near[w]), counts[form[w]] if form[w] else None))
+    return sorted(out, key=lambda r: r[0])
+
+
+def words_frame(spark, counts):
+    return spark.createDataFrame(list(counts.items()), "word string, n bigint")
+
+
+@pytest.mark.parametrize("most_pairs", [4096, 4, 1])
+def test_variants_equal_brute_force(spark, monkeypatch, most_pairs):
+    """Few letters, so that words have many neighbours and groups are cut often."""
+    monkeypatch.setattr(spelling.near_pairs, "__defaults__", (most_pairs,))
+    rng = random.Random(most_pairs)
+    counts = {"".join(rng.choices("abé", k=rng.randint(1, 8))): int(rng.paretovariate(0.5)) for _ in range(500)}
+    counts |= {"aaaaaa" + c + "b" * 6: 5**i for i, c in enumerate("abcdefghijklm")}
+    found = spelling.variants(words_frame(spark, counts)).collect()
+    assert sorted(map(tuple, found)) == variants_by_hand(counts)
+
+
+def test_words_that_share_a_half(spark):
+    """Thousands of words under one chunk: no pair is lost, few are compared."""
+    rng = random.Random(4)
+    counts = {"pre" * 4 + "".join(rng.choices("abcdefghij", k=12)): 5 for _ in range(6000)}
+    for w in list(counts)[:300]:
+        i = rng.randrange(12, 24)
+        counts[w[:i] + "z" + w[i + 1 :]] = 30
+    found = {r.word: r for r in spelling.variants(words_frame(spark, counts)).collect()}
+    assert len(found) == len(counts)
+    assert sum(r.form is not None for r in found.values()) == 300
+    assert all(one_edit(r.word, r.form) and r.form_n == 30 for r in found.values() if r.form)
+
+
+def test_words_of_odd_texts(spark):
+    rows = odd_rows(spark).select("doc_id", "text", "id", "part").unionByName(spark.createDataFrame([(5, "Straße STRAße×÷ strÀße", "x", 1)], "doc_id bigint, text string, id string, part int"))
+    found = {r.word: r.n for r in spelling.counted(rows, min_chars=1, min_count=1).collect()}
+    assert found["straße"] == 1 and found["straße×÷"] == 1 and found["strÀße"] == 1 and found["one"] == 1 and found["x"] == 81
+    assert found["É"] + found["alpha"] + found["beta"] + found["gamma"] == 150_000
+    assert spelling.spelling_variants(rows.limit(0)).collect() == []
+    bad = spark.sql("select 1L as doc_id, cast(unhex('6162FF6364C3') as string) as text")
+    assert {r.word for r in spelling.counted(bad, min_chars=1, min_count=1).collect()} == {"ab", "cd"}
+
+
+def test_words_equal_the_pattern():
+    import re
+
+    rng = random.Random(6)
+    chars = "abZ é×÷ÿÀ¿Āſ中😀-'1\n"
+    for _ in range(3000):
+        text = "".join(rng.choices(chars, k=rng.randint(0, 20)))
+        expected = [re.sub("[A-Z]", lambda m: m[0].lower(), w) for w in re.findall("[A-Za-zÀ-ÿ]+", text)]
+        assert [w.decode() for w in spelling.words_of(text.encode())] == expected
+
+
+def test_letters_are_dropped_by_the_rule():
+    words = {f"word{'abcdefghij'[i % 10] * (i // 10)}é".encode() for i in range(400)}
+    changed = 0
+    for doc_id in (7, 12345, None):
+        out = spelling.dropped_letters(doc_id, words)
+        for w in words:
+            h, chars = zlib.crc32(f"{'' if doc_id is None else doc_id}:".encode() + w), w.decode()
+            at = h % len(chars)
+            assert out.get(w, w).decode() == (chars[:at] + chars[at + 1 :] if h % 199 == 0 else chars)
+        changed += len(out)
+    assert changed
