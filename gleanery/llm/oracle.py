@@ -72,8 +72,9 @@ hashed AS (
     lambda c, b: xor(c >> 8, remainders[(xor(c, b) & 255) + 1]))) AS h
   FROM met, crc
 ), words AS (
-  SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word, sum(n)::BIGINT AS n
-  FROM hashed GROUP BY ALL HAVING sum(n) >= 5 AND length(word) >= 6
+  SELECT word, sum(n)::BIGINT AS n
+  FROM (SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word, n FROM hashed)
+  WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5
 ), coded AS ( -- levenshtein counts bytes: U+00C0 to U+00FF become signs of one byte
   SELECT word, n, translate(word, (SELECT string_agg(chr((192 + i)::INT), '' ORDER BY i) FROM range(64) t(i)), (SELECT string_agg(chr((33 + i)::INT), '' ORDER BY i) FROM range(64) t(i))) AS one_byte FROM words
 ), near AS (
