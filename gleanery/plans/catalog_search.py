@@ -7,7 +7,7 @@ import math
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanery.operators import context, evaluate, inference, keyword_search, sync, vector_index, vector_search
+from gleanery.operators import context, evaluate, inference, keyword_search, sync, text_index, vector_index, vector_search
 from gleanery.plans import answer
 from gleanery.plans.catalog_text import fixed_document_chunks, load, long
 from gleanery.session import shared_dir, spread, written
@@ -212,6 +212,13 @@ def keyword_bm25_partitioned(spark, sf):
     return _shown(_bm25(spark, sf, 5, max_small_rows=0, slice_rows=15))
 
 
+def keyword_index(spark, sf):
+    """The same search from a kept inverted index."""
+    path = shared_dir(spark, "text-index")
+    text_index.build_text_index(_documents(spark, sf), path)
+    return _shown(text_index.search_text_index(_benchmark(spark, sf), path, 5))
+
+
 def embed_hashing(spark, sf):
     embedded = inference.embed_texts(
         _documents(spark, sf), "chunk_text", inference.HashingEmbedder(DIMENSION), DIMENSION
@@ -288,7 +295,7 @@ QUERIES = {
         vector_topk, vector_topk_partitioned, vector_topk_filtered, vector_topk_odd, search_coverage,
         embed_failures, vector_hashed_topk,
         vector_celled_topk, search_recall, vector_index_kept, retrieval_eval, retrieval_eval_pairs, retrieval_eval_mean,
-        keyword_bm25, keyword_bm25_partitioned, embed_hashing, hybrid_rrf, rerank_lexical,
+        keyword_bm25, keyword_bm25_partitioned, keyword_index, embed_hashing, hybrid_rrf, rerank_lexical,
         hit_snippets, context_block, prompt_table, batch_answers,
     )
 }

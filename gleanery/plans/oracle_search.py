@@ -128,6 +128,7 @@ SELECT count(*)::BIGINT AS questions, round(avg(p), 6) AS mean_precision_at_k,
        round(avg(c), 6) AS mean_recall_at_k FROM scored""",
     "keyword_bm25": f"WITH {BM25}, {best('bm', 5, 'h')} SELECT * FROM h",
     "keyword_bm25_partitioned": f"WITH {BM25}, {best('bm', 5, 'h')} SELECT * FROM h",
+    "keyword_index": f"WITH {BM25}, {best('bm', 5, 'h')} SELECT * FROM h",
     "embed_hashing": f"""WITH {hashed_vectors('documents', 'doc_id', 'text', 'cv')},
 full_ AS (
   SELECT doc_id, i, coalesce(x, 0)::BIGINT AS x

@@ -4,7 +4,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from gleanery.operators import sampling, sync, vector_index, vector_search
+from gleanery.operators import inference, keyword_search, sampling, sync, text_index, vector_index, vector_search
+from gleanery.plans import answer
 from test_search import brute, clustered, found, frame
 
 ASK = dict(query_id="id", query_vector="v")
@@ -82,3 +83,61 @@ def test_sample_does_not_depend_on_partitions(spark):
     hot = spark.range(20000).selectExpr("if(id % 3 = 0, 7, id) as id", "'x' as n")
     assert len(sampling.smallest_marks(hot, "id", 50).collect()) == 50
     assert sampling.smallest_marks(df.limit(0), "id", 5).collect() == []
+
+
+# -- keyword index
+
+
+def texts(n=700, seed=1):
+    rng = np.random.default_rng(seed)
+    vocabulary = [f"w{i}" for i in range(300)]
+    chance = 1.0 / np.arange(1, 301)
+    rows = [(f"d{i:04d}", " ".join(rng.choice(vocabulary, rng.integers(0, 60), p=chance / chance.sum()))) for i in range(n)]
+    rows += [(f"e{i:04d}", "w0 w0 w1") for i in range(200)]  # copies: ties
+    rows += [(f"f{i}", "w5 " * 30 + "w0") for i in range(8)]
+    return [*rows, ("null", None), ("empty", ""), ("odd", "Ünï 中文 w7!")]
+
+
+@pytest.mark.parametrize("block,slice_docs", [(128, 1 << 14), (4, 50)])
+def test_kept_postings_give_the_hits_of_bm25(spark, tmp_path, monkeypatch, block, slice_docs):
+    monkeypatch.setattr(text_index, "BLOCK", block)
+    monkeypatch.setattr(text_index, "SLICE_DOCS", slice_docs)
+    docs = spark.createDataFrame([(i, t, 1, "clash") for i, t in texts()], "chunk_id string, chunk_text string, term int, number string").repartition(5)
+    queries = spark.createDataFrame([(1, "w0"), (2, "w5 w0 w1"), (3, "W250 w299 w0"), (4, None), (5, "unknown"), (6, "ünï 中文"), (7, "w5 w5 w40 w41 w42 w0")], "query_id int, text string")
+    text_index.build_text_index(docs, str(tmp_path))
+    for k in (1, 5, 30):
+        kept = text_index.search_text_index(queries, str(tmp_path), k)
+        direct = keyword_search.bm25_search(queries, docs, k)
+        assert sorted(map(tuple, kept.collect())) == sorted(map(tuple, direct.select(*kept.columns).collect()))
+    if block < 128:
+        assert text_index.read_share(queries, str(tmp_path), 1) < 0.5
+
+
+def test_numbers_are_packed_and_unpacked():
+    rng = np.random.default_rng(1)
+    values = np.concatenate([[0, 1, 127, 128, 16383, 16384, 2**35, 2**62 - 1, 2**49 - 1, 2**56 - 1, 2**56], rng.integers(0, 2**40, 1000)])
+    assert (text_index.unpacked(text_index.packed(values)) == values).all()
+    assert len(text_index.unpacked(b"")) == 0 and text_index.packed(np.zeros(0, np.int64)) == b""
+
+
+def test_an_index_of_nothing(spark, tmp_path):
+    docs = spark.createDataFrame([], "chunk_id string, chunk_text string")
+    text_index.build_text_index(docs, str(tmp_path))
+    queries = spark.createDataFrame([(1, "w0")], "query_id int, text string")
+    assert text_index.search_text_index(queries, str(tmp_path), 3).collect() == []
+
+
+def test_answers_from_kept_indexes(spark, tmp_path):
+    embedder = inference.HashingEmbedder(16)
+    rows = [(i, t, f"u/{i}", "T") for i, t in texts(100) if t]
+    chunks = answer.embed_to_table(spark.createDataFrame(rows, "chunk_id string, chunk_text string, url string, title string"), "chunk_text", embedder, 16)
+    text_index.build_text_index(chunks, f"{tmp_path}/t")
+    vector_index.build_index(chunks, f"{tmp_path}/v")
+    questions = spark.createDataFrame([(1, "w5 w0"), (2, "w7 w9 w11")], "query_id int, question string")
+    hits = lambda search, **o: sorted(map(tuple, answer.retrieve(questions, chunks, embedder, 16, 5, search=search, **o).select("query_id", "item_id", "score", "rank").collect()))
+    assert hits("keyword") == hits("keyword", text_path=f"{tmp_path}/t")
+    assert len(hits("index", path=f"{tmp_path}/v", probes=4096, shortlist=1000)) == 10
+    assert hits("index", path=f"{tmp_path}/v", probes=4096, shortlist=1000) == hits("exact")
+    assert len(hits("hybrid", text_path=f"{tmp_path}/t", path=f"{tmp_path}/v")) == 10
+    with pytest.raises(ValueError):
+        hits("none")
