@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from html.parser import HTMLParser
+import html as entities
 import re
 
 import pyarrow as pa
@@ -32,11 +32,24 @@ SCOPES = frozenset("ul ol dl table".split())
 MAX_DEPTH = 512  # below this only roots and boilerplate keep their tags
 
 
-class _Page(HTMLParser):
-    """Keeps a stack of open elements; a closed one is written to its parent."""
+_NAME = re.compile(r"[^\t\n\r\f />\x00]*+")
+_GAP = re.compile(r"[\s/]*+")
+_ATTRIBUTE = re.compile(r"([^\s/>][^\s/=>]*+)(\s*+=\s*+)?")
+_BARE = re.compile(r"[^\s>]*+")
+_COMMENT_END = re.compile("--!?>")
+_LETTERS = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")
+_RAW_END = {tag: re.compile(rf"(?i)</{tag}(?=[\s/>])") for tag in ("script", "style")}
+
+
+class _Page:
+    """Keeps a stack of open elements; a closed one is written to its parent.
+
+    ``feed`` goes over the markup once: what a tag, comment or quote without an end has
+    swallowed is not gone over again. A tag with an open quote ends at the next ``>``, as
+    does a comment without an end; behind the last ``>`` all is text.
+    """
 
     def __init__(self, escape: str):
-        super().__init__(convert_charrefs=True)
         self.escape = sorted(escape, key=lambda c: c != "\\")  # a backslash first
         self.stack = [("", {}, [], 0)]
         self.open: Counter[str] = Counter()
@@ -59,7 +72,7 @@ class _Page(HTMLParser):
             self.open[tag] += 1
             if tag in ("ul", "ol"):
                 start = frame[1].get("start") or ""
-                self.lists.append([tag, int(start) if start.isascii() and start.isdigit() else 1])
+                self.lists.append([tag, int(start[:9]) if start.isascii() and start.isdigit() else 1])
             elif tag == "table":
                 self.tables.append([0, 0])
 
@@ -82,13 +95,67 @@ class _Page(HTMLParser):
                 data = data.replace(c, "\\" + c)
         self._emit(data)
 
-    def parse_marked_section(self, i, report=1):
-        """``<![...`` is passed over up to the next ``>``, whatever it holds."""
-        end = self.rawdata.find(">", i)
-        return end + 1 if end >= 0 else -1
+    def feed(self, html: str) -> None:
+        at, last = 0, html.rfind(">")
+        self.loose = 0  # before this place quotes do not hide a ``>``
+        last_comment = max(html.rfind("-->"), html.rfind("--!>"))
+        while at < len(html):
+            i = html.find("<", at)
+            if i < 0 or i > last:
+                self.handle_data(entities.unescape(html[at:]))
+                return
+            first = html[i + 1]
+            if first not in _LETTERS and first not in "/!?":
+                self.handle_data(entities.unescape(html[at : i + 1]))
+                at = i + 1
+                continue
+            if i > at:
+                self.handle_data(entities.unescape(html[at:i]))
+            if first in _LETTERS:
+                name = _NAME.match(html, i + 1)
+                tag = name[0].lower()
+                attributes, at = self._attributes(html, i, name.end())
+                self.handle_starttag(tag, attributes)
+                if tag in _RAW_END:
+                    end = _RAW_END[tag].search(html, at)
+                    at = end.start() if end else len(html)
+            elif first == "/" and html[i + 2 : i + 3] in _LETTERS:
+                name = _NAME.match(html, i + 2)
+                at = self._attributes(html, i, name.end())[1]
+                self.handle_endtag(name[0].lower())
+            elif html.startswith("<!--", i) and i + 2 <= last_comment:
+                at = _COMMENT_END.search(html, i + 2).end()
+            else:
+                at = html.index(">", i) + 1
+
+    def _attributes(self, html: str, i: int, at: int) -> tuple[list[tuple[str, str | None]], int]:
+        """The attributes of the tag at ``i`` and where it ends."""
+        found, stop = [], html.index(">", i) if i < self.loose else len(html)
+        while True:
+            at = _GAP.match(html, at).end()
+            if at >= stop:
+                break
+            if html[at] == ">":
+                return found, at + 1
+            name = _ATTRIBUTE.match(html, at)
+            at, value = name.end(), None
+            if name[2]:
+                quote = html[at : at + 1]
+                if quote in ("'", '"'):
+                    end = html.find(quote, at + 1, stop)
+                    if end < 0:
+                        self.loose = max(self.loose, at)
+                        break
+                    value, at = html[at + 1 : end], end + 1
+                else:
+                    end = _BARE.match(html, at).end()
+                    value, at = html[at:end], end
+            found.append((name[1].lower(), value and entities.unescape(value)))
+        if at >= len(html):
+            self.loose = len(html)
+        return found, html.index(">", i) + 1
 
     def text(self) -> str:
-        self.close()
         while len(self.stack) > 1:
             tag, _, parts, _ = self.stack[-1]
             if tag in BOILERPLATE and tag not in ("script", "style"):
@@ -196,17 +263,20 @@ def page_text(html: str, escape: str = "*_") -> str:
 
 def html_to_markdown(
     pages: DataFrame, html: str = "html", output: str = "content", escape: str = "*_",
-    only_if: str | None = None,
+    only_if: str | None = None, error: str | None = None,
 ) -> DataFrame:
     """The cleaned text of each page in place of its markup; other columns pass through.
 
     ``escape`` lists the characters that get a backslash outside code.
     ``only_if`` names a boolean column; where it is false the input is kept as
-    it is. Markup is read in Python on Arrow batches; lines are tidied in the JVM.
+    it is. ``error`` names a column that says what went wrong with a page, whose text is
+    then null; without it such a page fails the job. Markup is read in Python on Arrow batches; lines are
+    tidied in the JVM.
     """
     # The markup goes to Python only; sending it back would double the traffic.
-    fields = [f for f in pages.schema if f.name not in (html, output)]
-    schema = T.StructType([*fields, T.StructField(output, T.StringType(), True)])
+    fields = [f for f in pages.schema if f.name not in (html, output, error)]
+    made = [output, error] if error else [output]
+    schema = T.StructType([*fields, *[T.StructField(n, T.StringType(), True) for n in made]])
     names = [f.name for f in fields]
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -216,10 +286,20 @@ def html_to_markdown(
                 batch.column(batch.schema.get_field_index(only_if)).to_pylist()
                 if only_if else [True] * len(raw)
             )
-            texts = [page_text(r, escape) if f and r else r for r, f in zip(raw, flags)]
+            texts, errors = [], []
+            for page, wanted in zip(raw, flags, strict=True):
+                failure = None
+                try:
+                    text = page_text(page, escape) if wanted and page else page
+                except Exception as e:  # one page must not stop the others
+                    if not error:
+                        raise
+                    text, failure = None, f"{type(e).__name__}: {e}"
+                texts.append(text)
+                errors.append(failure)
             columns = [batch.column(batch.schema.get_field_index(n)) for n in names]
             yield pa.RecordBatch.from_arrays(
-                [*columns, pa.array(texts, pa.string())], [*names, output]
+                [*columns, *[pa.array(c, pa.string()) for c in (texts, errors)[: len(made)]]], [*names, *made]
             )
 
     read_pages = pages.select(*names, html).mapInArrow(read, schema)

@@ -189,10 +189,9 @@ def snapshots(spark, sf) -> tuple[DataFrame, DataFrame]:
     masked = docs.join(toxic, "doc_id", "left_anti").select(
         "url", F.regexp_replace("content", "[0-9]", "#").alias("content")
     )
-    pages = _pages(spark, sf).select(
-        F.concat(F.lit("page/"), F.col("page_id").cast("string")).alias("url"),
-        markup.page_text_by_pattern("html").alias("content"),
-    )
+    pages = markup.html_to_markdown(_pages(spark, sf).select(
+        F.concat(F.lit("page/"), F.col("page_id").cast("string")).alias("url"), "html"
+    ))
 
     def chunks(df):
         return chunking.finish_chunks(chunking.fixed_chunks(df, keep=["url"]))

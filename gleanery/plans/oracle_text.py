@@ -102,11 +102,11 @@ roots AS (SELECT page_id, url, {_root('k')} AS r FROM kept),
 md AS (SELECT page_id, url, {tidy(_MD)} AS content FROM roots)"""
 
 SNAPSHOTS = f"""old_docs AS (SELECT 'doc/' || doc_id AS url, text AS content FROM documents),
-{PLAIN_PAGES},
+{MARKDOWN_PAGES},
 new_docs AS (
   SELECT 'doc/' || doc_id AS url, regexp_replace(text, '[0-9]', '#', 'g') AS content FROM documents
   WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1)
-  UNION ALL SELECT 'page/' || page_id, t FROM plain),
+  UNION ALL SELECT 'page/' || page_id, content FROM md),
 {windows('old_docs', 'old')},
 {windows('new_docs', 'new')}"""
 
