@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gleanery.operators import chunking, evaluate, markup, monitor, quantiles
+from gleanery.operators import store as keyed
 from gleanery.plans.catalog_text import load, long
 from gleanery.session import shared_dir
 from gleanery.sources import tables
@@ -134,7 +135,7 @@ def stream_corpus_sync(spark, sf):
     store, checkpoint = shared_dir(spark, "store"), shared_dir(spark, "sync")
 
     def to_chunks(pages: DataFrame) -> DataFrame:
-        texts = pages.select("url", markup.page_text_by_pattern("html").alias("content"))
+        texts = markup.html_to_markdown(pages.select("url", "html"))
         return chunking.finish_chunks(chunking.fixed_chunks(texts, keep=["url"]))
 
     jobs.sync_corpus(
@@ -145,6 +146,40 @@ def stream_corpus_sync(spark, sf):
     )
 
 
+def _batches(pages: DataFrame) -> list[DataFrame]:
+    """Pages as they come in: all of them, then new versions and removals, then late and repeated ones."""
+    every, third, seventh, fifth = (F.pmod("page_id", F.lit(n)) == 0 for n in (1, 3, 7, 5))
+    page = lambda at, note, version, removed=F.lit(False): pages.where(at).select(
+        F.concat(F.lit("page/"), F.col("page_id").cast("string")).alias("url"), "html", F.lit(note).alias("note"),
+        F.lit(version).cast("bigint").alias("version"), removed.alias("removed"),
+    )
+    return [
+        page(every, "first", 1), page(third | seventh, "second", 2, seventh),
+        page(third | seventh, "late", 1).unionByName(page(fifth & ~third & ~seventh, "again", 1)).unionByName(page(fifth & ~third & ~seventh, "older", 0)),
+    ]
+
+
+def stream_store_buckets(spark, sf):
+    """Three batches with updates, removals, late and repeated pages, and one of them once more."""
+    own = _stream_session(spark)
+    source, store, checkpoint = (shared_dir(spark, n) for n in ("incoming", "store", "sync"))
+
+    def to_chunks(pages: DataFrame) -> DataFrame:
+        texts = markup.html_to_markdown(pages.select("url", "html", "note"))
+        texts = texts.select("url", F.concat_ws(" ", "note", "content").alias("content"))
+        return chunking.finish_chunks(chunking.fixed_chunks(texts, keep=["url"]))
+
+    batches = _batches(load(spark, sf, "pages"))
+    for batch in batches:
+        batch.write.mode("append").parquet(source)
+        stream = jobs.read_file_stream(own, source, batch.schema)
+        jobs.sync_store(stream, to_chunks, store, checkpoint, newest_by="version", removed="removed", buckets=8).awaitTermination()
+    keyed.merge_batch(spark, store, batches[1].select("url", "version"), to_chunks(batches[1]), 1, buckets=8)  # replayed
+    return keyed.stored_rows(spark, store).select(
+        "chunk_id", "url", long("chunk_index").alias("chunk_index"), F.md5("chunk_text").alias("text_md5")
+    )
+
+
 def stream_log_tail(spark, sf):
     own, sink = _stream_session(spark), shared_dir(spark, "log")
     _drain(_stream(own, sf, "events"), sink, shared_dir(spark, "tail"))
@@ -179,6 +214,6 @@ QUERIES = {
     for f in (
         latency_stats, latency_stats_ranked, daily_monitor, daily_drift, newest_log_rows,
         judge_means, quality_gate, diagnosis, lexical_judges,
-        stream_corpus_sync, stream_log_tail, stream_monitor, stream_redelivered,
+        stream_corpus_sync, stream_store_buckets, stream_log_tail, stream_monitor, stream_redelivered,
     )
 }

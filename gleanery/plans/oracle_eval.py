@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from gleanery.plans.oracle_text import PLAIN_PAGES, windows, words
+from gleanery.plans.oracle_text import MARKDOWN_PAGES, windows, words
 
 ROLLUP = """r AS (
   SELECT strftime(ts, '%Y-%m-%d') AS day, count(*)::BIGINT AS requests, avg(value) AS mean_latency_s,
@@ -64,9 +64,15 @@ SELECT source, CASE WHEN g < 0.6 AND c < 0.6 THEN 'retrieval failure'
 s AS (SELECT *, {_share('a', 'b')} AS p, {_share('b', 'a')} AS r FROM t)
 SELECT conv_id, turn, round(p, 6) AS lexical_groundedness,
        round(CASE WHEN p + r = 0 THEN 0.0::DOUBLE ELSE 2 * p * r / (p + r) END, 6) AS lexical_correctness FROM s""",
-    "stream_corpus_sync": f"""WITH {PLAIN_PAGES},
+    "stream_store_buckets": f"""WITH {MARKDOWN_PAGES},
+now AS (
+  SELECT 'page/' || page_id AS url, CASE WHEN page_id % 3 = 0 THEN 'second' WHEN page_id % 5 = 0 THEN 'again' ELSE 'first' END || ' ' || content AS content
+  FROM md WHERE page_id % 7 <> 0),
+{windows('now', 'c')}
+SELECT chunk_id, url, chunk_index, md5(chunk_text) AS text_md5 FROM c""",
+    "stream_corpus_sync": f"""WITH {MARKDOWN_PAGES},
 newest AS (
-  SELECT p.url, t AS content FROM plain JOIN pages p USING (page_id)
+  SELECT p.url, content FROM md JOIN pages p USING (page_id)
   QUALIFY row_number() OVER (PARTITION BY p.url ORDER BY page_id DESC) = 1),
 {windows('newest', 'c')}
 SELECT chunk_id, url, chunk_index, md5(chunk_text) AS text_md5 FROM c""",

@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from gleanery.operators import store as keyed
+from gleanery.session import written
+
 
 def with_trigger(writer, every: str | None):
     """Run once over what is there, or keep running every ``every``."""
@@ -52,14 +55,12 @@ def sync_corpus(
     ``to_chunks`` maps pages to chunks with a ``url`` column. ``newest_by`` names
     the version that decides between copies of a page, within a batch and across
     batches; without it the later batch does. ``removed`` names a boolean column
-    that is true where a page has left the source.
+    that is true where a page has left the source. Of equal versions in one batch one
+    copy is taken, the same one on every run.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        fresh = batch
-        if newest_by:
-            newest = F.max_by(F.struct(*batch.columns), newest_by).alias("p")
-            fresh = batch.groupBy(url).agg(newest).select("p.*")
+        fresh = keyed.newest_of_each(batch, url, newest_by)
         alive = fresh.where(~F.coalesce(F.col(removed), F.lit(False))) if removed else fresh
         to_chunks(alive).write.mode("overwrite").parquet(f"{store}/chunks/batch={batch_id}")
         # Written last: readers take a page's chunks from here on.
@@ -78,6 +79,33 @@ def current_chunks(spark: SparkSession, store: str, url: str = "url") -> DataFra
     return spark.read.parquet(f"{store}/chunks").join(newest, [url, "batch"]).drop("batch")
 
 
+def sync_store(
+    pages: DataFrame,
+    to_chunks: Callable[[DataFrame], DataFrame],
+    store: str,
+    checkpoint: str,
+    every: str | None = None,
+    url: str = "url",
+    newest_by: str | None = None,
+    removed: str | None = None,
+    buckets: int = keyed.BUCKETS,
+) -> StreamingQuery:
+    """Like :func:`sync_corpus`, into one table in buckets of the url that holds current chunks alone.
+
+    A batch rewrites the buckets of its pages (:func:`gleanery.operators.store.merge_batch`);
+    readers need no merge, and a batch that is replayed changes nothing.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        fresh = written(keyed.newest_of_each(batch, url, newest_by), "sync-pages")
+        alive = fresh.where(~F.coalesce(F.col(removed), F.lit(False))) if removed else fresh
+        version = (F.col(newest_by) if newest_by else F.lit(0)).cast("bigint").alias("version")
+        keyed.merge_batch(batch.sparkSession, store, fresh.select(url, version), to_chunks(alive), batch_id, url, buckets)
+
+    writer = pages.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return with_trigger(writer, every).start()
+
+
 def compact(spark: SparkSession, store: str, new_store: str, url: str = "url") -> None:
     """Write the current state as the base of a new store; batches follow it."""
     current_chunks(spark, store, url).write.mode("overwrite").parquet(f"{new_store}/chunks/batch=-1")
