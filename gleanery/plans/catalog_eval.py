@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanery.operators import chunking, evaluate, markup, monitor, quantiles
+from gleanery.operators import chunking, distributions, evaluate, markup, monitor, quantiles
 from gleanery.operators import store as keyed
 from gleanery.plans.catalog_text import load, long
-from gleanery.session import shared_dir
+from gleanery.session import shared_dir, written
 from gleanery.sources import tables
 from gleanery.streaming import jobs
 
@@ -198,6 +198,48 @@ def stream_monitor(spark, sf):
     return done.select("day", "event_type", "requests", *_rounded(done, "mean_latency_s", "refusal_rate"))
 
 
+def stream_quantiles(spark, sf):
+    """Windows with sketches, the open one too: do p50 and p90 of each, and of all of them merged, lie within the error?"""
+    own, store = _stream_session(spark), shared_dir(spark, "sketches")
+    jobs.monitor_store(_stream(own, sf, "events"), "ts", "value", _refused(), store, shared_dir(spark, "sketching"), ["event_type"]).awaitTermination()
+    windows = jobs.stored_windows(spark, store).withColumn("day", F.date_format("window_start", "yyyy-MM-dd"))
+    asked = {"p50": 0.5, "p90": 0.9}
+    days = distributions.merged_quantiles(windows, "latency_sketch", asked, ["day", "event_type"])
+    every = distributions.merged_quantiles(windows, "latency_sketch", asked, ["event_type"]).withColumn("day", F.lit("all"))
+    found = written(days.unionByName(every), "quantiles")
+    events = _log(spark, sf).select(F.explode(F.array(F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd"), F.lit("all"))).alias("day"), "event_type", "value")
+    error = distributions.rank_error()
+
+    def within(name: str):  # the range of ranks that equal values share must meet the allowed one
+        low, high = F.count(F.when(F.col("value") < F.col(name), 1)) / F.count("*"), F.count(F.when(F.col("value") <= F.col(name), 1)) / F.count("*")
+        return ((low <= asked[name] + error) & (high >= asked[name] - error)).alias(f"{name}_within")
+
+    checked = events.join(found, ["day", "event_type"]).groupBy("day", "event_type").agg(F.count("*").alias("requests"), within("p50"), within("p90"))
+    opened = windows.select("day", "event_type", "is_open")
+    return checked.join(opened, ["day", "event_type"], "left").select("day", "event_type", "requests", "p50_within", "p90_within", F.coalesce("is_open", F.lit(False)).alias("is_open"))
+
+
+def _shifted(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """Events before the 15th as baseline, the others by day; those of the 20th are twice as slow."""
+    rows = _log(spark, sf).select(F.date_format("ts", "yyyy-MM-dd").alias("day"), "value")
+    late = rows.where("day >= '2024-01-15'").withColumn("value", F.when(F.col("day") == "2024-01-20", 2 * F.col("value")).otherwise(F.col("value")))
+    return rows.where("day < '2024-01-15'"), late
+
+
+def distribution_drift(spark, sf):
+    baseline, current = _shifted(spark, sf)
+    psi = distributions.stability_index(baseline, current, "value", "day")
+    ks = distributions.ks_statistic(baseline, current, "value", "day").drop("n")
+    both = psi.join(ks, "day")
+    return both.select("day", "n", *_rounded(both, "psi", "ks"), (F.col("psi") > 0.2).alias("shifted"))
+
+
+def stratified_sample(spark, sf):
+    """Fifty slow-weighted requests of each kind, two hundred errors."""
+    taken = distributions.stratified_sample(_log(spark, sf), "event_id", "event_type", {"error": 200}, 1.0 + F.col("value"), default=50)
+    return taken.select("event_id", "event_type")
+
+
 def stream_redelivered(spark, sf):
     """Every event is delivered twice and kept once."""
     own, sink = _stream_session(spark), shared_dir(spark, "once")
@@ -214,6 +256,6 @@ QUERIES = {
     for f in (
         latency_stats, latency_stats_ranked, daily_monitor, daily_drift, newest_log_rows,
         judge_means, quality_gate, diagnosis, lexical_judges,
-        stream_corpus_sync, stream_store_buckets, stream_log_tail, stream_monitor, stream_redelivered,
+        distribution_drift, stratified_sample, stream_corpus_sync, stream_store_buckets, stream_quantiles, stream_log_tail, stream_monitor, stream_redelivered,
     )
 }

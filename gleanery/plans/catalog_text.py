@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanery.functions import keys, payloads
+from gleanery.functions import keys, payloads, sql
 from gleanery.functions import text as X
 from gleanery.operators import chunking, evaluate, markup, monitor, sync
 from gleanery.plans import ingest
@@ -112,6 +112,17 @@ def chunk_recursive(spark, sf):
     return _shown(chunking.finish_chunks(chunking.recursive_chunks(document_pages(spark, sf))))
 
 
+def chunk_sql_function(spark, sf):
+    """The same pieces by a query that is SQL alone."""
+    sql.register(spark)
+    document_pages(spark, sf).createOrReplaceTempView("document_pages")
+    return spark.sql("""
+        SELECT chunk_id, url, chunk_index, CAST(length(chunk_text) AS BIGINT) AS n_chars, md5(chunk_text) AS text_md5
+        FROM (SELECT substr(sha2(concat(url, '::', c.chunk_index), 256), 1, 16) AS chunk_id, url, CAST(c.chunk_index AS BIGINT) AS chunk_index, c.chunk_text
+              FROM document_pages, LATERAL split_text(content, 800, 150) c)
+        WHERE length(chunk_text) >= 50""")
+
+
 def fixed_document_chunks(spark, sf):
     return chunking.finish_chunks(chunking.fixed_chunks(document_pages(spark, sf)))
 
@@ -294,7 +305,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         bronze_documents, row_counts, preview_rows, partitioned_table, page_names, page_markdown, page_plain_text,
-        page_chunks, chunk_recursive, chunk_fixed_window, chunk_token_window, chunk_sections, chunk_sections_sized,
+        page_chunks, chunk_recursive, chunk_sql_function, chunk_fixed_window, chunk_token_window, chunk_sections, chunk_sections_sized,
         chunk_duplicate_keys, chunk_duplicate_texts, chunk_length_summary, text_statistics,
         snapshot_diff, snapshot_apply, change_feed, index_reconcile, last_message, chat_question, chat_answer,
         refusal_flags, injection_flags, golden_append, traffic_sample, sampled_keys,

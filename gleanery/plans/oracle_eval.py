@@ -64,6 +64,37 @@ SELECT source, CASE WHEN g < 0.6 AND c < 0.6 THEN 'retrieval failure'
 s AS (SELECT *, {_share('a', 'b')} AS p, {_share('b', 'a')} AS r FROM t)
 SELECT conv_id, turn, round(p, 6) AS lexical_groundedness,
        round(CASE WHEN p + r = 0 THEN 0.0::DOUBLE ELSE 2 * p * r / (p + r) END, 6) AS lexical_correctness FROM s""",
+    "stream_quantiles": """WITH e AS (SELECT date_trunc('day', ts) AS d, event_type, (SELECT max(ts) FROM events) AS newest FROM events)
+SELECT strftime(d, '%Y-%m-%d') AS day, event_type, count(*) AS requests, true AS p50_within, true AS p90_within,
+       d + INTERVAL 25 HOUR > any_value(newest) AS is_open
+FROM e GROUP BY d, event_type
+UNION ALL SELECT 'all', event_type, count(*), true, true, false FROM e GROUP BY event_type""",
+    "distribution_drift": """WITH rows AS (SELECT strftime(ts, '%Y-%m-%d') AS day, value FROM events),
+b AS (SELECT value AS v FROM rows WHERE day < '2024-01-15' AND value IS NOT NULL),
+c AS (SELECT day, CASE WHEN day = '2024-01-20' THEN 2 * value ELSE value END AS v FROM rows WHERE day >= '2024-01-15' AND value IS NOT NULL),
+cuts AS (SELECT list_sort(list_distinct(quantile_cont(v, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]))) AS cuts FROM b),
+bins AS (SELECT unnest(range(len(cuts) + 1)) AS bin FROM cuts),
+bb AS (SELECT len(list_filter(cuts, lambda x: x < v)) AS bin, count(*) AS n FROM b, cuts GROUP BY 1),
+cb AS (SELECT day, len(list_filter(cuts, lambda x: x < v)) AS bin, count(*) AS n FROM c, cuts GROUP BY 1, 2),
+days AS (SELECT day, count(*) AS n FROM c GROUP BY 1),
+shares AS (
+  SELECT days.day, days.n, (coalesce(cb.n, 0) + 0.5::DOUBLE) / (days.n + 0.5::DOUBLE * (SELECT count(*) FROM bins)) AS s,
+         (coalesce(bb.n, 0) + 0.5::DOUBLE) / ((SELECT count(*) FROM b) + 0.5::DOUBLE * (SELECT count(*) FROM bins)) AS e
+  FROM days CROSS JOIN bins LEFT JOIN cb ON cb.day = days.day AND cb.bin = bins.bin LEFT JOIN bb ON bb.bin = bins.bin),
+psi AS (SELECT day, n, sum((s - e) * ln(s / e)) AS psi FROM shares GROUP BY 1, 2),
+points AS (SELECT days.day, v FROM days, (SELECT v FROM b UNION SELECT v FROM c) GROUP BY ALL),
+bc AS (SELECT v, count(*) AS n FROM b GROUP BY 1), cc AS (SELECT day, v, count(*) AS n FROM c GROUP BY 1, 2),
+steps AS (
+  SELECT p.day, sum(coalesce(bc.n, 0)) OVER w / (SELECT count(*) FROM b)::DOUBLE AS fb, sum(coalesce(cc.n, 0)) OVER w / days.n::DOUBLE AS fc
+  FROM points p JOIN days USING (day) LEFT JOIN bc ON bc.v = p.v LEFT JOIN cc ON cc.day = p.day AND cc.v = p.v
+  WINDOW w AS (PARTITION BY p.day ORDER BY p.v)),
+ks AS (SELECT day, max(abs(fb - fc)) AS ks FROM steps GROUP BY 1)
+SELECT day, n, round(psi, 6) AS psi, round(ks, 6) AS ks, psi > 0.2 AS shifted FROM psi JOIN ks USING (day)""",
+    "stratified_sample": """SELECT event_id, event_type FROM (
+  SELECT event_id, event_type, row_number() OVER (PARTITION BY event_type ORDER BY
+    -ln((('0x' || substr(md5(event_id::VARCHAR), 1, 13))::BIGINT + 1.0::DOUBLE) / 4503599627370497.0::DOUBLE) / (1.0::DOUBLE + value), event_id) AS place
+  FROM events WHERE 1.0 + value > 0)
+WHERE place <= CASE WHEN event_type = 'error' THEN 200 ELSE 50 END""",
     "stream_store_buckets": f"""WITH {MARKDOWN_PAGES},
 now AS (
   SELECT 'page/' || page_id AS url, CASE WHEN page_id % 3 = 0 THEN 'second' WHEN page_id % 5 = 0 THEN 'again' ELSE 'first' END || ' ' || content AS content

@@ -197,6 +197,7 @@ FROM md WHERE regexp_matches(content, '[^{WS}]')""",
 pages_md AS (SELECT * FROM md WHERE regexp_matches(content, '[^{WS}]')),
 {recursive('pages_md', 'page_id', 'c')} SELECT {SHOWN} FROM c""",
     "chunk_recursive": f"WITH RECURSIVE {DOCS}, {recursive('docs', 'url', 'c')} SELECT {SHOWN} FROM c",
+    "chunk_sql_function": f"WITH RECURSIVE {DOCS}, {recursive('docs', 'url', 'c')} SELECT {SHOWN} FROM c",
     "chunk_fixed_window": f"WITH {DOCS}, {windows('docs', 'chunks')} SELECT {SHOWN} FROM chunks",
     "chunk_token_window": f"""WITH {DOCS},
 t AS (SELECT url, list_filter(string_split_regex(content, '[{WS}]+'), lambda w: w <> '') AS tokens FROM docs),

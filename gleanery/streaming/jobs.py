@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from gleanery.operators import distributions
 from gleanery.operators import store as keyed
 from gleanery.session import written
 
@@ -148,6 +149,42 @@ def monitor_windows(
     )
 
 
+def monitor_store(
+    log: DataFrame, ts: str, latency: str, refused: Column, store: str, checkpoint: str, by: Sequence[str] = (),
+    window: str = "1 day", lateness: str = "1 hour", every: str | None = None, sketch_size: int = distributions.SKETCH_SIZE,
+) -> StreamingQuery:
+    """Windows with a latency sketch each, kept current in ``store`` while they are open.
+
+    The state of a window and group is a few sums and one sketch of bounded size. Each
+    batch replaces the windows that it has changed (:mod:`gleanery.operators.store`), so a
+    replayed batch counts nothing twice. Read them with :func:`stored_windows`.
+    """
+    rows = log.select(
+        F.col(ts).cast("timestamp").alias("ts"), *by, F.col(latency).cast("double").alias("latency_s"), refused.cast("double").alias("refused")
+    )
+    windows = rows.withWatermark("ts", lateness).groupBy(F.window("ts", window).alias("w"), *by).agg(
+        F.count(F.lit(1)).alias("requests"), F.avg("latency_s").alias("mean_latency_s"), F.avg("refused").alias("refusal_rate"),
+        distributions.sketch("latency_s", sketch_size).alias("latency_sketch"), F.max("ts").alias("newest"),
+    )
+    flat = windows.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *by, "requests", "mean_latency_s", "refusal_rate", "latency_sketch", "newest")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        keyed_rows = written(batch.withColumn("window_key", F.to_json(F.struct("window_start", *by), {"ignoreNullFields": "false"})), "windows")
+        keys = keyed_rows.select("window_key", F.col("requests").alias("version"))
+        keyed.merge_batch(batch.sparkSession, store, keys, keyed_rows, batch_id, "window_key", 8)
+
+    writer = flat.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint)
+    return with_trigger(writer, every).start()
+
+
+def stored_windows(spark: SparkSession, store: str, lateness: str = "1 hour", with_open: bool = True) -> DataFrame:
+    """The windows of :func:`monitor_store` with ``is_open``, which rows may still change; on request without these."""
+    rows = keyed.stored_rows(spark, store).drop("window_key")
+    newest = rows.agg(F.max("newest")).head()[0]
+    marked = rows.withColumn("is_open", F.col("window_end") + F.expr(f"INTERVAL {lateness}") > F.lit(newest)).drop("newest")
+    return marked if with_open else marked.where("NOT is_open")
+
+
 def late_rows(query: StreamingQuery) -> int:
     """Rows that the watermark dropped in the batches whose progress Spark still keeps.
 
