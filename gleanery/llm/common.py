@@ -39,6 +39,11 @@ def bounded_sample(df: DataFrame, key: str, rows: int, seed: int) -> DataFrame:
     return df.filter(mark <= F.lit(cut if cut is not None else 0).cast("bigint")).limit(rows)
 
 
+def strings_of(batch: pa.RecordBatch, column: str) -> list[str | None]:
+    """The texts of a batch; bytes that are no UTF-8 become U+FFFD."""
+    return [None if t is None else t.decode("utf-8", "replace") for t in texts_of(batch, column)]
+
+
 def texts_of(batch: pa.RecordBatch, column: str = "text") -> Iterator[bytes | None]:
     """The texts of a batch as UTF-8 bytes, without decoding them; None for null."""
     values = batch.column(column)

@@ -23,7 +23,9 @@ import re
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from gleanery.llm.common import strings_of, texts_of
 from gleanery.session import shared_dir, written
 
 RECORD_END = "\r\n\r\n"
@@ -68,16 +70,23 @@ def record(headers: list[tuple[str, object]], block: bytes) -> bytes:
     return "\r\n".join(lines).encode() + b"\r\n\r\n" + block
 
 
+def _uri(url: str | None) -> str:
+    return re.sub(r"[\x00-\x20\x7f]", lambda m: f"%{ord(m[0]):02X}", url or "urn:unknown")
+
+
 def records_of(page: dict, name: str, segment_bytes: int = SEGMENT_BYTES) -> Iterator[bytes]:
-    """The records of one page. ``name`` makes identifiers differ between repeated rows."""
+    """The records of one page. ``name`` makes identifiers differ between repeated rows.
+
+    ``refers_name`` and ``refers_url`` are those of the page that a revisit refers to.
+    """
     payload, refers = page["payload"], page["refers_to"]
     own = "" if page["page_id"] is None else page["page_id"]
-    uri = re.sub(r"[\x00-\x20\x7f]", lambda m: f"%{ord(m[0]):02X}", page["url"] or "urn:unknown")
+    uri = _uri(page["url"])
     common = [("WARC-Date", DATE), ("WARC-Target-URI", uri), ("WARC-Payload-Digest", f"sha1:{page['digest']}"), ("Content-Type", "application/http;msgtype=response")]
     origin = f"<urn:page:{own}:{name}>"
     if page["is_revisit"]:
         block = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
-        yield record([("WARC-Type", "revisit"), ("WARC-Record-ID", origin), ("WARC-Profile", IDENTICAL), ("WARC-Refers-To", f"<urn:page:{refers}>"), *common], block)
+        yield record([("WARC-Type", "revisit"), ("WARC-Record-ID", origin), ("WARC-Profile", IDENTICAL), ("WARC-Refers-To", f"<urn:page:{refers}:{page['refers_name']}>"), ("WARC-Refers-To-Target-URI", _uri(page["refers_url"])), ("WARC-Refers-To-Date", DATE), *common], block)
         return
     block = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nTransfer-Encoding: chunked\r\n\r\n" + framed(payload)
     parts = [block[at : at + segment_bytes] for at in range(0, len(block), segment_bytes)]
@@ -93,14 +102,16 @@ def records_of(page: dict, name: str, segment_bytes: int = SEGMENT_BYTES) -> Ite
 
 
 def originals(keyed: DataFrame, min_bytes: int = 0) -> DataFrame:
-    """``key`` and largest page_id of payloads of at least ``min_bytes`` that several rows have.
+    """``key``, largest page_id and the ``name`` and url of one row that has it, of payloads of at least ``min_bytes`` that several rows have.
 
     Counts and maxima are combined before the shuffle, so a payload that a third of the
     rows share is one row from each task.
     """
     seen = keyed.filter(F.octet_length("payload") >= min_bytes)
-    groups = seen.groupBy("key").agg(F.max("page_id").alias("original"), F.count("*").alias("n"))
-    return groups.filter((F.col("n") > 1) & F.col("original").isNotNull()).select("key", "original")
+    # of rows with the largest id, that of the first name; a null id is below all others
+    last = F.max(F.struct("page_id", (-F.col("name")).alias("first"), "url")).alias("last")
+    groups = seen.groupBy("key").agg(last, F.count("*").alias("n")).filter((F.col("n") > 1) & F.col("last.page_id").isNotNull())
+    return groups.select("key", F.col("last.page_id").alias("original"), (-F.col("last.first")).alias("refers_name"), F.col("last.url").alias("refers_url"))
 
 
 def write_archives(pages: DataFrame, path: str, min_bytes: int = 0, segment_bytes: int = SEGMENT_BYTES, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> None:
@@ -109,30 +120,27 @@ def write_archives(pages: DataFrame, path: str, min_bytes: int = 0, segment_byte
     A null html is an empty payload, a null url a placeholder, a null page_id stays null.
     Of rows with equal payloads those with the largest page_id are responses (several,
     if that id is repeated), the others revisits; where all ids of a group are null,
-    all are responses. Other columns are not looked at.
+    all are responses. Other columns are not looked at. Rows are numbered where they lie, twice, so
+    ``pages`` should be a stored table, which gives its rows in the same order each time.
     """
     html = F.coalesce(F.col(html_col), F.lit("")).cast("binary")
-    keyed = pages.select(F.col(id_col).cast("bigint").alias("page_id"), F.col(url_col).cast("string").alias("url"), html.alias("payload"), F.sha1(html).alias("key"))
+    keyed = pages.select(F.col(id_col).cast("bigint").alias("page_id"), F.col(url_col).cast("string").alias("url"), html.alias("payload"), F.sha1(html).alias("key"), F.monotonically_increasing_id().alias("name"))
     joined = keyed.join(written(originals(keyed, min_bytes), "warc-originals"), "key", "left")
     _written_records(joined, segment_bytes).write.option("lineSep", RECORD_END).option("maxRecordsPerFile", RECORDS_PER_FILE).text(path)
 
 
 def _written_records(joined: DataFrame, segment_bytes: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        task, n = TaskContext.get().partitionId(), 0
         for b in batches:
             out: list[bytes] = []
-            for page in b.to_pylist():
-                page["refers_to"] = page["original"]
-                page["is_revisit"] = page["original"] is not None and page["page_id"] != page["original"]
-                page["digest"] = digest(page["payload"])
-                out += records_of(page, f"{task}-{n}", segment_bytes)
-                n += 1
+            others = zip(b.column("page_id").to_pylist(), strings_of(b, "url"), texts_of(b, "payload"), b.column("original").to_pylist(), b.column("name").to_pylist(), b.column("refers_name").to_pylist(), strings_of(b, "refers_url"), strict=True)
+            for page_id, url, payload, original, name, refers_name, refers_url in others:
+                revisit = original is not None and page_id != original
+                page = {"page_id": page_id, "url": url, "payload": payload, "refers_to": original, "refers_name": refers_name, "refers_url": refers_url, "is_revisit": revisit, "digest": digest(payload)}
+                out += records_of(page, str(name), segment_bytes)
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["record"])
 
-    rows = joined.select("page_id", "url", "payload", "original").mapInArrow(run, "record binary")
+    rows = joined.select("page_id", "url", "payload", "original", "name", "refers_name", "refers_url").mapInArrow(run, "record binary")
     return rows.select(F.col("record").cast("string").alias("value"))
 
 
@@ -204,9 +212,19 @@ def reassembled(segments: DataFrame) -> DataFrame:
         F.sort_array(F.collect_list(F.struct("number", "block"))).alias("parts"),
     )
     numbers = F.transform("parts", lambda p: p["number"])
-    block = F.aggregate("parts", F.lit(b""), lambda a, p: F.concat(a, p["block"]))
-    chains = chains.withColumn("block", block).withColumn(
-        "complete", F.col("kind").isNotNull() & (numbers == F.sequence(F.lit(1), F.col("n").cast("int"))) & F.coalesce(F.col("total") == F.octet_length("block"), F.lit(False))
+
+    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i in range(b.num_rows):  # one chain at a time: its blocks are copied once
+                whole = b"".join(p.as_py() for p in b.column("parts")[i].values.field("block"))
+                one = b.slice(i, 1).drop_columns(["parts"])
+                yield one.append_column("block", pa.array([whole], pa.binary()))
+
+    chains = chains.withColumn("numbers", numbers)
+    plain = [f for f in chains.schema if f.name != "parts"]
+    chains = chains.select(*[f.name for f in plain], "parts").mapInArrow(joined, T.StructType([*plain, T.StructField("block", T.BinaryType())]))
+    chains = chains.withColumn(
+        "complete", F.col("kind").isNotNull() & (F.col("numbers") == F.sequence(F.lit(1), F.col("n").cast("int"))) & F.coalesce(F.col("total") == F.octet_length("block"), F.lit(False))
     )
     return alone.unionByName(chains.select("kind", "origin", "uri", "digest", "refers", "block", "complete"))
 

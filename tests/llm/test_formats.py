@@ -119,6 +119,61 @@ def test_common_lines_are_longest():
         assert all(a[i] in rest for i in found)
 
 
+def test_common_lines_by_bits_are_longest(monkeypatch):
+    rng = random.Random(6)
+    for _ in range(300):
+        a, b = ([rng.randrange(4) for _ in range(rng.randint(0, 25))] for _ in range(2))
+        monkeypatch.setattr(html_diff, "BIT_TABLE", rng.choice([0, 5, 1 << 20]))
+        found = html_diff._common_by_bits(a, b)
+        assert len(found) == lcs_length(a, b) and found == sorted(set(found))
+        rest = iter(b)
+        assert all(a[i] in rest for i in found)
+    monkeypatch.undo()
+    began = time.time()
+    a, b = ([0 if i % 2 else sign * i for i in range(20_000)] for sign in (1, -1))
+    assert len(html_diff.common_lines(a, b)) == 10_001
+    assert time.time() - began < 10
+
+
+def test_names_inside_an_article_need_a_neighbour(spark):
+    def page(i, inner):
+        return f"<article><h1>T {i}</h1><p>Text {i}.</p>{inner}</article>"
+
+    named = ["<div class='comment-on-law'><p>body</p></div>", "<section id='related-work'><h2>ad</h2><p>more</p></section>", "<div class='notice-of-death'>gone</div>"]
+    rows = [(i, f"http://law/{i:02d}", page(i, "")) for i in range(9)]
+    rows += [(20 + i, f"http://law/04-{i}", page(20 + i, x)) for i, x in enumerate(named)]
+    rows += [(100 + i, f"http://blog/{i:02d}", page(i, f"<div class='comments'><p>me too {i}</p></div><p>End {i}.</p>")) for i in range(9)]
+    got = text_of(pages(spark, rows))
+    assert [got[20 + i].split("\n", 2)[2] for i in range(3)] == ["body", "ad\nmore", "gone"]
+    assert all(got[100 + i] == f"T {i}\nText {i}.\nEnd {i}." for i in range(9))
+    assert html_diff.main_text("<article>Let <math>x</math> be <object>2</object>.</article>", None) == "Let x be 2."
+
+
+def test_blocks_without_any_names(spark, sf_dir):
+    """Tags of the given pages made neutral, classes taken off: their places in the template decide."""
+    df = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    named = text_of(df)
+    neutral = df.withColumn("html", F.regexp_replace(F.regexp_replace("html", r"(</?)(article|nav|footer)\b", "$1div"), ' class="[^"]*"', ""))
+    hosts = df.groupBy(html_diff.host_and_path(F.col("url"))[0].alias("h")).agg(F.collect_list("page_id").alias("ids")).where(F.size("ids") > 2)
+    many = {i for r in hosts.collect() for i in r.ids}
+    got = {i: t for i, t in text_of(neutral).items() if i in many}
+    assert got and sum(named[i] == t for i, t in got.items()) >= 0.9 * len(got)
+
+
+def test_bytes_that_are_no_text(spark):
+    df = spark.sql("select 1L as page_id, cast(x'687474703A2F2FFF2F' as string) as url, cast(x'3C703E61FF623C2F703E' as string) as html")
+    assert [r.text for r in html_diff.extract(df).collect()] == ["a\ufffdb"]
+
+
+def test_depth_takes_no_room():
+    import tracemalloc
+
+    tracemalloc.start()
+    html_diff.read_page("<form><div>x" * 12_000)
+    assert tracemalloc.get_traced_memory()[1] < 100e6
+    tracemalloc.stop()
+
+
 def test_broken_and_deep_markup():
     read = lambda s: html_diff.main_text(s, None)
     assert read("<p>a<![foo[x]]>b<![ bad") == "ab"
@@ -177,6 +232,31 @@ def test_warc_round_trip(spark):
     assert all(r.kind == "response" for r in small if r.payload_bytes < 5)
 
 
+def test_revisits_refer_to_records_of_the_archive(spark, tmp_path):
+    rows = [(i % 7 if i % 5 else None, f"http://a/{i}", ["same", "other", None][i % 3]) for i in range(40)]
+    warc.write_archives(pages(spark, rows).repartition(4), str(tmp_path / "w"))
+    responses, revisits = {}, 0
+    for r in spark.read.format("binaryFile").load(str(tmp_path / "w")).collect():
+        for h, _ in warc.parsed(io.BytesIO(r.content)):
+            if h["warc-type"] == "response":
+                responses[h["warc-record-id"]] = h
+    for r in spark.read.format("binaryFile").load(str(tmp_path / "w")).collect():
+        for h, _ in warc.parsed(io.BytesIO(r.content)):
+            if h["warc-type"] == "revisit":
+                target = responses[h["warc-refers-to"]]
+                assert target["warc-payload-digest"] == h["warc-payload-digest"]
+                assert (target["warc-target-uri"], target["warc-date"]) == (h["warc-refers-to-target-uri"], h["warc-refers-to-date"])
+                revisits += 1
+    assert revisits > 10 and len(responses) + revisits == 40
+
+
+def test_a_large_page_is_put_together_in_linear_time(spark):
+    big = "<p>0123456789abcdef</p>\n" * 1_300_000  # 30 MB in some 470 segments
+    began = time.time()
+    [row] = warc.round_trip(pages(spark, [(1, "http://a", big)])).select("payload_bytes", "intact").collect()
+    assert tuple(row) == (len(big), True) and time.time() - began < 60
+
+
 def test_warc_reports_what_is_damaged(spark, tmp_path):
     page = {"page_id": 1, "url": "http://x", "payload": b"abc" * 5000, "refers_to": None, "digest": warc.digest(b"abc" * 5000), "is_revisit": False}
     parts = list(warc.records_of(page, "0-0", 4000))
