@@ -105,7 +105,7 @@ def quality_gate(
     failures = []
     for name, bound in at_least.items():
         value = F.col(name) if name in metrics.columns else F.lit(None).cast("double")
-        failures.append(F.when(F.coalesce(value, F.lit(0.0)) < bound, F.lit(f"{name} < {bound}")))
+        failures.append(F.when(value.isNull() | (value < bound), F.lit(f"{name} < {bound}")))
     for name, bound in at_most.items():
         value = F.col(name) if name in metrics.columns else F.lit(None).cast("double")
         failures.append(F.when(value.isNull() | (value > bound), F.lit(f"{name} > {bound}")))

@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import lru_cache
 from hashlib import md5
+import threading
 import time
+from urllib.parse import quote
 
 import numpy as np
 import pyarrow as pa
@@ -15,6 +18,8 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from gleanery.operators.keyword_search import words
+from gleanery.operators.store import _exists
+from gleanery.session import written
 
 # Texts per call, attempts, and the bounds of the wait in seconds.
 BATCH_SIZE = 150
@@ -22,14 +27,29 @@ ATTEMPTS = 4
 WAIT_MIN, WAIT_MAX = 1.0, 10.0
 
 
+class RetryBudget:
+    """So many repeated calls in all, shared by the threads of a task; None is without end."""
+
+    def __init__(self, calls: int | None):
+        self.left, self.lock = calls, threading.Lock()
+
+    def take(self) -> bool:
+        with self.lock:
+            if self.left is None:
+                return True
+            self.left -= 1
+            return self.left >= 0
+
+
 def call_with_retry(fn: Callable, *args, attempts: int = ATTEMPTS, wait_min: float = WAIT_MIN,
-                    wait_max: float = WAIT_MAX, sleep: Callable[[float], None] = time.sleep):
-    """Call again after a failure, waiting twice as long each time."""
+                    wait_max: float = WAIT_MAX, sleep: Callable[[float], None] = time.sleep,
+                    budget: RetryBudget | None = None):
+    """Call again after a failure, waiting twice as long each time, while the budget lasts."""
     for attempt in range(attempts):
         try:
             return fn(*args)
         except Exception:
-            if attempt + 1 == attempts:
+            if attempt + 1 == attempts or budget and not budget.take():
                 raise
             sleep(min(max(wait_min * 2**attempt, wait_min), wait_max))
 
@@ -46,6 +66,8 @@ def map_in_batches(
     wait_max: float = WAIT_MAX,
     latency: str | None = None,
     check: Callable[[object], None] | None = None,
+    in_flight: int = 1,
+    max_retries: int | None = None,
 ) -> DataFrame:
     """Add ``output`` and ``error``: ``fn`` gets one list per input, row order kept.
 
@@ -53,21 +75,25 @@ def map_in_batches(
     single rows: only rows that fail by themselves get an error text and a null
     output, and the job goes on. ``latency`` names a column for the seconds that
     the row's call took; with ``batch_size=1`` that is its own latency. A row
-    that failed has none.
+    that failed has none. ``in_flight`` calls of a task run side by side, for models that
+    wait for a server; rows keep their order, and no more than one Arrow batch is held.
+    ``max_retries`` bounds the repeated calls of a task.
     """
+    if in_flight < 1:
+        raise ValueError("in_flight must be at least 1")
     fields = [T.StructField(output, kind), T.StructField("error", T.StringType())]
     if latency:
         fields.append(T.StructField(latency, T.DoubleType()))
     schema = T.StructType([*df.schema.fields, *fields])
     arrow_kind = to_arrow_type(kind)
 
-    def outcome(part: pa.RecordBatch, tries: int) -> Iterator[tuple[pa.Array, str | None, float]]:
+    def outcome(part: pa.RecordBatch, tries: int, budget: RetryBudget) -> Iterator[tuple[pa.Array, str | None, float]]:
         """Column, error and seconds of each call that it took to get through ``part``."""
         args = [part.column(part.schema.get_field_index(c)).to_pylist() for c in inputs]
         began = time.perf_counter()
         try:
             values = list(call_with_retry(
-                fn, *args, attempts=tries, wait_min=wait_min, wait_max=wait_max))
+                fn, *args, attempts=tries, wait_min=wait_min, wait_max=wait_max, budget=budget))
             if len(values) != part.num_rows:
                 raise ValueError(f"{part.num_rows} inputs gave {len(values)} outputs")
             if check:
@@ -81,21 +107,30 @@ def map_in_batches(
             half = part.num_rows // 2
             for piece in (part.slice(0, half), part.slice(half)):
                 # whether the fault was passing has been tried; single rows get all attempts again
-                yield from outcome(piece, attempts if piece.num_rows == 1 else 1)
+                yield from outcome(piece, attempts if piece.num_rows == 1 else 1, budget)
+
+    def done(part: pa.RecordBatch, budget: RetryBudget) -> pa.RecordBatch:
+        columns, errors, seconds = [], [], []
+        for column, error, took in outcome(part, attempts, budget):
+            columns.append(column)
+            errors += [error] * len(column)
+            seconds += [None if error else took] * len(column)
+        extra = [pa.concat_arrays(columns), pa.array(errors, pa.string())]
+        if latency:
+            extra.append(pa.array(seconds, pa.float64()))
+        return pa.RecordBatch.from_arrays([*part.columns, *extra], schema.names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for at in range(0, whole.num_rows, batch_size):
-                part = whole.slice(at, batch_size)
-                columns, errors, seconds = [], [], []
-                for column, error, took in outcome(part, attempts):
-                    columns.append(column)
-                    errors += [error] * len(column)
-                    seconds += [None if error else took] * len(column)
-                extra = [pa.concat_arrays(columns), pa.array(errors, pa.string())]
-                if latency:
-                    extra.append(pa.array(seconds, pa.float64()))
-                yield pa.RecordBatch.from_arrays([*part.columns, *extra], schema.names)
+        budget = RetryBudget(max_retries)
+        if in_flight == 1:
+            for whole in batches:
+                for at in range(0, whole.num_rows, batch_size):
+                    yield done(whole.slice(at, batch_size), budget)
+            return
+        with ThreadPoolExecutor(in_flight) as pool:
+            for whole in batches:
+                parts = [whole.slice(at, batch_size) for at in range(0, whole.num_rows, batch_size)]
+                yield from pool.map(lambda part: done(part, budget), parts)
 
     return df.mapInArrow(run, schema)
 
@@ -118,6 +153,43 @@ def embed_texts(
     )
 
 
+def embed_changed(
+    df: DataFrame, text: str, embed_fn: Callable[[list[str]], Sequence[Sequence[float]]], dimension: int, store: str,
+    model: str, output: str = "vector", portion_rows: int = 100_000, **options,
+) -> DataFrame:
+    """Add the vector of each text, calling the model only for texts that ``store`` does not know.
+
+    The store is a table of vectors by content hash and name of the model. Texts that are
+    new to it are called once each, however many rows have them, in portions of about
+    ``portion_rows`` that are appended one by one: a job that is started again calls for
+    none that are stored. Vectors that fail are not stored and have an ``error`` here. A
+    null text has neither. One job at a time may write to a store.
+    """
+    spark = df.sparkSession
+    path = f"{store}/model={quote(model, safe='')}"
+    rows = df.withColumn("_hash", F.sha2(F.col(text), 256))
+    schema = f"content_hash string, {output} array<float>"
+
+    def stored() -> DataFrame:
+        return spark.read.schema(schema).parquet(path) if _exists(spark, path) else spark.createDataFrame([], schema)
+
+    wanted = rows.where("_hash IS NOT NULL").groupBy(F.col("_hash").alias("content_hash")).agg(F.any_value(text).alias("_text"))
+    new = written(wanted.join(stored().select("content_hash"), "content_hash", "left_anti"), "embed-new")
+    portions = -(-new.count() // portion_rows)
+    errors = None
+    for i in range(portions):
+        part = new.where(F.pmod(F.xxhash64("content_hash"), F.lit(portions)) == i)
+        made = written(embed_texts(part, "_text", embed_fn, dimension, output, **options), "embed-made")
+        made.where("error IS NULL").select("content_hash", output).write.mode("append").parquet(path)
+        failed = made.where("error IS NOT NULL").select("content_hash", "error")
+        errors = failed if errors is None else errors.unionByName(failed)
+    if errors is None:
+        errors = spark.createDataFrame([], "content_hash string, error string")
+    known = stored().dropDuplicates(["content_hash"]).withColumnRenamed("content_hash", "_known")  # a portion may be there twice
+    out = rows.join(known, F.col("_hash") == F.col("_known"), "left")
+    return out.join(errors.withColumnRenamed("content_hash", "_failed"), F.col("_hash") == F.col("_failed"), "left").drop("_hash", "_known", "_failed")
+
+
 class HashingEmbedder:
     """Signed counts of hashed words: deterministic, no model. For tests and baselines.
 

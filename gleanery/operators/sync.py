@@ -17,17 +17,23 @@ def snapshot_diff(
     """``key, change_type`` with insert, update and delete (and, on request, same).
 
     A row is changed if any column of ``content`` is, by default any column but
-    the key; nulls count as values of their own.
+    the key that either snapshot has; nulls count as values of their own, and a column
+    that a snapshot lacks is null there.
 
     Both snapshots are appended as key and content hash and meet in one
     aggregation: one shuffle of narrow rows, combined beforehand, and a key that
     occurs many times does not multiply.
     """
     if content is None:
-        content = [c for c in old.columns if c != key and c in new.columns]
-    digest = F.sha2(F.to_json(F.struct(*content), {"ignoreNullFields": "false"}), 256)
-    sides = old.select(F.col(key), digest.alias("_old"), F.lit(None).cast("string").alias("_new")).unionByName(
-        new.select(F.col(key), F.lit(None).cast("string").alias("_old"), digest.alias("_new"))
+        content = [*old.columns, *(c for c in new.columns if c not in old.columns)]
+        content.remove(key)
+
+    def digest(side: DataFrame):
+        columns = [F.col(c) if c in side.columns else F.lit(None).cast("string").alias(c) for c in content]
+        return F.sha2(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}), 256)
+
+    sides = old.select(F.col(key), digest(old).alias("_old"), F.lit(None).cast("string").alias("_new")).unionByName(
+        new.select(F.col(key), F.lit(None).cast("string").alias("_old"), digest(new).alias("_new"))
     )
     both = sides.groupBy(key).agg(
         F.max("_old").alias("_old"), F.max("_new").alias("_new"),

@@ -230,6 +230,22 @@ def embed_hashing(spark, sf):
     )
 
 
+def embed_changed(spark, sf):
+    """Two snapshots through one store: the second one calls for texts that the first did not have, each once."""
+    store, embedder = shared_dir(spark, "embedded"), inference.HashingEmbedder(DIMENSION)
+    docs = _documents(spark, sf)
+    before = docs.where("chunk_id % 4 <> 0").unionByName(docs.where("chunk_id % 8 = 1"))
+    inference.embed_changed(before, "chunk_text", embedder, DIMENSION, store, "hashing")
+    first = spark.read.parquet(f"{store}/model=hashing").count()
+    made = inference.embed_changed(docs, "chunk_text", embedder, DIMENSION, store, "hashing")
+    counts = F.transform("vector", lambda x: x.cast("int").cast("string"))
+    second = spark.read.parquet(f"{store}/model=hashing").count() - first
+    return made.select(
+        F.col("chunk_id").alias("doc_id"), F.md5(F.array_join(counts, ",")).alias("vector_md5"),
+        long(F.lit(first)).alias("calls_before"), long(F.lit(second)).alias("calls_after"),
+    )
+
+
 def hybrid_rrf(spark, sf):
     embedder = inference.HashingEmbedder(DIMENSION)
     corpus = inference.embed_texts(_documents(spark, sf), "chunk_text", embedder, DIMENSION)
@@ -295,7 +311,7 @@ QUERIES = {
         vector_topk, vector_topk_partitioned, vector_topk_filtered, vector_topk_odd, search_coverage,
         embed_failures, vector_hashed_topk,
         vector_celled_topk, search_recall, vector_index_kept, retrieval_eval, retrieval_eval_pairs, retrieval_eval_mean,
-        keyword_bm25, keyword_bm25_partitioned, keyword_index, embed_hashing, hybrid_rrf, rerank_lexical,
+        keyword_bm25, keyword_bm25_partitioned, keyword_index, embed_hashing, embed_changed, hybrid_rrf, rerank_lexical,
         hit_snippets, context_block, prompt_table, batch_answers,
     )
 }

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,7 +12,7 @@ from gleanery.functions import text as X
 from gleanery.operators import chunking, evaluate, markup, monitor, sync
 from gleanery.plans import ingest
 from gleanery.session import shared_dir, spread, written
-from gleanery.sources import tables
+from gleanery.sources import catalog, tables
 
 REFUSAL = "of the"  # stands in for the refusal sentence in texts that hold none
 EXTRA_PATTERNS = (r"all rights reserved", r"api[_ -]?key", r"password")
@@ -63,6 +65,23 @@ def partitioned_table(spark, sf):
     return spark.read.parquet(path).where(F.col("lang") == "en").select("doc_id", "source", "n_chars")
 
 
+def catalogue_table(spark, sf):
+    """Chunks in a table by name with the stated schema, then more rows with a column of their own."""
+    name, spoken = f"chunks_{uuid.uuid4().hex[:12]}", load(spark, sf, "conversations")
+    chunks = fixed_document_chunks(spark, sf).withColumn("chunk_index", F.col("chunk_index").cast("int"))
+    catalog.create_table(chunks, name, tables.SILVER, shared_dir(spark, "named"))
+    url = F.concat(F.lit("conversation/"), "conv_id")
+    turns = spoken.select(
+        keys.chunk_id(url, "turn").alias("chunk_id"), url.alias("url"), F.col("role").alias("title"),
+        F.col("turn").cast("int").alias("chunk_index"), F.coalesce("text", F.lit("")).alias("chunk_text"), F.col("role").alias("speaker"),
+    )
+    catalog.append_table(turns, name, tables.SILVER)
+    rows = spark.table(name)
+    return rows.groupBy("speaker").agg(
+        F.count("*").alias("n_rows"), F.countDistinct("chunk_id").alias("n_keys"), F.sum(F.length("chunk_text")).cast("bigint").alias("n_chars"),
+    ).select(F.coalesce("speaker", F.lit("-")).alias("speaker"), "n_rows", "n_keys", "n_chars")
+
+
 def page_names(spark, sf):
     pages = load(spark, sf, "pages").select("page_id", "url")
     name = F.concat(X.page_slug("url"), F.lit(".html"))
@@ -304,7 +323,7 @@ def sampled_keys(spark, sf):
 QUERIES = {
     f.__name__: f
     for f in (
-        bronze_documents, row_counts, preview_rows, partitioned_table, page_names, page_markdown, page_plain_text,
+        bronze_documents, row_counts, preview_rows, partitioned_table, catalogue_table, page_names, page_markdown, page_plain_text,
         page_chunks, chunk_recursive, chunk_sql_function, chunk_fixed_window, chunk_token_window, chunk_sections, chunk_sections_sized,
         chunk_duplicate_keys, chunk_duplicate_texts, chunk_length_summary, text_statistics,
         snapshot_diff, snapshot_apply, change_feed, index_reconcile, last_message, chat_question, chat_answer,

@@ -41,20 +41,24 @@ SELECT day, round(mean_latency_s - l, 6) AS mean_latency_s_change,
     "judge_means": """SELECT round(avg(quality), 6) AS correctness_mean,
        round(avg(1.0::DOUBLE - toxic), 6) AS safety_mean FROM labels""",
     "quality_gate": f"""WITH {SOURCES}, f AS (
-  SELECT *, list_filter([CASE WHEN coalesce(g, 0) < 0.8 THEN 'groundedness_mean < 0.8' END,
-                         CASE WHEN coalesce(c, 0) < 0.7 THEN 'correctness_mean < 0.7' END,
+  SELECT *, list_filter([CASE WHEN g IS NULL OR g < 0.8 THEN 'groundedness_mean < 0.8' END,
+                         CASE WHEN c IS NULL OR c < 0.7 THEN 'correctness_mean < 0.7' END,
                          CASE WHEN p90 IS NULL OR p90 > 3.0 THEN 'p90_seconds > 3.0' END],
                         lambda x: x IS NOT NULL) AS bad FROM m)
 SELECT source, round(g, 6) AS groundedness_mean, round(c, 6) AS correctness_mean,
        round(p90, 6) AS p90_seconds, (len(bad) = 0)::BIGINT AS passed,
        array_to_string(bad, '; ') AS failed_checks FROM f""",
-    "diagnosis": f"""WITH {SOURCES}
-SELECT source, CASE WHEN g < 0.6 AND c < 0.6 THEN 'retrieval failure'
-  WHEN g < 0.6 THEN 'corpus gap or query mismatch'
-  WHEN c < 0.6 AND g >= 0.9 THEN 'relevant page buried in noise'
-  WHEN c >= 0.9 AND g >= 0.9 AND g < 0.6 THEN 'answer not grounded in context'
-  WHEN g >= 0.9 AND c < 0.6 THEN 'generation failure'
-  WHEN g < 0.6 THEN 'embedding mismatch'
+    "diagnosis": """WITH m AS (
+  SELECT user_id % 40 AS team, avg((event_type <> 'error')::INT) AS c, avg((event_type <> 'view')::INT) AS p, avg((event_type <> 'click')::INT) AS r,
+         avg((event_type <> 'purchase')::INT) AS g, avg((event_type <> 'signup')::INT) AS rel,
+         quantile_cont(value, 0.5) AS p50, quantile_cont(value, 0.9) AS p90
+  FROM events GROUP BY 1)
+SELECT team, CASE WHEN rel < 0.79 AND c < 0.79 THEN 'retrieval failure'
+  WHEN r < 0.79 THEN 'corpus gap or query mismatch'
+  WHEN p < 0.79 AND r >= 0.81 THEN 'relevant page buried in noise'
+  WHEN p >= 0.81 AND r >= 0.81 AND g < 0.79 THEN 'answer not grounded in context'
+  WHEN rel >= 0.81 AND c < 0.79 THEN 'generation failure'
+  WHEN rel < 0.79 THEN 'embedding mismatch'
   WHEN p90 > 3.0 * p50 THEN 'slow tail' ELSE 'no finding' END AS diagnosis FROM m""",
     "lexical_judges": f"""WITH t AS (
   SELECT a.conv_id, a.turn, list_distinct({words('a.text')}) AS a,

@@ -135,6 +135,15 @@ full_ AS (
   FROM documents CROSS JOIN range(64) r(i) LEFT JOIN cv ON cv.id = doc_id AND cv.b = i)
 SELECT doc_id, 64::BIGINT AS dimension, md5(string_agg(x::VARCHAR, ',' ORDER BY i)) AS vector_md5,
        1::BIGINT AS embedded FROM full_ GROUP BY 1""",
+    "embed_changed": f"""WITH {hashed_vectors('documents', 'doc_id', 'text', 'cv')},
+n AS (
+  SELECT count(DISTINCT text) FILTER (doc_id % 4 <> 0) AS before,
+         count(DISTINCT text) FILTER (doc_id % 4 = 0 AND text NOT IN (SELECT text FROM documents WHERE doc_id % 4 <> 0)) AS after FROM documents),
+full_ AS (
+  SELECT doc_id, i, coalesce(x, 0)::BIGINT AS x
+  FROM documents CROSS JOIN range(64) r(i) LEFT JOIN cv ON cv.id = doc_id AND cv.b = i)
+SELECT doc_id, md5(string_agg(x::VARCHAR, ',' ORDER BY i)) AS vector_md5, any_value(before) AS calls_before, any_value(after) AS calls_after
+FROM full_, n GROUP BY 1""",
     "hybrid_rrf": f"""WITH {BM25}, {best('bm', 10, 'kw')},
 {hashed_vectors('documents', 'doc_id', 'text', 'cv')},
 {hashed_vectors('benchmark', 'item_id', 'text', 'qv')},

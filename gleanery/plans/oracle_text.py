@@ -197,6 +197,11 @@ FROM md WHERE regexp_matches(content, '[^{WS}]')""",
 pages_md AS (SELECT * FROM md WHERE regexp_matches(content, '[^{WS}]')),
 {recursive('pages_md', 'page_id', 'c')} SELECT {SHOWN} FROM c""",
     "chunk_recursive": f"WITH RECURSIVE {DOCS}, {recursive('docs', 'url', 'c')} SELECT {SHOWN} FROM c",
+    "catalogue_table": f"""WITH {DOCS}, {windows('docs', 'chunks')},
+t AS (
+  SELECT '-' AS speaker, chunk_id, chunk_text FROM chunks
+  UNION ALL SELECT role, substr(sha256('conversation/' || conv_id || '::' || turn), 1, 16), coalesce(text, '') FROM conversations)
+SELECT speaker, count(*) AS n_rows, count(DISTINCT chunk_id) AS n_keys, sum(length(chunk_text))::BIGINT AS n_chars FROM t GROUP BY 1""",
     "chunk_sql_function": f"WITH RECURSIVE {DOCS}, {recursive('docs', 'url', 'c')} SELECT {SHOWN} FROM c",
     "chunk_fixed_window": f"WITH {DOCS}, {windows('docs', 'chunks')} SELECT {SHOWN} FROM chunks",
     "chunk_token_window": f"""WITH {DOCS},

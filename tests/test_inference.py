@@ -93,3 +93,65 @@ def test_answers_end_to_end(spark):
     got = {r.query_id: r for r in rows}
     assert got[1].answer == texts["sea"] and got[1].cited_urls == ["u/sea"] and got[1].latency_s >= 0
     assert got[2].answer == "No idea." and got[2].context == ""
+
+
+def test_calls_in_flight_keep_rows_and_errors(spark):
+    import time as clock
+
+    def slow(texts):
+        clock.sleep(0.1)
+        if "bad" in texts:
+            raise ValueError("refused")
+        return [t.upper() for t in texts]
+
+    rows = spark.createDataFrame([(i, "bad" if i == 17 else f"t{i}") for i in range(60)], "i int, t string").coalesce(1)
+    out, took = [], []
+    for side_by_side in (1, 8):
+        made = inference.map_in_batches(rows, slow, ["t"], "u", T.StringType(), batch_size=1, attempts=1, in_flight=side_by_side)
+        made.limit(1).collect()
+        began = clock.perf_counter()
+        out.append([tuple(r) for r in made.collect()])
+        took.append(clock.perf_counter() - began)
+    assert out[0] == out[1] and [r[0] for r in out[0]] == list(range(60))
+    assert out[0][17][2:] == (None, "ValueError: refused") and out[0][18][2:] == ("T18", None)
+    assert took[0] > 3 * took[1]
+
+
+def test_retries_of_a_task_are_bounded(spark, tmp_path):
+    def refuse(texts):
+        with open(f"{tmp_path}/calls", "a") as f:
+            f.write("x")
+        raise ValueError("no")
+
+    rows = spark.createDataFrame([(f"t{i}",) for i in range(20)], "t string").coalesce(1)
+    for side_by_side in (1, 4):
+        made = inference.map_in_batches(rows, refuse, ["t"], "u", T.StringType(), batch_size=1, attempts=5, wait_min=0, wait_max=0, in_flight=side_by_side, max_retries=7)
+        assert made.where("error IS NOT NULL").count() == 20
+        assert len((tmp_path / "calls").read_text()) == 27
+        (tmp_path / "calls").write_text("")
+
+
+def test_only_new_texts_are_embedded(spark, tmp_path):
+    store = str(tmp_path / "store")
+
+    def embed(texts):
+        with open(f"{tmp_path}/calls", "a") as f:
+            f.write("".join(f"{t}\n" for t in texts))
+        if any(t.startswith("bad") for t in texts):
+            raise ValueError("refused")
+        return [[float(len(t)), 1.0] for t in texts]
+
+    def run(rows, model="m/1"):
+        (tmp_path / "calls").write_text("")
+        df = spark.createDataFrame(rows, "content_hash int, t string")
+        made = inference.embed_changed(df, "t", embed, 2, store, model, portion_rows=2, attempts=1).collect()
+        return sorted((r.content_hash, r.t, r.vector and r.vector[0], r.error) for r in made), sorted((tmp_path / "calls").read_text().split())
+
+    made, calls = run([(1, "a"), (2, "bb"), (3, "a"), (4, None), (5, "ccc")])
+    assert made == [(1, "a", 1.0, None), (2, "bb", 2.0, None), (3, "a", 1.0, None), (4, None, None, None), (5, "ccc", 3.0, None)]
+    assert calls == ["a", "bb", "ccc"]
+    made, calls = run([(1, "bb"), (2, "dddd"), (3, "bad")])
+    assert set(calls) == {"dddd", "bad"} and made == [(1, "bb", 2.0, None), (2, "dddd", 4.0, None), (3, "bad", None, "ValueError: refused")]
+    assert run([(1, "a"), (2, "dddd")])[1] == []
+    assert run([(1, "a")], "other")[1] == ["a"]
+    assert run([])[0] == []

@@ -3,7 +3,7 @@ from pyspark.sql import types as T
 import pytest
 
 from gleanery.plans import ingest
-from gleanery.sources import files, tables
+from gleanery.sources import catalog, files, tables
 
 
 @pytest.fixture
@@ -90,3 +90,22 @@ def test_preview_and_golden_set(spark):
     golden = tables.golden_set(spark, [("q2", "a", ["u"]), ("q1", None, [])])
     assert [r.request for r in tables.preview(golden, 1, "request").collect()] == ["q1"]
     assert golden.where(F.size("expected_urls") == 1).count() == 1
+
+
+def test_tables_by_name(spark, tmp_path):
+    schema = T.StructType([T.StructField("url", T.StringType(), False), T.StructField("n", T.IntegerType())])
+    rows = spark.createDataFrame([(1, "a", "x"), (2, "b", "y")], "n long, URL string, lang string")
+    catalog.create_table(rows, "by_name", schema, str(tmp_path / "t"), ["lang"])
+    try:
+        assert [(f.name, f.dataType.simpleString()) for f in spark.table("by_name").schema] == [("url", "string"), ("n", "int"), ("lang", "string")]
+        catalog.append_table(spark.createDataFrame([("c", "z", 0.5)], "url string, lang string, score double"), "by_name", schema)
+        found = sorted((r.url, r.n, r.lang, r.score) for r in spark.table("by_name").collect())
+        assert found == [("a", 1, "x", None), ("b", 2, "y", None), ("c", None, "z", 0.5)]
+        with pytest.raises(Exception, match="column url must not be null"):
+            catalog.append_table(spark.createDataFrame([(None, 1)], "url string, n int"), "by_name", schema)
+        with pytest.raises(ValueError, match="url"):
+            catalog.append_table(spark.createDataFrame([(1,)], "n int"), "by_name", schema)
+        assert spark.table("by_name").count() == 3
+    finally:
+        catalog.drop_table(spark, "by_name")
+    assert not spark.catalog.tableExists("by_name")

@@ -41,3 +41,10 @@ def test_duplicate_keys(spark):
     df = spark.createDataFrame([("a",), ("b",), ("a",)], "chunk_id string")
     assert [tuple(r) for r in monitor.duplicate_keys(df).collect()] == [("a", 2)]
     assert tuple(monitor.duplicate_key_count(df).first()) == (3, 2, 1)
+
+
+def test_a_new_column_is_a_change(spark):
+    old = spark.createDataFrame([("a", "x"), ("b", "y")], "chunk_id string, chunk_text string")
+    new = spark.createDataFrame([("a", "x", None), ("b", "y", "en")], "chunk_id string, chunk_text string, lang string")
+    assert [tuple(r) for r in sync.snapshot_diff(old, new).collect()] == [("b", "update")]
+    assert [tuple(r) for r in sync.snapshot_diff(new, old).collect()] == [("b", "update")]
