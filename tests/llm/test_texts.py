@@ -140,7 +140,6 @@ def test_network_covers_whole_texts(monkeypatch):
     whole = quality_cnn.probability(net, data)
     monkeypatch.setattr(quality_cnn, "STEP", quality_cnn.HALF * quality_cnn.STRIDE)
     assert quality_cnn.probability(net, data) == pytest.approx(whole, abs=1e-6)
-    assert quality_cnn.probability(net, data[:-1] + b"\xff") != whole or True
     assert quality_cnn.probability(net, None) == quality_cnn.probability(net, b"")
 
 
