@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from bisect import bisect_right
+from collections.abc import Callable, Iterator, Sequence
 import re
 
 import pyarrow as pa
@@ -248,6 +249,76 @@ def token_chunks(
     return cut.select(*keep, F.posexplode(windows).alias("chunk_index", "chunk_text"))
 
 
+#: White space that separates plain tokens.
+_BLANK = " \t\n\r\f\v"
+_GAP = re.compile(rf"[{_BLANK}]+")
+_PLAIN_TOKEN = re.compile(rf"[^{_BLANK}]+[{_BLANK}]*")
+
+
+def plain_tokens(text: str) -> list[int]:
+    """Where each token begins: a run of other characters with the white space behind it."""
+    return [m.start() for m in _PLAIN_TOKEN.finditer(text)]
+
+
+def _cut_levels(text: str, starts: Sequence[int]) -> list[int]:
+    """How coarse a cut before each token is: paragraph, line, sentence, word, inside a word."""
+    gaps, ends, coarse = [], [], []  # each run of white space once, however many tokens lie in it
+    for m in _GAP.finditer(text):
+        lines = text.count("\n", *m.span())
+        gaps.append(m.start())
+        ends.append(m.end())
+        coarse.append(0 if lines > 1 else 1 if lines else 2 if m.start() and text[m.start() - 1] in ".!?" else 3)
+    near = (bisect_right(gaps, at) - 1 for at in starts)
+    return [coarse[i] if i >= 0 and ends[i] >= at else 4 for i, at in zip(near, starts, strict=True)]
+
+
+def measured_spans(text: str, starts: Sequence[int], size: int, overlap: int) -> Iterator[tuple[int, int, int]]:
+    """Begin and end in characters and number of tokens of each chunk, in one pass over the tokens.
+
+    ``starts`` says where tokens begin; what stands before the first one belongs to it. A chunk ends
+    at the coarsest cut within the last half of what may still follow, the last one of
+    these; the next begins ``overlap`` tokens before.
+    """
+    if not starts:
+        return
+    levels, n, first = _cut_levels(text, starts), len(starts), 0
+    edges = [0, *starts[1:], len(text)]
+    while n - first > size:
+        low = first + max(overlap + 1, size // 2)
+        end = min(range(low, first + size + 1), key=lambda i: (levels[i], -i))
+        yield edges[first], edges[end], end - first
+        first = end - overlap
+    yield edges[first], len(text), n - first
+
+
+def measured_chunks(
+    documents: DataFrame, text: str = "content", keep: Sequence[str] = ("url", "title"), size: int = 200, overlap: int = 0,
+    tokens: Callable[[str], Sequence[int]] = plain_tokens,
+) -> DataFrame:
+    """``keep.., chunk_index, n_tokens, chunk_text``: chunks of at most ``size`` tokens of the caller's own kind.
+
+    ``tokens`` says where the tokens of a text begin, such as those of a model's tokenizer;
+    chunks begin and end there. Without overlap the chunks of a text joined give the text.
+    Null texts and texts without a token have none.
+    """
+    if not 0 <= overlap < max(1, size // 2):
+        raise ValueError("overlap must be smaller than half the size")
+    narrow = documents.select(*keep, F.col(text).alias("_text"))
+    kept = [narrow.schema[c] for c in keep]
+    schema = T.StructType([*kept, T.StructField("chunk_index", T.IntegerType()), T.StructField("n_tokens", T.IntegerType()), T.StructField("chunk_text", T.StringType())])
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row, body in enumerate(batch.column("_text").to_pylist()):
+                spans = list(measured_spans(body or "", tokens(body or ""), size, overlap))
+                if spans:
+                    head = batch.take(pa.array([row] * len(spans), pa.int64())).drop_columns(["_text"])
+                    parts = [pa.array(range(len(spans)), pa.int32()), pa.array([s[2] for s in spans], pa.int32()), pa.array([body[a:b] for a, b, _ in spans], pa.string())]
+                    yield pa.RecordBatch.from_arrays([*head.columns, *parts], names=schema.names)
+
+    return narrow.mapInArrow(split, schema)
+
+
 def finish_chunks(pieces: DataFrame, min_size: int = MIN_CHUNK_SIZE) -> DataFrame:
     """Strip, drop what is shorter than ``min_size``, and add the key.
 

@@ -198,3 +198,71 @@ def rerank(
         scored = rest.mapInArrow(run, schema).withColumn("score", F.round("score", engine.DECIMALS))
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "item_id")
     return scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+
+
+def shortest_window(query: Sequence[str], text: Sequence[str]) -> tuple[int, int]:
+    """How many different query words the text has, and the words of its shortest stretch that has them all.
+
+    Two pointers over the places of query words: the stretch grows to the right until it
+    has all, and is then cut from the left while it still does.
+    """
+    wanted = set(query)
+    at = [(i, w) for i, w in enumerate(text) if w in wanted]
+    needed = len({w for _, w in at})
+    held: Counter[str] = Counter()
+    best, left = len(text), 0
+    for right, (place, word) in enumerate(at):
+        held[word] += 1
+        while len(held) == needed:
+            first, gone = at[left]
+            best = min(best, place - first + 1)
+            held[gone] -= 1
+            if not held[gone]:
+                del held[gone]
+            left += 1
+    return needed, best if needed else 0
+
+
+def closeness(query: str | None, text: str | None) -> float:
+    """Mean of the share of query words that the text has and of how densely its shortest stretch holds them."""
+    asked = list(dict.fromkeys(words(query)))
+    found, window = shortest_window(asked, words(text))
+    return (found / len(asked) + found / window) / 2 if found else 0.0
+
+
+def rerank_by_closeness(candidates: DataFrame, k: int, query_text: str = "query_text", item_text: str = "item_text") -> DataFrame:
+    """:func:`rerank` by how near to each other the query's words stand. Null texts score 0."""
+    return rerank(candidates, k, query_text, item_text, lambda q, t: [closeness(a, b) for a, b in zip(q, t, strict=True)])
+
+
+def diversify(hits: DataFrame, k: int, trade: float = 0.7, item_text: str = "item_text") -> DataFrame:
+    """Marginal relevance: ``query_id, item_id, score, rank`` of k hits that repeat each other little.
+
+    Hits are taken one by one: the next has the highest ``trade`` times its score less
+    ``1 - trade`` times its likeness (common share of different words) to the most alike hit taken; ties
+    go to the smaller id. A group is one query's hits, as deep as the search before it went.
+    """
+    if not 0 <= trade <= 1:
+        raise ValueError("trade must lie between 0 and 1")
+    rows = hits.select("query_id", "item_id", "score", F.col(item_text).alias("text"))
+
+    def choose(table: pa.Table) -> pa.Table:
+        order = np.argsort(table.column("item_id").to_numpy(zero_copy_only=False), kind="stable")
+        score = table.column("score").to_numpy(zero_copy_only=False)[order].astype(np.float64)
+        texts = table.column("text").to_pylist()
+        sets = [set(words(texts[i])) for i in order]
+        alike, taken, values = np.zeros(len(order)), [], []
+        free = np.ones(len(order), bool)
+        for _ in range(min(k, len(order))):
+            value = np.where(free, np.round(trade * score - (1 - trade) * alike, engine.DECIMALS), -np.inf)
+            best = int(value.argmax())  # the first of equal ones
+            taken.append(best)
+            values.append(value[best])
+            free[best] = False
+            both = np.array([len(s & sets[best]) / max(1, len(s | sets[best])) for s in sets])
+            alike = np.maximum(alike, both)
+        at = pa.array(order[taken].astype(np.int64))
+        return pa.table({"query_id": table.column("query_id").take(at), "item_id": table.column("item_id").take(at), "score": pa.array(values, pa.float64()), "rank": pa.array(range(1, len(taken) + 1), pa.int32())})
+
+    fields = [rows.schema["query_id"], rows.schema["item_id"], T.StructField("score", T.DoubleType()), T.StructField("rank", T.IntegerType())]
+    return rows.groupBy("query_id").applyInArrow(choose, T.StructType(fields))

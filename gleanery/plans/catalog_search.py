@@ -265,6 +265,12 @@ def rerank_lexical(spark, sf):
     return _shown(keyword_search.rerank(hits.join(asked, "query_id"), 5))
 
 
+def rerank_closeness(spark, sf):
+    hits = _with_texts(spark, sf, _bm25(spark, sf, 20)).withColumnRenamed("text", "item_text")
+    asked = _benchmark(spark, sf).withColumnRenamed("text", "query_text")
+    return _shown(keyword_search.rerank_by_closeness(hits.join(asked, "query_id"), 5))
+
+
 def hit_snippets(spark, sf):
     hits = context.hit_list(_with_texts(spark, sf, _bm25(spark, sf, 3)), "text", 160)
     return hits.select("query_id", "item_id", long("rank").alias("rank"), "url", "snippet")
@@ -311,7 +317,7 @@ QUERIES = {
         vector_topk, vector_topk_partitioned, vector_topk_filtered, vector_topk_odd, search_coverage,
         embed_failures, vector_hashed_topk,
         vector_celled_topk, search_recall, vector_index_kept, retrieval_eval, retrieval_eval_pairs, retrieval_eval_mean,
-        keyword_bm25, keyword_bm25_partitioned, keyword_index, embed_hashing, embed_changed, hybrid_rrf, rerank_lexical,
+        keyword_bm25, keyword_bm25_partitioned, keyword_index, embed_hashing, embed_changed, hybrid_rrf, rerank_lexical, rerank_closeness,
         hit_snippets, context_block, prompt_table, batch_answers,
     )
 }

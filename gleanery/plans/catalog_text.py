@@ -12,7 +12,7 @@ from gleanery.functions import text as X
 from gleanery.operators import chunking, evaluate, markup, monitor, sync
 from gleanery.plans import ingest
 from gleanery.session import shared_dir, spread, written
-from gleanery.sources import catalog, tables
+from gleanery.sources import catalog, files, tables
 
 REFUSAL = "of the"  # stands in for the refusal sentence in texts that hold none
 EXTRA_PATTERNS = (r"all rights reserved", r"api[_ -]?key", r"password")
@@ -110,6 +110,23 @@ def page_markdown(spark, sf):
     )
 
 
+def utf8_repaired(spark, sf):
+    """Texts as bytes, some with bytes inside that are no UTF-8; these are dropped, all others stay."""
+    raw = F.col("text").cast("binary")
+    broken = F.concat(F.unhex(F.lit("FF")), raw, F.unhex(F.lit("C3")))
+    content = F.when(F.pmod("doc_id", F.lit(3)) == 0, broken).otherwise(raw)
+    docs = load(spark, sf, "documents").select("doc_id", content.alias("content"))
+    return docs.select("doc_id", F.md5(files.decode_utf8("content")).alias("text_md5"))
+
+
+def page_load_times(spark, sf):
+    """Pages with text, when they were loaded, as rows of the bronze table's schema."""
+    bronze = catalog.conforming(ingest.bronze_from_pages(_pages(spark, sf)), tables.BRONZE)
+    now = F.unix_timestamp(F.current_timestamp())
+    age = now - F.unix_timestamp("ingested_at")
+    return bronze.select("url", F.md5("title").alias("title_md5"), (F.col("ingested_at").isNotNull() & (age >= 0) & (age < 3600)).alias("loaded_now"))
+
+
 def page_plain_text(spark, sf):
     return _pages(spark, sf).select("page_id", markup.page_text_by_pattern("html").alias("t")).select(
         "page_id", long(F.length("t")).alias("n_chars"), F.md5("t").alias("text_md5")
@@ -157,6 +174,12 @@ def chunk_token_window(spark, sf):
     )
 
 
+def chunk_measured(spark, sf):
+    """At most 64 tokens a chunk, cut at paragraphs, lines, sentences or words, 8 tokens repeated."""
+    pieces = chunking.measured_chunks(document_pages(spark, sf), keep=["url"], size=64, overlap=8)
+    return pieces.select("url", long("chunk_index").alias("chunk_index"), long("n_tokens").alias("n_tokens"), F.md5("chunk_text").alias("text_md5"))
+
+
 def _sectioned(spark: SparkSession, sf: str) -> DataFrame:
     """Each line of a document becomes a section, below a preface that holds a fence."""
     return spread(load(spark, sf, "documents")).select(
@@ -323,8 +346,8 @@ def sampled_keys(spark, sf):
 QUERIES = {
     f.__name__: f
     for f in (
-        bronze_documents, row_counts, preview_rows, partitioned_table, catalogue_table, page_names, page_markdown, page_plain_text,
-        page_chunks, chunk_recursive, chunk_sql_function, chunk_fixed_window, chunk_token_window, chunk_sections, chunk_sections_sized,
+        bronze_documents, row_counts, preview_rows, partitioned_table, catalogue_table, page_names, page_markdown, utf8_repaired, page_load_times, page_plain_text,
+        page_chunks, chunk_recursive, chunk_sql_function, chunk_fixed_window, chunk_token_window, chunk_measured, chunk_sections, chunk_sections_sized,
         chunk_duplicate_keys, chunk_duplicate_texts, chunk_length_summary, text_statistics,
         snapshot_diff, snapshot_apply, change_feed, index_reconcile, last_message, chat_question, chat_answer,
         refusal_flags, injection_flags, golden_append, traffic_sample, sampled_keys,

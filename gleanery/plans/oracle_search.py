@@ -160,6 +160,23 @@ t AS (
 r AS (
   SELECT query_id, item_id, round(CASE WHEN len(qw) = 0 THEN 0.0::DOUBLE
          ELSE len(list_intersect(qw, dw))::DOUBLE / len(qw) END, 6) AS score FROM t),
+{best('r', 5, 'h')} SELECT * FROM h""",
+    "rerank_closeness": f"""WITH {BM25}, {best('bm', 20, 'c')},
+t AS (
+  SELECT query_id, c.item_id, list_distinct({words('b.text')}) AS qw, {words('d.text')} AS dw
+  FROM c JOIN benchmark b ON b.item_id = query_id JOIN documents d ON d.doc_id = c.item_id),
+places AS (SELECT query_id, item_id, unnest(dw) AS word, unnest(range(len(dw))) AS pos FROM t),
+occ AS (SELECT p.* FROM places p JOIN t USING (query_id, item_id) WHERE list_contains(qw, word)),
+present AS (SELECT query_id, item_id, word FROM occ GROUP BY ALL),
+asked AS (SELECT o.query_id, o.item_id, o.pos AS st, p.word FROM occ o JOIN present p USING (query_id, item_id)),
+reached AS (
+  SELECT a.query_id, a.item_id, a.st, count(*) AS n, max(o.pos) - a.st + 1 AS size
+  FROM asked a ASOF JOIN occ o ON a.query_id = o.query_id AND a.item_id = o.item_id AND a.word = o.word AND a.st <= o.pos GROUP BY 1, 2, 3),
+m AS (SELECT query_id, item_id, count(*) AS found FROM present GROUP BY 1, 2),
+shortest AS (SELECT query_id, item_id, found, min(size) AS size FROM reached JOIN m USING (query_id, item_id) WHERE n = found GROUP BY 1, 2, 3),
+r AS (
+  SELECT query_id, t.item_id, round(coalesce((found::DOUBLE / len(qw) + found::DOUBLE / size) / 2, 0.0::DOUBLE), 6) AS score
+  FROM t LEFT JOIN shortest USING (query_id, item_id)),
 {best('r', 5, 'h')} SELECT * FROM h""",
     "hit_snippets": f"""WITH {BM25}, {best('bm', 3, 'h')}
 SELECT query_id, item_id, rank, 'doc/' || item_id AS url, replace(substr(text, 1, 160), chr(10), ' ') AS snippet

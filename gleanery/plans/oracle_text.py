@@ -197,6 +197,27 @@ FROM md WHERE regexp_matches(content, '[^{WS}]')""",
 pages_md AS (SELECT * FROM md WHERE regexp_matches(content, '[^{WS}]')),
 {recursive('pages_md', 'page_id', 'c')} SELECT {SHOWN} FROM c""",
     "chunk_recursive": f"WITH RECURSIVE {DOCS}, {recursive('docs', 'url', 'c')} SELECT {SHOWN} FROM c",
+    "utf8_repaired": "SELECT doc_id, md5(text) AS text_md5 FROM documents",
+    "page_load_times": f"""WITH {MARKDOWN_PAGES}
+SELECT url, md5(CASE WHEN length(content) > 0 THEN {title('content')} ELSE url END) AS title_md5, true AS loaded_now FROM md
+WHERE regexp_matches(content, '[^{WS}]')""",
+    "chunk_measured": rf"""WITH RECURSIVE {DOCS},
+t AS (
+  SELECT url, regexp_extract(content, '\A[ \t\n\r\f\v]*') AS lead, regexp_extract_all(content, '[^ \t\n\r\f\v]+[ \t\n\r\f\v]*') AS w FROM docs),
+l AS (
+  SELECT url, lead, w, len(w) AS n, list_transform(w, lambda x: CASE
+    WHEN len(regexp_extract_all(x, '\n')) > 1 THEN 0 WHEN contains(x, chr(10)) THEN 1 WHEN regexp_matches(x, '[.!?][ \t\n\r\f\v]+\z') THEN 2 ELSE 3 END) AS lv
+  FROM t WHERE len(w) > 0),
+c AS (
+  SELECT url, 0::BIGINT AS chunk_index, 0::BIGINT AS first, CASE WHEN n <= 64 THEN n
+    ELSE list_aggregate([struct_pack(a := lv[i], b := -i) FOR i IN range(32, 65)], 'min').b * -1 END::BIGINT AS last FROM l
+  UNION ALL
+  SELECT url, chunk_index + 1, last - 8, CASE WHEN n - (last - 8) <= 64 THEN n
+    ELSE list_aggregate([struct_pack(a := lv[i], b := -i) FOR i IN range(last - 8 + 32, last - 8 + 65)], 'min').b * -1 END::BIGINT
+  FROM c JOIN l USING (url) WHERE last < n)
+SELECT url, chunk_index, (last - first)::BIGINT AS n_tokens,
+       md5(CASE WHEN first = 0 THEN lead ELSE '' END || array_to_string(w[first + 1 : last], '')) AS text_md5
+FROM c JOIN l USING (url)""",
     "catalogue_table": f"""WITH {DOCS}, {windows('docs', 'chunks')},
 t AS (
   SELECT '-' AS speaker, chunk_id, chunk_text FROM chunks

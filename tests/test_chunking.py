@@ -159,3 +159,40 @@ def test_a_run_without_separators_is_cut_by_arithmetic():
     assert spans[:2] == [(0, 800), (650, 1450)] and spans[-1][1] == 3_000_000
     assert all(b - a == 800 for a, b in spans[:-1]) and spans[-1][1] - spans[-1][0] > 150
     assert list(chunking.recursive_spans("abc", 1, 0, ("",))) == [(0, 1), (1, 2), (2, 3)]
+
+
+def test_measured_chunks_keep_their_size_and_rejoin(spark):
+    import random
+
+    rng = random.Random(4)
+    texts = ["".join(rng.choices(["word", "x", " ", "  ", "\n", "\n\n", ". ", "é", "中"], k=rng.randint(0, 300))) for _ in range(60)] + [None, "", "   ", "a" * 1000]
+    df = spark.createDataFrame([(i, t, 1) for i, t in enumerate(texts)], "url int, content string, n_tokens int")
+
+    def fours(text):  # tokens of four characters
+        return list(range(0, len(text), 4))
+
+    for tokens, size, overlap in ((chunking.plain_tokens, 12, 0), (fours, 10, 0), (fours, 1, 0), (chunking.plain_tokens, 12, 3)):
+        chunks = chunking.measured_chunks(df, keep=["url"], size=size, overlap=overlap, tokens=tokens).collect()
+        for i, text in enumerate(texts):
+            own = sorted((c.chunk_index, c.n_tokens, c.chunk_text) for c in chunks if c.url == i)
+            assert [c[0] for c in own] == list(range(len(own))) and all(0 < c[1] <= size for c in own)
+            n = len(tokens(text or ""))
+            assert sum(c[1] for c in own) == n + overlap * max(0, len(own) - 1)
+            if not overlap:
+                assert "".join(c[2] for c in own) == (text if n else "")
+
+
+def test_measured_chunks_take_linear_time():
+    import time
+
+    text = (" " * 400_000 + "x") * 2
+    began = time.time()
+    spans = list(chunking.measured_spans(text, list(range(0, len(text), 4)), 100, 0))
+    assert spans[-1][1] == len(text) and time.time() - began < 20
+
+
+def test_measured_chunks_prefer_coarse_cuts(spark):
+    text = "one two three. four five\nsix seven\n\neight nine ten eleven twelve"
+    df = spark.createDataFrame([("u", text)], "url string, content string")
+    assert [r.chunk_text for r in chunking.measured_chunks(df, keep=["url"], size=8).collect()] == ["one two three. four five\nsix seven\n\n", "eight nine ten eleven twelve"]
+    assert chunking.measured_chunks(df, keep=["url"], size=6).first().chunk_text == "one two three. four five\n"

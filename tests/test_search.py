@@ -197,3 +197,23 @@ def test_size_check(spark):
     df = spark.createDataFrame([(i, "x" * 100) for i in range(50)], "id long, value string")
     assert topk.is_small(df, 50, 5000)
     assert not topk.is_small(df, 49, 5000) and not topk.is_small(df, 50, 4999)
+
+
+def test_shortest_window_by_hand():
+    rng = np.random.default_rng(3)
+    for _ in range(500):
+        text = rng.choice(list("abcdef"), rng.integers(0, 14)).tolist()
+        query = rng.choice(list("abcxy"), rng.integers(0, 4)).tolist()
+        present = set(query) & set(text)
+        sizes = [j - i for i in range(len(text)) for j in range(i + 1, len(text) + 1) if present <= set(text[i:j])]
+        assert keyword_search.shortest_window(query, text) == (len(present), min(sizes) if present else 0)
+    assert keyword_search.closeness(None, "a") == keyword_search.closeness("a", None) == 0.0
+    assert keyword_search.closeness("a b", "B a x") == 1.0
+
+
+def test_diverse_hits(spark):
+    rows = [(1, "a", 0.9, "x y z"), (1, "b", 0.9, "x y z"), (1, "c", 0.8, "p q"), (1, "d", 0.7, "x y p"), (2, "e", 0.1, None), (2, "f", 0.1, "")]
+    df = spark.createDataFrame(rows, "query_id int, item_id string, score double, item_text string")
+    found = {(r.query_id, r["rank"]): (r.item_id, r.score) for r in keyword_search.diversify(df, 3, 0.5).collect()}
+    assert found == {(1, 1): ("a", 0.45), (1, 2): ("c", 0.4), (1, 3): ("d", 0.1), (2, 1): ("e", 0.05), (2, 2): ("f", 0.05)}
+    assert [r.item_id for r in keyword_search.diversify(df, 9, 1.0).where("query_id = 1").orderBy("rank").collect()] == ["a", "b", "c", "d"]
