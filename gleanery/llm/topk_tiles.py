@@ -1,9 +1,11 @@
 """Exact top-k search by tiled matrix products.
 
-Queries come in slices of bounded size, each broadcast once; every task multiplies its
-own shard of the vectors with the slice, tile by tile, keeps the k best of each tile by
+Queries come in slices of bounded size, one after another; a slice is broadcast, every task multiplies its
+own shard of the vectors with it, tile by tile, keeps the k best of each tile by
 partial selection, and hands on one short list for each query. Lists are then merged in a
-tree, so that no task ever holds more than ``FAN_IN`` lists of a query.
+tree, so that no task ever holds more than ``FAN_IN`` lists of a query. A slice's lists are
+written before the next slice comes, so one slice at a time is on the driver and in the
+tasks, however many queries there are; the vectors are read where they lie, once a slice.
 
 Components are integers, floor(1024 * x), and all sums are exact: products run in
 double precision while every partial sum stays below 2 to the 53, and in Python's own
@@ -16,10 +18,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gleanery.session import written
+from gleanery.session import shared_dir, written
 
 SCALE = 1024
 TILE = 1024  # rows of either side in one product
@@ -79,8 +82,9 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "v
     asked = usable(queries, id_col, vector_col).groupBy("id").agg(F.min("ints").alias("ints"))
     asked = written(asked.withColumn("length", F.size("ints")), "topk-queries")
     sizes = asked.groupBy("length").agg(F.count("*").alias("n")).collect()  # one row for each vector length
-    rows = usable(vectors, id_col, vector_col)
-    lists = None
+    rows, spark = usable(vectors, id_col, vector_col), vectors.sparkSession
+    path = shared_dir(spark, "topk-lists")
+    rows.limit(0).select(F.col("id").alias("query_id"), F.expr("cast(array() as array<struct<order:bigint,vec_id:bigint>>)").alias("best")).write.parquet(path)
     for length, n in sorted((r["length"], r["n"]) for r in sizes):
         parts = max(1, -(-n * max(1, length) * 8 // slice_bytes))
         for part in range(parts):
@@ -89,17 +93,15 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "v
             ids = got.column("id").to_numpy()
             flat = got.column("ints").combine_chunks()
             matrix = np.asarray(flat.flatten() if not isinstance(flat, pa.ChunkedArray) else pa.concat_arrays(flat.chunks).flatten()).reshape(len(ids), length)
-            found = _merged(_partial(rows, ids, matrix, k), k)
-            lists = found if lists is None else lists.unionByName(found)
-    if lists is None:
-        lists = rows.limit(0).select(F.col("id").alias("query_id"), F.expr("cast(array() as array<struct<order:bigint,vec_id:bigint>>)").alias("best"))
-    out = lists.select("query_id", F.posexplode("best").alias("at", "hit"))
+            shared = spark.sparkContext.broadcast((ids, matrix))
+            _merged(_partial(rows, shared, k), k).write.mode("append").parquet(path)
+            shared.unpersist()
+    out = spark.read.schema("query_id bigint, best array<struct<order:bigint,vec_id:bigint>>").parquet(path).select("query_id", F.posexplode("best").alias("at", "hit"))
     return out.select("query_id", (F.col("at") + 1).cast("int").alias("rank"), F.col("hit.vec_id").alias("vec_id"), (-F.col("hit.order")).alias("score"))
 
 
-def _partial(rows: DataFrame, ids: np.ndarray, matrix: np.ndarray, k: int) -> DataFrame:
-    """One list for each query and task that has candidates for it."""
-    shared = rows.sparkSession.sparkContext.broadcast((ids, matrix))
+def _partial(rows: DataFrame, shared: Broadcast, k: int) -> DataFrame:
+    """One list for each query of the slice and task that has candidates for it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
