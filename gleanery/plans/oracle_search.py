@@ -168,10 +168,11 @@ t AS (
 places AS (SELECT query_id, item_id, unnest(dw) AS word, unnest(range(len(dw))) AS pos FROM t),
 occ AS (SELECT p.* FROM places p JOIN t USING (query_id, item_id) WHERE list_contains(qw, word)),
 present AS (SELECT query_id, item_id, word FROM occ GROUP BY ALL),
-asked AS (SELECT o.query_id, o.item_id, o.pos AS st, p.word FROM occ o JOIN present p USING (query_id, item_id)),
-reached AS (
-  SELECT a.query_id, a.item_id, a.st, count(*) AS n, max(o.pos) - a.st + 1 AS size
-  FROM asked a ASOF JOIN occ o ON a.query_id = o.query_id AND a.item_id = o.item_id AND a.word = o.word AND a.st <= o.pos GROUP BY 1, 2, 3),
+asked AS (
+  SELECT o.query_id, o.item_id, o.pos AS st, p.word, min(CASE WHEN o.word = p.word THEN o.pos END) OVER (
+    PARTITION BY o.query_id, o.item_id, p.word ORDER BY o.pos ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS next
+  FROM occ o JOIN present p ON o.query_id = p.query_id AND o.item_id = p.item_id),
+reached AS (SELECT query_id, item_id, st, count(next) AS n, max(next) - st + 1 AS size FROM asked GROUP BY 1, 2, 3),
 m AS (SELECT query_id, item_id, count(*) AS found FROM present GROUP BY 1, 2),
 shortest AS (SELECT query_id, item_id, found, min(size) AS size FROM reached JOIN m USING (query_id, item_id) WHERE n = found GROUP BY 1, 2, 3),
 r AS (
