@@ -452,10 +452,11 @@ def round_trip(documents: DataFrame, path: str | None = None, pattern: str = pub
 def _blocks(encoder: Encoder, batch: pa.RecordBatch) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
     """Row ids, offsets and token ids of blocks of bounded size, whatever came in."""
     texts, ids_of, begin = batch.column("text"), batch.column("id"), 0
+    texts = texts.cast(pa.large_binary() if pa.types.is_large_string(texts.type) else pa.binary())
     while begin < batch.num_rows:
         block, held = [], 0
         while begin + len(block) < batch.num_rows and held < BLOCK_CHARS:
-            block.append(texts[begin + len(block)].as_py() or "")
+            block.append((texts[begin + len(block)].as_py() or b"").decode("utf-8", "replace"))
             held += len(block[-1])
         offsets, ids = encoder.block(block)
         yield ids_of.slice(begin, len(block)), offsets, ids

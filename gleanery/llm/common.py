@@ -28,15 +28,34 @@ def held_out(key: Column) -> Column:
 
 
 def bounded_sample(df: DataFrame, key: str, rows: int, seed: int) -> DataFrame:
-    """At most ``rows`` rows: those with the smallest seeded hash of the key.
-
-    The cut is found over the keys alone, so that wide columns are read once,
-    by the rows that pass. Rows with a null key take no part.
+    """At most ``rows`` different rows: those with the smallest seeded hash over all columns.
+
+    Rows are counted, and a threshold that about 1.2 times as many pass is lowered or
+    raised by what passed it; only those hashes are put in order, so that one task sees
+    little more than the sample however many tasks there are. Wide columns are read
+    again by the rows that pass and stay spread over tasks. Equal rows count once, so
+    that a repeated key takes no more than its different rows. Rows with a null key take
+    no part. The hash stays as column ``mark``.
     """
-    df = df.filter(F.col(key).isNotNull())
-    mark = F.xxhash64(F.lit(seed), F.col(key))
-    cut = df.select(mark.alias("h")).orderBy("h").limit(rows).agg(F.max("h")).head()[0]
-    return df.filter(mark <= F.lit(cut if cut is not None else 0).cast("bigint")).limit(rows)
+    others = [F.col(f"`{c}`") for c in df.columns if c != key]
+    df = df.filter(F.col(key).isNotNull()).withColumn("mark", F.xxhash64(F.lit(seed), F.col(key), *others))
+    n, wanted = df.count(), 1.2 * rows + 6 * rows**0.5 + 20
+    share = min(1.0, wanted / n) if n else 1.0
+    while True:
+        below = int(share * 2**64) - 2**63 - 1
+        few = df.filter(F.col("mark") <= F.lit(below).cast("bigint"))
+        marks = few.select("mark").distinct()
+        found = marks.count()
+        if share == 1 or rows <= found <= 2 * wanted:
+            break
+        if found >= rows:  # more than expected
+            share *= wanted / found
+        else:  # copies weigh heavy: there are fewer different rows than rows
+            share = min(1.0, share * max(2.0, wanted / max(1, found)))
+    if found > rows:
+        cut = marks.orderBy("mark").limit(rows).agg(F.max("mark")).head()[0]
+        few = df.filter(F.col("mark") <= F.lit(cut).cast("bigint"))
+    return few.dropDuplicates(["mark"])
 
 
 def strings_of(batch: pa.RecordBatch, column: str) -> list[str | None]:

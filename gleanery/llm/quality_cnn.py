@@ -159,17 +159,17 @@ def train(rows: list[tuple[bytes, int]], seed: int = 5, epochs: int = 5, rate: f
     return net
 
 
-def fit(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", rows: int = 2500, seed: int = 5) -> Network:
+def fit(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", rows: int = 2500, seed: int = 5, most_bytes: int = MOST_TRAINING_BYTES) -> Network:
     """Train on at most ``rows`` labelled rows outside of the held-out fold.
 
-    The rows are chosen by a seeded hash of the id; texts of more than
-    MOST_TRAINING_BYTES are not trained on, which bounds what the driver gets. A null
-    label, id or text teaches nothing.
+    The rows are chosen by a seeded hash; texts of more than ``most_bytes`` are not trained
+    on, which bounds what the driver gets. Equal rows count once. A null label, id or text
+    teaches nothing.
     """
     marked = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).filter(F.col("label").isin(0, 1) & ~common.held_out(F.col("id")))
-    some = common.bounded_sample(marked, "id", rows, seed)
+    some = common.bounded_sample(marked, "id", rows, seed).drop("mark")
     plain = documents.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("data"))
-    found = plain.join(F.broadcast(some), "id").filter(F.octet_length("data") <= MOST_TRAINING_BYTES).limit(rows)
+    found = common.bounded_sample(plain.join(F.broadcast(some), "id").filter(F.octet_length("data") <= most_bytes), "id", rows, seed)
     got = sorted((r["id"], r["label"], bytes(r["data"])) for r in found.collect())
     return train([(data, label) for _, label, data in got], seed)
 

@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleanery.llm import common
+from gleanery.session import written
 
 #: The characters that count as symbols.
 SYMBOLS = "#*$%&|<>"
@@ -209,15 +210,17 @@ def base_failed() -> Column:
 def fit(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", rows: int = 8000, seed: int = 11) -> list[Rule]:
     """Learn from at most ``rows`` labelled rows outside of the held-out fold.
 
-    The labels are chosen by a seeded hash of the id, and that many are small enough to
-    send to the documents. The driver gets the counts, a few numbers for each row. A null
-    label or id teaches nothing; an id labelled twice counts once for each label.
+    The labels are chosen by a seeded hash, and that many are small enough to send to the
+    documents. Texts are counted where they lie; the counts are written, and the driver
+    gets at most four different rows of them for each label. A null label or id teaches
+    nothing; an id labelled twice counts once for each label.
     """
     marked = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("good")).filter(F.col("good").isNotNull() & ~common.held_out(F.col("id")))
-    some = common.bounded_sample(marked, "id", rows, seed)
+    some = common.bounded_sample(marked, "id", rows, seed).drop("mark")
     plain = documents.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    joined = plain.join(F.broadcast(some), "id").select("good", "text").limit(4 * rows)
-    found = joined.mapInArrow(_count_batches, "good int, " + ", ".join(f"{c} bigint" for c in COUNTS))
+    joined = plain.join(F.broadcast(some), "id").select(F.xxhash64("id").alias("id"), "good", "text")
+    counted = joined.mapInArrow(_count_batches, "id bigint, good int, " + ", ".join(f"{c} bigint" for c in COUNTS))
+    found = common.bounded_sample(written(counted, "rule-sample"), "id", 4 * rows, seed).select("good", *COUNTS)
     got = np.array(sorted(tuple(r) for r in found.collect()), dtype=np.int64).reshape(-1, 1 + len(COUNTS))
     usable = got[(got[:, 1] >= MIN_WORDS) & (100 * got[:, 5] <= MAX_REPEAT_PERCENT * got[:, 1])]  # the base rules see to the rest
     return learn(usable[:, 1:], usable[:, 0] == 0, seed)
@@ -241,9 +244,9 @@ def keep_good(documents: DataFrame, rules: list[Rule], text_col: str = "text") -
     def counted(texts):
         import pandas as pd
 
-        return pd.DataFrame([text_counts(None if t is None else t.encode("utf-8", "replace")) for t in texts], columns=list(COUNTS))
+        return pd.DataFrame([text_counts(None if t is None else bytes(t)) for t in texts], columns=list(COUNTS))
 
     names = documents.columns
-    inner = documents.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), counted(F.col(text_col)).alias("counts"))
+    inner = documents.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), counted(F.col(text_col).cast("binary")).alias("counts"))
     flat = inner.select("row", *[F.col(f"counts.{c}").alias(c) for c in COUNTS])
     return flat.filter(~base_failed() & verdict(rules)).select("row.*")

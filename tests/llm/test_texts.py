@@ -5,9 +5,10 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from gleanery.llm import language_id, quality_cnn, quality_rules, queries
-from gleanery.llm.common import held_out
+from gleanery.llm import bpe, language_id, quality_cnn, quality_rules, queries
+from gleanery.llm.common import bounded_sample, held_out
 
 DOCS = "doc_id long, text string, lang string, source string, Score string, `fp` int"
 EDGES = [
@@ -57,6 +58,83 @@ def test_long_texts_are_counted_across_steps(monkeypatch):
     assert (language_id.ngram_counts(text) == whole).all()
 
 
+def softmax_by_hand(model, text):
+    """Probabilities from n-grams cut and hashed one by one."""
+    data = b" " + text.lower().encode() + b" "
+    data = bytes(32 if b < 128 and not chr(b).isalpha() else b for b in data)
+    hit, met, n = Counter(), 0, 0
+    for size in (2, 3, 4):
+        for i in range(len(data) - size + 1):
+            h = size * 0x9E3779B1 % 2**32
+            for b in data[i : i + size]:
+                h = h * 0x01000193 % 2**32 ^ b
+            h = h * 0x85EBCA6B % 2**32
+            hit[h >> 18] += 1
+            g = ((h ^ h >> 15) * 0x2C1B3C6D % 2**32) >> 10
+            met += int(model.met[g // 8]) >> g % 8 & 1
+            n += 1
+    z = [(sum(k * float(model.table[b, j]) for b, k in hit.items()) / n + float(model.bias[j])) / model.temperature for j in range(len(model.langs))]
+    e = [np.exp(v - max(z)) for v in z]
+    return [v / sum(e) for v in e], met / n
+
+
+def test_language_scores_match_brute_force(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    model = language_id.fit(docs.filter(~held_out(docs.doc_id)))
+    texts = [r.text for r in docs.collect() if r.text and 20 < len(r.text) < 1500][:25] + ["Ж щ", "a"]
+    for text in texts:
+        p, known = softmax_by_hand(model, text)
+        lang, score, rejected = language_id.score_text(model, text)
+        assert score == pytest.approx(max(p), abs=1e-4) and lang == model.langs[int(np.argmax(p))]
+        if abs(max(p) - model.least_probability) > 1e-3 and abs(known - model.least_seen) > 1e-6:
+            assert rejected == (max(p) < model.least_probability or known < model.least_seen)
+
+
+def test_samples_do_not_depend_on_partitions(spark):
+    rows = [(i % 40, f"text {i}") for i in range(3000)] + [(7, "the same")] * 3000 + [(None, "x")] * 9
+    df = spark.createDataFrame(rows, "id int, text string")
+    for n in (1, 50, 3001, 9000):
+        got = [sorted(map(tuple, bounded_sample(df.repartition(k), "id", n, 3).collect())) for k in (1, 7)]
+        assert got[0] == got[1] and len(got[0]) == min(n, 3001) == len(set(got[0]))
+        assert all(r[0] is not None for r in got[0])
+    assert bounded_sample(df.limit(0), "id", 5, 3).count() == 0
+
+
+def test_rules_of_repeated_ids_do_not_depend_on_partitions(spark):
+    docs = [(i % 30, ("good words stand here in order %d " % i) * 12 if i % 2 else ("# $ & bad %d # " % i) * 12) for i in range(300)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(30)], "doc_id int, quality int")
+    df = spark.createDataFrame(docs, "doc_id int, text string")
+    first, second = (quality_rules.fit(df.repartition(k), labels, rows=10) for k in (1, 5))
+    assert first == second
+
+
+def test_bytes_that_are_no_utf8(spark, sf_dir):
+    docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
+    bad = docs.limit(20).withColumn("text", F.concat(F.col("text").cast("binary"), F.unhex(F.lit("FF20C3"))).cast("string"))
+    both = docs.unionByName(bad)
+    model, rules = language_id.fit(both), quality_rules.fit(both, labels)
+    assert language_id.predict(bad, model).count() == 20
+    assert language_id.keep_recognised(bad, model).count() <= 20
+    assert quality_rules.judge(bad, rules).count() == 20 and quality_rules.keep_good(bad, rules).count() <= 20
+    back = bpe.round_trip(bad).collect()
+    want = {r.doc_id: bytes(r.data).decode("utf-8", "replace") for r in bad.select("doc_id", F.col("text").cast("binary").alias("data")).collect()}
+    assert len(back) == 20 and all(r.decoded == want[r.doc_id] for r in back)
+
+
+@pytest.mark.parametrize("foreign", [
+    "Zażółć gęślą jaźń, wszyscy ludzie rodzą się wolni i równi w godności", "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan",
+    "Minden emberi lény szabadon születik és egyenlő méltósága és joga van", "Όλοι οι άνθρωποι γεννιούνται ελεύθεροι και ίσοι",
+])
+def test_rejects_languages_of_large_tables(large_model, foreign):
+    assert language_id.score_text(large_model, foreign)[2]
+
+
+@pytest.fixture(scope="module")
+def large_model(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    return language_id.fit(docs.filter(~held_out(docs.doc_id)))
+
+
 def test_language_held_out(spark, sf_dir):
     rows = queries.op1_language_id(spark, "/root/testdata/sf0.01").join(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), "doc_id").collect()
     for r in rows:
