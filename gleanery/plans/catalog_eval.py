@@ -123,7 +123,8 @@ def _stream_session(spark: SparkSession) -> SparkSession:
 
 
 def _stream(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return jobs.read_file_stream(spark, sf, load(spark, sf, name).schema, f"{name}.parquet")
+    """A table that is one file or a folder of files."""
+    return jobs.read_file_stream(spark, f"{sf}/{name}.parquet", load(spark, sf, name).schema)
 
 
 def _drain(stream: DataFrame, sink: str, checkpoint: str) -> None:

@@ -23,7 +23,10 @@ def read_file_stream(
     spark: SparkSession, folder: str, schema: T.StructType, glob: str | None = None,
     files_per_batch: int | None = None,
 ) -> DataFrame:
-    """New Parquet files of a folder, with an explicit schema."""
+    """New Parquet files of a folder, with an explicit schema; of a table that is one file, this file."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    if glob is None and where.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(where).isFile():
+        folder, glob = where.getParent().toString(), where.getName()
     reader = spark.readStream.schema(schema)
     if glob:
         reader = reader.option("pathGlobFilter", glob)

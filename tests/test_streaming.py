@@ -108,3 +108,12 @@ def test_redelivered_rows_are_kept_once(spark, tmp_path):
         jobs.tail_log(once, f"{tmp_path}/out", f"{tmp_path}/check").awaitTermination()
         log(spark, folder, row)
     assert sorted(r.id for r in spark.read.parquet(f"{tmp_path}/out").collect()) == [1, 2]
+
+
+def test_streams_read_tables_of_one_file_and_of_many(spark, sf_dir, tmp_path):
+    from gleanery.plans import catalog_eval
+
+    for name in ("pages", "events"):
+        spark.read.parquet(f"{sf_dir}/{name}.parquet").repartition(3).write.parquet(f"{tmp_path}/{name}.parquet")
+    for query in (catalog_eval.stream_corpus_sync, catalog_eval.stream_redelivered):
+        assert sorted(query(spark, str(tmp_path)).collect()) == sorted(query(spark, sf_dir).collect())
