@@ -109,7 +109,7 @@ class CodeScorer:
         self.model, self.probes = model, probes
 
     def queries(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        model, unit = self.model.value, unit_rows(column)
+        model, unit = Model(*self.model.value), unit_rows(column)
         if not len(unit):
             return unit, np.zeros((0, 0, 0)), np.zeros((0, 0), bool)
         parts, _, width = model.books.shape
@@ -130,7 +130,7 @@ class CodeScorer:
         for cell in np.unique(cells):
             of, at = np.flatnonzero(looks[:, cell]), np.flatnonzero(cells == cell)
             if len(of):
-                scores = np.repeat(unit[of] @ self.model.value.centres[cell][:, None], len(at), axis=1)
+                scores = np.repeat(unit[of] @ self.model.value[0][cell][:, None], len(at), axis=1)
                 for p in range(codes.shape[1]):
                     scores += tables[of, p][:, codes[at, p]]
                 out[np.ix_(of, at)] = scores
@@ -152,18 +152,24 @@ def load_model(spark: SparkSession, path: str) -> Model:
     return Model(np.frombuffer(r[0]).reshape(r[1]), np.frombuffer(r[2]).reshape(r[3]), r[4], r[5])
 
 
+def _shared(spark: SparkSession, model: Model) -> Broadcast:
+    """The model's fields alone: a broadcast object would ask for its class on each worker."""
+    return spark.sparkContext.broadcast((model.centres, model.books, model.probes, model.shortlist))
+
+
 def _coded(rows: DataFrame, model: Model) -> DataFrame:
     """``cell, id, value, code`` of rows that can be searched."""
-    shared = rows.sparkSession.sparkContext.broadcast(model)
+    shared = _shared(rows.sparkSession, model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = Model(*shared.value)
         for batch in batches:
             if not batch.num_rows:
                 continue
             unit = unit_rows(batch.column(1))
             at = np.flatnonzero(~np.isnan(unit).any(axis=1))
-            cells = shared.value.cells_of(unit[at])
-            codes = np.concatenate([cells.astype("<i4")[:, None].view(np.uint8), shared.value.encode(unit[at], cells)], axis=1)
+            cells = model.cells_of(unit[at])
+            codes = np.concatenate([cells.astype("<i4")[:, None].view(np.uint8), model.encode(unit[at], cells)], axis=1)
             taken = batch.take(pa.array(at))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(cells, pa.int32()), *taken.columns, pa.array([c.tobytes() for c in codes], pa.binary())], names=["cell", "id", "value", "code"]
@@ -247,7 +253,7 @@ def _search(
     wanted = [r[0] for r in visits.select("cell").distinct().collect()]  # at most the cells
     inside = rows.where(F.col("cell").isin(wanted)) if wanted else rows.limit(0)
     coded = inside.select("id", F.col("code").alias("value"))
-    scorer = CodeScorer(spark.sparkContext.broadcast(model), probes)
+    scorer = CodeScorer(_shared(spark, model), probes)
 
     def route(q: DataFrame, c: DataFrame) -> tuple[DataFrame, DataFrame]:
         return visits, inside.select("cell", "id", F.col("code").alias("value"))

@@ -125,11 +125,15 @@ def search_recall(spark, sf):
 
 
 def clustered(spark: SparkSession, sf: str) -> DataFrame:
-    """The vectors drawn towards the mean of their label, so that they lie in clusters."""
+    """The vectors drawn towards the direction of their label's mean, so that they lie in clusters.
+
+    A mean of many vectors is as short as its label says little, hence its direction.
+    """
     v = vectors(spark, sf)
     means = v.select("label", F.posexplode("embedding").alias("i", "x")).groupBy("label", "i").agg(F.avg("x").alias("m"))
     means = means.groupBy("label").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "m"))), lambda p: p["m"]).alias("mean"))
-    drawn = F.zip_with("embedding", "mean", lambda x, m: (0.1 * x + m).cast("float"))
+    length = F.sqrt(F.aggregate("mean", F.lit(0.0), lambda s, m: s + m * m))
+    drawn = F.zip_with("embedding", "mean", lambda x, m: (0.1 * x + F.coalesce(F.try_divide(m, length), m)).cast("float"))
     return v.join(F.broadcast(means), "label").select("vec_id", drawn.alias("embedding"))
 
 

@@ -141,3 +141,31 @@ def test_answers_from_kept_indexes(spark, tmp_path):
     assert len(hits("hybrid", text_path=f"{tmp_path}/t", path=f"{tmp_path}/v")) == 10
     with pytest.raises(ValueError):
         hits("none")
+
+
+def test_vectors_stay_clustered_however_short_the_means_are(spark, tmp_path):
+    from gleanery.plans import catalog_search
+
+    rng = np.random.default_rng(3)
+    rows = []
+    for label in range(4):
+        half = rng.normal(size=(50, 64))
+        for x in np.concatenate([half, -half]) + 0.01 * np.eye(64)[label]:  # the mean is all but zero
+            rows.append((len(rows), (x / np.linalg.norm(x)).tolist(), label))
+    spark.createDataFrame(rows, "vec_id bigint, embedding array<float>, label int").write.parquet(f"{tmp_path}/embeddings.parquet")
+    got = {r.vec_id: np.array(r.embedding) for r in catalog_search.clustered(spark, str(tmp_path)).collect()}
+    unit = np.stack([got[i] / np.linalg.norm(got[i]) for i in range(len(rows))])
+    same = np.array([r[2] for r in rows])
+    likeness = unit @ unit.T
+    assert likeness[same[:, None] == same].min() > 0.9
+
+
+def test_the_index_needs_no_installed_package_on_the_workers(spark, monkeypatch):
+    import pickletools
+
+    model = vector_index.Model(np.eye(4), np.zeros((1, 256, 4)), 2, 20)
+    sent = []
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", lambda self, value: sent.append(value))
+    vector_index._coded(spark.range(1).selectExpr("id", "array(1f, 0f, 0f, 0f) AS value"), model)
+    names = [str(arg) for _, arg, _ in pickletools.genops(__import__("pickle").dumps(sent[0]))]
+    assert not any("gleanery" in n for n in names)
