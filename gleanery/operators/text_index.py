@@ -14,8 +14,9 @@ document is never read.
 
 from __future__ import annotations
 
+from array import array
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -30,11 +31,12 @@ from gleanery.session import written
 BLOCK = 128
 SLICE_DOCS, SLICE_WORDS = 1 << 14, 1 << 20
 BUCKETS = 64
+SENT_ROWS = 1 << 15  # blocks in a batch that leaves a task
 SLACK = 2.0 * 10.0**-engine.DECIMALS  # rounded scores tie
 
 
-def packed(values: np.ndarray) -> bytes:
-    """Whole numbers as bytes of seven bits, lowest first; the high bit says that more follow."""
+def _packed(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whole numbers as bytes of seven bits, lowest first; the high bit says that more follow. And where each one ends."""
     left = values.astype(np.uint64)
     size = np.maximum(1, -(-np.ceil(np.log2(left.astype(np.float64) + 1)).astype(np.int64) // 7))
     size += (size < 10) & (left >> np.minimum(7 * size, 63).astype(np.uint64) > 0)  # where the logarithm was rounded
@@ -44,7 +46,11 @@ def packed(values: np.ndarray) -> bytes:
         has = size > i
         more = (size[has] > i + 1).astype(np.uint8) << 7
         out[(ends - size)[has] + i] = ((left[has] >> np.uint64(7 * i)) & np.uint64(0x7F)).astype(np.uint8) | more
-    return out.tobytes()
+    return out, ends
+
+
+def packed(values: np.ndarray) -> bytes:
+    return _packed(values)[0].tobytes()
 
 
 def unpacked(data: bytes) -> np.ndarray:
@@ -65,21 +71,39 @@ def share(tf, length, mean_length: float, k1: float, b: float):
 POSTINGS = "term string, slice bigint, block int, first bigint, n int, best double, data binary"
 
 
-def _blocks_of(terms: list[str], at: list[int], numbers: list[int], counts: list[int], lengths: list[int], mean_length: float, k1: float, b: float) -> pa.RecordBatch:
-    """The postings of one slice; ``at`` is the number of the term, documents come in order."""
+def _blocks_of(
+    terms: list[str], at: Sequence[int], numbers: Sequence[int], counts: Sequence[int], lengths: Sequence[int], mean_length: float, k1: float, b: float,
+) -> Iterator[pa.RecordBatch]:
+    """The postings of one slice; ``at`` is the number of the term, documents come in order.
+
+    All blocks are packed at once and cut apart by their bounds: most terms of a slice
+    have few postings, and a call for each would cost more than its numbers.
+    """
     term, number, tf, length = (np.array(x, np.int64) for x in (at, numbers, counts, lengths))
+    slice_of = number[0]
     order = np.argsort(term, kind="stable")
     term, number, tf, length = term[order], number[order], tf[order], length[order]
-    parts = share(tf, length, mean_length, k1, b)
-    starts = np.flatnonzero(np.concatenate([[True], term[1:] != term[:-1]]))
-    rows = []
-    for begin, end in zip(starts.tolist(), [*starts[1:].tolist(), len(term)], strict=True):
-        for i, cut in enumerate(range(begin, end, BLOCK)):
-            to = min(end, cut + BLOCK)
-            data = packed(np.concatenate([np.diff(number[cut:to], prepend=number[cut]), tf[cut:to], length[cut:to]]))
-            rows.append((terms[term[cut]], numbers[0], i, int(number[cut]), to - cut, float(parts[cut:to].max()), data))
-    types = [pa.string(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.float64(), pa.binary()]
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=["term", "slice", "block", "first", "n", "best", "data"])
+    opens = np.concatenate([[True], term[1:] != term[:-1]])
+    inside = np.arange(len(term)) - np.flatnonzero(opens)[np.cumsum(opens) - 1]
+    starts = np.flatnonzero(inside % BLOCK == 0)
+    n = np.diff(starts, append=len(term))
+    begin, width = np.repeat(starts, n), np.repeat(n, n)
+    place = 2 * begin + np.arange(len(term))  # a block's steps, then its counts, then its lengths
+    values = np.empty(3 * len(term), np.int64)
+    values[place] = np.where(np.arange(len(term)) == begin, 0, np.diff(number, prepend=0))
+    values[place + width] = tf
+    values[place + 2 * width] = length
+    data, ends = _packed(values)
+    offsets = np.concatenate([[0], ends[3 * (starts + n) - 1]]).astype(np.int32)
+    blocks = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+    best = np.maximum.reduceat(share(tf, length, mean_length, k1, b), starts)
+    columns = [
+        pa.array(terms, pa.string()).take(pa.array(term[starts])), pa.array(np.full(len(starts), slice_of)), pa.array((inside[starts] // BLOCK).astype(np.int32)),
+        pa.array(number[starts]), pa.array(n.astype(np.int32)), pa.array(best), blocks,
+    ]
+    rows = pa.RecordBatch.from_arrays(columns, names=["term", "slice", "block", "first", "n", "best", "data"])
+    for i in range(0, len(starts), SENT_ROWS):
+        yield rows.slice(i, SENT_ROWS)
 
 
 def build_text_index(documents: DataFrame, path: str, key: str = "chunk_id", text: str = "chunk_text", k1: float = K1, b: float = B) -> None:
@@ -100,16 +124,16 @@ def build_text_index(documents: DataFrame, path: str, key: str = "chunk_id", tex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place: dict[str, int] = {}
-        columns: tuple[list[int], ...] = ([], [], [], [])
+        columns = tuple(array("q") for _ in range(4))
         docs, held, last = 0, 0, -1
 
         def closed() -> Iterator[pa.RecordBatch]:
             nonlocal docs, held
             if columns[0]:
-                yield _blocks_of(list(place), *columns, mean_length, k1, b)
+                yield from _blocks_of(list(place), *columns, mean_length, k1, b)
             place.clear()
             for c in columns:
-                c.clear()
+                del c[:]
             docs = held = 0
 
         for batch in batches:
@@ -173,22 +197,25 @@ def search_text_index(queries: DataFrame, path: str, k: int, query_id: str = "qu
     total = spark.read.parquet(f"{path}/totals").head()
     asked, postings = _asked(spark, path, queries, query_id, query_text)
     chosen = written(_chosen(asked, postings, total["n"], k), "text-index-chosen")
-    held = chosen.join(postings.select("term", "slice", "block", "first", "data"), ["term", "slice", "block"])
+    held = chosen.join(postings.select("term", "slice", "block", "first", F.col("n").cast("long").alias("n"), "data"), ["term", "slice", "block"])
     mean_length, k1, b = total["mean_length"], total["k1"], total["b"]
 
     def best(table: pa.Table) -> pa.Table:
-        numbers, scores = [], []
-        for idf, first, data in zip(*(table.column(c).to_pylist() for c in ("idf", "first", "data")), strict=True):
-            steps, tf, length = unpacked(data).reshape(3, -1)
-            numbers.append(first + np.cumsum(steps))
-            scores.append(idf * share(tf, length, mean_length, k1, b))
-        number, at = np.unique(np.concatenate(numbers), return_inverse=True)
-        score = np.round(np.bincount(at, np.concatenate(scores)), engine.DECIMALS)
+        idf, first, n = (table.column(c).to_numpy() for c in ("idf", "first", "n"))
+        values = unpacked(b"".join(table.column("data").to_pylist()))  # all blocks at once, as most are short
+        begin, width = np.repeat(np.cumsum(n) - n, n), np.repeat(n, n)
+        place = 2 * begin + np.arange(len(begin))
+        steps, tf, length = values[place], values[place + width], values[place + 2 * width]
+        upto = np.cumsum(steps)
+        numbers = np.repeat(first, n) + upto - upto[begin]  # a block's first step is 0
+        scores = np.repeat(idf, n) * share(tf, length, mean_length, k1, b)
+        number, at = np.unique(numbers, return_inverse=True)
+        score = np.round(np.bincount(at, scores), engine.DECIMALS)
         top = np.lexsort((number, -score))[:k]
         return pa.table({"query_id": table.column("query_id").take(pa.array(np.zeros(len(top), np.int64))), "number": number[top], "score": score[top]})
 
     kind = asked.schema["query_id"].dataType.simpleString()
-    scored = held.select("query_id", "slice", "idf", "first", "data", "term").groupBy("query_id", "slice").applyInArrow(lambda t: best(t.sort_by("term")), f"query_id {kind}, number bigint, score double")
+    scored = held.select("query_id", "slice", "idf", "first", "n", "data", "term").groupBy("query_id", "slice").applyInArrow(lambda t: best(t.sort_by("term")), f"query_id {kind}, number bigint, score double")
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "number")
     hits = written(scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k), "text-index-hits")
     ids = spark.read.parquet(f"{path}/documents")

@@ -169,3 +169,16 @@ def test_the_index_needs_no_installed_package_on_the_workers(spark, monkeypatch)
     vector_index._coded(spark.range(1).selectExpr("id", "array(1f, 0f, 0f, 0f) AS value"), model)
     names = [str(arg) for _, arg, _ in pickletools.genops(__import__("pickle").dumps(sent[0]))]
     assert not any("gleanery" in n for n in names)
+
+
+def test_a_slice_of_many_rare_words_is_packed_in_a_few_calls(monkeypatch):
+    calls, pack = [], text_index._packed
+    monkeypatch.setattr(text_index, "_packed", lambda values: calls.append(len(values)) or pack(values))
+    n = 3000  # each word in one document, and one in all
+    at, numbers = [x for i in range(n) for x in (i, n)], [7 + i // 2 for i in range(2 * n)]
+    rows = [r for part in text_index._blocks_of([f"w{i}" for i in range(n + 1)], at, numbers, [1] * (2 * n), [2] * (2 * n), 2.0, 1.2, 0.75) for r in part.to_pylist()]
+    assert calls == [6 * n]
+    assert len(rows) == n + -(-n // text_index.BLOCK)
+    common = [r for r in rows if r["term"] == f"w{n}"]
+    got = [x for r in common for x in (r["first"] + np.cumsum(text_index.unpacked(r["data"]).reshape(3, -1)[0])).tolist()]
+    assert got == list(range(7, 7 + n)) and [r["block"] for r in common] == list(range(len(common)))
