@@ -29,6 +29,8 @@ DECIMALS = 6
 SMALL_ROWS = 4096
 SMALL_BYTES = 64 * 2**20
 SLICE_CELLS = 2_000_000
+CELL_BLOCKS = 4
+TILE = 1024  # rows and columns of rough scores at a time
 
 
 class Scorer(Protocol):
@@ -58,6 +60,8 @@ def _best(
     to the smaller id, and both parts can be read back from it.
     """
     n, unit = len(c_ids), 10**DECIMALS
+    if n > 4 * (k + 1) and hasattr(scorer, "likely"):
+        return _best_likely(scorer, q_ids, q, c_ids, c, k, floor, exclude_same)
     order = np.argsort(c_ids, kind="stable")
     place = np.empty(n)
     place[order] = np.arange(n)
@@ -90,6 +94,68 @@ def _best(
     return tuple(np.concatenate(parts) for parts in found)
 
 
+def _ranks(rows: np.ndarray) -> np.ndarray:
+    """The place of each entry among those of its row, from 0; ``rows`` rise."""
+    return np.arange(len(rows)) - np.searchsorted(rows, rows, side="left")
+
+
+def _best_likely(
+    scorer: Any, q_ids: np.ndarray, q: Any, c_ids: np.ndarray, c: Any, k: int, floor: float | None, exclude_same: bool,
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """As :func:`_best`, for a scorer that can say cheaply which pairs may be among the best.
+
+    ``likely`` gives rough scores, off by less than ``margin``. Tile by tile only pairs
+    are kept that reach a query's k-th best rough score so far, less what roughness and
+    rounded ties allow; only these are scored exactly. No true match is lost.
+    """
+    unit, keep = 10**DECIMALS, k + exclude_same
+    margin = scorer.margin(q)
+    slack = 2.0 * margin + 1.0 / unit
+    rough_q, rough_c, q_at, c_at = scorer.likely(q, c)  # rows that can match, and where they stand
+    found = ([np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0)])
+    place = np.empty(len(c_ids), np.int64)
+    place[np.argsort(c_ids, kind="stable")] = np.arange(len(c_ids))
+    least_allowed = -np.inf if floor is None else floor - margin - 1.0 / unit
+    for start in range(0, len(q_at), TILE):
+        part = rough_q[start : start + TILE]
+        least = np.full(len(part), least_allowed, np.float32)
+        rows, cols, scores = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.float32)
+        done, due = 0, 0
+        while done < len(c_at):
+            tile = part @ rough_c[done : done + TILE].T
+            if hasattr(scorer, "allowed"):
+                tile[~scorer.allowed(q, q_at[start : start + TILE], c, c_at[done : done + TILE])] = -np.inf
+            if not done and keep < tile.shape[1]:
+                kth = np.partition(tile, tile.shape[1] - keep, axis=1)[:, tile.shape[1] - keep]
+                least = np.maximum(least, kth - np.float32(slack))
+            at = np.flatnonzero((tile >= least[:, None]) & (tile > -np.inf) if np.isneginf(least).any() else tile >= least[:, None])
+            row, col = np.divmod(at, tile.shape[1])
+            rows, cols, scores = np.concatenate([rows, row]), np.concatenate([cols, col + done]), np.concatenate([scores, tile.ravel()[at]])
+            done += tile.shape[1]
+            if done >= due or len(rows) > 8 * keep * len(part):
+                due = 2 * done
+                order = np.lexsort((-scores, rows))
+                rows, cols, scores = rows[order], cols[order], scores[order]
+                last = _ranks(rows) == keep - 1
+                least[rows[last]] = np.maximum(least[rows[last]], scores[last] - np.float32(slack))
+                still = scores >= least[rows]
+                rows, cols, scores = rows[still], cols[still], scores[still]
+        row, col = q_at[start + rows], c_at[cols]
+        if exclude_same:
+            other = q_ids[row] != c_ids[col]
+            row, col = row[other], col[other]
+        key = np.rint(scorer.exact(q, row, c, col) * unit)
+        if floor is not None:
+            enough = key >= np.rint(floor * unit)
+            row, col, key = row[enough], col[enough], key[enough]
+        order = np.lexsort((place[col], -key, row))
+        order = order[_ranks(row[order]) < k]
+        found[0].append(row[order])
+        found[1].append(col[order])
+        found[2].append(key[order] / unit)
+    return tuple(np.concatenate(parts) for parts in found)
+
+
 def hits_schema(q_id: T.StructField, c_id: T.StructField) -> T.StructType:
     return T.StructType(
         [T.StructField("query_id", q_id.dataType), T.StructField("item_id", c_id.dataType),
@@ -174,15 +240,20 @@ def _scan_queries(
 
 def blocked(
     queries: DataFrame, corpus: DataFrame, scorer: Scorer, k: int, floor: float | None,
-    exclude_same: bool, schema: T.StructType, block_rows: int,
+    exclude_same: bool, schema: T.StructType, block_rows: int, most_rows: int | None = None,
 ) -> DataFrame:
     """Block against block inside each cell.
 
     Both inputs are ``cell, id, value``. The number of cells is bounded by the
-    router, so the table of cell sizes is small whatever the data.
+    router, so the table of cell sizes is small whatever the data. A row is copied for each
+    block of the other side, so blocks of ``block_rows`` grow with their cell, up to
+    ``most_rows``, once there are more than CELL_BLOCKS of them.
     """
+    def rows_in(n):
+        return F.greatest(F.lit(block_rows), F.least(F.lit(most_rows or block_rows), F.ceil(n / CELL_BLOCKS)))
+
     sizes = [
-        side.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / block_rows).alias(name))
+        side.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / rows_in(F.count(F.lit(1)))).alias(name))
         for side, name in ((queries, "q_blocks"), (corpus, "c_blocks"))
     ]
     blocks = F.broadcast(sizes[0].join(sizes[1], "cell"))
@@ -250,6 +321,7 @@ def topk(
     route=None,
     small: str | None = None,
     block_rows: int = 8192,
+    most_rows: int | None = None,
 ) -> DataFrame:
     """``query_id, item_id, score, rank`` for inputs of ``id, value``.
 
@@ -270,5 +342,5 @@ def topk(
                 return q.select(one, "*"), c.select(one, "*")
 
         routed = route(queries, corpus)
-        hits = blocked(*routed, scorer, k, floor, exclude_same, schema, block_rows)
+        hits = blocked(*routed, scorer, k, floor, exclude_same, schema, block_rows, most_rows)
     return ranked(hits, k)

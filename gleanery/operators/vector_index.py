@@ -249,7 +249,7 @@ def _search(
 ) -> DataFrame:
     spark = queries.sparkSession
     asked = written(vector_search._pair(queries, query_id, query_vector), "index-queries")
-    visits = vector_search._visit(asked, lambda unit: model.nearest(unit, probes))
+    visits = vector_search._visit(asked, lambda unit: model.nearest(unit, probes), len(model.centres))
     wanted = [r[0] for r in visits.select("cell").distinct().collect()]  # at most the cells
     inside = rows.where(F.col("cell").isin(wanted)) if wanted else rows.limit(0)
     coded = inside.select("id", F.col("code").alias("value"))
@@ -295,7 +295,7 @@ def compared_share(queries: DataFrame, path: str, probes: int | None = None, que
     spark = queries.sparkSession
     model = load_model(spark, path)
     asked = queries.select(F.lit(0).alias("id"), F.col(query_vector).alias("value")).where("value IS NOT NULL")
-    visits = vector_search._visit(asked, lambda unit: model.nearest(unit, probes or model.probes)).groupBy("cell").count()
+    visits = vector_search._visit(asked, lambda unit: model.nearest(unit, probes or model.probes), len(model.centres)).groupBy("cell").count()
     sizes = read_index(spark, path).groupBy("cell").agg(F.count("*").alias("held"))
     pairs, total = visits.join(sizes, "cell").agg(F.sum(F.col("count") * F.col("held"))).head()[0], sizes.agg(F.sum("held")).head()[0]
     return (pairs or 0) / max(1, (total or 0) * asked.count())

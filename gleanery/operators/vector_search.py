@@ -20,6 +20,14 @@ from gleanery.session import written
 MAX_CELLS = 2**16
 
 
+# Numbers that a portion of an Arrow batch may become, as vectors are copied to many cells.
+PORTION_NUMBERS = 4_000_000
+
+
+# Pairs of vectors that are scored exactly at a time.
+PAIRS = 1 << 14
+
+
 # Bytes of one block of vectors. Larger blocks mean fewer copies of both sides.
 BLOCK_BYTES = 32 * 2**20
 
@@ -39,6 +47,12 @@ def _rows_per_block(block_rows: int | None, dimension: int) -> int:
     return block_rows or max(1024, BLOCK_BYTES // (8 * dimension))
 
 
+def _busy_rows(corpus: DataFrame, n: int, dimension: int) -> int:
+    """Rows of a block: at most what memory allows, and few enough to keep all slots busy."""
+    slots = corpus.sparkSession.sparkContext.defaultParallelism
+    return max(1024, min(_rows_per_block(None, dimension), int(n / (2 * slots**0.5))))
+
+
 def unit_rows(column: pa.Array) -> np.ndarray:
     """List column to a float64 matrix of unit rows; NaN where a row has no length."""
     lengths = column.value_lengths().to_numpy(zero_copy_only=False)
@@ -66,6 +80,51 @@ class CosineScorer:
     def score(self, queries: np.ndarray, rows: slice, corpus: np.ndarray) -> np.ndarray:
         return queries[rows] @ corpus.T
 
+    def likely(self, queries: np.ndarray, corpus: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Both sides in half the bytes without rows that match nothing, and where these rows stand."""
+        q_at, c_at = (np.flatnonzero(~np.isnan(x).any(axis=1)) for x in (queries, corpus))
+        return queries[q_at].astype(np.float32), corpus[c_at].astype(np.float32), q_at, c_at
+
+    def margin(self, queries: np.ndarray) -> float:
+        """More than products of short floats can be off, for unit rows."""
+        return (queries.shape[1] + 4) * 2.0**-23
+
+    def exact(self, queries: np.ndarray, rows: np.ndarray, corpus: np.ndarray, columns: np.ndarray) -> np.ndarray:
+        out = np.empty(len(rows))
+        for i in range(0, len(rows), PAIRS):
+            out[i : i + PAIRS] = np.einsum("nd,nd->n", queries[rows[i : i + PAIRS]], corpus[columns[i : i + PAIRS]])
+        return out
+
+
+class CelledScorer(CosineScorer):
+    """Cosine within the cells that a query looks into.
+
+    A query is its vector and a bit for each cell of the group, a corpus row its vector and
+    its cell's place in the group.
+    """
+
+    def queries(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        looks = np.frombuffer(b"".join(column.field("looks").to_pylist()), np.uint8).reshape(len(column), -1)
+        return unit_rows(column.field("vector")), np.unpackbits(looks, axis=1).view(bool)
+
+    def corpus(self, column: pa.Array, queries) -> tuple[np.ndarray, np.ndarray]:
+        return unit_rows(column.field("vector")), column.field("home").to_numpy(zero_copy_only=False)
+
+    def score(self, queries, rows: slice, corpus) -> np.ndarray:
+        return np.where(queries[1][rows][:, corpus[1]], queries[0][rows] @ corpus[0].T, -np.inf)
+
+    def likely(self, queries, corpus):
+        return super().likely(queries[0], corpus[0])
+
+    def margin(self, queries) -> float:
+        return super().margin(queries[0])
+
+    def exact(self, queries, rows: np.ndarray, corpus, columns: np.ndarray) -> np.ndarray:
+        return super().exact(queries[0], rows, corpus[0], columns)
+
+    def allowed(self, queries, rows: np.ndarray, corpus, columns: np.ndarray) -> np.ndarray:
+        return queries[1][rows][:, corpus[1][columns]]
+
 
 def _is_finite(vector: Column) -> Column:
     return F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
@@ -103,6 +162,16 @@ def _emit(batch: pa.RecordBatch, rows: np.ndarray, cells: np.ndarray, extra=())
     )
 
 
+def _portions(batches: Iterator[pa.RecordBatch], copies: int) -> Iterator[pa.RecordBatch]:
+    """The batches in portions, small enough for ``copies`` of each row's vector (the second column)."""
+    for batch in batches:
+        if batch.num_rows:
+            numbers = len(batch.column(1).flatten()) // batch.num_rows  # of a vector
+            step = max(1, PORTION_NUMBERS // (max(1, copies) * max(1, numbers)))
+            for i in range(0, batch.num_rows, step):
+                yield batch.slice(i, step)
+
+
 def _chord(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(2.0 - 2.0 * (a @ b.T), 0.0))
 
@@ -127,30 +196,51 @@ def _home_cells(corpus: DataFrame, pivots: np.ndarray) -> DataFrame:
     schema = T.StructType([*_routed_schema(corpus).fields, T.StructField("away", T.DoubleType())])
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                away = _chord(unit_rows(batch.column(1)), pivots)
-                home = away.argmin(axis=1)
-                rows = np.flatnonzero(~np.isnan(away).any(axis=1))
-                home = home[rows]
-                yield _emit(batch, rows, home, [("away", pa.array(away[rows, home]))])
+        for batch in _portions(batches, -(-len(pivots) // 8)):  # distances weigh less than copies
+            away = _chord(unit_rows(batch.column(1)), pivots)
+            home = away.argmin(axis=1)
+            rows = np.flatnonzero(~np.isnan(away).any(axis=1))
+            home = home[rows]
+            yield _emit(batch, rows, home, [("away", pa.array(away[rows, home]))])
 
     return corpus.mapInArrow(assign, schema)
 
 
-def _visit(queries: DataFrame, wanted) -> DataFrame:
-    """Send each query to the cells for which ``wanted(unit rows)`` is true."""
+def _visit(queries: DataFrame, wanted, cells: int) -> DataFrame:
+    """Send each query to those of ``cells`` for which ``wanted(unit rows)`` is true."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                unit = unit_rows(batch.column(1))
-                rows, cells = np.nonzero(wanted(unit) & ~np.isnan(unit).any(axis=1)[:, None])
-                yield _emit(batch, rows, cells)
+        for batch in _portions(batches, cells):
+            unit = unit_rows(batch.column(1))
+            rows, at = np.nonzero(wanted(unit) & ~np.isnan(unit).any(axis=1)[:, None])
+            yield _emit(batch, rows, at)
 
     return queries.mapInArrow(send, _routed_schema(queries))
 
 
+def _visit_groups(queries: DataFrame, wanted, bounds: np.ndarray) -> DataFrame:
+    """``cell, id, value``: a query once for each group of neighbouring cells that has a wanted one.
+
+    ``bounds`` are the first cells of the groups and the number of all cells; ``value`` is
+    the vector with a bit for each cell of the group.
+    """
+    value = T.StructType([T.StructField("vector", queries.schema[1].dataType), T.StructField("looks", T.BinaryType())])
+    schema = T.StructType([T.StructField("cell", T.IntegerType()), queries.schema[0], T.StructField("value", value)])
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _portions(batches, max(1, bounds[-1] // 8)):
+            unit = unit_rows(batch.column(1))
+            looks = wanted(unit) & ~np.isnan(unit).any(axis=1)[:, None]
+            for group, (low, high) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)):
+                rows = np.flatnonzero(looks[:, low:high].any(axis=1))
+                bits = [b.tobytes() for b in np.packbits(looks[rows, low:high], axis=1)]
+                taken = batch.take(pa.array(rows))
+                values = pa.StructArray.from_arrays([taken.column(1), pa.array(bits, pa.binary())], ["vector", "looks"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(rows), group, np.int32)), taken.column(0), values], ["cell", "id", "value"])
+
+    return queries.mapInArrow(send, schema)
+
+
 def _exact_route(k: int, floor: float | None, exclude_same: bool, cells: int):
     """Route by the triangle inequality: skip only cells that cannot hold a hit.
 
@@ -183,7 +273,7 @@ def _exact_route(k: int, floor: float | None, exclude_same: bool, cells: int):
             near = np.maximum(away - radius, 0.0)
             return (near <= np.sqrt(bound**2 + slack)) & (count > 0)
 
-        return _visit(queries, wanted), homes.drop("away")
+        return _visit(queries, wanted, len(pivots)), homes.drop("away")
 
     return route
 
@@ -213,16 +303,13 @@ def exact_search(
     small = engine.small_side(q, c, max_small_rows)
     if small is None:
         corpus_is = c.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("value")).alias("dimension")).first()
-        if block_rows is None:
-            # At most what memory allows, and small enough to keep all slots busy.
-            slots = c.sparkSession.sparkContext.defaultParallelism
-            busy = int(corpus_is["n"] / (2 * slots**0.5))
-            block_rows = max(1024, min(_rows_per_block(None, corpus_is["dimension"] or 1), busy))
+        block_rows = block_rows or _busy_rows(c, corpus_is["n"], corpus_is["dimension"] or 1)
         # Each visited cell costs a copy of the query, so a cell should be worth it.
         cells = cells or min(256, max(1, 4 * corpus_is["n"] // block_rows))
     return engine.topk(
         q, c, CosineScorer(), k, min_score, exclude_same,
         _exact_route(k, min_score, exclude_same, cells), small, block_rows or 1,
+        None if small else _rows_per_block(None, corpus_is["dimension"] or 1),
     )
 
 
@@ -330,10 +417,9 @@ def hashed_search(
 
     def place(side: DataFrame) -> DataFrame:
         def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                if batch.num_rows:
-                    cells = buckets(unit_rows(batch.column(1)))
-                    yield _emit(batch, np.repeat(np.arange(batch.num_rows), tables), cells.ravel())
+            for batch in _portions(batches, tables):
+                cells = buckets(unit_rows(batch.column(1)))
+                yield _emit(batch, np.repeat(np.arange(batch.num_rows), tables), cells.ravel())
 
         return side.mapInArrow(send, _routed_schema(side))
 
@@ -360,10 +446,12 @@ def celled_search(
     """Approximate search in the ``probes`` cells nearest to each query.
 
     By default there are as many cells as the root of the row count, and as many probes as
-    find ``RECALL`` of the true neighbours of a sample of the queries.
+    find ``RECALL`` of the true neighbours of a sample of the queries. Cells are compared in
+    groups of about ``block_rows`` vectors, so that a query travels once to a group and not to each cell.
     """
     q, c = _pair(queries, query_id, query_vector), _pair(corpus, corpus_id, corpus_vector)
-    pivots = _pivots(c, cells or max(1, min(DERIVED_CELLS, round(c.count() ** 0.5))))
+    n = c.count()
+    pivots = _pivots(c, cells or max(1, min(DERIVED_CELLS, round(n**0.5))))
     if probes is None:
         probes = _probes_for(pivots, *_true_pairs(q, c, k, exclude_same))
 
@@ -371,10 +459,15 @@ def celled_search(
         rank = _chord(vectors, pivots).argsort(axis=1).argsort(axis=1)
         return rank < probes
 
+    block_rows = block_rows or _busy_rows(c, n, pivots.shape[1])
+    groups = max(1, min(len(pivots), -(-n // block_rows)))
+    bounds = np.arange(groups + 1) * len(pivots) // groups
+    group_of = np.searchsorted(bounds, np.arange(len(pivots)), side="right") - 1
+    places = F.array(*[F.lit(int(g)) for g in group_of]), F.array(*[F.lit(int(i - bounds[g])) for i, g in enumerate(group_of)])
+    group, home = (F.get(p, F.col("cell")) for p in places)
+    homes = _home_cells(c, pivots).select(group.alias("cell"), "id", F.struct(F.col("value").alias("vector"), home.alias("home")).alias("value"))
     hits = engine.blocked(
-        _visit(q, wanted), _home_cells(c, pivots).drop("away"), CosineScorer(), k, None,
-        exclude_same, engine.hits_schema(q.schema[0], c.schema[0]),
-        _rows_per_block(block_rows, pivots.shape[1]),
+        _visit_groups(q, wanted, bounds), homes, CelledScorer(), k, None, exclude_same, engine.hits_schema(q.schema[0], c.schema[0]), block_rows,
     )
     return engine.ranked(hits, k)
 

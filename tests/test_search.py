@@ -2,6 +2,7 @@ from collections import Counter
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -217,3 +218,59 @@ def test_diverse_hits(spark):
     found = {(r.query_id, r["rank"]): (r.item_id, r.score) for r in keyword_search.diversify(df, 3, 0.5).collect()}
     assert found == {(1, 1): ("a", 0.45), (1, 2): ("c", 0.4), (1, 3): ("d", 0.1), (2, 1): ("e", 0.05), (2, 2): ("f", 0.05)}
     assert [r.item_id for r in keyword_search.diversify(df, 9, 1.0).where("query_id = 1").orderBy("rank").collect()] == ["a", "b", "c", "d"]
+
+
+class Batches:
+    """Stands for a DataFrame: what a task would send."""
+
+    def __init__(self, schema):
+        self.schema = schema
+
+    def mapInArrow(self, run, schema):
+        return run
+
+
+def test_copies_for_many_cells_leave_in_portions(spark):
+    rng = np.random.default_rng(0)
+    rows = spark.createDataFrame([(0, [0.0])], "id bigint, value array<float>")
+    batch = pa.RecordBatch.from_arrays([pa.array(range(2000)), pa.array(rng.normal(size=(2000, 64)).astype(np.float32).tolist())], names=["id", "value"])
+    sent = list(vector_search._visit(Batches(rows.schema), lambda unit: np.ones((len(unit), 500), bool), 500)(iter([batch])))
+    assert sum(b.num_rows for b in sent) == 2000 * 500
+    assert max(b.num_rows for b in sent) * 64 <= vector_search.PORTION_NUMBERS
+    grouped = list(vector_search._visit_groups(Batches(rows.schema), lambda unit: np.ones((len(unit), 500), bool), np.array([0, 100, 500]))(iter([batch])))
+    assert sum(b.num_rows for b in grouped) == 2000 * 2  # once to each group, not to each cell
+
+
+def test_small_blocks_grow_with_their_cell(spark):
+    rng = np.random.default_rng(0)
+    side = spark.createDataFrame([(0, i, rng.normal(size=4).tolist()) for i in range(800)], "cell int, id bigint, value array<double>")
+    other = spark.createDataFrame(side.collect(), side.schema)
+    schema = topk.hits_schema(side.schema["id"], side.schema["id"])
+    hits = topk.blocked(side, other, vector_search.CosineScorer(), 1, None, True, schema, 10, 1000)
+    assert hits.count() == 800 * topk.CELL_BLOCKS  # a hit of each block of the corpus; 80 blocks without growth
+
+
+@pytest.mark.parametrize(("k", "floor", "same"), [(1, None, False), (5, None, True), (5, 0.3, True), (20, 0.1, False)])
+def test_rough_scores_lose_no_match(k, floor, same):
+    class Plain:
+        def score(self, queries, rows, corpus):
+            return queries[rows] @ corpus.T
+
+    calls = []
+
+    class Counted(vector_search.CosineScorer):
+        def exact(self, queries, rows, corpus, columns):
+            calls.append(len(rows))
+            return super().exact(queries, rows, corpus, columns)
+
+    rng = np.random.default_rng(k)
+    rows = rng.normal(size=(3000, 16))
+    rows[1000:1400], rows[50], rows[2990] = rows[0], 0, np.nan  # copies, no length, no numbers
+    rows[1400:1500] = rows[1] * (1 + 1e-9 * rng.normal(size=(100, 16)))
+    with np.errstate(invalid="ignore"):
+        rows /= np.linalg.norm(rows, axis=1, keepdims=True)
+    ids = rng.permutation(3000)
+    want, got = (topk._best(s, ids, rows, ids, rows, k, floor, same) for s in (Plain(), Counted()))
+    table = lambda found: sorted(zip(*(x.tolist() for x in found), strict=True))
+    assert table(got) == table(want)
+    assert sum(calls) < 0.2 * 3000 * 3000
