@@ -18,6 +18,7 @@ from gleanery.functions import text as X
 CHUNK_SIZE = 800
 CHUNK_OVERLAP = 150
 MIN_CHUNK_SIZE = 50
+PORTION_BYTES = 4 * 2**20
 SEPARATORS = ("\n## ", "\n### ", "\n\n", "\n", ". ", " ", "")
 
 
@@ -84,6 +85,15 @@ def recursive_spans(
         yield from _pack(waiting, size, overlap)
 
 
+def _portions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in portions of about PORTION_BYTES, so that the Python texts of one portion are held at a time."""
+    for batch in batches:
+        if batch.num_rows:
+            step = max(1, batch.num_rows * PORTION_BYTES // max(1, batch.get_total_buffer_size()))
+            for i in range(0, batch.num_rows, step):
+                yield batch.slice(i, step)
+
+
 def recursive_chunks(
     documents: DataFrame,
     text: str = "content",
@@ -104,7 +114,6 @@ def recursive_chunks(
         [*kept, T.StructField("chunk_index", T.IntegerType(), False),
          T.StructField("chunk_text", T.StringType(), False)]
     )
-    rows_per_batch = 20_000
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out(batch, source, index, piece):
@@ -114,7 +123,7 @@ def recursive_chunks(
                 schema=pa.schema([*head.schema, ("chunk_index", pa.int32()), ("chunk_text", pa.string())]),
             )
 
-        for batch in batches:
+        for batch in _portions(batches):
             source, index, piece = [], [], []
             for row, body in enumerate(batch.column(batch.num_columns - 1).to_pylist()):
                 position = 0
@@ -125,9 +134,6 @@ def recursive_chunks(
                         index.append(position)
                         piece.append(chunk)
                         position += 1
-                if len(source) >= rows_per_batch:
-                    yield out(batch, source, index, piece)
-                    source, index, piece = [], [], []
             if source:
                 yield out(batch, source, index, piece)
 
@@ -177,7 +183,7 @@ def section_then_recursive_chunks(
              T.StructField("heading", T.StringType()), T.StructField("chunk_index", T.IntegerType()), T.StructField("chunk_text", T.StringType())]
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _portions(batches):
             source, section, heading, index, piece = [], [], [], [], []
             for row, bodies in enumerate(batch.column(batch.num_columns - 1).to_pylist()):
                 position = 0
@@ -308,7 +314,7 @@ def measured_chunks(
     schema = T.StructType([*kept, T.StructField("chunk_index", T.IntegerType()), T.StructField("n_tokens", T.IntegerType()), T.StructField("chunk_text", T.StringType())])
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _portions(batches):
             for row, body in enumerate(batch.column("_text").to_pylist()):
                 spans = list(measured_spans(body or "", tokens(body or ""), size, overlap))
                 if spans:

@@ -196,3 +196,31 @@ def test_measured_chunks_prefer_coarse_cuts(spark):
     df = spark.createDataFrame([("u", text)], "url string, content string")
     assert [r.chunk_text for r in chunking.measured_chunks(df, keep=["url"], size=8).collect()] == ["one two three. four five\nsix seven\n\n", "eight nine ten eleven twelve"]
     assert chunking.measured_chunks(df, keep=["url"], size=6).first().chunk_text == "one two three. four five\n"
+
+
+def test_a_large_batch_leaves_in_portions(spark):
+    import pyarrow as pa
+
+    class Batches:
+        def __init__(self, df):
+            self.df = df
+
+        def select(self, *columns):
+            return Batches(self.df.select(*columns))
+
+        def drop(self, *columns):
+            return Batches(self.df.drop(*columns))
+
+        schema = property(lambda self: self.df.schema)
+
+        def mapInArrow(self, run, schema):
+            return run
+
+    texts = ["word and more words. " * 3000 for _ in range(400)]
+    empty = Batches(spark.createDataFrame([], "url string, content string"))
+    plain = pa.RecordBatch.from_arrays([pa.array([str(i) for i in range(400)]), pa.array(texts)], names=["url", "content"])
+    nested = pa.RecordBatch.from_arrays([plain.column(0), pa.array([[t] for t in texts])], names=["url", "_sections"])
+    for run, batch in ((chunking.recursive_chunks(empty, keep=["url"]), plain), (chunking.section_then_recursive_chunks(empty, keep=["url"]), nested)):
+        sent = list(run(iter([batch])))
+        assert max(sum(len(t) for t in b.column("chunk_text").to_pylist()) for b in sent) < 2 * chunking.PORTION_BYTES
+        assert len({u for b in sent for u in b.column("url").to_pylist()}) == 400
