@@ -85,7 +85,7 @@ def recursive_spans(
         yield from _pack(waiting, size, overlap)
 
 
-def _portions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def portions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The batches in portions of about PORTION_BYTES, so that the Python texts of one portion are held at a time."""
     for batch in batches:
         if batch.num_rows:
@@ -123,7 +123,7 @@ def recursive_chunks(
                 schema=pa.schema([*head.schema, ("chunk_index", pa.int32()), ("chunk_text", pa.string())]),
             )
 
-        for batch in _portions(batches):
+        for batch in portions(batches):
             source, index, piece = [], [], []
             for row, body in enumerate(batch.column(batch.num_columns - 1).to_pylist()):
                 position = 0
@@ -183,7 +183,7 @@ def section_then_recursive_chunks(
              T.StructField("heading", T.StringType()), T.StructField("chunk_index", T.IntegerType()), T.StructField("chunk_text", T.StringType())]
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _portions(batches):
+        for batch in portions(batches):
             source, section, heading, index, piece = [], [], [], [], []
             for row, bodies in enumerate(batch.column(batch.num_columns - 1).to_pylist()):
                 position = 0
@@ -314,7 +314,7 @@ def measured_chunks(
     schema = T.StructType([*kept, T.StructField("chunk_index", T.IntegerType()), T.StructField("n_tokens", T.IntegerType()), T.StructField("chunk_text", T.StringType())])
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _portions(batches):
+        for batch in portions(batches):
             for row, body in enumerate(batch.column("_text").to_pylist()):
                 spans = list(measured_spans(body or "", tokens(body or ""), size, overlap))
                 if spans:
