@@ -12,7 +12,9 @@ them, so output lags by a bounded number of bytes. States and moves are made whe
 met and kept up to a bound.
 
 Texts are encoded in blocks. The different pieces of a block step through the automaton
-side by side: one look-up in a dense table of moves for all of them at each byte.
+side by side: one look-up in a dense table of moves for all of them at each byte, and the
+moves not met yet are made together. What runs of letters between spaces became is kept
+for later blocks, up to a bound.
 
 Ranks must rise along merges, and each token must be what its own bytes are merged to;
 both are checked when compiling.
@@ -20,6 +22,7 @@ both are checked when compiling.
 
 from __future__ import annotations
 
+from array import array
 import base64
 import codecs
 from collections.abc import Iterator
@@ -41,6 +44,9 @@ MOST_PAIRS = 100_000
 SIDE_BY_SIDE = 96
 #: Characters of text in a block; a longer text is a block of its own.
 BLOCK_CHARS = 1 << 20
+#: Characters of units whose tokens are kept for later blocks.
+KEPT_CHARS = 1 << 21
+NEVER = 1 << 30  # a rank that no merge has
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -63,6 +69,42 @@ def merged(ranks: dict[bytes, int], piece: bytes, parts_left: int = 1) -> list[b
     return parts
 
 
+def places(keys: np.ndarray, size: int) -> np.ndarray:
+    """Where keys are looked for first in a table of ``size`` places, a power of two."""
+    return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(65 - size.bit_length())).astype(np.int64)
+
+
+def look_up(table: np.ndarray, values: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """The value of each key in a table with open addressing, or -1."""
+    out, rows, at = np.full(len(keys), -1, np.int32), np.arange(len(keys)), places(keys, len(table))
+    while len(rows):
+        there = table[at]
+        hit = there == keys
+        out[rows[hit]] = values[at[hit]]
+        on = ~hit & (there >= 0)
+        rows, keys, at = rows[on], keys[on], (at[on] + 1) & (len(table) - 1)
+    return out
+
+
+def put_all(table: np.ndarray, values: np.ndarray, keys: np.ndarray, new: np.ndarray) -> None:
+    """Put in different keys that the table does not have."""
+    at = places(keys, len(table))
+    while len(keys):
+        free = table[at] < 0
+        table[at[free]] = keys[free]  # of several keys for a place one stays
+        here = table[at] == keys
+        values[at[here]] = new[here]
+        keys, new, at = keys[~here], new[~here], (at[~here] + 1) & (len(table) - 1)
+
+
+def table_of(found: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
+    """A table with open addressing, a quarter full to a half."""
+    size = 2 << len(found).bit_length()
+    table, values = np.full(size, -1, np.int64), np.zeros(size, np.int32)
+    put_all(table, values, np.fromiter(found.keys(), np.int64, len(found)), np.fromiter(found.values(), np.int32, len(found)))
+    return table, values
+
+
 class Compiled:
     """The rank file as a trie and as merge trees; sent to the executors once."""
 
@@ -94,6 +136,53 @@ class Compiled:
                 if merged(ranks, data) != [data] or max(ranks[left], ranks[right]) >= rank:
                     raise ValueError(f"token {rank} is not what its bytes are merged to, or its rank is below a part's")
                 self.parts[rank] = (ranks[left], ranks[right])
+        self._tabulate()
+
+    def _tabulate(self) -> None:
+        """The same for many look-ups at once."""
+        self.step_table = table_of(self.step)
+        self.token_at = np.array(self.token, np.int32)
+        self.goes_on = np.frombuffer(bytes(self.inner), np.uint8).astype(bool)
+        #: left << 17 | right to the rank of the two together
+        self.joins = table_of({
+            self.ranks[data[:i]] << 17 | self.ranks[data[i:]]: rank
+            for data, rank in self.ranks.items() for i in range(1, len(data)) if data[:i] in self.ranks and data[i:] in self.ranks
+        })
+        #: For both edges: offsets by token, parts on the edge, and the ranks that end them.
+        self.edges = []
+        for right in (0, 1):
+            spines = [self.spine(t, right) if data else [] for t, data in enumerate(self.bytes_of)]
+            flat = list(chain.from_iterable(spines))
+            self.edges.append((
+                np.concatenate([[0], np.cumsum([len(x) for x in spines])]), np.array([a for a, _ in flat], np.int64),
+                np.array([NEVER if end == float("inf") else end for _, end in flat], np.int64),
+            ))
+
+    def spine(self, token: int, right: int) -> list[tuple[int, float]]:
+        """Parts on one edge of a token, outermost first, each with the rank that ends it."""
+        found, at, end = [], token, float("inf")
+        while True:
+            found.append((at, end))
+            if self.parts[at] is None:
+                return found
+            at, end = self.parts[at][right], at
+
+    def fit(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """:meth:`Transducer.fits` of many pairs at once."""
+        (l_at, a_of, a_end_of), (r_at, b_of, b_end_of) = self.edges[1], self.edges[0]
+        n_right = r_at[right + 1] - r_at[right]
+        counts = (l_at[left + 1] - l_at[left]) * n_right
+        pair = np.repeat(np.arange(len(left)), counts)
+        i, j = np.divmod(np.arange(len(pair)) - np.repeat(np.cumsum(counts) - counts, counts), n_right[pair])
+        i += l_at[left][pair]
+        j += r_at[right][pair]
+        a, b, a_end, b_end = a_of[i], b_of[j], a_end_of[i], b_end_of[j]
+        both = np.flatnonzero((a < b_end) & (b < a_end))  # there at the same time
+        rank = look_up(*self.joins, a[both] << 17 | b[both])
+        over = (rank >= 0) & (rank < a_end[both]) & (rank <= b_end[both])
+        out = np.ones(len(left), bool)
+        out[pair[both[over]]] = False
+        return out
 
     @classmethod
     def of(cls, tables: dict) -> Compiled:
@@ -121,8 +210,9 @@ class Transducer:
         self._clear()
 
     def _clear(self) -> None:
-        self.number = {(0,): 0}  # an open start is its node << 17 | last token + 1
-        self.states = [(0,)]
+        first = array("q", [0]).tobytes()
+        self.number = {first: 0}  # a state's open starts, 8 bytes for each node << 17 | last token + 1
+        self.states = [first]
         self.last = [-1]
         # open addressing: state << 8 | byte to state, looked up for many pieces at once
         self.keys = np.full(1 << MOVE_BITS, -1, np.int64)
@@ -138,46 +228,17 @@ class Transducer:
     def full(self) -> bool:
         return len(self.states) > MOST_STATES or 2 * self.moves > len(self.keys)
 
-    def _place(self, keys: np.ndarray) -> np.ndarray:
-        return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - MOVE_BITS)).astype(np.int64)
-
-    def _find(self, keys: np.ndarray) -> np.ndarray:
-        """The state that each move leads to, or -1 for moves not met yet."""
-        out, rows, at = np.full(len(keys), -1, np.int32), np.arange(len(keys)), self._place(keys)
-        while len(rows):
-            there = self.keys[at]
-            hit = there == keys
-            out[rows[hit]] = self.to[at[hit]]
-            on = ~hit & (there >= 0)
-            rows, keys, at = rows[on], keys[on], (at[on] + 1) & (len(self.keys) - 1)
-        return out
-
-    def _put(self, key: int, to: int) -> None:
-        if 10 * self.moves > 8 * len(self.keys):  # a single block with that many moves
-            keys, states = self.keys[self.keys >= 0], self.to[self.keys >= 0]
-            self.keys, self.to, self.moves = np.full(len(self.keys), -1, np.int64), np.zeros(len(self.to), np.int32), 0
-            for k, v in list(zip(keys.tolist(), states.tolist(), strict=True))[-len(self.keys) // 2 :]:
-                self._put(k, v)
-        at = (key * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF) >> 64 - MOVE_BITS
-        while self.keys[at] >= 0:
-            if self.keys[at] == key:
-                return
-            at = at + 1 & len(self.keys) - 1
-        self.keys[at], self.to[at] = key, to
-        self.moves += 1
+    def _put(self, keys: np.ndarray, to: np.ndarray) -> None:
+        if 10 * (self.moves + len(keys)) > 8 * len(self.keys):  # a single block with that many moves
+            self.keys.fill(-1)
+            self.moves, keys, to = 0, keys[-len(self.keys) // 2 :], to[-len(self.keys) // 2 :]
+        put_all(self.keys, self.to, keys, to)
+        self.moves += len(keys)
 
     def _spine(self, token: int, right: int) -> list[tuple[int, float]]:
-        """Parts on one edge of a token, outermost first, each with the rank that ends it."""
         found = self.spines[right].get(token)
         if found is None:
-            found, end = [], float("inf")
-            at = token
-            while True:
-                found.append((at, end))
-                if self.c.parts[at] is None:
-                    break
-                at, end = self.c.parts[at][right], at
-            self.spines[right][token] = found
+            found = self.spines[right][token] = self.c.spine(token, right)
         return found
 
     def fits(self, left: int, right: int) -> bool:
@@ -205,7 +266,7 @@ class Transducer:
     def _move(self, state: int, byte: int) -> int:
         step, token, inner = self.c.step, self.c.token, self.c.inner
         open_, closed, pairs = [], -1, self.pairs
-        for start in self.states[state]:
+        for start in memoryview(self.states[state]).cast("q"):
             node = step.get(start >> 17 << 8 | byte)
             if node is None:
                 continue
@@ -218,11 +279,49 @@ class Transducer:
                 if self.fits(last - 1, t) if fits is None else fits:
                     closed = t
         open_.append(closed + 1)  # every prefix has its last token, as all single bytes are tokens
-        to = self._state(tuple(open_), closed)
-        self._put(state << 8 | byte, to)
+        to = self._state(array("q", open_).tobytes(), closed)
+        self._put(np.array([state << 8 | byte]), np.array([to], np.int32))
         return to
 
-    def _state(self, starts: tuple[int, ...], last: int) -> int:
+    def _moves(self, keys: np.ndarray) -> np.ndarray:
+        """:meth:`_move` for many different moves at once."""
+        c = self.c
+        held = [self.states[s] for s in (keys >> 8).tolist()]
+        starts = np.frombuffer(b"".join(held), np.int64)
+        owner = np.repeat(np.arange(len(keys)), np.fromiter(map(len, held), np.int64, len(held)) >> 3)
+        node = look_up(*c.step_table, starts >> 17 << 8 | (keys & 255)[owner]).astype(np.int64)
+        on = node >= 0
+        node, owner, last = node[on], owner[on], starts[on] & 0x1FFFF
+        token = c.token_at[node]
+        # the first start of each whose token fits: one more of them is tried in each turn
+        closed = np.full(len(keys), -1, np.int64)
+        ends = np.flatnonzero(token >= 0)
+        while len(ends):
+            first = np.ones(len(ends), bool)
+            first[1:] = owner[ends[1:]] != owner[ends[:-1]]
+            tried = ends[first]
+            fits = last[tried] == 0
+            fits[~fits] = c.fit(last[tried[~fits]] - 1, token[tried[~fits]])
+            closed[owner[tried[fits]]] = token[tried[fits]]
+            ends = ends[~first]
+            ends = ends[closed[owner[ends]] < 0]
+        stay = c.goes_on[node]
+        counts = np.bincount(owner[stay], minlength=len(keys)) + 1
+        stops = np.cumsum(counts)
+        flat = np.empty(stops[-1], np.int64)
+        flat[stops - 1] = closed + 1
+        inner = np.ones(len(flat), bool)
+        inner[stops - 1] = False
+        flat[inner] = node[stay] << 17 | last[stay]
+        data, begin, out = flat.tobytes(), 0, []
+        for stop, t in zip((stops << 3).tolist(), closed.tolist(), strict=True):
+            out.append(self._state(data[begin:stop], t))
+            begin = stop
+        to = np.array(out, np.int32)
+        self._put(keys, to)
+        return to
+
+    def _state(self, starts: bytes, last: int) -> int:
         to = self.number.get(starts)
         if to is None:
             to = self.number[starts] = len(self.states)
@@ -250,7 +349,7 @@ class Transducer:
             if at + LOOKAHEAD >= len(piece):
                 break
             # the boundary that all open starts come from
-            starts = {len(ends) - self.c.depth[s >> 17] for s in self.states[state]}
+            starts = {len(ends) - self.c.depth[s >> 17] for s in memoryview(self.states[state]).cast("q")}
             while len(starts) > 1:
                 top = max(starts)
                 starts = starts - {top} | {top - self.c.size[ends[top - 1]]}
@@ -270,7 +369,7 @@ class Transducer:
             key = state << 8 | byte
             to = self.single.get(key)
             if to is None:
-                to = int(self._find(np.array([key]))[0])
+                to = int(look_up(self.keys, self.to, np.array([key]))[0])
                 to = self.single[key] = self._move(state, byte) if to < 0 else to
             state = to
             ends.append(self.last[state])
@@ -289,11 +388,11 @@ class Transducer:
         for i, k in enumerate(left):
             at = starts[:k] + i
             keys = state[:k].astype(np.int64) << 8 | codes[at]
-            to = self._find(keys)
+            to = look_up(self.keys, self.to, keys)
             new = np.flatnonzero(to < 0)
             if len(new):
                 kinds, back = np.unique(keys[new], return_inverse=True)
-                to[new] = np.array([self._move(x >> 8, x & 255) for x in kinds.tolist()], np.int32)[back]
+                to[new] = self._moves(kinds)[back]
             state[:k] = to
             reached[at] = to
         ends = np.array(self.last, np.int32)[reached]
@@ -345,6 +444,11 @@ class Encoder:
     def __init__(self, transducer: Transducer, pattern: str):
         self.transducer, self.pattern = transducer, regex.compile(pattern)
         self.cuts = pattern == public_tokenizers.PATTERN
+        self._forget()
+
+    def _forget(self) -> None:
+        self.number: dict[str, int] = {}  # units met, numbered
+        self.stops, self.values, self.held = np.zeros(1, np.int64), np.empty(0, np.int32), 0  # their tokens, and their characters
 
     def found(self, text: str) -> list[str]:
         return [m[0] for m in self.pattern.finditer(text)] if self.pattern.groups else self.pattern.findall(text)
@@ -362,14 +466,24 @@ class Encoder:
                 first, *rest = text.split(" ")
                 units += [first, *[" " + x for x in rest]] if first else [" " + x for x in rest]
             ends.append(len(units))
-        number = {u: i for i, u in enumerate(dict.fromkeys(units))}
+        new = [u for u in dict.fromkeys(units) if u not in self.number]
+        if new:
+            self._learn(new)
+        take = np.fromiter(map(self.number.__getitem__, units), np.int64, len(units))
+        unit_offsets, ids = ragged(self.stops, self.values, take)
+        if self.held > KEPT_CHARS:
+            self._forget()
+        return unit_offsets[np.array(ends)], ids
+
+    def _learn(self, units: list[str]) -> None:
+        """Encodes different units that are not known yet."""
         # what would run into its neighbour when joined to it, and long units, by themselves
         plain, apart = [], []
-        for u in number:
+        for u in units:
             (plain if self.cuts and u[0] == " " and len(u) <= SIDE_BY_SIDE and not u[-1].isspace() else apart).append(u)
         pieces = self.found("".join(plain))
         if sum(map(len, pieces)) != sum(map(len, plain)):  # a pattern that passes text over
-            plain, apart, pieces = [], list(number), []
+            plain, apart, pieces = [], units, []
         parts = [self.found(u) for u in apart]
         kinds = {p: i for i, p in enumerate(dict.fromkeys(chain(pieces, (p for x in parts for p in x if len(p) <= SIDE_BY_SIDE))))}
         offsets, tokens = self.transducer.encode_all(list(map(str.encode, kinds)))
@@ -383,16 +497,12 @@ class Encoder:
         for x in parts:
             ids = [tokens[offsets[kinds[p]] : offsets[kinds[p] + 1]] if p in kinds else np.array(self.transducer.encode(p.encode()), np.int32) for p in x]
             others.append(np.concatenate(ids) if ids else tokens[:0])
-        stops = np.concatenate([[0], stops, (ends_p[-1] if len(pieces) else 0) + np.cumsum([len(x) for x in others])]).astype(np.int64)
-        values = np.concatenate([tokens_p, *others]).astype(np.int32)
-        place = np.empty(len(number), np.int64)
-        for i, u in enumerate(plain):
-            place[number[u]] = i
-        for i, u in enumerate(apart, len(plain)):
-            place[number[u]] = i
-        take = place[np.fromiter(map(number.__getitem__, units), np.int64, len(units))]
-        unit_offsets, ids = ragged(stops, values, take)
-        return unit_offsets[np.array(ends)], ids
+        stops = np.concatenate([stops, (ends_p[-1] if len(pieces) else 0) + np.cumsum([len(x) for x in others])]).astype(np.int64)
+        for u in chain(plain, apart):
+            self.number[u] = len(self.number)
+        self.stops = np.concatenate([self.stops, self.stops[-1] + stops])
+        self.values = np.concatenate([self.values, tokens_p, *others]).astype(np.int32)
+        self.held += sum(map(len, units))
 
 
 def encode_text(encoder: Encoder, text: str) -> np.ndarray:

@@ -310,6 +310,29 @@ def test_bounds_do_not_change_the_result(units, tokenizer, monkeypatch):
         assert list(bpe.encode_text(fresh, s)) == tokenizer.encode_ordinary(s)
 
 
+def test_moves_are_made_together_and_units_kept(units, tokenizer, monkeypatch):
+    def alone(*_):
+        raise AssertionError("one by one")
+
+    words = [" ".join(tokenizer.decode([a, b]).replace(" ", "") for a, b in zip(range(n, 50_000, 97), range(49_000, 0, -89))) for n in (300, 350)]
+    fresh = bpe.Encoder(bpe.Transducer(units.transducer.c), public_tokenizers.PATTERN)
+    monkeypatch.setattr(bpe.Transducer, "_move", alone)
+    for s in words:
+        assert bpe.encode_text(fresh, s).tolist() == tokenizer.encode_ordinary(s)
+    monkeypatch.setattr(bpe.Encoder, "found", alone)
+    again = " ".join(s for s in reversed(words[0].split(" ")[1:]) if len(s) < 90)
+    assert fresh.block([" " + again, " " + again])[1].tolist() == tokenizer.encode_ordinary(" " + again) * 2
+
+
+def test_kept_units_are_bounded(units, tokenizer, monkeypatch):
+    monkeypatch.setattr(bpe, "KEPT_CHARS", 60)
+    fresh = bpe.Encoder(bpe.Transducer(units.transducer.c), public_tokenizers.PATTERN)
+    for n in range(40):
+        s = f"a few words {n} unbelievable {n % 7}" + "thntentionable" * (n % 5)
+        assert bpe.encode_text(fresh, s).tolist() == tokenizer.encode_ordinary(s)
+        assert fresh.held <= 60 and len(fresh.number) == len(fresh.stops) - 1
+
+
 def test_blocks_keep_texts_apart(units, tokenizer):
     rng = random.Random(3)
     words = ["the", "cat", "", "\n", "x\n", "don't", "é", " ", "a" * 90, "naïve.", "1st\n\n", "\x85"]
