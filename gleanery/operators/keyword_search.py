@@ -33,8 +33,8 @@ def words(text: str | None) -> list[str]:
 class Bm25Scorer:
     """Scores blocks of text. The queries bring the weights of their own terms."""
 
-    def __init__(self, k1: float, b: float):
-        self.k1, self.b = k1, b
+    def __init__(self, k1: float, b: float, side_by_side: int | None = None):
+        self.k1, self.b, self.side_by_side = k1, b, side_by_side
 
     def queries(self, column: pa.Array) -> tuple[list[list[tuple[str, float]]], float]:
         values = column.to_pylist()
@@ -107,6 +107,12 @@ def weighted_queries(queries: DataFrame, documents: DataFrame, small: bool) -> D
     return grouped.select("id", F.transform(terms, weigh).alias("value"))
 
 
+def _few_terms(queries: DataFrame) -> bool:
+    """Whether the different terms of all queries may be sent to every task; counted by the executors."""
+    terms = queries.select(F.explode(F.array_distinct(X.tokens("value"))).alias("term"))
+    return terms.agg(F.count_distinct("term")).first()[0] * TERM_BYTES <= engine.SMALL_BYTES
+
+
 def bm25_search(
     queries: DataFrame,
     documents: DataFrame,
@@ -124,22 +130,25 @@ def bm25_search(
 
     Each distinct query term counts once. Documents without any query term are no
     match. However common a term is, no (query, document) pair is shuffled but
-    the k best of each task, and no text at all: where the queries are too many to
-    be sent at once, the documents are passed over with one slice of them after
-    another.
+    the k best of each task, and no text at all. A task reads each of its documents
+    once and scores it for ``slice_rows`` queries side by side, slice by slice. Only
+    where the queries are too many to be sent at once (``max_small_rows`` or else
+    ``engine.SMALL_ROWS``, and ``engine.SMALL_BYTES`` of terms), the documents are
+    passed over more than once.
     """
     q = queries.select(F.col(query_id).alias("id"), F.col(query_text).alias("value"))
     d = documents.select(F.col(document_id).alias("id"), F.col(document_text).alias("value"))
     small = engine.small_side(q, d, max_small_rows)
-    weighted, scorer = weighted_queries(q, d, small == "queries"), Bm25Scorer(k1, b)
+    few_terms = small == "queries" or _few_terms(q)
+    weighted, scorer = weighted_queries(q, d, few_terms), Bm25Scorer(k1, b, slice_rows)
     if small:
         return engine.topk(weighted, d, scorer, k, small=small)
     weighted = written(weighted, "bm25-queries")
     size = weighted.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.size("value")), F.lit(0)).alias("terms")).first()
-    slices = max(1, -(-size["n"] // (max_small_rows or slice_rows)), -(-size["terms"] * TERM_BYTES // engine.SMALL_BYTES))
+    passes = max(1, -(-size["n"] // (max_small_rows or engine.SMALL_ROWS)), -(-size["terms"] * TERM_BYTES // engine.SMALL_BYTES))
     hits = None
-    for i in range(slices):
-        part = weighted.where(F.pmod(F.xxhash64("id"), F.lit(slices)) == i)
+    for i in range(passes):
+        part = weighted.where(F.pmod(F.xxhash64("id"), F.lit(passes)) == i)
         found = engine.topk(part, d, scorer, k, small="queries")
         hits = found if hits is None else hits.unionByName(found)
     return hits

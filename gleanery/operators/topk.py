@@ -34,7 +34,10 @@ TILE = 1024  # rows and columns of rough scores at a time
 
 
 class Scorer(Protocol):
-    """Scores blocks of queries against blocks of the corpus."""
+    """Scores blocks of queries against blocks of the corpus.
+
+    One with ``side_by_side`` is asked for that many queries at a time at most.
+    """
 
     def queries(self, column: pa.Array) -> Any: ...
 
@@ -69,7 +72,7 @@ def _best(
         at = np.minimum(np.searchsorted(c_ids, q_ids, sorter=order), n - 1)
         same = np.where(c_ids[order[at]] == q_ids, order[at], -1)
     found = ([np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0)])
-    step, take = max(1, SLICE_CELLS // n), min(k, n)
+    step, take = max(1, min(SLICE_CELLS // n, getattr(scorer, "side_by_side", None) or len(q_ids))), min(k, n)
     for start in range(0, len(q_ids), step):
         rows = slice(start, min(start + step, len(q_ids)))
         keys = scorer.score(q, rows, c)

@@ -174,6 +174,20 @@ def test_bm25(spark, options):
     assert found(hits) == brute_bm25(queries, texts, 6)
 
 
+def test_bm25_reads_documents_once_for_all_slices(spark, monkeypatch):
+    texts = [f"the w{i % 7} w{i % 11} x{i}" for i in range(90)]
+    queries = {i: f"the w{i} x{i * 3}" for i in range(9)}
+    q = spark.createDataFrame(list(queries.items()), "query_id long, text string")
+    d = spark.createDataFrame(list(enumerate(texts)), "chunk_id long, chunk_text string").repartition(3)
+    passes, one = [], topk.topk
+    monkeypatch.setattr(topk, "topk", lambda *a, **o: passes.append(1) or one(*a, **o))
+    hits = keyword_search.bm25_search(q, d, 4, max_small_rows=0, slice_rows=2)
+    assert found(hits) == brute_bm25(queries, texts, 4) and len(passes) == 1
+    monkeypatch.setattr(topk, "SMALL_BYTES", keyword_search.TERM_BYTES * 7)  # now neither terms nor queries may be sent at once
+    hits = keyword_search.bm25_search(q, d, 4, max_small_rows=0, slice_rows=2)
+    assert found(hits) == brute_bm25(queries, texts, 4) and len(passes) > 2
+
+
 def test_fusion(spark):
     kind = "query_id long, item_id long, rank int"
     a = spark.createDataFrame([(1, 10, 1), (1, 11, 2)], kind)
