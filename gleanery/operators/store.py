@@ -9,6 +9,8 @@ removed, so an older version that comes late is turned away.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,7 +35,8 @@ def newest_of_each(batch: DataFrame, key: str, version: str | None) -> DataFrame
 
 
 def merge_batch(
-    spark: SparkSession, path: str, keys: DataFrame, rows: DataFrame, batch: int, key: str = "url", buckets: int = BUCKETS,
+    spark: SparkSession, path: str, keys: DataFrame, rows: DataFrame | Callable[[DataFrame], DataFrame], batch: int,
+    key: str = "url", buckets: int = BUCKETS,
 ) -> None:
     """Take over one batch: ``keys`` (``key, version``, each key once) and the ``rows`` these keys now have.
 
@@ -41,28 +44,35 @@ def merge_batch(
     stored; one without ``rows`` is removed. Null keys belong to one key like any other. ``batch`` numbers must rise. The number of buckets is fixed
     by the first batch. Buckets are read, written aside and then put in place, so a call
     that failed may be repeated.
+
+    Which keys the store takes is settled first. ``rows`` may be a function that makes the rows
+    of these keys (``key, version``), so that none are made for keys that are turned away.
     """
     place = bucket_of(key, buckets).alias("bucket")
-    markers = keys.select(key, F.col("version").cast("bigint").alias("version"), F.lit(None).cast(rows.schema.simpleString()).alias("row"))
-    brought = markers.unionByName(
-        rows.withColumn("row", F.struct(*rows.columns)).select(F.col(key).alias("_key"), "row")
-        .join(keys.select(F.col(key).alias("_other"), F.col("version").cast("bigint").alias("version")), F.col("_key").eqNullSafe(F.col("_other")))
-        .select(F.col("_key").alias(key), "version", "row")
-    )
-    brought = written(brought.select(key, "version", "row", place), "store-brought")
-    touched = [r[0] for r in brought.select("bucket").distinct().collect()]  # at most the buckets
+    taken = written(keys.select(key, F.col("version").cast("bigint").alias("version"), place), "store-keys")
+    touched = [r[0] for r in taken.select("bucket").distinct().collect()]  # at most the buckets
+    stored = None
+    if touched and _exists(spark, path):
+        stored = spark.read.parquet(path)
+        done = stored.where(F.col("bucket").isin(touched)).groupBy("bucket").agg(F.max("last_batch").alias("last_batch")).where(F.col("last_batch") >= batch)
+        skip = {r[0] for r in done.collect()}
+        touched = [b for b in touched if b not in skip]
+        taken, stored = (d.where(F.col("bucket").isin(touched)) for d in (taken, stored))
     if not touched:
         return
-    if _exists(spark, path):
-        stored = spark.read.parquet(path).where(F.col("bucket").isin(touched))
-        done = stored.groupBy("bucket").agg(F.max("last_batch").alias("last_batch")).where(F.col("last_batch") >= batch)
-        skip = [r[0] for r in done.collect()]
-        brought, stored = (d.where(~F.col("bucket").isin(skip)) if skip else d for d in (brought, stored))
+    if stored is not None:
         known = stored.where("row IS NULL").select(F.col(key).alias("_key"), F.col("version").alias("_stored"))
-        taken = brought.join(known, F.col(key).eqNullSafe(F.col("_key")), "left").where("_stored IS NULL OR version >= _stored").drop("_key", "_stored")
+        taken = taken.join(known, F.col(key).eqNullSafe(F.col("_key")), "left").where("_stored IS NULL OR version >= _stored").drop("_key", "_stored")
         taken = written(taken, "store-taken")
-        gone = taken.where("row IS NULL").select(F.col(key).alias("_key"))
-        brought = stored.drop("last_batch").join(gone, F.col(key).eqNullSafe(F.col("_key")), "left_anti").unionByName(taken)
+    made = rows(taken.drop("bucket")) if callable(rows) else rows
+    brought = taken.withColumn("row", F.lit(None).cast(made.schema.simpleString())).select(key, "version", "row", "bucket").unionByName(
+        made.withColumn("row", F.struct(*made.columns)).select(F.col(key).alias("_key"), "row")
+        .join(taken, F.col("_key").eqNullSafe(F.col(key)))
+        .select(key, "version", "row", "bucket")
+    )
+    if stored is not None:
+        gone = taken.select(F.col(key).alias("_key"))
+        brought = stored.drop("last_batch").join(gone, F.col(key).eqNullSafe(F.col("_key")), "left_anti").unionByName(brought)
     now = written(brought.withColumn("last_batch", F.lit(batch).cast("bigint")), "store-buckets")
     now.hint("rebalance", "bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path)
 

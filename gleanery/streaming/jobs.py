@@ -97,14 +97,19 @@ def sync_store(
     """Like :func:`sync_corpus`, into one table in buckets of the url that holds current chunks alone.
 
     A batch rewrites the buckets of its pages (:func:`gleanery.operators.store.merge_batch`);
-    readers need no merge, and a batch that is replayed changes nothing.
+    readers need no merge, and a batch that is replayed changes nothing. Pages that the store
+    turns away are not chunked.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         fresh = written(keyed.newest_of_each(batch, url, newest_by), "sync-pages")
         alive = fresh.where(~F.coalesce(F.col(removed), F.lit(False))) if removed else fresh
         version = (F.col(newest_by) if newest_by else F.lit(0)).cast("bigint").alias("version")
-        keyed.merge_batch(batch.sparkSession, store, fresh.select(url, version), to_chunks(alive), batch_id, url, buckets)
+
+        def chunks(taken: DataFrame) -> DataFrame:
+            return to_chunks(alive.join(taken.select(F.col(url).alias("_taken")), F.col(url).eqNullSafe(F.col("_taken")), "left_semi"))
+
+        keyed.merge_batch(batch.sparkSession, store, fresh.select(url, version), chunks, batch_id, url, buckets)
 
     writer = pages.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return with_trigger(writer, every).start()

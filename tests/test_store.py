@@ -42,6 +42,31 @@ def test_only_touched_buckets_are_rewritten(spark, tmp_path):
     store.merge_batch(spark, str(path), every.limit(0), every.select("url").limit(0), 2, buckets=8)
 
 
+def test_no_rows_are_made_for_keys_that_are_turned_away(spark, tmp_path):
+    path, asked = str(tmp_path / "store"), []
+
+    def made(taken):
+        asked.append(sorted((r.url or "", r.version) for r in taken.collect()))
+        return taken.select("url", F.concat("url", F.lit("!")).alias("text"))
+
+    def merge(versions, batch):
+        keys = spark.createDataFrame(list(versions.items()), "url string, version long")
+        store.merge_batch(spark, path, keys, made, batch, buckets=1)
+
+    merge({"a": 5, "b": 1, None: 3}, 0)
+    merge({"a": 4, "b": 2, None: 2, "c": 1}, 1)  # a and the null key come late
+    merge({"a": 9, "b": 9}, 1)  # the batch has been taken in
+    assert asked == [[("", 3), ("a", 5), ("b", 1)], [("b", 2), ("c", 1)]]
+    assert sorted((r.url or "", r.text or "") for r in store.stored_rows(spark, path).collect()) == [("", ""), ("a", "a!"), ("b", "b!"), ("c", "c!")]
+
+    @F.udf("string")
+    def fails(text):
+        raise ValueError("made again")
+
+    keys = spark.createDataFrame([("b", 2)], "url string, version long")
+    store.merge_batch(spark, path, keys, keys.select("url", fails("url").alias("text")), 1, buckets=1)
+
+
 @pytest.mark.parametrize("version", ["v", None])
 def test_one_row_of_each_key(spark, version):
     df = spark.createDataFrame([(1, 1, "a"), (1, 2, "b"), (1, 2, "b"), (2, None, "c"), (None, 5, "d")], "k int, v int, t string").repartition(3)
