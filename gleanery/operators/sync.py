@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleanery.session import written
 
+MOST_WORDS = 1 << 20  # of a filter, 64 bits each
+
 
 def snapshot_diff(
     old: DataFrame, new: DataFrame, key: str = "chunk_id", content: Sequence[str] | None = None,
@@ -30,10 +32,10 @@ def snapshot_diff(
 
     def digest(side: DataFrame):
         columns = [F.col(c) if c in side.columns else F.lit(None).cast("string").alias(c) for c in content]
-        return F.sha2(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}), 256)
+        return F.unhex(F.sha2(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}), 256))
 
-    sides = old.select(F.col(key), digest(old).alias("_old"), F.lit(None).cast("string").alias("_new")).unionByName(
-        new.select(F.col(key), F.lit(None).cast("string").alias("_old"), digest(new).alias("_new"))
+    sides = old.select(F.col(key), digest(old).alias("_old"), F.lit(None).cast("binary").alias("_new")).unionByName(
+        new.select(F.col(key), F.lit(None).cast("binary").alias("_old"), digest(new).alias("_new"))
     )
     both = sides.groupBy(key).agg(
         F.max("_old").alias("_old"), F.max("_new").alias("_new"),
@@ -48,6 +50,30 @@ def snapshot_diff(
     return out if keep_same else out.where(F.col("change_type") != "same")
 
 
+class KeyFilter:
+    """Which rows may have one of many keys: a broadcast table of at most MOST_WORDS words of bits.
+
+    Each key sets the bit that its hash names, so a row whose bit is not set has none of the
+    keys. The more keys there are the more other rows pass; joins after it stay exact.
+    """
+
+    def __init__(self, keys: DataFrame, key: str):
+        self.key, self.kind = key, keys.schema[key].dataType
+        self.bits = 64 * min(MOST_WORDS, 1 << (keys.count() // 4).bit_length())
+        bit = F.expr("shiftleft(1L, cast(_bit & 63 as int))")
+        words = keys.select(self._place().alias("_bit")).groupBy(F.expr("shiftright(_bit, 6)").alias("_word"))
+        self.words = F.broadcast(words.agg(F.bit_or(bit).alias("_set")))
+
+    def _place(self) -> Column:
+        return F.pmod(F.xxhash64(F.col(self.key).cast(self.kind)), F.lit(self.bits))
+
+    def rows(self, df: DataFrame, inside: bool) -> DataFrame:
+        """The rows that may have one of the keys, or those that have none."""
+        marked = df.withColumn("_bit", self._place()).withColumn("_word", F.expr("shiftright(_bit, 6)")).join(self.words, "_word", "left")
+        passed = F.expr("coalesce(shiftright(_set, cast(_bit & 63 as int)) & 1L, 0L) = 1L")
+        return marked.where(passed if inside else ~passed).select(*df.columns)
+
+
 def change_rows(changes: DataFrame, new: DataFrame, key: str = "chunk_id") -> DataFrame:
     """The changes with the new row; deletes carry nulls."""
     upserts = new.join(changes.where(F.col("change_type") != "delete"), key)
@@ -67,13 +93,15 @@ def refresh(
 ) -> tuple[DataFrame, DataFrame]:
     """``(changes, table)``: what a new snapshot changes, and the table after it.
 
-    Keys of changes are written first and the changed rows after them. Both
-    tables are small while little changes, and then neither snapshot is shuffled
-    with its texts.
+    Keys of changes are written first and the changed rows after them. A filter over
+    these keys picks, where the rows lie, those that may have changed; no other row of a
+    snapshot is shuffled with its texts.
     """
     keys = written(snapshot_diff(base, new, key, content), "diff")
-    changes = written(change_rows(keys, new, key), "changes")
-    return changes, apply_changes(base, changes, key)
+    changed = KeyFilter(keys, key)
+    changes = written(change_rows(keys, changed.rows(new, True), key), "changes", "zstd")
+    table = changed.rows(base, False).unionByName(apply_changes(changed.rows(base, True), changes, key))
+    return changes, table
 
 
 def reconcile(source: DataFrame, index: DataFrame, source_key: str, index_key: str) -> DataFrame:

@@ -258,14 +258,14 @@ def snapshot_diff(spark, sf):
 
 
 def snapshot_apply(spark, sf):
-    old, new = (written(s, "snapshot") for s in snapshots(spark, sf))
+    old, new = (written(s, "snapshot", "zstd") for s in snapshots(spark, sf))
     _, table = sync.refresh(old, new)
     return _shown(table)
 
 
 def change_feed(spark, sf):
     """The changed keys with the new text; deletes carry none."""
-    old, new = (written(s, "snapshot") for s in snapshots(spark, sf))
+    old, new = (written(s, "snapshot", "zstd") for s in snapshots(spark, sf))
     changes, _ = sync.refresh(old, new)
     return changes.select("chunk_id", "change_type", F.md5("chunk_text").alias("text_md5"))
 

@@ -40,13 +40,14 @@ def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
     return df.repartition(slots)
 
 
-def written(df: DataFrame, purpose: str) -> DataFrame:
+def written(df: DataFrame, purpose: str, compression: str | None = None) -> DataFrame:
     """Write ``df`` below the shared folder and read it back.
 
     Later uses read the table instead of repeating the work, also after an
     executor was lost. Spark then knows the table's size, so that its own
-    threshold decides whether a join broadcasts it.
+    threshold decides whether a join broadcasts it. ``compression`` is for tables of
+    texts, which zstd makes smaller than the session's codec.
     """
     path = shared_dir(df.sparkSession, purpose)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.parquet(path)

@@ -1,3 +1,6 @@
+from pyspark.sql import functions as F
+import pytest
+
 from gleanery.operators import monitor, sync
 
 KIND = "chunk_id string, chunk_text string"
@@ -25,6 +28,29 @@ def test_refresh(spark):
     assert sorted(map(tuple, table.collect())) == sorted(map(tuple, new.collect()))
 
 
+@pytest.mark.parametrize("words", [1, 1 << 20])
+def test_refresh_of_many_rows(spark, monkeypatch, words):
+    monkeypatch.setattr(sync, "MOST_WORDS", words)  # one word: all its bits are set, and nothing is filtered
+    old = spark.range(3000).select(F.col("id").cast("int").alias("k"), F.concat(F.lit("t"), "id").alias("t"))
+    old = old.unionByName(spark.createDataFrame([(None, "none")], "k int, t string"))
+    new = spark.range(30, 3100).select(F.col("id").alias("k"), F.when(F.pmod("id", F.lit(9)) == 0, "new").otherwise(F.concat(F.lit("t"), "id")).alias("t"))
+    changes, table = sync.refresh(old, new, "k")
+    want = {i: "new" if i % 9 == 0 else f"t{i}" for i in range(30, 3100)}
+    rows = [tuple(r) for r in table.collect()]
+    assert len(rows) == len(want) + 1 and dict(rows) == want | {None: "none"}
+    found = {r.k: r.change_type for r in changes.where("k IS NOT NULL").collect()}
+    assert found == {i: "delete" for i in range(30)} | {i: "update" for i in range(36, 3000, 9)} | {i: "insert" for i in range(3000, 3100)}
+
+
+def test_rows_that_stay_are_not_shuffled(spark, monkeypatch):
+    many = spark.range(4000).select(F.col("id").alias("k"), F.concat(F.lit("t"), "id").alias("t"))
+    few = many.withColumn("t", F.when(F.col("k") < 40, "new").otherwise(F.col("t")))
+    joined, one = [], sync.change_rows
+    monkeypatch.setattr(sync, "change_rows", lambda changes, new, key: joined.append(new.count()) or one(changes, new, key))
+    sync.refresh(many, few, "k")
+    assert 40 <= joined[0] < 1000
+
+
 def test_a_repeated_key_does_not_multiply(spark):
     old = spark.createDataFrame([("k", "a")] * 500, KIND)
     new = spark.createDataFrame([("k", "a")] * 500, KIND)
