@@ -74,6 +74,13 @@ class KeyFilter:
         return marked.where(passed if inside else ~passed).select(*df.columns)
 
 
+def without_keys(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """The rows whose key is not among many ``keys``; only rows that may have one of them are shuffled."""
+    given = KeyFilter(keys, key)
+    left = given.rows(df, True).join(keys.select(key), key, "left_anti").select(*df.columns)
+    return given.rows(df, False).unionByName(left)
+
+
 def change_rows(changes: DataFrame, new: DataFrame, key: str = "chunk_id") -> DataFrame:
     """The changes with the new row; deletes carry nulls."""
     upserts = new.join(changes.where(F.col("change_type") != "delete"), key)

@@ -239,7 +239,7 @@ def snapshots(spark, sf) -> tuple[DataFrame, DataFrame]:
         F.concat(F.lit("doc/"), F.col("doc_id").cast("string")).alias("url"), "doc_id", F.col("text").alias("content")
     )
     toxic = load(spark, sf, "labels").where("toxic = 1").select("doc_id")
-    masked = docs.join(toxic, "doc_id", "left_anti").select(
+    masked = sync.without_keys(docs, toxic, "doc_id").select(
         "url", F.regexp_replace("content", "[0-9]", "#").alias("content")
     )
     pages = markup.html_to_markdown(_pages(spark, sf).select(

@@ -42,6 +42,15 @@ def test_refresh_of_many_rows(spark, monkeypatch, words):
     assert found == {i: "delete" for i in range(30)} | {i: "update" for i in range(36, 3000, 9)} | {i: "insert" for i in range(3000, 3100)}
 
 
+def test_rows_without_keys_pass_no_shuffle(spark):
+    df = spark.createDataFrame([(i % 500, f"t{i}") for i in range(1000)] + [(None, "none")], "k long, t string")
+    keys = spark.createDataFrame([(i,) for i in [*range(0, 600, 50), 0, 0]] + [(None,)], "k int")
+    rows = sync.without_keys(df, keys, "k").collect()
+    assert sorted(r.t for r in rows) == sorted(["none", *(f"t{i}" for i in range(1000) if i % 50)])
+    assert sync.KeyFilter(keys, "k").rows(df, True).count() < 200
+    assert sync.without_keys(df, keys.limit(0), "k").count() == 1001
+
+
 def test_rows_that_stay_are_not_shuffled(spark, monkeypatch):
     many = spark.range(4000).select(F.col("id").alias("k"), F.concat(F.lit("t"), "id").alias("t"))
     few = many.withColumn("t", F.when(F.col("k") < 40, "new").otherwise(F.col("t")))
