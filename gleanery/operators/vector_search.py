@@ -335,8 +335,9 @@ def _true_pairs(q: DataFrame, c: DataFrame, k: int, exclude_same: bool) -> tuple
     size = max(32, min(SAMPLE, SAMPLE_NUMBERS // (k * max(1, first[0] if first else 1))))
     asked = written(smallest_marks(q, "id", size), "recall-sample")
     hits = exact_search(asked, c, k, "id", "value", "id", "value", exclude_same=exclude_same)
-    items = hits.join(c.select(F.col("id").alias("item_id"), F.col("value").alias("item")), "item_id")
-    found = items.join(asked.select(F.col("id").alias("query_id"), "value"), "query_id").select("query_id", "value", "item").toArrow().combine_chunks()
+    # hits and sample are few and go to the corpus, none of which is shuffled
+    items = c.select(F.col("id").alias("item_id"), F.col("value").alias("item")).join(F.broadcast(hits), "item_id")
+    found = items.join(F.broadcast(asked.select(F.col("id").alias("query_id"), "value")), "query_id").select("query_id", "value", "item").toArrow().combine_chunks()
     if not found.num_rows:
         return np.empty((0, 0)), np.empty((0, 0)), 1.0
     queries = len(found.column(0).unique())

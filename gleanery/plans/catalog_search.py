@@ -145,7 +145,8 @@ def vector_index_kept(spark, sf):
     new = now.where(kind != 3)
     vector_index.build_index(old, path, "vec_id", "embedding")
     keys = written(sync.snapshot_diff(old, new, "vec_id"), "diff")
-    vector_index.change_index(spark, path, sync.change_rows(keys, new, "vec_id"), "vec_id", "embedding")
+    changed = sync.KeyFilter(keys, "vec_id").rows(new, True)
+    vector_index.change_index(spark, path, sync.change_rows(keys, changed, "vec_id"), "vec_id", "embedding")
     hits = vector_index.search_index(new, path, 5, query_id="vec_id", query_vector="embedding", exclude_same=True)
     recall = vector_search.search_recall(hits, vector_search.exact_search(new, new, 5, **SAME)).agg(F.avg("recall")).head()[0]
     share = vector_index.compared_share(new, path, query_vector="embedding")

@@ -1,6 +1,9 @@
 """Kept indexes: building, searching, taking over changes."""
 
+from types import SimpleNamespace
+
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -182,3 +185,73 @@ def test_a_slice_of_many_rare_words_is_packed_in_a_few_calls(monkeypatch):
     common = [r for r in rows if r["term"] == f"w{n}"]
     got = [x for r in common for x in (r["first"] + np.cumsum(text_index.unpacked(r["data"]).reshape(3, -1)[0])).tolist()]
     assert got == list(range(7, 7 + n)) and [r["block"] for r in common] == list(range(len(common)))
+
+
+def _in_one_cluster(n=1500, seed=7):
+    """Vectors around one direction: what a code is off along it is more than what tells them apart."""
+    rng = np.random.default_rng(seed)
+    rows = rng.normal(size=(n, 32))
+    rows = 0.1 * rows / np.linalg.norm(rows, axis=1, keepdims=True)
+    rows += 32**-0.5
+    return rows
+
+
+def test_codes_tell_vectors_around_one_direction_apart():
+    rows = _in_one_cluster(3000)
+    unit = rows / np.linalg.norm(rows, axis=1, keepdims=True)
+    model = vector_index.Model(*vector_index.learn(unit, 20, 8), 20, 20)
+    cells = model.cells_of(unit)
+    codes = np.concatenate([cells.astype("<i4")[:, None].view(np.uint8), model.encode(unit, cells)], axis=1)
+    shared = SimpleNamespace(value=(model.centres, model.books, model.probes, model.shortlist))
+    scorer = vector_index.CodeScorer(shared, 20)
+    asked = scorer.queries(pa.array(unit[:100].tolist()))
+    scores = scorer.score(asked, slice(0, 100), scorer.corpus(pa.array([c.tobytes() for c in codes], pa.binary()), asked))
+    true = (-unit[:100] @ unit.T).argsort(axis=1)[:, :6]
+    near = (-scores).argsort(axis=1)[:, :41]
+    assert np.mean([np.isin(t, n).mean() for t, n in zip(true, near, strict=True)]) > 0.9
+
+
+def test_many_queries_give_the_hits_of_few(spark, tmp_path, monkeypatch):
+    rows = np.concatenate([_in_one_cluster(600), np.repeat(_in_one_cluster(1, 8), 200, axis=0), -_in_one_cluster(200, 9)])  # a crowded cell too
+    df = frame(spark, rows).withColumn("id", F.concat(F.lit("k"), "id"))
+    queries = df.unionByName(spark.createDataFrame([("zero", [0.0] * 32), ("null", None), (None, [1.0] * 32)], "id string, v array<float>"))
+    vector_index.build_index(df, str(tmp_path), "id", "v", cells=20)
+    ask = lambda **o: sorted(map(tuple, vector_index.search_index(queries, str(tmp_path), 4, exclude_same=True, **ASK, **o).select("query_id", "item_id", "score", "rank").collect()))
+    few = [ask(probes=p, shortlist=s) for p, s in ((3, 6), (7, 300))]
+    sent = []
+    by_id = type(df).repartitionById
+    monkeypatch.setattr(type(df), "repartitionById", lambda self, n, column: sent.append((n, self)) or by_id(self, n, column))
+    for name, value in (("engine.SMALL_ROWS", 60), ("MEET_NUMBERS", 1), ("TILE_NUMBERS", 1 << 12), ("BLOCK_MATCHES", 1)):
+        monkeypatch.setattr(f"gleanery.operators.vector_index.{name}", value)
+    monkeypatch.setattr(type(spark.sparkContext), "defaultParallelism", 100)
+    many = [ask(probes=p, shortlist=s) for p, s in ((3, 6), (7, 300))]
+    assert few == many and len(few[0]) > 3900
+    for n, sides in sent:
+        assert n > 3
+        assert sides.where("kind = 0").count() == 1000  # a query travels once, not to each of its cells
+        assert sides.where("kind = 1").count() < n * 1000
+    held = {r.block: r["count"] for r in sent[0][1].where("kind = 0").groupBy("block").count().collect()}
+    assert max(held.values()) <= 2 * 256
+
+
+def test_neighbourhoods_hold_near_cells_and_no_more_than_they_may():
+    centres = np.concatenate([np.eye(6)[i] + 0.01 * np.random.default_rng(i).normal(size=(5, 6)) for i in range(6)])
+    weights = np.full(30, 10.0)
+    weights[7] = 500.0
+    group = vector_index.neighbourhoods(centres, weights, 50.0)
+    assert np.flatnonzero(group == group[7]).tolist() == [7]
+    others = [i for i in range(30) if not 5 <= i < 10]
+    assert all(weights[group == g].sum() <= 50 for g in set(group[others])) and all(len(set(group[i * 5 : i * 5 + 5])) == 1 for i in (0, 2, 3, 4, 5))
+    assert len(set(vector_index.neighbourhoods(np.zeros((4, 2)), np.ones(4), 1.0))) == 4
+
+
+def test_a_change_shuffles_only_rows_that_may_have_changed(spark, tmp_path, monkeypatch):
+    df = frame(spark, clustered(n=400, copies=50))
+    vector_index.build_index(df, str(tmp_path), "id", "v", cells=12)
+    kept = []
+    monkeypatch.setattr(vector_index, "_write_cells", lambda rows, path, mode: kept.append(rows))
+    vector_index.change_index(spark, str(tmp_path), df.where("id < 20").withColumn("change_type", F.lit("update")), "id", "v")
+    ids = [r.id for r in kept[0].where("id IS NOT NULL").collect()]
+    assert set(range(20)) <= set(ids) and len(ids) == len(set(ids))
+    plan = kept[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert "_word" in plan
