@@ -182,6 +182,12 @@ class Shortlists:
         self.row, self.at, self.key, self.score = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0), np.empty(0)
 
     def meet(self, ids: pa.Array, vectors: pa.Array, codes: pa.Array) -> None:
+        # of vectors with one code, however many, only the smallest ids can come into a shortlist
+        code, id_ = codes.dictionary_encode().indices.to_numpy(), ids.to_numpy(zero_copy_only=False)
+        order = np.argsort(id_, kind="stable")
+        order = order[np.argsort(code[order], kind="stable")]
+        first = pa.array(np.sort(order[engine._ranks(code[order]) < self.shortlist + self.exclude_same]))
+        ids, vectors, codes = ids.take(first), vectors.take(first), codes.take(first)
         row, col, key = self._found(ids.to_numpy(zero_copy_only=False), self.scorer.corpus(codes, self.queries))
         score = np.round(vector_search.CosineScorer().exact(self.queries[0], row, unit_rows(vectors), col), engine.DECIMALS)
         self.items = ids if self.items is None else pa.concat_arrays([self.items, ids])

@@ -234,6 +234,23 @@ def test_many_queries_give_the_hits_of_few(spark, tmp_path, monkeypatch):
     assert max(held.values()) <= 2 * 256
 
 
+def test_copies_of_one_vector_are_not_all_scored_for_each_other(monkeypatch):
+    rows = np.repeat(_in_one_cluster(3), 500, axis=0)
+    unit = rows / np.linalg.norm(rows, axis=1, keepdims=True)
+    model = vector_index.Model(*vector_index.learn(unit, 2, 8), 2, 20)
+    cells = model.cells_of(unit)
+    codes = np.concatenate([cells.astype("<i4")[:, None].view(np.uint8), model.encode(unit, cells)], axis=1)
+    scorer = vector_index.CodeScorer(SimpleNamespace(value=(model.centres, model.books, model.probes, model.shortlist)), 2)
+    ids, vectors = pa.array(np.arange(1500)), pa.array(unit.tolist())
+    pairs, exact = [], vector_search.CosineScorer.exact
+    monkeypatch.setattr(vector_search.CosineScorer, "exact", lambda self, q, r, c, col: pairs.append(len(r)) or exact(self, q, r, c, col))
+    lists = vector_index.Shortlists(ids, vectors, scorer, 4, True)
+    lists.meet(ids, vectors, pa.array([c.tobytes() for c in codes], pa.binary()))
+    best = lists.best(2).to_pydict()
+    assert sum(pairs) < 1500 * 40
+    assert best["item_id"][:4] == [1, 2, 0, 2] and best["item_id"][-2:] == [1000, 1001] and set(best["score"]) == {1.0}
+
+
 def test_neighbourhoods_hold_near_cells_and_no_more_than_they_may():
     centres = np.concatenate([np.eye(6)[i] + 0.01 * np.random.default_rng(i).normal(size=(5, 6)) for i in range(6)])
     weights = np.full(30, 10.0)
