@@ -6,9 +6,9 @@ are cut into blocks of BLOCK postings, each stored as one row with its numbers d
 and the highest share of a score that any of its postings gives. A common term is thus many
 rows in many tasks. Postings lie in buckets by the hash of their term, in order of terms.
 
-A search first reads the sizes and best shares of the blocks of its terms. A term's k-th
+A search goes through the postings once, for the blocks of its terms. A term's k-th
 best block bounds the k-th score from below; a block whose best share, with the best the
-other terms give in that slice, stays under that bound is not read. The text of a
+other terms give in that slice, stays under that bound is not scored. The text of a
 document is never read.
 """
 
@@ -110,14 +110,15 @@ def build_text_index(documents: DataFrame, path: str, key: str = "chunk_id", tex
     """Write the index of all documents below ``path``.
 
     Keys must be unique; rows with a null key or text are left out, empty texts count as
-    documents. Texts are shuffled once, into the order of their keys.
+    documents. Texts are shuffled once, into the order of their keys, and read again once:
+    their lengths are written beside them.
     """
     spark = documents.sparkSession
     rows = documents.select(F.col(key).alias("id"), F.col(text).alias("text")).where("id IS NOT NULL AND text IS NOT NULL")
     # rising with the id, as ranges and rows in them do
     ordered = rows.repartitionByRange("id").sortWithinPartitions("id").withColumn("number", F.monotonically_increasing_id())
-    numbered = written(ordered, "text-index-numbered")
-    total = numbered.agg(F.count("*").alias("n"), F.avg(F.size(X.tokens("text"))).alias("mean")).head()
+    numbered = written(ordered.withColumn("length", F.size(X.tokens("text"))), "text-index-numbered")
+    total = numbered.agg(F.count("*").alias("n"), F.avg("length").alias("mean")).head()
     mean_length = float(total["mean"] or 0.0) or 1.0
     spark.createDataFrame([(total["n"], mean_length, k1, b)], "n bigint, mean_length double, k1 double, b double").coalesce(1).write.mode("overwrite").parquet(f"{path}/totals")
     numbered.select("number", "id").write.mode("overwrite").parquet(f"{path}/documents")
@@ -159,22 +160,27 @@ def _bucket():
 
 
 def _chosen(asked: DataFrame, postings: DataFrame, n: int, k: int) -> DataFrame:
-    """``query_id, term, slice, block, idf`` of the blocks that can hold one of the k best."""
+    """The blocks that can hold one of the k best, with ``query_id, idf`` of each query that asks for their term.
+
+    The postings are read once: all later steps read the blocks of the asked terms.
+    """
     terms = asked.select("term").distinct()
-    known = written(postings.select("term", "slice", "block", "n", "best").join(terms, "term", "left_semi"), "text-index-known")
+    columns = [c for c in postings.columns if c != "bucket"]
+    known = written(postings.select(columns).join(terms, "term", "left_semi"), "text-index-known")
+    slices = written(known.groupBy("term", "slice").agg(F.max("best").alias("most"), F.sum("n").alias("docs")), "text-index-slices")
     by_best = Window.partitionBy("term").orderBy(F.col("best").desc())
     kth = known.select("term", "best", F.row_number().over(by_best).alias("place")).where(F.col("place") <= k)
     kth = kth.groupBy("term").agg(F.max(F.when(F.col("place") == k, F.col("best"))).alias("kth"))
-    df = known.groupBy("term").agg(F.sum("n").alias("df"))
+    df = slices.groupBy("term").agg(F.sum("docs").alias("df"))
     idf = F.log(1 + (F.lit(n) - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    weighted = written(asked.join(df, "term").join(kth, "term").select("query_id", "term", idf.alias("idf"), "kth"), "text-index-terms")
-    least = weighted.groupBy("query_id").agg((F.coalesce(F.max(F.col("idf") * F.col("kth")), F.lit(0.0)) - SLACK).alias("least"))
-    slices = written(known.groupBy("term", "slice").agg(F.max("best").alias("most")), "text-index-slices")
-    per = slices.join(weighted.select("query_id", "term", "idf"), "term")
-    tops = per.groupBy("query_id", "slice").agg(F.sum(F.col("idf") * F.col("most")).alias("top")).join(least, "query_id").where("top >= least")
-    live = per.join(tops, ["query_id", "slice"])
-    blocks = known.select("term", "slice", "block", "best").join(live, ["term", "slice"])
-    return blocks.where(F.col("top") - F.col("idf") * (F.col("most") - F.col("best")) >= F.col("least")).select("query_id", "term", "slice", "block", "idf")
+    weighted = asked.join(df, "term").join(kth, "term").select("query_id", "term", idf.alias("idf"), "kth")
+    least = F.coalesce(F.max(F.col("idf") * F.col("kth")).over(Window.partitionBy("query_id")), F.lit(0.0)) - SLACK
+    weighted = written(weighted.select("query_id", "term", "idf", least.alias("least")), "text-index-terms")
+    top = F.sum(F.col("idf") * F.col("most")).over(Window.partitionBy("query_id", "slice"))
+    live = slices.select("term", "slice", "most").join(weighted, "term").withColumn("top", top).where("top >= least")
+    blocks = known.join(live, ["term", "slice"])
+    blocks = blocks.where(F.col("top") - F.col("idf") * (F.col("most") - F.col("best")) >= F.col("least"))
+    return blocks.select("query_id", "idf", *columns)
 
 
 def _asked(spark: SparkSession, path: str, queries: DataFrame, query_id: str, query_text: str) -> tuple[DataFrame, DataFrame]:
@@ -196,8 +202,7 @@ def search_text_index(queries: DataFrame, path: str, k: int, query_id: str = "qu
     spark = queries.sparkSession
     total = spark.read.parquet(f"{path}/totals").head()
     asked, postings = _asked(spark, path, queries, query_id, query_text)
-    chosen = written(_chosen(asked, postings, total["n"], k), "text-index-chosen")
-    held = chosen.join(postings.select("term", "slice", "block", "first", F.col("n").cast("long").alias("n"), "data"), ["term", "slice", "block"])
+    chosen = _chosen(asked, postings, total["n"], k)
     mean_length, k1, b = total["mean_length"], total["k1"], total["b"]
 
     def best(table: pa.Table) -> pa.Table:
@@ -215,7 +220,8 @@ def search_text_index(queries: DataFrame, path: str, k: int, query_id: str = "qu
         return pa.table({"query_id": table.column("query_id").take(pa.array(np.zeros(len(top), np.int64))), "number": number[top], "score": score[top]})
 
     kind = asked.schema["query_id"].dataType.simpleString()
-    scored = held.select("query_id", "slice", "idf", "first", "n", "data", "term").groupBy("query_id", "slice").applyInArrow(lambda t: best(t.sort_by("term")), f"query_id {kind}, number bigint, score double")
+    held = chosen.select("query_id", "slice", "idf", "first", F.col("n").cast("long").alias("n"), "data", "term")
+    scored = held.groupBy("query_id", "slice").applyInArrow(lambda t: best(t.sort_by("term")), f"query_id {kind}, number bigint, score double")
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "number")
     hits = written(scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k), "text-index-hits")
     ids = spark.read.parquet(f"{path}/documents")
@@ -223,7 +229,7 @@ def search_text_index(queries: DataFrame, path: str, k: int, query_id: str = "qu
 
 
 def read_share(queries: DataFrame, path: str, k: int, query_id: str = "query_id", query_text: str = "text") -> float:
-    """The share of the postings blocks of all query terms that a search reads."""
+    """The share of the postings blocks of all query terms that a search scores."""
     spark = queries.sparkSession
     asked, postings = _asked(spark, path, queries, query_id, query_text)
     n = spark.read.parquet(f"{path}/totals").head()["n"]

@@ -116,6 +116,37 @@ def test_kept_postings_give_the_hits_of_bm25(spark, tmp_path, monkeypatch, block
         assert text_index.read_share(queries, str(tmp_path), 1) < 0.5
 
 
+def test_postings_and_texts_are_gone_through_once(spark, tmp_path, monkeypatch):
+    passed, tokenised, asked_of, write = spark.sparkContext.accumulator(0), [], text_index._asked, text_index.written
+
+    def counted(df):
+        def run(batches):
+            for batch in batches:
+                passed.add(batch.num_rows)
+                yield batch
+
+        return df.mapInArrow(run, df.schema)
+
+    monkeypatch.setattr(text_index, "_asked", lambda *a: (lambda asked, postings: (asked, counted(postings)))(*asked_of(*a)))
+    monkeypatch.setattr(text_index, "written", lambda df, purpose, *a: tokenised.append((purpose, df.columns)) or write(df, purpose, *a))
+    docs = spark.createDataFrame(texts(), "chunk_id string, chunk_text string")
+    queries = spark.createDataFrame([(1, "w0"), (2, "w5 w0 w1")], "query_id int, text string")
+    text_index.build_text_index(docs, str(tmp_path))
+    assert dict(tokenised)["text-index-numbered"] == ["id", "text", "number", "length"]  # no second pass for the lengths
+    kept = text_index.search_text_index(queries, str(tmp_path), 5).collect()
+    _, postings = asked_of(spark, str(tmp_path), queries, "query_id", "text")
+    assert len(kept) == 10 and passed.value == postings.count()
+
+
+def test_repeated_ids_and_null_rows_in_a_kept_index(spark, tmp_path):
+    rows = [("a", "w1 w2"), ("a", "w1 w2"), ("b", "w1"), (None, "w1 w1"), ("c", None), ("d", ""), ("e", " ")]
+    text_index.build_text_index(spark.createDataFrame(rows, "chunk_id string, chunk_text string").repartition(3), str(tmp_path))
+    queries = spark.createDataFrame([(1, "w1 w2"), (2, ""), (None, "w1")], "query_id int, text string")
+    hits = text_index.search_text_index(queries, str(tmp_path), 5).orderBy("rank").collect()
+    assert [(r.query_id, r.item_id, r["rank"]) for r in hits] == [(1, "a", 1), (1, "a", 2), (1, "b", 3)]
+    assert spark.read.parquet(f"{tmp_path}/totals").head()["n"] == 5
+
+
 def test_numbers_are_packed_and_unpacked():
     rng = np.random.default_rng(1)
     values = np.concatenate([[0, 1, 127, 128, 16383, 16384, 2**35, 2**62 - 1, 2**49 - 1, 2**56 - 1, 2**56], rng.integers(0, 2**40, 1000)])
