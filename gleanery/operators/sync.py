@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gleanery.session import written
+from gleanery.session import written, written_counted
 
 MOST_WORDS = 1 << 20  # of a filter, 64 bits each
 
@@ -55,11 +55,12 @@ class KeyFilter:
 
     Each key sets the bit that its hash names, so a row whose bit is not set has none of the
     keys. The more keys there are the more other rows pass; joins after it stay exact.
+    ``n`` is the number of keys where it is known; else they are counted.
     """
 
-    def __init__(self, keys: DataFrame, key: str):
+    def __init__(self, keys: DataFrame, key: str, n: int | None = None):
         self.key, self.kind = key, keys.schema[key].dataType
-        self.bits = 64 * min(MOST_WORDS, 1 << (keys.count() // 4).bit_length())
+        self.bits = 64 * min(MOST_WORDS, 1 << ((keys.count() if n is None else n) // 4).bit_length())
         bit = F.expr("shiftleft(1L, cast(_bit & 63 as int))")
         words = keys.select(self._place().alias("_bit")).groupBy(F.expr("shiftright(_bit, 6)").alias("_word"))
         self.words = F.broadcast(words.agg(F.bit_or(bit).alias("_set")))
@@ -104,8 +105,8 @@ def refresh(
     these keys picks, where the rows lie, those that may have changed; no other row of a
     snapshot is shuffled with its texts.
     """
-    keys = written(snapshot_diff(base, new, key, content), "diff")
-    changed = KeyFilter(keys, key)
+    keys, n = written_counted(snapshot_diff(base, new, key, content), "diff")
+    changed = KeyFilter(keys, key, n)
     changes = written(change_rows(keys, changed.rows(new, True), key), "changes", "zstd")
     table = changed.rows(base, False).unionByName(apply_changes(changed.rows(base, True), changes, key))
     return changes, table

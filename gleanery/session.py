@@ -6,7 +6,8 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession, purpose: str) -> str:
@@ -51,3 +52,10 @@ def written(df: DataFrame, purpose: str, compression: str | None = None) -> Data
     path = shared_dir(df.sparkSession, purpose)
     df.write.parquet(path, compression=compression)
     return df.sparkSession.read.parquet(path)
+
+
+def written_counted(df: DataFrame, purpose: str) -> tuple[DataFrame, int]:
+    """As :func:`written`, with the number of rows, counted while they are written."""
+    seen = Observation()
+    table = written(df.observe(seen, F.count(F.lit(1)).alias("rows")), purpose)
+    return table, seen.get["rows"]

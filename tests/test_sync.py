@@ -60,6 +60,27 @@ def test_rows_that_stay_are_not_shuffled(spark, monkeypatch):
     assert 40 <= joined[0] < 1000
 
 
+def test_keys_of_changes_are_counted_as_they_are_written(spark, monkeypatch):
+    counted, one, tables = [], type(spark.range(1)).count, []
+    monkeypatch.setattr(type(spark.range(1)), "count", lambda self: counted.append(self.columns) or one(self))
+    write = sync.written_counted
+    monkeypatch.setattr(sync, "written_counted", lambda *a: tables.append(write(*a)) or tables[-1])
+    old, new = snapshots(spark)
+    odd = [(None, "x"), ("twice", "a"), ("twice", "a"), ("none", None)]
+    old, new = old.unionByName(spark.createDataFrame(odd[:3], KIND)), new.unionByName(spark.createDataFrame(odd[1:], KIND))
+    changes, table = sync.refresh(old, new)
+    assert counted == []
+    assert [n for _, n in tables] == [5] and len(tables[0][0].collect()) == 5
+    assert {tuple(r[c] for c in ("chunk_id", "change_type", "chunk_text")) for r in changes.collect()} == {
+        ("changed", "update", "B"), ("gone", "delete", None), ("fresh", "insert", "d"), (None, "delete", None), ("none", "insert", None)
+    }
+    key = lambda r: str(tuple(r))
+    assert sorted(map(key, table.collect())) == sorted(map(key, [*new.collect(), (None, "x")]))  # a null key is never the same key
+    empty = spark.createDataFrame([], KIND)
+    changes, table = sync.refresh(empty, empty)
+    assert changes.collect() == table.collect() == [] and tables[-1][1] == 0
+
+
 def test_a_repeated_key_does_not_multiply(spark):
     old = spark.createDataFrame([("k", "a")] * 500, KIND)
     new = spark.createDataFrame([("k", "a")] * 500, KIND)
