embed_changed: read each portion of new texts by its own pages, once

Symptom: new texts are embedded in portions, and every portion read all new texts and kept its share by a computed hash; so the scans grew with the square of the number of texts. Texts were also written a second time beside their vectors, errors were read by one scan for each portion, and new texts were counted by a job of their own.
Evidence: the profiler, 0.51 GB, two portions: 2,744,145 rows read, each portion 179,375 rows for 89,760 and 89,615; 1.48 GB of disk, 487 task seconds a GB. 0.10 GB, one portion: 513,249 rows read, 0.27 GB of disk, 435 task seconds a GB. With portions of 5,000 rows over 35,918 texts (own trial), each of 8 portions read 35,918 rows.
Fix: a portion is a range of content hashes, which the scan can push down; new texts already leave the aggregation sorted by that hash (the plan adds no sort), and small pages let a portion skip the rest of each file. Vectors are written without texts, errors of all portions are one scan, and the write observes the row count.
Effect, together with 1 more commit on this code: at 1 GB of input CPU 598 -> 575 s, shuffle 2.26 -> 2.26 GB, spill 0.00 -> 0.00 GB, read 8.11 -> 5.02 GB, longest task 6 -> 6 s, most memory of a task 170 -> 170 MB; at 6 GB of input CPU 3347 -> 2785 s, shuffle 13.69 -> 13.69 GB, spill 0.00 -> 0.00 GB, read 154.45 -> 31.61 GB, longest task 6 -> 7 s, most memory of a task 237 -> 237 MB; with hot keys, at 1 GB of input CPU 266 -> 256 s, shuffle 0.48 -> 0.48 GB, spill 0.00 -> 0.00 GB, read 1.25 -> 0.98 GB, longest task 4 -> 4 s, most memory of a task 69 -> 69 MB.

@@ -12,19 +12,20 @@ from urllib.parse import quote
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from gleanery.operators.keyword_search import words
 from gleanery.operators.store import _exists
-from gleanery.session import written
+from gleanery.session import shared_dir, written_counted
 
 # Texts per call, attempts, and the bounds of the wait in seconds.
 BATCH_SIZE = 150
 ATTEMPTS = 4
 WAIT_MIN, WAIT_MAX = 1.0, 10.0
+PAGE_ROWS = 100  # rows of a page, the least that a portion reads of a file of new texts
 
 
 class RetryBudget:
@@ -153,6 +154,13 @@ def embed_texts(
     )
 
 
+def _portion(column: str, i: int, portions: int) -> Column:
+    """The ``i``-th of equal ranges of a hash in hex digits; such hashes are spread evenly."""
+    bounds = [f"{(at << 32) // portions:08x}" for at in (i, i + 1)]
+    after = F.col(column) >= bounds[0]
+    return after if i + 1 == portions else after & (F.col(column) < bounds[1])
+
+
 def embed_changed(
     df: DataFrame, text: str, embed_fn: Callable[[list[str]], Sequence[Sequence[float]]], dimension: int, store: str,
     model: str, output: str = "vector", portion_rows: int = 100_000, **options,
@@ -164,6 +172,9 @@ def embed_changed(
     ``portion_rows`` that are appended one by one: a job that is started again calls for
     none that are stored. Vectors that fail are not stored and have an ``error`` here. A
     null text has neither. One job at a time may write to a store.
+
+    A portion is a range of hashes, and new texts lie in their files in the order of these, so
+    that a portion reads its own pages of each file and not all new texts.
     """
     spark = df.sparkSession
     path = f"{store}/model={quote(model, safe='')}"
@@ -174,17 +185,17 @@ def embed_changed(
         return spark.read.schema(schema).parquet(path) if _exists(spark, path) else spark.createDataFrame([], schema)
 
     wanted = rows.where("_hash IS NOT NULL").groupBy(F.col("_hash").alias("content_hash")).agg(F.any_value(text).alias("_text"))
-    new = written(wanted.join(stored().select("content_hash"), "content_hash", "left_anti"), "embed-new")
-    portions = -(-new.count() // portion_rows)
-    errors = None
+    unknown = wanted.join(stored().select("content_hash"), "content_hash", "left_anti").sortWithinPartitions("content_hash")
+    new, n = written_counted(unknown, "embed-new", **{"parquet.page.row.count.limit": PAGE_ROWS})
+    portions, called = -(-n // portion_rows), shared_dir(spark, "embed-made")
     for i in range(portions):
-        part = new.where(F.pmod(F.xxhash64("content_hash"), F.lit(portions)) == i)
-        made = written(embed_texts(part, "_text", embed_fn, dimension, output, **options), "embed-made")
+        part = new.where(_portion("content_hash", i, portions))
+        embed_texts(part, "_text", embed_fn, dimension, output, **options).drop("_text").write.parquet(f"{called}/portion={i}")
+        made = spark.read.parquet(f"{called}/portion={i}")
         made.where("error IS NULL").select("content_hash", output).write.mode("append").parquet(path)
-        failed = made.where("error IS NOT NULL").select("content_hash", "error")
-        errors = failed if errors is None else errors.unionByName(failed)
-    if errors is None:
-        errors = spark.createDataFrame([], "content_hash string, error string")
+    failed = "content_hash string, error string"
+    errors = spark.read.schema(failed).parquet(called).drop("portion") if portions else spark.createDataFrame([], failed)
+    errors = errors.where("error IS NOT NULL")
     known = stored().dropDuplicates(["content_hash"]).withColumnRenamed("content_hash", "_known")  # a portion may be there twice
     out = rows.join(known, F.col("_hash") == F.col("_known"), "left")
     return out.join(errors.withColumnRenamed("content_hash", "_failed"), F.col("_hash") == F.col("_failed"), "left").drop("_hash", "_known", "_failed")

@@ -41,21 +41,21 @@ def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
     return df.repartition(slots)
 
 
-def written(df: DataFrame, purpose: str, compression: str | None = None) -> DataFrame:
+def written(df: DataFrame, purpose: str, compression: str | None = None, **options) -> DataFrame:
     """Write ``df`` below the shared folder and read it back.
 
     Later uses read the table instead of repeating the work, also after an
     executor was lost. Spark then knows the table's size, so that its own
     threshold decides whether a join broadcasts it. ``compression`` is for tables of
-    texts, which zstd makes smaller than the session's codec.
+    texts, which zstd makes smaller than the session's codec; ``options`` are the writer's.
     """
     path = shared_dir(df.sparkSession, purpose)
-    df.write.parquet(path, compression=compression)
+    df.write.options(**options).parquet(path, compression=compression)
     return df.sparkSession.read.parquet(path)
 
 
-def written_counted(df: DataFrame, purpose: str) -> tuple[DataFrame, int]:
+def written_counted(df: DataFrame, purpose: str, **options) -> tuple[DataFrame, int]:
     """As :func:`written`, with the number of rows, counted while they are written."""
     seen = Observation()
-    table = written(df.observe(seen, F.count(F.lit(1)).alias("rows")), purpose)
+    table = written(df.observe(seen, F.count(F.lit(1)).alias("rows")), purpose, **options)
     return table, seen.get["rows"]

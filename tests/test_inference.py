@@ -155,3 +155,35 @@ def test_only_new_texts_are_embedded(spark, tmp_path):
     assert run([(1, "a"), (2, "dddd")])[1] == []
     assert run([(1, "a")], "other")[1] == ["a"]
     assert run([])[0] == []
+
+
+def test_portions_read_their_own_part_of_the_new_texts(spark, tmp_path, monkeypatch):
+    parts, embed = [], inference.embed_texts
+    monkeypatch.setattr(inference, "embed_texts", lambda part, *a, **o: parts.append(part) or embed(part, *a, **o))
+    rows = [(i, f"t{i % 900}") for i in range(1000)] + [(1000, None), (1001, ""), (1001, ""), (None, "bad")]
+    df = spark.createDataFrame(rows, "id int, text string").repartition(3)
+
+    def short(texts):
+        if "bad" in texts:
+            raise ValueError("refused")
+        return [[float(len(t))] for t in texts]
+
+    out = inference.embed_changed(df, "text", short, 1, f"{tmp_path}/store", "m", portion_rows=150, attempts=1)
+    counts = [p.count() for p in parts]
+    assert len(parts) == 7 and sum(counts) == 902 and max(counts) < 250  # 900 texts, the empty and the bad one
+    for p in parts:
+        assert "GreaterThanOrEqual(content_hash," in p._jdf.queryExecution().executedPlan().toString()
+    for file in parts[0].inputFiles():
+        hashes = [r.content_hash for r in spark.read.parquet(file).collect()]
+        assert hashes == sorted(hashes)
+    assert sum("_text" in spark.read.parquet(f).columns for f in out.inputFiles()) == 0  # texts are not kept with their vectors
+    assert "Union" not in out._jdf.queryExecution().optimizedPlan().toString()  # one scan for the errors of all portions
+    got = sorted(map(str, map(tuple, out.collect())))
+    assert got == sorted(map(str, ((i, t, None if t in (None, "bad") else [float(len(t))], "ValueError: refused" if t == "bad" else None) for i, t in rows)))
+
+
+def test_portions_are_ranges_that_leave_nothing_out(spark):
+    df = spark.range(500).select(F.sha2(F.col("id").cast("string"), 256).alias("h")).unionByName(spark.createDataFrame([("0" * 64,), ("f" * 64,), ("8" + "0" * 63,)], "h string"))
+    for n in (1, 2, 3, 7):
+        found = [r.h for i in range(n) for r in df.where(inference._portion("h", i, n)).collect()]
+        assert sorted(found) == sorted(r.h for r in df.collect())
